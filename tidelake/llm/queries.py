@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidelake.llm.langid import language_id
 from tidelake.llm.simhash import near_duplicates
+from tidelake.llm.toxicity import toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,8 +20,22 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_read(spark, sf_dir, "documents"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents by FTRL-proximal logistic regression."""
+    return toxicity(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of all documents by rank-order n-gram profiles."""
+    return language_id(_read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_simhash": op1_simhash}
+    return {
+        "op1_simhash": op1_simhash,
+        "op2_toxicity": op2_toxicity,
+        "op8_language_id": op8_language_id,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
