@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidelake.llm import decontaminate
 from tidelake.llm.langid import language_id
 from tidelake.llm.simhash import near_duplicates
 from tidelake.llm.toxicity import toxicity
@@ -25,6 +26,11 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark phrases in all documents by an FM-index per shard."""
+    return decontaminate.contamination(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of all documents by rank-order n-gram profiles."""
     return language_id(_read(spark, sf_dir, "documents"))
@@ -34,9 +40,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_simhash": op1_simhash,
         "op2_toxicity": op2_toxicity,
+        "op6_decontamination": op6_decontamination,
         "op8_language_id": op8_language_id,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_decontamination": decontaminate.SQL}
