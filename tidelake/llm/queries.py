@@ -8,10 +8,23 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidelake.llm import decontaminate
 from tidelake.llm.langid import language_id
+from tidelake.llm.media import media_columns
 from tidelake.llm.simhash import near_duplicates
+from tidelake.llm.tokens import tokenized
 from tidelake.llm.toxicity import toxicity
 
 
+#: The end id that the token files' contract names.
+END_ID = 2
+
+
+def tokenizer_path() -> str:
+    """The byte-level BPE file of the installed public tokenizers."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -26,6 +39,11 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
+def op3_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payloads of all documents in tar shards, and what range reads find in them."""
+    return media_columns(_read(spark, sf_dir, "documents"))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark phrases in all documents by an FM-index per shard."""
     return decontaminate.contamination(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
@@ -36,12 +54,19 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id(_read(spark, sf_dir, "documents"))
 
 
+def op9_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token-id files of all documents, read back."""
+    return tokenized(_read(spark, sf_dir, "documents"), tokenizer_path(), END_ID)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_simhash": op1_simhash,
         "op2_toxicity": op2_toxicity,
+        "op3_media_columns": op3_media_columns,
         "op6_decontamination": op6_decontamination,
         "op8_language_id": op8_language_id,
+        "op9_token_ids": op9_token_ids,
     }
 
 
