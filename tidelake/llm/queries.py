@@ -5,10 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidelake.llm import decontaminate
 from tidelake.llm.langid import language_id
 from tidelake.llm.media import media_columns
+from tidelake.llm.mixing import PRODUCTION, domain_of_source, mixture, mixture_sql
+from tidelake.llm.sharding import shuffled
 from tidelake.llm.simhash import near_duplicates
 from tidelake.llm.tokens import tokenized
 from tidelake.llm.toxicity import toxicity
@@ -44,6 +47,11 @@ def op3_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media_columns(_read(spark, sf_dir, "documents"))
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mixture of all documents at the production weights."""
+    return mixture(_read(spark, sf_dir, "documents"), PRODUCTION, domain_of_source(F.col("source")))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark phrases in all documents by an FM-index per shard."""
     return decontaminate.contamination(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
@@ -59,16 +67,23 @@ def op9_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenized(_read(spark, sf_dir, "documents"), tokenizer_path(), END_ID)
 
 
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 24 shards of exact sizes, uniformly shuffled."""
+    return shuffled(_read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_simhash": op1_simhash,
         "op2_toxicity": op2_toxicity,
         "op3_media_columns": op3_media_columns,
+        "op4_mixing": op4_mixing,
         "op6_decontamination": op6_decontamination,
         "op8_language_id": op8_language_id,
         "op9_token_ids": op9_token_ids,
+        "op10_sharding": op10_sharding,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_decontamination": decontaminate.SQL}
+    return {"op4_mixing": mixture_sql(), "op6_decontamination": decontaminate.SQL}
