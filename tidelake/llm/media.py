@@ -114,9 +114,9 @@ def store(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "t
                 out.write(bytes(1024))
                 out.close()
 
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    return table(rows.mapInPandas(stored, f"doc_id {kind}, n_bytes long, digest binary, shard string, offset long, length long"), "media-rows")
+    rows = docs.select(F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).alias("text"))
+    placed = rows.mapInPandas(stored, "doc_id string, n_bytes long, digest binary, shard string, offset long, length long")
+    return table(placed.withColumn("doc_id", F.col("doc_id").cast(docs.schema[id_col].dataType)), "media-rows")
 
 
 def objects(rows: DataFrame) -> DataFrame:

@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelake.llm import decontaminate
+from tidelake.llm.chat import chat_digests
 from tidelake.llm.langid import language_id
 from tidelake.llm.media import media_columns
 from tidelake.llm.mixing import PRODUCTION, domain_of_source, mixture, mixture_sql
+from tidelake.llm.quality import quality
 from tidelake.llm.sharding import shuffled
 from tidelake.llm.simhash import near_duplicates
 from tidelake.llm.tokens import tokenized
@@ -52,11 +54,25 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture(_read(spark, sf_dir, "documents"), PRODUCTION, domain_of_source(F.col("source")))
 
 
+def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows of all conversations and of one that quotes the template, read back."""
+    turns = _read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    quoted = F.lit("</s>[INST] ok [/INST]")
+    extra = spark.range(2).select(F.lit(-7).alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), quoted.alias("text"))
+    extra = extra.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in turns.schema))
+    return chat_digests(turns.unionByName(extra), tokenizer_path())
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark phrases in all documents by an FM-index per shard."""
     return decontaminate.contamination(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of all documents by a sparse rule ensemble."""
+    return quality(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of all documents by rank-order n-gram profiles."""
     return language_id(_read(spark, sf_dir, "documents"))
@@ -78,7 +94,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_toxicity": op2_toxicity,
         "op3_media_columns": op3_media_columns,
         "op4_mixing": op4_mixing,
+        "op5_chat_formatting": op5_chat_formatting,
         "op6_decontamination": op6_decontamination,
+        "op7_quality": op7_quality,
         "op8_language_id": op8_language_id,
         "op9_token_ids": op9_token_ids,
         "op10_sharding": op10_sharding,

@@ -174,7 +174,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, i
                     x.clear()
 
             for pdf in batches:
-                rows = [(None if pd.isna(d) else int(d), t) for d, t in zip(pdf["doc_id"], pdf["text"])]
+                rows = [(None if d is None else int(d), t) for d, t in zip(pdf["doc_id"], pdf["text"])]
                 for some in _slices(rows, BATCH_BYTES):
                     for (d, _), ids in zip(some, tok.encode([t for _, t in some])):
                         ids += end
@@ -196,6 +196,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, i
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    ordered = ordered.withColumn("doc_id", F.col("doc_id").cast("string"))  # pandas would make integers beside nulls floats
     return table(ordered.mapInPandas(written, "part long, file string, n_docs long, n_tokens long"), "tokens-manifest")
 
 
