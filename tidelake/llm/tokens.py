@@ -28,7 +28,9 @@ from tidelake.llm.shared import make_dir, open_fs, scratch, table
 SEGMENT = 1 << 24
 BLOCK = 1 << 20
 MEMO = 1 << 20
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 8 << 20
+#: Words encoded in one call of the library.
+TOGETHER = 200
 _HEAD = struct.Struct("<4sQQQQQQ")
 _MAGIC = b"TOKS"
 #: A space between white space and more white space or the end: no place to cut a text.
@@ -54,6 +56,7 @@ class Tokenizer:
         self.size = self.library.get_vocab_size(with_added_tokens=True)
         self.kind = np.dtype("<u2") if self.size <= 1 << 16 else np.dtype("<u4")
         self.known: dict[str, bytes] = {}
+        self.often: set[str] = set()
         self.spaced = np.zeros(self.size, bool)
         for token, i in self.library.get_vocab(with_added_tokens=True).items():
             self.spaced[i] = token.startswith("Ġ")
@@ -62,36 +65,39 @@ class Tokenizer:
         return [np.array(e.ids, self.kind).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, missing: list[str]) -> None:
-        plain = [w for w in missing if w and not w[0].isspace() and not w[-1].isspace()]
-        for a in range(0, len(plain), 2000):
-            some = plain[a : a + 2000]
-            ids = np.array(self.library.encode(" " + " ".join(some), add_special_tokens=False).ids, np.int64)
-            at = np.flatnonzero(self.spaced[ids])
-            if len(at) != len(some):
-                self.known.update(zip(some, self._whole([" " + w for w in some])))
+        """Remembers words; those without white space at their ends are encoded many at a time."""
+        plain = [w for w in missing if w and w.strip() == w]
+        groups = [plain[a : a + TOGETHER] for a in range(0, len(plain), TOGETHER)]
+        odd: list[str] = [w for w in missing if not w or w.strip() != w] if len(plain) < len(missing) else []
+        width = self.kind.itemsize
+        for words, e in zip(groups, self.library.encode_batch_fast([" " + " ".join(g) for g in groups], add_special_tokens=False)):
+            ids = np.array(e.ids, self.kind)
+            at = np.flatnonzero(self.spaced[ids]) * width
+            if len(at) != len(words):
+                odd += words
                 continue
-            data, width = ids.astype(self.kind).tobytes(), self.kind.itemsize
-            cut = [*(at * width).tolist(), len(data)]
-            for w, i, j in zip(some, cut, cut[1:]):
-                self.known[w] = data[i:j]
-        odd = [w for w in missing if w not in self.known]
+            data, cut = ids.tobytes(), [*at.tolist(), len(ids) * width]
+            self.known.update(zip(words, [data[i:j] for i, j in zip(cut, cut[1:])]))
         self.known.update(zip(odd, self._whole([" " + w for w in odd])))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, little-endian."""
         if not self.byte_level:
             return self._whole(texts)
-        if len(self.known) > self.most:
-            self.known.clear()
+        if len(self.known) > self.most:  # words of one batch alone go
+            self.known = {w: self.known[w] for w in self.often}
+            self.often = set()
         pieces: list[list[str] | None] = []
-        missing: set[str] = set()
+        seen: set[str] = set()
         for t in texts:
             cut = None if _UNCUT.search(t) else t.split(" ")
             pieces.append(cut)
             if cut:
-                missing.update(cut[1:])
-        missing.difference_update(self.known)
-        self._learn(list(missing))
+                seen.update(cut[1:])
+        missing = [w for w in seen if w not in self.known]
+        seen.difference_update(missing)
+        self.often |= seen
+        self._learn(missing)
         heads = list({p[0] for p in pieces if p})
         first = dict(zip(heads, self._whole(heads)))
         rest = iter(self._whole([t for t, p in zip(texts, pieces) if p is None]))
