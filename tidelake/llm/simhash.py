@@ -58,14 +58,14 @@ def fingerprint_of(text: str | None, shingle: int = 3, seed: int = 42) -> int:
 
 
 def with_fingerprint(docs: DataFrame, id_col: str, text_col: str, shingle: int = 3, seed: int = 42) -> DataFrame:
-    """(doc_id, fp): fp is the fingerprint as a signed long."""
+    """doc_id, fp, text_hash: fp is the fingerprint as a signed long."""
 
     @F.pandas_udf("long")
     def fp(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             yield pd.Series(np.fromiter((fingerprint_of(t, shingle, seed) for t in texts), np.uint64, len(texts)).view(np.int64))
 
-    return docs.select(F.col(id_col).alias("doc_id"), fp(F.col(text_col)).alias("fp"))
+    return docs.select(F.col(id_col).alias("doc_id"), fp(F.col(text_col)).alias("fp"), F.xxhash64(text_col).alias("text_hash"))
 
 
 def _keys(fp) -> list:
@@ -200,9 +200,17 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
-def near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, distance: int = 3, bucket_limit: int = 8192
-) -> DataFrame:
+def grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, distance: int = 3, bucket_limit: int = 8192) -> DataFrame:
+    """doc_id, fp, text_hash, root, component_id for every row; root is a component's own fingerprint."""
+    prints = table(with_fingerprint(docs, id_col, text_col, shingle), "fingerprints")
+    least = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    roots = components(table(links(least.select("fp"), distance, bucket_limit), "links"))
+    nodes = least.join(roots, least.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    names = nodes.groupBy("root").agg(F.min("least").alias("component_id"))
+    return prints.join(nodes.join(names, "root").select("fp", "root", "component_id"), "fp")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, distance: int = 3, bucket_limit: int = 8192) -> DataFrame:
     """doc_id, fingerprint, component_id for every row of docs.
 
     Rows with no words (null, empty or blank text) have fingerprint 0 and link like any
@@ -210,22 +218,18 @@ def near_duplicates(
     ids of a component ignore nulls, and a component without any id has a null one.  An
     empty table gives an empty result.  Columns other than the id and text are not read.
     """
-    prints = table(with_fingerprint(docs, id_col, text_col, shingle), "fingerprints")
-    least = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    roots = components(table(links(least.select("fp"), distance, bucket_limit), "links"))
-    nodes = least.join(roots, least.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    names = nodes.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = nodes.join(names, "root").select("fp", "component_id")
-    return prints.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    rows = grouped(docs, id_col, text_col, shingle, distance, bucket_limit)
+    return rows.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs with the smallest id of each near-duplicate component.
+    """One row of docs for each near-duplicate component: one of its smallest id.
 
-    A row that is repeated under that same id is kept once.  Rows with a null id stay
-    only where no member of their component has an id.
+    Rows that share that id are told apart by a hash of their text, and of equal rows one
+    stays.  A component without ids keeps one of its rows.
     """
-    groups = near_duplicates(docs, id_col, text_col)
-    kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__kept")).distinct()
-    of_id = docs.join(kept, F.col(id_col).eqNullSafe(F.col("__kept")), "left_semi")
-    return of_id.dropDuplicates([id_col])
+    rows = grouped(docs, id_col, text_col).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    kept = rows.groupBy("root").agg(F.min(F.struct("text_hash", "doc_id")).alias("k")).select(F.col("k.doc_id").alias("__id"), F.col("k.text_hash").alias("__hash"))
+    hashed = docs.withColumn("__text", F.xxhash64(text_col))
+    found = hashed.join(kept, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__hash")), "left_semi")
+    return found.dropDuplicates([id_col, "__text"]).drop("__text")
