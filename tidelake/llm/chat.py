@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelake.llm.shared import table
+from tidelake.llm.shared import table, text_batches
 from tidelake.llm.tokens import tokenizer
 
 OPEN, MIDDLE, CLOSE = "<s>[INST] ", "\n", "[/INST]</s>\n"
@@ -129,6 +129,7 @@ def format_chats(turns: DataFrame, tokenizer_path: str, budget: int = BUDGET, hi
     window.  An empty table gives no windows.
     """
     rows = turns.select(F.col(conv_col).cast("string").alias("conv_id"), F.col(turn_col).alias("turn"), F.coalesce(F.col(role_col), F.lit("")).alias("role"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    text_batches(turns.sparkSession)
     kind = turns.schema[conv_col].dataType
 
     def windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -14,7 +14,6 @@ benchmark text; more than one block means one pass over the documents for each.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -24,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelake.llm.fm_index import FmIndex
+from tidelake.llm.shared import text_batches
 from tidelake.llm.words import words
 
 WINDOW = 13
@@ -135,6 +135,7 @@ def judge(texts: list[str | None], known: Phrases, shard_words: int = SHARD_WORD
 
 
 def _judged(docs: DataFrame, text_col: str, known: Phrases, shard_words: int):
+    text_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(known)
 
     @F.pandas_udf(RESULT)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidelake.llm.shared import text_batches
+
 
 def remainder(doc_id: Column, folds: int) -> Column:
     """crc32 of the id as text, modulo folds; a null id counts as the empty text."""
@@ -18,6 +20,7 @@ def sample(docs: DataFrame, labels: DataFrame, target: str, learn: Column, most:
     counts once, with its largest label).  learn: a condition on the id column.  Only ids
     are ranked; the chosen ids (at most 2 * most) are broadcast to the scan of the texts.
     """
+    text_batches(docs.sparkSession)
     known = labels.where(learn & F.col(target).isin(0, 1)).groupBy(F.col(id_col).alias("__id")).agg(F.max(target).alias("label"))
     order = F.xxhash64("__id", F.lit(seed))
     chosen = None

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelake.llm.labelled import remainder
+from tidelake.llm.shared import text_batches
 
 TOP = 400
 UNDETERMINED = "und"
@@ -105,6 +106,7 @@ def language_id(docs: DataFrame, folds: int = 3, held: int = 1, lang_col: str =
     Null texts and texts without letters are ``und`` with score 0, as are all texts where
     no row with a language may be learned from.  Repeated rows are each returned.
     """
+    text_batches(docs.sparkSession)
     known = profiles(docs, lang_col, remainder(F.col(id_col), folds) != held, id_col, text_col, most, top)
     sent = docs.sparkSession.sparkContext.broadcast(known)
 

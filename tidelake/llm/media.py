@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelake.llm.shared import make_dir, open_fs, scratch, table
+from tidelake.llm.shared import make_dir, open_fs, scratch, table, text_batches
 
 WIDTH = 192
 SHARD_BYTES = 256 << 20
@@ -81,6 +81,7 @@ def feature_of(samples: np.ndarray) -> str:
 def store(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Writes payloads to tar shards; doc_id, n_bytes, digest, shard, offset, length for every row."""
     make_dir(docs.sparkSession, path)
+    text_batches(docs.sparkSession)
 
     def stored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         fs, where = open_fs(path)

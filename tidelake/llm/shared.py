@@ -56,3 +56,18 @@ def open_fs(uri: str):
     if uri.startswith("file:/") and not uri.startswith("file://"):
         uri = "file://" + uri[len("file:"):]
     return fs.FileSystem.from_uri(uri)
+
+
+#: Bytes of an Arrow batch of texts, in the JVM and in a Python worker.
+BATCH_BYTES = 8 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def text_batches(spark: SparkSession) -> None:
+    """Bounds the session's Arrow batches by bytes, so that long texts don't add up in a worker.
+
+    A batch has one row at least; a lower bound that is already set stays.
+    """
+    held = spark.conf.get(_BATCH, None)
+    if held is None or not held.rstrip("bB").isdigit() or not 0 < int(held.rstrip("bB")) <= BATCH_BYTES:
+        spark.conf.set(_BATCH, str(BATCH_BYTES))

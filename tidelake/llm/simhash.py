@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelake.llm.shared import drop_path, scratch, table
+from tidelake.llm.shared import drop_path, scratch, table, text_batches
 
 SEGMENTS = 8
 CHAIN = 5
@@ -59,6 +59,7 @@ def fingerprint_of(text: str | None, shingle: int = 3, seed: int = 42) -> int:
 
 def with_fingerprint(docs: DataFrame, id_col: str, text_col: str, shingle: int = 3, seed: int = 42) -> DataFrame:
     """doc_id, fp, text_hash: fp is the fingerprint as a signed long."""
+    text_batches(docs.sparkSession)
 
     @F.pandas_udf("long")
     def fp(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

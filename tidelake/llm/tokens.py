@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelake.llm import rans
-from tidelake.llm.shared import make_dir, open_fs, scratch, table
+from tidelake.llm.shared import make_dir, open_fs, scratch, table, text_batches
 
 SEGMENT = 1 << 24
 BLOCK = 1 << 20
@@ -160,6 +160,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, i
     texts.  Null texts are empty.  Parts follow the order of ids.
     """
     make_dir(docs.sparkSession, path)
+    text_batches(docs.sparkSession)
 
     def written(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
@@ -223,7 +224,7 @@ def read_tokens(manifest: DataFrame, path: str) -> DataFrame:
                         crcs = np.zeros(len(lengths), np.int64)
                         i, left, crc = 0, int(lengths[0]), 0
                         for block in blocks:
-                            data, at = block.astype("<u4").tobytes(), 0
+                            data, at = np.ascontiguousarray(block, "<u4").data.cast("B"), 0
                             while at < len(data):
                                 take = min(left * 4, len(data) - at)
                                 crc = zlib.crc32(data[at : at + take], crc)
