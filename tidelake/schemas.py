@@ -5,8 +5,16 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
-def _of(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+_LEVELS = "array<array<string>>"
+_TYPES = {
+    "string": T.StringType(), "double": T.DoubleType(), "int": T.IntegerType(), "bigint": T.LongType(), "boolean": T.BooleanType(),
+    "timestamp": T.TimestampType(), _LEVELS: T.ArrayType(T.ArrayType(T.StringType())),
+}
+
+
+def _of(columns: str) -> T.StructType:
+    """A schema of ``name type`` pairs; unlike a DDL string it needs no session."""
+    return T.StructType([T.StructField(n, _TYPES[k]) for n, k in (c.split() for c in columns.split(","))])
 
 
 BARS = _of("date timestamp, open double, high double, low double, close double, volume double, source string, symbol string, interval string")
@@ -15,7 +23,6 @@ EVENTS = _of(
     "event_id string, series_id string, scheduled_ts timestamp, observed_ts timestamp, actual double, forecast double,"
     " previous double, revision_seq int, source string, calendar string"
 )
-_LEVELS = "array<array<string>>"
 #: Tape kinds; prices and sizes keep the exact digits received.
 TAPE = {
     "trades": _of("symbol string, trade_id bigint, price string, quantity string, trade_time string, event_time string, buyer_is_maker boolean, received_at bigint"),
