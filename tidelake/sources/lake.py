@@ -104,11 +104,12 @@ def register_views(spark: SparkSession, base: str) -> list[str]:
     return names
 
 
+_ARG = r"\s*((?:[^(),]|\([^()]*\))+?)\s*"
 #: Spellings of other SQL dialects that Spark has under another name.
 DIALECT = (
-    (r"\barg_max\s*\(\s*([^,()]+?)\s*,\s*([^,()]+?)\s*\)", r"max_by(\1, \2) FILTER (WHERE \1 IS NOT NULL)"),
-    (r"\barg_min\s*\(\s*([^,()]+?)\s*,\s*([^,()]+?)\s*\)", r"min_by(\1, \2) FILTER (WHERE \1 IS NOT NULL)"),
-    (r"\bdate_diff\s*\(\s*'day'\s*,\s*([^,()]+?)\s*,\s*([^,()]+?)\s*\)", r"datediff(\2, \1)"),
+    (rf"\barg_max\({_ARG},{_ARG}\)", r"max_by(\1, \2) FILTER (WHERE \1 IS NOT NULL)"),
+    (rf"\barg_min\({_ARG},{_ARG}\)", r"min_by(\1, \2) FILTER (WHERE \1 IS NOT NULL)"),
+    (rf"\bdate_diff\(\s*'day'\s*,{_ARG},{_ARG}\)", r"datediff(\2, \1)"),
     (r"\bread_parquet\s*\(\s*'([^']+)'\s*\)", r"parquet.`\1`"),
     (r"^\s*DESCRIBE\s+SELECT\b", "DESCRIBE QUERY SELECT"),
     (r"//", " div "),

@@ -31,9 +31,10 @@ def route(messages: DataFrame, by: str = "stream", strict: bool = True) -> DataF
 
 def trades(messages: DataFrame) -> DataFrame:
     """Trade rows of combined-stream messages, prices as the exact text received."""
-    d = F.from_json(F.get_json_object("message", "$.data"), "s string, t bigint, p string, q string, T bigint, E bigint, m boolean")
-    rows = messages.where("kind = 'trades'").select("received_at", d.alias("d"))
-    return rows.select(F.col("d.s").alias("symbol"), F.col("d.t").alias("trade_id"), F.col("d.p").alias("price"), F.col("d.q").alias("quantity"), F.col("d.T").alias("trade_time"), F.col("d.E").alias("event_time"), F.col("d.m").alias("buyer_is_maker"), "received_at")
+    names = ("symbol", "trade_id", "price", "quantity", "trade_time", "event_time", "buyer_is_maker")
+    fields = F.json_tuple(F.get_json_object("message", "$.data"), "s", "t", "p", "q", "T", "E", "m").alias(*names)  # names differ by case alone
+    rows = messages.where("kind = 'trades'").select(fields, "received_at")
+    return rows.withColumns({c: F.col(c).cast("bigint") for c in ("trade_id", "trade_time", "event_time")} | {"buyer_is_maker": F.col("buyer_is_maker").cast("boolean")})
 
 
 def sequence_gaps(rows: DataFrame, keys: list[str], order: list[str], start: str = "start_seq", last: str = "end_seq") -> DataFrame:
