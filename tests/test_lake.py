@@ -112,3 +112,26 @@ def test_history_replaces_a_run(spark, tmp_path):
     for n in (1, 2):
         upkeep.record_run(spark, spark.createDataFrame([("2024-01-02", "daily", n)], "run_date string, cadence string, n_error long"), path, ["run_date", "cadence"])
     assert sorted((r.run_date, r.cadence, r.n_error) for r in spark.read.parquet(path).collect()) == [("2024-01-01", "daily", 5), ("2024-01-02", "daily", 2)]
+
+
+def test_a_night_and_its_repeat(spark, base):
+    from tidelake.plans import jobs
+    from tidelake.registry import Registry, Source
+
+    registry = Registry([Source("binance", "bars", {"BTCUSDT": "BTCUSDT"}, "1d", redistributable=True)])
+    for _ in range(2):
+        found = jobs.nightly(spark, base, "2024-03-01 00:00:00", registry)
+        assert {(r.group, r.check) for r in found.collect()} == {("bars", "freshness"), ("series", "freshness")}
+    runs = spark.read.parquet(f"{base}/quality/dq_runs").collect()
+    assert len(runs) == 1 and (runs[0].n_violations, runs[0].n_warn, runs[0].groups) == (4, 4, "bars,series")
+    assert {m for m in lake.GOLD if lake.exists(spark, lake.gold_path(base, m))} == set(lake.GOLD)
+
+
+def test_weekly_names_what_moved(spark, base):
+    from tidelake.plans import jobs
+
+    stored = lake.read_bars(spark, base)
+    k = F.dayofmonth("date")
+    again = stored.where(k != 3).withColumn("close", F.when(F.col("symbol") == "ETHUSDT", F.col("close") * 0.5).when(k == 4, F.col("close") + 1).otherwise(F.col("close")))
+    found = {(r.series_id, r.severity, r.detail) for r in jobs.weekly(stored, again, F.lit("2024-01-10").cast("date")).collect()}
+    assert found == {("BTCUSDT", "error", "1 closes moved"), ("BTCUSDT", "error", "1 dates vanished"), ("ETHUSDT", "warn", "8 closes moved"), ("ETHUSDT", "error", "1 dates vanished")}

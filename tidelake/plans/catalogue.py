@@ -194,8 +194,8 @@ _ALIGNED = f"""{_MIDS}, wide AS (
     SELECT symbol, bucket, max(mid) FILTER (WHERE source = 'click') AS base_mid, max(mid) FILTER (WHERE source = 'view') AS quote_mid FROM mids GROUP BY 1, 2
 ), span AS (
     SELECT symbol, greatest(min(bucket) FILTER (WHERE base_mid IS NOT NULL), min(bucket) FILTER (WHERE quote_mid IS NOT NULL)) AS lo,
-           least(max(bucket) FILTER (WHERE base_mid IS NOT NULL), max(bucket) FILTER (WHERE quote_mid IS NOT NULL)) AS hi, min(bucket) AS start FROM wide GROUP BY 1
-), grid AS (SELECT symbol, lo, unnest(range(start, hi + 1)) AS bucket FROM span WHERE lo <= hi), filled AS (
+           least(max(bucket) FILTER (WHERE base_mid IS NOT NULL), max(bucket) FILTER (WHERE quote_mid IS NOT NULL)) AS hi, min(bucket) AS start, count(base_mid) AS n_base, count(quote_mid) AS n_quote FROM wide GROUP BY 1
+), grid AS (SELECT symbol, lo, unnest(range(start, hi + 1)) AS bucket FROM span WHERE n_base > 0 AND n_quote > 0 AND lo <= hi), filled AS (
     SELECT g.symbol AS symbol, g.bucket AS bucket, g.lo AS lo, last_value(base_mid IGNORE NULLS) OVER w AS base_mid, last_value(quote_mid IGNORE NULLS) OVER w AS quote_mid
     FROM grid g LEFT JOIN wide ON g.symbol = wide.symbol AND g.bucket = wide.bucket WINDOW w AS (PARTITION BY g.symbol ORDER BY g.bucket ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
 ), aligned AS (SELECT symbol, bucket, base_mid, quote_mid FROM filled WHERE bucket >= lo)"""

@@ -189,7 +189,7 @@ def series_revision(spark, d):
 
 _DAILY_RETURNS = """daily AS (SELECT CAST(o_orderdate AS DATE) AS date, CAST(sum(o_custkey) AS DOUBLE) AS a, CAST(sum(o_custkey + o_orderkey % 100) AS DOUBLE) AS b, CAST(count(*) AS DOUBLE) AS c FROM orders GROUP BY 1),
 rets AS (SELECT p.pair AS pair, date, CASE p.pair WHEN 'a/b' THEN a ELSE a END AS v, CASE p.pair WHEN 'a/b' THEN b ELSE c END AS u FROM daily, (SELECT unnest(['a/b', 'a/c']) AS pair) p),
-xy AS (SELECT pair, date, v / lag(v) OVER w - 1 AS x, u / lag(u) OVER w - 1 AS y FROM rets WINDOW w AS (PARTITION BY pair ORDER BY date)),
+xy AS (SELECT pair, date, v / nullif(lag(v) OVER w, 0) - 1 AS x, u / nullif(lag(u) OVER w, 0) - 1 AS y FROM rets WINDOW w AS (PARTITION BY pair ORDER BY date)),
 good AS (SELECT * FROM xy WHERE x IS NOT NULL AND y IS NOT NULL)"""
 
 
