@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelake.llm.shared import table, text_batches
+from tidelake.llm.shared import give_back, table, text_batches
 from tidelake.llm.tokens import tokenizer
 
 OPEN, MIDDLE, CLOSE = "<s>[INST] ", "\n", "[/INST]</s>\n"
@@ -146,6 +146,7 @@ def format_chats(turns: DataFrame, tokenizer_path: str, budget: int = BUDGET, hi
                     now, at = Windows(budget, history), conv
                 out += [(conv, *w) for w in now.add(role, text, tokens)]
             yield pd.DataFrame(out, columns=columns)
+        give_back()
         if now is not None:
             yield pd.DataFrame([(at, *now.window())], columns=columns)
 

@@ -23,11 +23,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelake.llm.fm_index import FmIndex
-from tidelake.llm.shared import text_batches
+from tidelake.llm.shared import give_back, text_batches
 from tidelake.llm.words import words
 
 WINDOW = 13
-SHARD_WORDS = 2_000_000
+SHARD_WORDS = 400_000
 BLOCK_BYTES = 32 << 20
 _LOCATE = 1 << 20
 _OTHER = 1
@@ -144,6 +144,7 @@ def _judged(docs: DataFrame, text_col: str, known: Phrases, shard_words: int):
             rows = judge(list(texts), sent.value, shard_words)
             spans = [[{"start": a, "end": b} for a, b in r[3]] for r in rows]
             yield pd.DataFrame({"n_words": [r[0] for r in rows], "n_hit": [r[1] for r in rows], "items": [r[2] for r in rows], "spans": spans})
+        give_back()
 
     return judged(F.col(text_col))
 

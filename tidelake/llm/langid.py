@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelake.llm.labelled import remainder
-from tidelake.llm.shared import text_batches
+from tidelake.llm.shared import give_back, text_batches
 
 TOP = 400
 UNDETERMINED = "und"
@@ -115,6 +115,7 @@ def language_id(docs: DataFrame, folds: int = 3, held: int = 1, lang_col: str =
         ranker = Ranker(sent.value, top)
         for texts in batches:
             yield pd.DataFrame([ranker.best(t) for t in texts], columns=["lang_pred", "score"])
+        give_back()
 
     out = docs.select(F.col(id_col).alias("doc_id"), (remainder(F.col(id_col), folds) == held).alias("held_out"), predict(F.col(text_col)).alias("p"))
     return out.select("doc_id", "held_out", "p.lang_pred", "p.score")

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelake.llm.labelled import remainder, sample
+from tidelake.llm.shared import give_back
 
 THRESHOLD = 0.5
 STATISTICS = (
@@ -149,6 +150,7 @@ def statistics_column(text: Column) -> Column:
     def stats(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
             yield pd.DataFrame([statistics(t) for t in texts], columns=list(STATISTICS))
+        give_back()
 
     return stats(text)
 

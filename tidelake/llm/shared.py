@@ -6,8 +6,12 @@ where that is unset (tests, a laptop) a temporary folder is made and set.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -71,3 +75,24 @@ def text_batches(spark: SparkSession) -> None:
     held = spark.conf.get(_BATCH, None)
     if held is None or not held.rstrip("bB").isdigit() or not 0 < int(held.rstrip("bB")) <= BATCH_BYTES:
         spark.conf.set(_BATCH, str(BATCH_BYTES))
+
+
+#: What empties a worker's caches; each is for consecutive tasks of one operator.
+CACHES: list[Callable[[], None]] = []
+
+
+def give_back(keep_caches: bool = False) -> None:
+    """Returns memory that a task has freed to the system, at its end.
+
+    Workers outlive tasks, and what their allocators and another operator's caches keep
+    would add up beside the JVM's heap.
+    """
+    import pyarrow
+
+    for empty in [] if keep_caches else CACHES:
+        empty()
+
+    gc.collect()
+    pyarrow.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelake.llm.shared import drop_path, scratch, table, text_batches
+from tidelake.llm.shared import drop_path, give_back, scratch, table, text_batches
 
 SEGMENTS = 8
 CHAIN = 5
@@ -65,6 +65,7 @@ def with_fingerprint(docs: DataFrame, id_col: str, text_col: str, shingle: int =
     def fp(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             yield pd.Series(np.fromiter((fingerprint_of(t, shingle, seed) for t in texts), np.uint64, len(texts)).view(np.int64))
+        give_back()
 
     return docs.select(F.col(id_col).alias("doc_id"), fp(F.col(text_col)).alias("fp"), F.xxhash64(text_col).alias("text_hash"))
 

@@ -23,9 +23,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelake.llm import rans
-from tidelake.llm.shared import make_dir, open_fs, scratch, table, text_batches
+from tidelake.llm.shared import CACHES, give_back, make_dir, open_fs, scratch, table, text_batches
 
-SEGMENT = 1 << 24
+SEGMENT = 1 << 22
 BLOCK = 1 << 20
 MEMO = 1 << 20
 BATCH_BYTES = 8 << 20
@@ -104,14 +104,19 @@ class Tokenizer:
         get = self.known.__getitem__
         return [next(rest) if p is None else first[p[0]] + b"".join(map(get, p[1:])) for p in pieces]
 
+    def forget(self) -> None:
+        """Empties the memo."""
+        self.known, self.often = {}, set()
+
 
 _loaded: dict[str, Tokenizer] = {}
 
 
 def tokenizer(path: str) -> Tokenizer:
-    """One tokenizer for each worker process and file, so that its memo outlives a task."""
+    """One tokenizer for each worker process and file; other operators' tasks empty its memo."""
     if path not in _loaded:
         _loaded[path] = Tokenizer(path)
+        CACHES.append(_loaded[path].forget)
     return _loaded[path]
 
 
@@ -196,6 +201,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, i
                             n = 0
             if doc_ids:
                 flush()
+        give_back(keep_caches=True)
         if docs_total:
             yield pd.DataFrame({"part": [part], "file": [name], "n_docs": [docs_total], "n_tokens": [total]})
         else:
@@ -237,6 +243,7 @@ def read_tokens(manifest: DataFrame, path: str) -> DataFrame:
                         ends = start + np.cumsum(lengths)
                         yield pd.DataFrame({"doc_id": pd.array(doc_ids, "Int64"), "start": ends - lengths, "n_tokens": lengths, "ids_crc32": crcs})
                         start = int(ends[-1])
+        give_back(keep_caches=True)
 
     files = max(1, manifest.count())
     return placed.repartition(files, "part").mapInPandas(read, "doc_id long, start long, n_tokens long, ids_crc32 long")

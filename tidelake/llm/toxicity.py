@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelake.llm.labelled import remainder, sample
+from tidelake.llm.shared import give_back
 from tidelake.llm.words import words
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -75,7 +76,7 @@ def train(rows: list[tuple[np.ndarray, int]], p: Ftrl, seed: int = 7) -> tuple[n
     return at, w[at], float(-bz / ((p.beta + bn**0.5) / p.alpha + p.l2))
 
 
-def fit(docs: DataFrame, labels: DataFrame, learn: Column, target: str = "toxic", p: Ftrl | None = None, most: int = 6000, id_col: str = "doc_id", text_col: str = "text") -> tuple[np.ndarray, np.ndarray, float]:
+def fit(docs: DataFrame, labels: DataFrame, learn: Column, target: str = "toxic", p: Ftrl | None = None, most: int = 2500, id_col: str = "doc_id", text_col: str = "text") -> tuple[np.ndarray, np.ndarray, float]:
     """A model from a bounded sample.  With no labelled rows of one class, the score is constant."""
     p = p or Ftrl()
 
@@ -83,6 +84,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, target: str = "toxic"
         for pdf in batches:
             at = [np.unique(coordinates(t, p.bits)).astype(np.int32).tobytes() for t in pdf["text"]]
             yield pd.DataFrame({"id": pdf["__id"], "at": at, "label": pdf["label"]})
+        give_back()
 
     def trained(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = [(i, np.frombuffer(a, np.int32), int(y)) for pdf in batches for i, a, y in zip(pdf["id"], pdf["at"], pdf["label"])]
@@ -93,6 +95,8 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, target: str = "toxic"
         else:
             at, w, bias = np.array([], np.int64), np.array([]), 4.0 if ones else -4.0
         yield pd.DataFrame({"at": np.append(at, -1), "w": np.append(w, bias)})
+        del rows
+        give_back()
 
     chosen = sample(docs, labels, target, learn, most, id_col, text_col)
     kind = f"id {chosen.schema['__id'].dataType.simpleString()}, at binary, label int"
@@ -120,6 +124,7 @@ def scorer(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float], bits: i
                 c = np.unique(c[live[c]])
                 out[i] = dense[c].sum(dtype=np.float64) + bias
             yield pd.Series(1 / (1 + np.exp(-np.clip(out, -35, 35))))
+        give_back()
 
     return score
 
