@@ -78,13 +78,18 @@ def leaf_budgets(leaves: DataFrame, mix: Mix) -> DataFrame:
     caps = leaves.withColumn("w1", mix.weight("domain")).withColumn("w2", mix.weight("lang")).withColumn("w3", mix.weight("source"))
     used = (F.col("w1") > 0) & (F.col("w2") > 0) & (F.col("w3") > 0)
     caps = caps.withColumn("cap", F.when(used, F.col("tokens") * mix.max_epochs).otherwise(0)).withColumn("root", F.lit(0))
-    wanted = F.lit(mix.budget).cast("long") if mix.budget is not None else F.expr(f"(sum(tokens) * {mix.share[0]}L) div {mix.share[1]}L")
-    nodes = caps.groupBy("root").agg(F.least(wanted, F.sum("cap")).alias("budget"))
-    path = ["root"]
+    nodes, path = None, ["root"]
     for level, weight in zip(LEVELS, ("w1", "w2", "w3")):
         children = caps.groupBy(*path, level, weight).agg(F.sum("cap").alias("cap"), F.sum("tokens").alias("tokens"))
         children = children.withColumn("weight", F.when(F.col("cap") > 0, F.col(weight)).otherwise(0))
-        shared = _shared(children.join(nodes, path), path, level)
+        if nodes is None:  # a row for each domain: the root's budget is a sum over them
+            whole = Window.partitionBy("root")
+            supply = F.sum("tokens").over(whole)
+            wanted = F.lit(mix.budget).cast("long") if mix.budget is not None else ((supply * mix.share[0] - F.pmod(supply * mix.share[0], F.lit(mix.share[1]))) / mix.share[1]).cast("long")
+            shared = children.withColumn("budget", F.least(wanted, F.sum("cap").over(whole)))
+        else:
+            shared = children.join(nodes, path)
+        shared = _shared(shared, path, level)
         path = [*path, level]
         nodes = shared.select(*path, "tokens", F.col("got").alias("budget")) if level == LEVELS[-1] else shared.select(*path, F.col("got").alias("budget"))
     return nodes.select(*LEVELS, "tokens", F.col("budget").alias("got"))
@@ -134,8 +139,8 @@ def mixed_documents(docs: DataFrame, mix: Mix, domain: Column, id_col: str = "do
 
 def domain_of_source(source: Column) -> Column:
     """The production tree's domains: sources dealt to four by the number in their name."""
-    number = F.coalesce(F.try_to_number(F.nullif(F.regexp_extract(source, "[0-9]+", 0), F.lit("")), F.lit("999999999")), F.lit(0))
-    return F.concat(F.lit("domain"), (number % 4).cast("int").cast("string"))
+    number = F.coalesce(F.regexp_extract(source, "[0-9]+", 0).try_cast("bigint"), F.lit(0))
+    return F.concat(F.lit("domain"), (number % 4).cast("string"))
 
 
 PRODUCTION = Mix(
