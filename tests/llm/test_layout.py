@@ -63,6 +63,14 @@ def test_mixture_takes_whole_epochs_and_a_prefix(spark):
     assert mixing.mixture(docs.limit(0), mix, F.lit("d")).count() == 0
 
 
+def test_many_leaves_are_joined_on_a_salt(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, "w " * (i % 4 + 1), "en", f"src{i % 3}") for i in range(60)], "doc_id long, text string, lang string, source string")
+    mix = mixing.Mix(budget=100, max_epochs=2)
+    one = sorted(map(str, mixing.mixture(docs, mix, F.lit("d")).collect()))
+    monkeypatch.setattr(mixing, "MOST_BROADCAST", 0)
+    assert one == sorted(map(str, mixing.mixture(docs, mix, F.lit("d")).collect()))
+
+
 def test_hypergeometric_follows_its_law():
     rng = random.Random(0)
     draws = Counter(sharding.hypergeometric(rng, 6, 9, 5) for _ in range(20_000))

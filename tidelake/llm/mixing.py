@@ -19,10 +19,14 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidelake.llm.shared import table
+
 LEVELS = ("domain", "lang", "source")
 #: Hexadecimal digits of the order key that make a bucket.
 BUCKET_DIGITS = 3
 MOST_WEIGHT = 10_000
+#: Leaves whose plans (five short columns) are broadcast; and the parts a leaf is cut to beyond.
+MOST_BROADCAST, SALTS = 50_000, 64
 
 
 @dataclass(frozen=True)
@@ -95,6 +99,18 @@ def leaf_budgets(leaves: DataFrame, mix: Mix) -> DataFrame:
     return nodes.select(*LEVELS, "tokens", F.col("budget").alias("got"))
 
 
+def _with_plan(rows: DataFrame, plan: DataFrame) -> DataFrame:
+    """rows with their leaf's plan, without moving a leaf's rows to one task.
+
+    The plan has a row for each leaf.  Up to MOST_BROADCAST of them are broadcast; more are
+    joined on the leaf and a salt.
+    """
+    if plan.count() <= MOST_BROADCAST:
+        return rows.join(F.broadcast(plan), list(LEVELS))
+    salted = plan.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")).join(salted, [*LEVELS, "salt"]).drop("salt")
+
+
 def mix_rows(docs: DataFrame, mix: Mix, id_col: Column, domain: Column, lang: Column, source: Column, tokens: Column, payload: list[Column]) -> DataFrame:
     """payload, domain, lang, source, n_tokens, epoch, leaf_budget of every chosen row.
 
@@ -111,7 +127,7 @@ def mix_rows(docs: DataFrame, mix: Mix, id_col: Column, domain: Column, lang: Co
     plan = leaf_budgets(leaves, mix).where("got > 0").select(
         *LEVELS, F.expr("got div tokens").alias("whole"), F.expr("got % tokens").alias("rest"), F.col("got").alias("leaf_budget"),
     )
-    rows = rows.join(plan, list(LEVELS))
+    rows = _with_plan(rows, table(plan, "leaf-plan"))
     rows = rows.withColumn("key", F.md5(F.concat_ws(":", F.lit(str(mix.seed)), F.col("whole").cast("string"), F.col("id")).cast("binary")))
     rows = rows.withColumn("bucket", F.substring("key", 1, BUCKET_DIGITS))
     buckets = rows.groupBy(*LEVELS, "bucket").agg(F.sum("n_tokens").alias("tokens"))
