@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import json
 import os
-import re
 import struct
 import uuid
 import zlib
@@ -25,24 +24,22 @@ from pyspark.sql import functions as F
 from tidelake.llm import rans
 from tidelake.llm.shared import CACHES, give_back, make_dir, open_fs, scratch, table, text_batches
 
-SEGMENT = 1 << 22
+SEGMENT = 1 << 23
 BLOCK = 1 << 20
-MEMO = 1 << 20
-BATCH_BYTES = 8 << 20
+MEMO = 1_200_000
+BATCH_BYTES = 4 << 20
 #: Words encoded in one call of the library.
 TOGETHER = 200
 _HEAD = struct.Struct("<4sQQQQQQ")
 _MAGIC = b"TOKS"
-#: A space between white space and more white space or the end: no place to cut a text.
-_UNCUT = re.compile(r"\s (?:\s|\Z)")
 
 
 class Tokenizer:
     """Ids of whole texts by the tokenizers library, with a bounded memo of words.
 
-    A byte-level BPE without normalizer cuts a text before each single space, so the
-    pieces between can be encoded once and remembered.  Other tokenizers, and texts with
-    runs of white space around a space, are encoded whole.
+    A byte-level BPE without normalizer cuts a text before a space between two words, so
+    the pieces between such spaces can be encoded once and remembered.  Other tokenizers,
+    and texts with other white space beside a space, are encoded whole.
     """
 
     def __init__(self, path: str, memo: int = MEMO) -> None:
@@ -56,7 +53,7 @@ class Tokenizer:
         self.size = self.library.get_vocab_size(with_added_tokens=True)
         self.kind = np.dtype("<u2") if self.size <= 1 << 16 else np.dtype("<u4")
         self.known: dict[str, bytes] = {}
-        self.often: set[str] = set()
+        self.before: dict[str, bytes] = {}
         self.spaced = np.zeros(self.size, bool)
         for token, i in self.library.get_vocab(with_added_tokens=True).items():
             self.spaced[i] = token.startswith("Ġ")
@@ -65,10 +62,9 @@ class Tokenizer:
         return [np.array(e.ids, self.kind).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, missing: list[str]) -> None:
-        """Remembers words; those without white space at their ends are encoded many at a time."""
-        plain = [w for w in missing if w and w.strip() == w]
-        groups = [plain[a : a + TOGETHER] for a in range(0, len(plain), TOGETHER)]
-        odd: list[str] = [w for w in missing if not w or w.strip() != w] if len(plain) < len(missing) else []
+        """Remembers words, encoded many at a time.  Those with white space at their ends are not for it."""
+        groups = [missing[a : a + TOGETHER] for a in range(0, len(missing), TOGETHER)]
+        odd: list[str] = []
         width = self.kind.itemsize
         for words, e in zip(groups, self.library.encode_batch_fast([" " + " ".join(g) for g in groups], add_special_tokens=False)):
             ids = np.array(e.ids, self.kind)
@@ -84,29 +80,45 @@ class Tokenizer:
         """The ids of each text, little-endian."""
         if not self.byte_level:
             return self._whole(texts)
-        if len(self.known) > self.most:  # words of one batch alone go
-            self.known = {w: self.known[w] for w in self.often}
-            self.often = set()
-        pieces: list[list[str] | None] = []
-        seen: set[str] = set()
+        if len(self.known) > self.most // 2:  # words that the next generation doesn't meet go
+            self.before, self.known = self.known, {}
+        get = self.known.get
+        cuts: list[tuple[list[str], list, list[int]]] = []
+        missing: set[str] = set()
         for t in texts:
-            cut = None if _UNCUT.search(t) else t.split(" ")
-            pieces.append(cut)
-            if cut:
-                seen.update(cut[1:])
-        missing = [w for w in seen if w not in self.known]
-        seen.difference_update(missing)
-        self.often |= seen
-        self._learn(missing)
-        heads = list({p[0] for p in pieces if p})
+            words = t.split(" ")
+            ids = list(map(get, words))
+            ids[0] = b""
+            gaps = [i for i, x in enumerate(ids) if x is None]
+            missing.update([words[i] for i in gaps])
+            cuts.append((words, ids, gaps))
+        # a piece that is empty or has white space at an end is never remembered, so its text is seen here
+        odd = {w for w in missing if not w or w.strip() != w}
+        fresh = []
+        for w in missing:
+            if w in self.before:
+                self.known[w] = self.before[w]
+            elif w not in odd:
+                fresh.append(w)
+        self._learn(fresh)
+        whole = {i for i, (words, _, gaps) in enumerate(cuts) if odd and any(words[g] in odd for g in gaps)}
+        rest = iter(self._whole([texts[i] for i in sorted(whole)]))
+        heads = list({c[0][0] for i, c in enumerate(cuts) if i not in whole})
         first = dict(zip(heads, self._whole(heads)))
-        rest = iter(self._whole([t for t, p in zip(texts, pieces) if p is None]))
-        get = self.known.__getitem__
-        return [next(rest) if p is None else first[p[0]] + b"".join(map(get, p[1:])) for p in pieces]
+        out = []
+        for i, (words, ids, gaps) in enumerate(cuts):
+            if i in whole:
+                out.append(next(rest))
+                continue
+            for g in gaps:
+                ids[g] = self.known[words[g]]
+            ids[0] = first[words[0]]
+            out.append(b"".join(ids))
+        return out
 
     def forget(self) -> None:
         """Empties the memo."""
-        self.known, self.often = {}, set()
+        self.known, self.before = {}, {}
 
 
 _loaded: dict[str, Tokenizer] = {}
