@@ -70,8 +70,8 @@ class Rule:
         return whole
 
 
-def _tree(x: np.ndarray, g: np.ndarray, h: np.ndarray, depth: int, terms: tuple, cuts: list[np.ndarray], few: int, features: np.ndarray, out: list, at: np.ndarray) -> bool:
-    """Grows one tree of Newton steps on x[at]; appends the paths to its nodes. False: a leaf."""
+def _tree(x: np.ndarray, g: np.ndarray, h: np.ndarray, depth: int, terms: tuple, cuts: list[np.ndarray], few: int, features: np.ndarray, out: list, at: np.ndarray) -> None:
+    """Grows one tree of Newton steps on x[at]; appends the paths to its nodes."""
     if terms:
         out.append(Rule(terms))
     best = (1e-6, 0, 0.0)
@@ -84,12 +84,11 @@ def _tree(x: np.ndarray, g: np.ndarray, h: np.ndarray, depth: int, terms: tuple,
             if len(gain) and gain.max() > best[0]:
                 best = (gain.max(), i, float(cuts[i][gain.argmax()]))
     if best[0] <= 1e-6:
-        return False
+        return
     _, i, cut = best
     above = x[at, i] > cut
     for side in (False, True):
         _tree(x, g, h, depth - 1, (*terms, (int(i), side, cut)), cuts, few, features, out, at[above == side])
-    return True
 
 
 def grow(x: np.ndarray, y: np.ndarray, trees: int = 60, depth: int = 3, rate: float = 0.3, seed: int = 3) -> list[Rule]:
