@@ -200,3 +200,20 @@ def test_implied_missing_skips_weekends(spark):
     lost = [d for d in work if d not in (date(2024, 1, 10), date(2024, 1, 15))]
     rows = spark.createDataFrame([("s", d) for d in lost], "source string, date date")
     assert statistics.implied_missing(rows, ["source"]).first().n_missing == 2
+
+
+def test_a_trial_passes_fails_and_skips(spark):
+    from tidelake.operators import contracts
+
+    rows = [("new", "X", d, 10.0, 15.0, 9.0, 10.0 + i % 5, 5.0) for i, d in enumerate(days(30))]
+    lit = lambda t: F.lit(t).cast("date")
+    run = lambda a, b, **k: {r.stage: r.outcome for r in contracts.trial(spark, a, b, lit("2024-01-01"), lit("2024-01-31"), lit("2024-02-01"), **k).collect()}
+    good = bars(spark, rows)
+    assert run(good, good) == dict.fromkeys(("contract", "frame", "determinism", "range", "completeness"), "passed") | dict.fromkeys(("peer_completeness", "cross_source"), "skipped")
+    peer = good.withColumn("source", F.lit("old"))
+    assert set(run(good, good, stored=peer, peer="old").values()) == {"passed"}
+    thin = bars(spark, [r for i, r in enumerate(rows) if i % 6 != 5])
+    got = run(thin, good, stored=peer, peer="old")
+    assert (got["determinism"], got["completeness"], got["peer_completeness"]) == ("failed", "failed", "failed")
+    assert run(good.drop("close"), good) == {"contract": "failed"}
+    assert contracts.negative(good, "low").count() == 0

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelake.operators import statistics, verify
+from tidelake.operators import contracts, statistics, verify
 from tidelake.plans import standins as st
-from tidelake.plans.catalogue import BAR_KEYS, _vsql, day, query, rounded
+from tidelake.plans.catalogue import BAR_KEYS, _HOLES, _vsql, day, holes, query, rounded
 
 
 def bent(spark, d) -> DataFrame:
@@ -290,3 +290,26 @@ SELECT m.source AS source, m.symbol AS symbol, n_rows, modal_gap, CAST(coalesce(
 )
 def implied_missing(spark, d):
     return statistics.implied_missing(st.bars(spark, d), BAR_KEYS)
+
+
+# Contracts
+
+
+@query("not_null", f"""{_HOLES} SELECT 'open' AS "column", count(*) AS n FROM holes WHERE open IS NULL UNION ALL SELECT 'volume', count(*) FROM holes WHERE volume IS NULL""")
+def not_null(spark, d):
+    return contracts.not_null(holes(spark, d), ["open", "close", "volume"])
+
+
+@query("accepted_values", "SELECT o_orderpriority AS value, count(*) AS n FROM orders WHERE o_orderpriority NOT IN ('1-URGENT', '2-HIGH') GROUP BY 1")
+def accepted_values(spark, d):
+    return contracts.accepted_values(st.read(spark, d, "orders"), "o_orderpriority", ["1-URGENT", "2-HIGH"])
+
+
+@query(
+    "backward_revisions",
+    f"""WITH {st.PRINTS}, m AS (SELECT event_id, CASE WHEN CAST(series_id AS BIGINT) % 5 = 0 THEN 10 - revision_seq ELSE revision_seq END AS revision_seq, observed_ts FROM prints),
+b AS (SELECT *, lag(observed_ts) OVER (PARTITION BY event_id ORDER BY revision_seq) AS was FROM m) SELECT event_id, revision_seq FROM b WHERE observed_ts < was""",
+)
+def backward_revisions(spark, d):
+    seq = F.when(F.col("series_id").cast("bigint") % 5 == 0, 10 - F.col("revision_seq")).otherwise(F.col("revision_seq"))
+    return contracts.backward_revisions(st.prints(spark, d).withColumn("revision_seq", seq))
