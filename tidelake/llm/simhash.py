@@ -230,8 +230,11 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     Rows that share that id are told apart by a hash of their text, and of equal rows one
     stays.  A component without ids keeps one of its rows.
     """
-    rows = grouped(docs, id_col, text_col).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    named = grouped(docs, id_col, text_col).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    rows = table(named.select("doc_id", "text_hash", "root"), "kept-rows")
     kept = rows.groupBy("root").agg(F.min(F.struct("text_hash", "doc_id")).alias("k")).select(F.col("k.doc_id").alias("__id"), F.col("k.text_hash").alias("__hash"))
     hashed = docs.withColumn("__text", F.xxhash64(text_col))
     found = hashed.join(kept, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__hash")), "left_semi")
-    return found.dropDuplicates([id_col, "__text"]).drop("__text")
+    if not rows.groupBy("doc_id", "text_hash").count().where("count > 1").isEmpty():  # texts are shuffled again only for repeated rows
+        found = found.dropDuplicates([id_col, "__text"])
+    return found.drop("__text")
