@@ -230,7 +230,12 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     Rows that share that id are told apart by a hash of their text, and of equal rows one
     stays.  A component without ids keeps one of its rows.
     """
-    named = grouped(docs, id_col, text_col).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return one_of_each(docs, grouped(docs, id_col, text_col), id_col, text_col)
+
+
+def one_of_each(docs: DataFrame, groups: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """One row of docs for each root of groups (doc_id, text_hash, root, component_id), as keep_one says."""
+    named = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     rows = table(named.select("doc_id", "text_hash", "root"), "kept-rows")
     kept = rows.groupBy("root").agg(F.min(F.struct("text_hash", "doc_id")).alias("k")).select(F.col("k.doc_id").alias("__id"), F.col("k.text_hash").alias("__hash"))
     hashed = docs.withColumn("__text", F.xxhash64(text_col))
