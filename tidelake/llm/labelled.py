@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +15,20 @@ def remainder(doc_id: Column, folds: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds
 
 
+def _known(labels: DataFrame, target: str, learn: Column, id_col: str) -> DataFrame:
+    return labels.where(learn & F.col(target).isin(0, 1)).groupBy(F.col(id_col).alias("__id")).agg(F.max(target).alias("label"))
+
+
+def excess(labels: DataFrame, target: str, learn: Column, most: int, id_col: str) -> float:
+    """Log of the ratio at which ``sample`` draws class 1 rather than class 0.
+
+    A model of the sample has so much too large an intercept for all labelled documents.
+    """
+    n = dict(_known(labels, target, learn, id_col).groupBy("label").count().collect())
+    rate = lambda k: min(1.0, most / n[k]) if n.get(k) else 1.0
+    return math.log(rate(1) / rate(0))
+
+
 def sample(docs: DataFrame, labels: DataFrame, target: str, learn: Column, most: int, id_col: str, text_col: str, seed: int = 17) -> DataFrame:
     """(text, label) of at most ``most`` documents of each class, in a seeded order of ids.
 
@@ -21,7 +37,7 @@ def sample(docs: DataFrame, labels: DataFrame, target: str, learn: Column, most:
     are ranked; the chosen ids (at most 2 * most) are broadcast to the scan of the texts.
     """
     text_batches(docs.sparkSession)
-    known = labels.where(learn & F.col(target).isin(0, 1)).groupBy(F.col(id_col).alias("__id")).agg(F.max(target).alias("label"))
+    known = _known(labels, target, learn, id_col)
     order = F.xxhash64("__id", F.lit(seed))
     chosen = None
     for label in (0, 1):

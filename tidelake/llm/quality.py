@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelake.llm.labelled import remainder, sample
+from tidelake.llm.labelled import excess, remainder, sample
 from tidelake.llm.shared import give_back
 
 THRESHOLD = 0.5
@@ -163,11 +163,12 @@ def score_column(stats: Column, rules: list[Rule], intercept: float) -> Column:
 
 
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, target: str = "quality", most: int = 5000, id_col: str = "doc_id", text_col: str = "text") -> tuple[list[Rule], float]:
-    """Rules from the statistics of at most ``most`` documents of each class."""
+    """Rules from the statistics of at most ``most`` documents of each class, and the intercept for all of them."""
     chosen = sample(docs, labels, target, learn, most, id_col, text_col)
     rows = chosen.select(F.col("__id").cast("string").alias("id"), statistics_column(F.col("text")).alias("s"), "label").select("id", "s.*", "label").toPandas()
     rows = rows.sort_values(["id", *STATISTICS])
-    return fit_rules(rows[list(STATISTICS)].to_numpy(float), rows["label"].to_numpy(int))
+    rules, intercept = fit_rules(rows[list(STATISTICS)].to_numpy(float), rows["label"].to_numpy(int))
+    return rules, intercept - (excess(labels, target, learn, most, id_col) if rows["label"].nunique() > 1 else 0.0)
 
 
 def quality(docs: DataFrame, labels: DataFrame, folds: int = 3, held: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -3,7 +3,8 @@
 Features are the different words, their stems (first 4 to 7 bytes, so that inflected
 forms share weights), word pairs and pairs with one or two words skipped of a whole text,
 hashed into ``2 ** bits`` coordinates.  Training is sequential, as FTRL
-is, over a bounded sample (``most`` documents of each class) in one task; its L1 term
+is, over a bounded sample (``most`` documents of each class) in one task, and the bias is
+corrected for the rates at which the classes are drawn; its L1 term
 leaves few weights, which are collected and broadcast (at most ``2 ** bits`` pairs).
 """
 
@@ -18,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelake.llm.labelled import remainder, sample
+from tidelake.llm.labelled import excess, remainder, sample
 from tidelake.llm.shared import give_back
 from tidelake.llm.words import words
 
@@ -76,7 +77,7 @@ def train(rows: list[tuple[np.ndarray, int]], p: Ftrl, seed: int = 7) -> tuple[n
     return at, w[at], float(-bz / ((p.beta + bn**0.5) / p.alpha + p.l2))
 
 
-def fit(docs: DataFrame, labels: DataFrame, learn: Column, target: str = "toxic", p: Ftrl | None = None, most: int = 2500, id_col: str = "doc_id", text_col: str = "text") -> tuple[np.ndarray, np.ndarray, float]:
+def fit(docs: DataFrame, labels: DataFrame, learn: Column, target: str = "toxic", p: Ftrl | None = None, most: int = 6000, id_col: str = "doc_id", text_col: str = "text") -> tuple[np.ndarray, np.ndarray, float]:
     """A model from a bounded sample.  With no labelled rows of one class, the score is constant."""
     p = p or Ftrl()
 
@@ -92,12 +93,14 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, target: str = "toxic"
         ones = sum(y for _, y in rows)
         if 0 < ones < len(rows):
             at, w, bias = train(rows, p)
+            bias -= over
         else:
             at, w, bias = np.array([], np.int64), np.array([]), 4.0 if ones else -4.0
         yield pd.DataFrame({"at": np.append(at, -1), "w": np.append(w, bias)})
         del rows
         give_back()
 
+    over = excess(labels, target, learn, most, id_col)
     chosen = sample(docs, labels, target, learn, most, id_col, text_col)
     kind = f"id {chosen.schema['__id'].dataType.simpleString()}, at binary, label int"
     model = chosen.mapInPandas(featured, kind).repartition(1).mapInPandas(trained, "at long, w double").toPandas()
