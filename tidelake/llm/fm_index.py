@@ -113,11 +113,16 @@ class FmIndex:
 
     def search(self, phrases: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Suffix ranges [lo, hi) of the phrases, all of one length, a row each."""
-        lo, hi = np.zeros(len(phrases), np.int64), np.full(len(phrases), self.n)
-        live = np.arange(len(phrases))
+        n, k = phrases.shape
+        return self.search_at(phrases.ravel(), np.arange(n) * k, k)
+
+    def search_at(self, sequence: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+        """Suffix ranges [lo, hi) of the phrases of one length that begin at places of a sequence."""
+        lo, hi = np.zeros(len(starts), np.int64), np.full(len(starts), self.n)
+        live = np.arange(len(starts))
         top = len(self.starts) - 1
-        for column in range(phrases.shape[1] - 1, -1, -1):
-            symbol = phrases[live, column]
+        for step in range(length - 1, -1, -1):
+            symbol = sequence[starts[live] + step].astype(np.int64)
             known = symbol < top
             hi[live[~known]] = lo[live[~known]]
             live, symbol = live[known], symbol[known]
