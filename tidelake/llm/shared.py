@@ -1,7 +1,8 @@
 """Where operators keep what must outlive a lost executor, and how tasks reach it.
 
-Written tables and files go to the folder named by ``spark.checkpoint.dir``.  Only
-where that is unset (tests, a laptop) a temporary folder is made and set.
+Written tables and files go to the folder named by ``spark.checkpoint.dir``.  Only a
+local session that names none (tests, a laptop) gets a temporary folder of its own; a
+cluster without one is an error.
 """
 
 from __future__ import annotations
@@ -11,25 +12,57 @@ import ctypes
 import gc
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Temporary folders of local sessions, by application.
+_LOCAL: dict[str, str] = {}
+#: Scratch paths of the open scratch spaces, innermost last.
+_SPACES: list[list[str]] = []
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder, as the session names it."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    found = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="tidelake-")
-        spark.conf.set("spark.checkpoint.dir", found)
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        if context.applicationId not in _LOCAL:
+            _LOCAL[context.applicationId] = "file://" + tempfile.mkdtemp(prefix="tidelake-")
+        found = _LOCAL[context.applicationId]
     return found.rstrip("/")
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
+def product(spark: SparkSession, name: str) -> str:
+    """A fresh path below the shared folder for files that are a result and stay."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A fresh path below the shared folder; it goes with the scratch space it was made in, if any."""
+    path = product(spark, name)
+    if _SPACES:
+        _SPACES[-1].append(path)
+    return path
+
+
+@contextlib.contextmanager
+def scratch_space(spark: SparkSession) -> Iterator[None]:
+    """Deletes the scratch tables made inside at the end.
+
+    What operators return is lazy and reads them, so write or collect it inside.  Without a
+    space they stay in the shared folder.
+    """
+    _SPACES.append([])
+    try:
+        yield
+    finally:
+        for path in _SPACES.pop():
+            drop_path(spark, path)
+
+
 def table(df: DataFrame, name: str) -> DataFrame:
     """Writes df to the shared folder and reads it back: lineage ends here."""
     path = scratch(df.sparkSession, name)
