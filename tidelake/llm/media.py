@@ -5,6 +5,9 @@ the stored bytes.  Tasks append to tar shards of their own in the shared folder,
 payload once a shard; rows carry digest, shard, offset and length.  An object's first
 place, by shard name and offset, stands for it.  Metadata columns are filled by range
 reads of the image header alone; payload features by range reads of whole objects.
+
+Copies never meet in a task: a row finds its object by the place that its own task wrote,
+and only the stored objects, one for each shard at most, are matched by digest.
 """
 
 from __future__ import annotations
@@ -21,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelake.llm.shared import make_dir, open_fs, scratch, table, text_batches
+from tidelake.llm.shared import make_dir, open_fs, product, table, text_batches
 
 WIDTH = 192
 SHARD_BYTES = 256 << 20
@@ -70,11 +73,22 @@ def from_png(data: bytes) -> np.ndarray:
 
 
 def feature_of(samples: np.ndarray) -> str:
-    """Mean, deviation and an 8 x 8 average hash of the samples, as text."""
-    cells = np.add.reduceat(samples.sum(axis=0, dtype=np.int64), np.arange(0, WIDTH, WIDTH // 64))
-    bits = np.packbits(cells * 64 > cells.sum())
-    n, s = samples.size, int(samples.sum(dtype=np.int64))
-    squares = int((samples.astype(np.int64) ** 2).sum())
+    """Mean, variance and an 8 x 8 average hash of the samples, as text.
+
+    The hash has a bit for each cell of an 8 x 8 grid, row by row: whether its mean is
+    above the mean of all cells.  Rows of an image of fewer than eight stand for several.
+    """
+    high = np.arange(8) * len(samples) // 8
+    wide = np.arange(0, WIDTH, WIDTH // 8)
+    sums = np.add.reduceat(np.add.reduceat(samples, high, axis=0, dtype=np.int64), wide, axis=1)
+    rows = np.maximum(np.diff(np.append(high, len(samples))), 1)
+    means = sums / (rows[:, None] * (WIDTH // 8))
+    bits = np.packbits(means > means.mean())
+    counts = np.zeros(256, np.int64)
+    for a in range(0, len(samples), 8192):
+        counts += np.bincount(samples[a : a + 8192].ravel(), minlength=256)
+    n, s = samples.size, int((counts * np.arange(256)).sum())
+    squares = int((counts * np.arange(256) ** 2).sum())
     return f"mean={s / n:.3f};var={squares / n - (s / n) ** 2:.3f};hash={bits.tobytes().hex()}"
 
 
@@ -126,6 +140,13 @@ def objects(rows: DataFrame) -> DataFrame:
     return rows.groupBy("digest").agg(place).select("digest", "p.*")
 
 
+def read_payload(path: str, shard: str, offset: int, length: int) -> bytes:
+    """The payload of one stored object, by a range read of its shard in a folder."""
+    fs, where = open_fs(path)
+    with fs.open_input_file(f"{where}/{shard}") as stream:
+        return from_png(stream.read_at(length, offset)).tobytes()
+
+
 def _ranges(placed: DataFrame, path: str, names: list[str], kind: str, size: int | None, of) -> DataFrame:
     """Runs ``of(bytes)`` on each object, or its first ``size`` bytes, shard by shard."""
 
@@ -165,14 +186,20 @@ def with_features(placed: DataFrame, path: str) -> DataFrame:
     return _ranges(placed, path, names, kind, None, _described)
 
 
-def media_columns(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_bytes, payload and media columns, width, height, bits for every row of docs.
+def media_columns(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> DataFrame:
+    """doc_id, n_bytes, payload and media columns, width, height, bits and the object's place for every row of docs.
 
-    Null and empty texts have a payload of one row of spaces.  Equal texts share one
-    object; repeated rows are each returned.  An empty table gives no rows.
+    The place is folder, shard, offset and length; the digest is media_sha256.  path: the
+    shards' folder, which stays; a fresh one in the shared folder if not given.  Null and
+    empty texts have a payload of one row of spaces; a long text is one object, held whole
+    by one task at a time.  Equal texts share one object; repeated rows are each returned;
+    other columns of docs are not.  An empty table gives no rows.
     """
-    path = scratch(docs.sparkSession, "media-shards")
+    path = path or product(docs.sparkSession, "media-shards")
     rows = store(docs, path, id_col, text_col)
-    placed = objects(rows)
-    known = with_features(placed, path).join(with_metadata(placed, path), "digest")
-    return rows.select("doc_id", "n_bytes", "digest").join(known, "digest").drop("digest")
+    stored = rows.select("digest", "shard", "offset", "length").distinct()
+    placed = table(objects(stored), "media-objects")
+    known = placed.join(with_features(placed, path), "digest").join(with_metadata(placed, path), "digest")
+    at = stored.select("digest", F.col("shard").alias("own_shard"), F.col("offset").alias("own_offset")).join(known, "digest")
+    own = rows.select("doc_id", "n_bytes", F.col("shard").alias("own_shard"), F.col("offset").alias("own_offset"))
+    return own.join(at, ["own_shard", "own_offset"]).drop("own_shard", "own_offset", "digest").withColumn("folder", F.lit(path))
