@@ -1,10 +1,13 @@
 """Token-id files: ids of whole texts in ascending id order, entropy-coded for parallel reading.
 
 Documents are range-partitioned and sorted by id.  A task tokenizes its range and writes
-one file of segments of about ``SEGMENT`` ids.  A segment holds its documents' ids and
-lengths, one frequency table over all its token ids, and independent rANS blocks of
-``BLOCK`` ids that share it, each with checkpoints and a checksum.  Files are named for
-the attempt that wrote them; only those of successful attempts are in the manifest.
+files of at most about ``FILE_BYTES``, made of segments of about ``SEGMENT`` ids.  A
+segment holds its documents' ids and lengths, one frequency table over all its token ids,
+and independent rANS blocks of ``BLOCK`` ids that share it, each with checkpoints and
+checksums.  The manifest names units of about ``UNIT`` ids: a segment's place in its file
+and consecutive documents of it.  Units are read by different tasks, each from the last
+checkpoint before its first id.  Files are named for the attempt that wrote them; only
+those of successful attempts are in the manifest.
 """
 
 from __future__ import annotations
@@ -15,6 +18,7 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
@@ -22,10 +26,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelake.llm import rans
-from tidelake.llm.shared import CACHES, give_back, make_dir, open_fs, scratch, table, text_batches
+from tidelake.llm.shared import CACHES, give_back, make_dir, open_fs, product, table, text_batches
 
-SEGMENT = 1 << 23
+#: Ids, and documents, of a segment; ids of a block and of a unit of reading; bytes of a file.
+SEGMENT, SEGMENT_DOCS = 1 << 23, 1 << 18
 BLOCK = 1 << 20
+UNIT = 1 << 21
+FILE_BYTES = 256 << 20
+#: Most tasks that units are dealt to.
+MOST_TASKS = 20_000
+#: Rows of one id that may meet in a task; where an id has more, texts part them too.
+MOST_OF_ID, PREFIX = 50_000, 64
 MEMO = 1_200_000
 BATCH_BYTES = 4 << 20
 #: Words encoded in one call of the library.
@@ -145,17 +156,50 @@ def pack_segment(doc_ids: list[int | None], lengths: list[int], ids: np.ndarray,
     return b"".join([head, docs, lens, freqs, sizes, *blocks])
 
 
+def _read_head(stream) -> tuple[list[int | None], np.ndarray, rans.Frequencies, list[int]] | None:
+    """Doc ids, lengths, frequencies and block sizes of the segment a stream stands at; None at the end."""
+    head = stream.read(_HEAD.size)
+    if not head:
+        return None
+    magic, n, _, a, b, c, blocks = _HEAD.unpack(head)
+    if magic != _MAGIC:
+        raise ValueError("not a token file")
+    docs, lens, freqs = zlib.decompress(stream.read(a)), zlib.decompress(stream.read(b)), zlib.decompress(stream.read(c))
+    ids, null = np.frombuffer(docs, "<i8", n), np.frombuffer(docs, np.uint8, n, 8 * n)
+    sizes = np.frombuffer(stream.read(8 * blocks), "<u8").tolist()
+    return [None if x else d for d, x in zip(ids.tolist(), null)], np.frombuffer(lens, "<u8").astype(np.int64), rans.Frequencies(np.frombuffer(freqs, "<u4")), sizes
+
+
 def read_segments(stream) -> Iterator[tuple[list[int | None], np.ndarray, Iterator[np.ndarray]]]:
     """(doc ids, lengths, decoded blocks) of each segment; blocks must be taken before the next."""
-    while head := stream.read(_HEAD.size):
-        magic, n, _, a, b, c, blocks = _HEAD.unpack(head)
-        if magic != _MAGIC:
-            raise ValueError("not a token file")
-        docs, lens, freqs = zlib.decompress(stream.read(a)), zlib.decompress(stream.read(b)), zlib.decompress(stream.read(c))
-        ids, null = np.frombuffer(docs, "<i8", n), np.frombuffer(docs, np.uint8, n, 8 * n)
-        sizes = np.frombuffer(stream.read(8 * blocks), "<u8").tolist()
-        freq = rans.Frequencies(np.frombuffer(freqs, "<u4"))
-        yield [None if x else d for d, x in zip(ids.tolist(), null)], np.frombuffer(lens, "<u8").astype(np.int64), (rans.decode(stream.read(s), freq) for s in sizes)
+    while found := _read_head(stream):
+        docs, lengths, freq, sizes = found
+        yield docs, lengths, (rans.decode(stream.read(s), freq) for s in sizes)
+
+
+def read_unit(stream, offset: int, first: int, last: int) -> tuple[list[int | None], np.ndarray, Iterator[np.ndarray]]:
+    """(doc ids, lengths, decoded ids in pieces) of documents first to last (end open) of the segment at an offset."""
+    stream.seek(offset)
+    docs, lengths, freq, sizes = _read_head(stream)
+    ends = np.cumsum(lengths)
+    a, b = int(ends[first] - lengths[first]), int(ends[last - 1])
+    base = stream.tell()
+    places = np.cumsum([0, *sizes])
+
+    def pieces() -> Iterator[np.ndarray]:
+        for k in range(a // BLOCK, -(-b // BLOCK)):
+            stream.seek(base + int(places[k]))
+            yield rans.decode_span(stream.read(sizes[k]), freq, max(a - k * BLOCK, 0), min(b - k * BLOCK, BLOCK))
+
+    return docs[first:last], lengths[first:last], pieces()
+
+
+def units_of(lengths: list[int], size: int) -> list[tuple[int, int, int]]:
+    """(first document, last document (end open), ids) of consecutive runs of about ``size`` ids."""
+    ends = np.cumsum(lengths)
+    cuts = np.flatnonzero(np.diff((ends - 1) // size)) + 1
+    edges = [0, *cuts.tolist(), len(lengths)]
+    return [(a, b, int(ends[b - 1] - (ends[a - 1] if a else 0))) for a, b in pairwise(edges)]
 
 
 def _slices(rows: list[tuple], size: int) -> Iterator[list[tuple]]:
@@ -170,11 +214,20 @@ def _slices(rows: list[tuple], size: int) -> Iterator[list[tuple]]:
         yield rows[start:]
 
 
+def _in_order(docs: DataFrame) -> DataFrame:
+    """doc_id, text range-partitioned by id and sorted; rows of a frequent id are parted by their texts."""
+    most = docs.groupBy("doc_id").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+    keys = [F.col("doc_id")] if most <= MOST_OF_ID else [F.col("doc_id"), F.substring("text", 1, PREFIX)]
+    return docs.repartitionByRange(*keys).sortWithinPartitions("doc_id", "text")
+
+
 def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Writes the files below path and returns their manifest: part, file, n_docs, n_tokens.
+    """Writes the files below path and returns their manifest: part, unit, file, offset, first, last, n_tokens.
 
     Ids must be integers; nulls come first.  Rows with equal ids are in the order of their
-    texts.  Null texts are empty.  Parts follow the order of ids.
+    texts; equal rows are written as often as they are there, by one task.  Null texts are
+    empty.  A very long text is tokenized whole.  Parts, and units of a part, follow the
+    order of ids.  An empty table gives no files.
     """
     make_dir(docs.sparkSession, path)
     text_batches(docs.sparkSession)
@@ -186,17 +239,26 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, i
         end = np.array([end_id], tok.kind).tobytes()
         part = TaskContext.get().partitionId()
         fs, where = open_fs(path)
-        name = f"part-{part:06d}-{uuid.uuid4().hex}.tok"
-        doc_ids, lengths, held, n, total = [], [], [], 0, 0
-        docs_total = 0
-        with fs.open_output_stream(f"{where}/{name}") as out:
-
-            def flush() -> None:
-                ids = np.frombuffer(b"".join(held), tok.kind).astype(np.uint32)
-                out.write(pack_segment(doc_ids, lengths, ids, tok.size))
-                for x in (doc_ids, lengths, held):
-                    x.clear()
-
+        out, name = None, ""
+        doc_ids, lengths, held, n = [], [], [], 0
+        units = []
+
+        def flush() -> None:
+            nonlocal out, name
+            if out is not None and out.tell() >= FILE_BYTES:
+                out.close()
+                out = None
+            if out is None:
+                name = f"part-{part:06d}-{uuid.uuid4().hex}.tok"
+                out = fs.open_output_stream(f"{where}/{name}")
+            ids = np.frombuffer(b"".join(held), tok.kind).astype(np.uint32)
+            held.clear()
+            units.extend((part, len(units) + i, name, out.tell(), a, b, m) for i, (a, b, m) in enumerate(units_of(lengths, UNIT)))
+            out.write(pack_segment(doc_ids, lengths, ids, tok.size))
+            doc_ids.clear()
+            lengths.clear()
+
+        try:
             for pdf in batches:
                 rows = [(None if d is None else int(d), t) for d, t in zip(pdf["doc_id"], pdf["text"])]
                 for some in _slices(rows, BATCH_BYTES):
@@ -206,65 +268,78 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, i
                         lengths.append(len(ids) // tok.kind.itemsize)
                         held.append(ids)
                         n += lengths[-1]
-                        total += lengths[-1]
-                        docs_total += 1
-                        if n >= SEGMENT:
+                        if n >= SEGMENT or len(lengths) >= SEGMENT_DOCS:
                             flush()
                             n = 0
             if doc_ids:
                 flush()
+        finally:
+            if out is not None:
+                out.close()
         give_back(keep_caches=True)
-        if docs_total:
-            yield pd.DataFrame({"part": [part], "file": [name], "n_docs": [docs_total], "n_tokens": [total]})
-        else:
-            fs.delete_file(f"{where}/{name}")
-
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    ordered = ordered.withColumn("doc_id", F.col("doc_id").cast("string"))  # pandas would make integers beside nulls floats
-    return table(ordered.mapInPandas(written, "part long, file string, n_docs long, n_tokens long"), "tokens-manifest")
+        yield pd.DataFrame(units, columns=["part", "unit", "file", "offset", "first", "last", "n_tokens"])
+
+    rows = _in_order(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")))
+    rows = rows.withColumn("doc_id", F.col("doc_id").cast("string"))  # pandas would make integers beside nulls floats
+    return table(rows.mapInPandas(written, "part long, unit long, file string, offset long, first long, last long, n_tokens long"), "tokens-manifest")
+
+
+def _starts(manifest: DataFrame) -> DataFrame:
+    """manifest with start, the ids before each unit: within its part, and of the parts before, a row a part."""
+    past = lambda w: F.coalesce(F.sum("n_tokens").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    parts = manifest.groupBy("part").agg(F.sum("n_tokens").alias("n_tokens"))
+    parts = parts.select("part", past(Window.orderBy("part")).alias("before"))
+    own = manifest.withColumn("within", past(Window.partitionBy("part").orderBy("unit")))
+    return own.join(parts, "part").withColumn("start", F.col("before") + F.col("within"))
+
+
+def _crcs(lengths: np.ndarray, pieces: Iterator[np.ndarray]) -> np.ndarray:
+    """CRC-32 of each document's ids as little-endian 32-bit integers."""
+    crcs = np.zeros(len(lengths), np.int64)
+    i, left, crc = 0, int(lengths[0]), 0
+    for piece in pieces:
+        data, at = np.ascontiguousarray(piece, "<u4").data.cast("B"), 0
+        while at < len(data):
+            take = min(left * 4, len(data) - at)
+            crc = zlib.crc32(data[at : at + take], crc)
+            at += take
+            left -= take // 4
+            if not left:
+                crcs[i], crc = crc, 0
+                i += 1
+                left = int(lengths[i]) if i < len(lengths) else 0
+    return crcs
 
 
 def read_tokens(manifest: DataFrame, path: str) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of every document, decoded from the files.
 
-    A task for each file; a block at a time is in memory.
+    Units are dealt to tasks evenly, so several tasks read one file; a block at a time is
+    in memory.
     """
-    before = F.sum("n_tokens").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
-    placed = manifest.select("part", "file", F.coalesce(before, F.lit(0)).alias("start"))
+    placed = _starts(manifest).select("part", "unit", "file", "offset", "first", "last", "start")
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         fs, where = open_fs(path)
         for pdf in batches:
-            for name, start in zip(pdf["file"], pdf["start"]):
-                with fs.open_input_stream(f"{where}/{name}", buffer_size=1 << 20) as stream:
-                    for doc_ids, lengths, blocks in read_segments(stream):
-                        crcs = np.zeros(len(lengths), np.int64)
-                        i, left, crc = 0, int(lengths[0]), 0
-                        for block in blocks:
-                            data, at = np.ascontiguousarray(block, "<u4").data.cast("B"), 0
-                            while at < len(data):
-                                take = min(left * 4, len(data) - at)
-                                crc = zlib.crc32(data[at : at + take], crc)
-                                at += take
-                                left -= take // 4
-                                if not left:
-                                    crcs[i], crc = crc, 0
-                                    i += 1
-                                    left = int(lengths[i]) if i < len(lengths) else 0
-                        ends = start + np.cumsum(lengths)
-                        yield pd.DataFrame({"doc_id": pd.array(doc_ids, "Int64"), "start": ends - lengths, "n_tokens": lengths, "ids_crc32": crcs})
-                        start = int(ends[-1])
+            for name, offset, first, last, start in zip(pdf["file"], pdf["offset"], pdf["first"], pdf["last"], pdf["start"]):
+                with fs.open_input_file(f"{where}/{name}") as stream:
+                    doc_ids, lengths, pieces = read_unit(stream, offset, first, last)
+                    crcs = _crcs(lengths, pieces)
+                ends = start + np.cumsum(lengths)
+                yield pd.DataFrame({"doc_id": pd.array(doc_ids, "Int64"), "start": ends - lengths, "n_tokens": lengths, "ids_crc32": crcs})
         give_back(keep_caches=True)
 
-    files = max(1, manifest.count())
-    return placed.repartition(files, "part").mapInPandas(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    tasks = min(MOST_TASKS, max(1, manifest.count()))
+    return placed.repartition(tasks, "part", "unit").mapInPandas(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
-def tokenized(docs: DataFrame, tokenizer_path: str, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Token files of all docs in the shared folder, and what is read back from them.
+def tokenized(docs: DataFrame, tokenizer_path: str, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> DataFrame:
+    """Token files of all docs below path, and what is read back from them: doc_id, start, n_tokens, ids_crc32.
 
-    An empty table gives no files and no rows.
+    path: the files' folder, which stays; a fresh one in the shared folder if not given.
+    Nulls, repeated rows and long texts are as write_tokens says; other columns of docs are
+    not returned.  An empty table gives no files and no rows.
     """
-    path = scratch(docs.sparkSession, "token-files")
+    path = path or product(docs.sparkSession, "token-files")
     return read_tokens(write_tokens(docs, path, tokenizer_path, end_id, id_col, text_col), path)
