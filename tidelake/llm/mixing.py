@@ -111,30 +111,42 @@ def _with_plan(rows: DataFrame, plan: DataFrame) -> DataFrame:
     return rows.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")).join(salted, [*LEVELS, "salt"]).drop("salt")
 
 
-def mix_rows(docs: DataFrame, mix: Mix, id_col: Column, domain: Column, lang: Column, source: Column, tokens: Column, payload: list[Column]) -> DataFrame:
+def row_hash(docs: DataFrame) -> Column:
+    """A hash of all columns of a row; maps, which have no order, are left out."""
+    return F.xxhash64(*(F.col(f"`{f.name}`") for f in docs.schema if "map<" not in f.dataType.simpleString()))
+
+
+def mix_rows(docs: DataFrame, mix: Mix, id_col: Column, domain: Column, lang: Column, source: Column, tokens: Column, payload: list[Column], wide: bool = False) -> DataFrame:
     """payload, domain, lang, source, n_tokens, epoch, leaf_budget of every chosen row.
 
-    Null names are the empty name.  A document without tokens is in every whole epoch, and
-    in the last one if the order comes to it before the budget is spent.  Rows with equal
-    ids share an order key and are taken by their tokens.  An empty table gives no rows.
+    Null names are the empty name.  Rows with equal ids share an order key and are taken by
+    their tokens, then by a hash of the whole row, so the rows' order in docs decides
+    nothing.  In a leaf with tokens, a document without any is in every whole epoch, and in
+    the last one if the order comes to it before the budget is spent; a leaf without tokens
+    has no budget and gives no rows.  A text counts whole, however long.  An empty table
+    gives no rows.
+
+    Tokens are counted once, into a narrow table with the payload; wide payloads stay out
+    of it and are read with a second count.
     """
     name = lambda c: F.coalesce(c.cast("string"), F.lit(""))
-    rows = docs.select(
-        F.struct(*payload).alias("row"), F.coalesce(id_col.cast("string"), F.lit("")).alias("id"),
-        name(domain).alias("domain"), name(lang).alias("lang"), name(source).alias("source"), tokens.alias("n_tokens"),
-    )
-    leaves = rows.groupBy(*LEVELS).agg(F.sum("n_tokens").alias("tokens"))
-    plan = leaf_budgets(leaves, mix).where("got > 0").select(
+    kept = [F.coalesce(id_col.cast("string"), F.lit("")).alias("id"), name(domain).alias("domain"), name(lang).alias("lang"), name(source).alias("source"), tokens.alias("n_tokens")]
+    whole = [*kept, row_hash(docs).alias("tie"), F.struct(*payload).alias("row")]
+    narrow = table(docs.select(*(kept if wide else whole)), "mix-tokens")
+    leaves = narrow.groupBy(*LEVELS).agg(F.sum("n_tokens").alias("tokens"))
+    plan = table(leaf_budgets(leaves, mix).where("got > 0").select(
         *LEVELS, F.expr("got div tokens").alias("whole"), F.expr("got % tokens").alias("rest"), F.col("got").alias("leaf_budget"),
-    )
-    rows = _with_plan(rows, table(plan, "leaf-plan"))
-    rows = rows.withColumn("key", F.md5(F.concat_ws(":", F.lit(str(mix.seed)), F.col("whole").cast("string"), F.col("id")).cast("binary")))
-    rows = rows.withColumn("bucket", F.substring("key", 1, BUCKET_DIGITS))
-    buckets = rows.groupBy(*LEVELS, "bucket").agg(F.sum("n_tokens").alias("tokens"))
+    ), "leaf-plan")
+
+    def keyed(rows: DataFrame) -> DataFrame:
+        key = F.md5(F.concat_ws(":", F.lit(str(mix.seed)), F.col("whole").cast("string"), F.col("id")).cast("binary"))
+        return _with_plan(rows, plan).withColumn("key", key).withColumn("bucket", F.substring("key", 1, BUCKET_DIGITS))
+
+    buckets = keyed(narrow).groupBy(*LEVELS, "bucket").agg(F.sum("n_tokens").alias("tokens"))
     ahead = Window.partitionBy(*LEVELS).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     buckets = buckets.select(*LEVELS, "bucket", F.coalesce(F.sum("tokens").over(ahead), F.lit(0)).alias("ahead"))
-    within = Window.partitionBy(*LEVELS, "bucket").orderBy("key", "n_tokens").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = rows.withColumn("reached", F.sum("n_tokens").over(within)).join(buckets, [*LEVELS, "bucket"])
+    within = Window.partitionBy(*LEVELS, "bucket").orderBy("key", "n_tokens", "tie").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = keyed(docs.select(*whole) if wide else narrow).withColumn("reached", F.sum("n_tokens").over(within)).join(buckets, [*LEVELS, "bucket"])
     part = (F.col("rest") > 0) & (F.col("ahead") + F.col("reached") <= F.col("rest"))
     last = F.when(part, F.col("whole")).otherwise(F.col("whole") - 1)
     rows = rows.withColumn("last", last).where("last >= 0")
@@ -143,13 +155,13 @@ def mix_rows(docs: DataFrame, mix: Mix, id_col: Column, domain: Column, lang: Co
 
 
 def mixture(docs: DataFrame, mix: Mix, domain: Column, id_col: str = "doc_id") -> DataFrame:
-    """doc_id, domain, lang, source, n_tokens, epoch, leaf_budget of the mixture of docs."""
+    """doc_id, domain, lang, source, n_tokens, epoch, leaf_budget of the mixture of docs; other columns are not returned."""
     return mix_rows(docs, mix, F.col(id_col), domain, F.col("lang"), F.col("source"), word_count(F.col("text")), [F.col(id_col).alias("doc_id")])
 
 
 def mixed_documents(docs: DataFrame, mix: Mix, domain: Column, id_col: str = "doc_id") -> DataFrame:
     """The mixture as rows of docs, with their own columns; a row for each epoch it is in."""
-    picked = mix_rows(docs, mix, F.col(id_col), domain, F.col("lang"), F.col("source"), word_count(F.col("text")), [F.struct(*docs.columns).alias("__doc")])
+    picked = mix_rows(docs, mix, F.col(id_col), domain, F.col("lang"), F.col("source"), word_count(F.col("text")), [F.struct("*").alias("__doc")], wide=True)
     return picked.select("__doc.*")
 
 
