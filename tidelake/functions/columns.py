@@ -51,6 +51,11 @@ def relative_difference(a: Column, b: Column) -> Column:
     return F.try_divide(F.abs(a - b), F.abs(b))
 
 
+def drift(before: Column, after: Column) -> Column:
+    """|before - after| / |after|: infinite where after is 0 and before is not, null where both are."""
+    return F.when((after == 0) & (before != 0), F.lit(float("inf"))).otherwise(F.try_divide(F.abs(before - after), F.abs(after)))
+
+
 def simple_return(price: Column, before: Column) -> Column:
     return F.try_divide(price, before) - 1
 

@@ -59,7 +59,7 @@ def trial(spark: SparkSession, first: DataFrame, again: DataFrame, start: Column
             both = stored.unionByName(first)
             ours = first.first()["source"]
             stage("peer_completeness", missing_against_peer(both, ours, peer, ["symbol"]).where(F.col("share_missing") > PEER_MISSING).count(), "symbols that lack a peer's days")
-            stage("cross_source", cross_source(peer_statistics(both, ours, peer, ["symbol"]), ["symbol"]).where("verdict IN ('adjudicate', 'drift')").count(), "symbols apart from the peer")
+            stage("cross_source", cross_source(peer_statistics(both, ours, [peer], ["symbol"]), ["symbol"]).where("severity = 'error'").count(), "symbols apart from the peer")
         else:
             stage("peer_completeness", None, "")
             stage("cross_source", None, "")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelake.functions.columns import average_rank, correlation, relative_difference, seconds_of
@@ -75,19 +75,51 @@ def modal_gap(rows: DataFrame, keys: list[str], least: int = 2) -> DataFrame:
     return best.where(F.col("n_gaps") >= least)
 
 
-def freshness_threshold(rows: DataFrame, keys: list[str], sla_seconds: int, last: int = 30, factor: float = 3.0) -> DataFrame:
+def freshness_threshold(rows: DataFrame, keys: list[str], sla_seconds: int | Column, last: int = 30, factor: float = 3.0) -> DataFrame:
     """keys, newest, threshold in seconds: the larger of the SLA and 3 times the 0.9 quantile of the last gaps.
 
-    Null for a series with fewer than three rows.
+    A date counts once, however many metrics share it.  Null for a series with fewer than
+    three dates.  sla_seconds may be a column over the keys.
     """
+    rows = rows.select(*keys, "date").distinct()
     place = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("date")))
     gaps = gap_seconds(rows, keys).withColumn("place", place).where(F.col("place") <= last)
     level = gaps.groupBy(*keys).agg(F.percentile("gap", F.lit(0.9)).alias("q90"))
     newest = rows.groupBy(*keys).agg(F.max("date").alias("newest"), F.count("*").alias("n"))
-    threshold = F.when(F.col("n") >= 3, F.greatest(F.col("q90") * factor, F.lit(float(sla_seconds))))
+    sla = sla_seconds if isinstance(sla_seconds, Column) else F.lit(float(sla_seconds))
+    threshold = F.when(F.col("n") >= 3, F.greatest(F.col("q90") * factor, sla.cast("double")))
     return newest.join(level, keys, "left").select(*keys, "newest", threshold.alias("threshold"))
 
 
+def expected_windows(rows: DataFrame, by: list[str], keys: list[str], sla_seconds: int | Column) -> DataFrame:
+    """by, newest, expected_hours: the freshness threshold of each source's most recently updated series.
+
+    by and keys tell a series; null keys are a series of their own.  Of equally new ones the
+    first in key order counts.  Sources whose series are all too short are left out.
+    """
+    each = freshness_threshold(rows, [*by, *keys], sla_seconds).where("threshold IS NOT NULL")
+    order = F.struct(-seconds_of(F.col("newest")), *(x for k in keys for x in (F.col(k).isNull().alias(f"no_{k}"), F.col(k))))
+    best = each.groupBy(*by).agg(F.min_by(F.struct("newest", "threshold"), order).alias("b"))
+    return best.select(*by, F.col("b.newest").alias("newest"), F.round(F.col("b.threshold") / 3600, 1).alias("expected_hours"))
+
+
+#: Hours between updates by group, where a source's own window is not known.
+CADENCE_HOURS = {"bars": 24, "series": 72, "events": 168}
+
+
+def health(sources: DataFrame, now: Column) -> DataFrame:
+    """sources (group, newest, expected_hours) with health: ok, warn, late or unknown.
+
+    Up to the expected hours a source is ok and up to twice these it warns; without them up
+    to 1.5 and 3 times its group's cadence, a day for groups that have none.
+    """
+    hours = (seconds_of(now) - seconds_of(F.col("newest"))) / 3600
+    usual = F.coalesce(F.try_element_at(F.create_map(*(F.lit(x) for kv in CADENCE_HOURS.items() for x in kv)), F.col("group")), F.lit(24))
+    own = F.col("expected_hours") > 0
+    limit, most = F.when(own, F.col("expected_hours")).otherwise(usual * 1.5), F.when(own, F.col("expected_hours") * 2).otherwise(usual * 3)
+    return sources.withColumn("health", F.when(hours.isNull(), "unknown").when(hours <= limit, "ok").when(hours <= most, "warn").otherwise("late"))
+
+
 def calendar_gaps(rows: DataFrame, keys: list[str], calendar: DataFrame | None = None) -> DataFrame:
     """keys, missing: days between the first and last date that a series lacks.
 
@@ -110,18 +142,26 @@ def weekdays(spark, start: str, end: str, holidays: list[str] | None = None) ->
 def implied_missing(rows: DataFrame, keys: list[str], least: int = 12) -> DataFrame:
     """Observations that a series' own modal gap implies but lacks.
 
-    A hole is a gap over 1.5 times the modal one and counts round(gap / modal) - 1; for a
-    daily series the weekend days inside are not missing.
+    A hole is a gap over 1.5 times the modal one; it lacks gap / modal - 1 observations,
+    half rounded to even, at steps of the modal gap.  Steps on weekend days are not missing
+    where the modal gap is a day or less.
     """
     day = 86_400
-    mode = modal_gap(rows, keys, least - 1)
-    gaps = gap_seconds(rows, keys).join(mode, keys).where(F.col("gap") > 1.5 * F.col("modal_gap"))
-    inside = F.sequence(F.date_sub(F.to_date("date"), (F.col("gap") / day).cast("int") - 1), F.date_sub(F.to_date("date"), 1))
-    business = F.size(F.filter(inside, lambda d: F.weekday(d) < 5))
-    holes = F.when(F.col("modal_gap") == day, F.when(F.col("gap") >= 2 * day, business).otherwise(0)).otherwise(F.round(F.col("gap") / F.col("modal_gap")) - 1)
-    found = gaps.groupBy(*keys).agg(F.sum(holes.cast("bigint")).alias("n_missing"))
-    counts = rows.groupBy(*keys).agg(F.count("*").alias("n_rows"))
-    return mode.join(counts, keys).join(found, keys, "left").select(*keys, "n_rows", "modal_gap", F.coalesce("n_missing", F.lit(0)).cast("bigint").alias("n_missing"))
+    at = seconds_of(F.col("date"))
+    every = Window.partitionBy(*keys)
+    gaps = rows.select(*keys, at.alias("at")).withColumn("gap", F.col("at") - F.lag("at").over(every.orderBy("at")))
+    gaps = gaps.withColumn("n", F.count("*").over(Window.partitionBy(*keys, "gap")))
+    gaps = gaps.withColumn("modal_gap", F.max_by("gap", F.when(F.col("gap").isNotNull(), F.struct("n", -F.col("gap")))).over(every))
+    start = F.col("at") - F.col("gap")
+    steps = F.bround(F.col("gap") / F.col("modal_gap")).cast("bigint") - 1
+    upto = lambda t: F.least(F.greatest(F.floor((t - 1 - start) / F.col("modal_gap")), F.lit(0)), steps)
+    days = F.filter(F.sequence(F.floor(start / day), F.floor((start + steps * F.col("modal_gap")) / day)), lambda d: F.pmod(d + 3, F.lit(7)) < 5)
+    weekday = F.aggregate(days, F.lit(0).cast("bigint"), lambda s, d: s + upto((d + 1) * day) - upto(d * day))
+    lacks = F.when(F.col("modal_gap") <= day, weekday).otherwise(steps)
+    hole = (F.col("modal_gap") > 0) & (F.col("gap") > 1.5 * F.col("modal_gap"))
+    gaps = gaps.select(*keys, F.col("modal_gap"), F.when(hole, lacks).alias("lacks"))
+    out = gaps.groupBy(*keys).agg(F.count("*").alias("n_rows"), F.max("modal_gap").alias("modal_gap"), F.sum("lacks").alias("n_missing"))
+    return out.where((F.col("n_rows") >= least) & F.col("modal_gap").isNotNull()).withColumn("n_missing", F.coalesce("n_missing", F.lit(0)).cast("bigint"))
 
 
 def missing_against_peer(rows: DataFrame, ours: str, peer: str, keys: list[str]) -> DataFrame:

@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidelake.functions.columns import correlation, is_close, relative_difference, to_double
+from tidelake.functions.columns import average_rank, correlation, drift, is_close, to_double
 from tidelake.operators.checks import _n, union_all, violation
-from tidelake.operators.statistics import median_difference, modal_gap, paired, ratio_trend, return_correlation, returns, rolling_correlation, split_recent
+from tidelake.operators.statistics import modal_gap, returns, rolling_correlation, split_recent
 from tidelake.schemas import REQUIRED
 
-#: Limits of the decision between sources.
-COVERAGE, MEDIAN_DIFF, RETURN_CORR, ONE_WAY_TREND, SHARED_LEAST, RETURNS_LEAST = 0.7, 0.05, 0.9, 0.80, 250, 6
+#: Limits of the decision between sources: rows against a peer's, median difference, correlation of
+#: returns, trend of a ratio; shared dates that tell a trend, and that tell unlike returns.
+COVERAGE, MEDIAN_DIFF, RETURN_CORR, ONE_WAY_TREND, SHARED_LEAST, DATES_LEAST = 0.7, 0.05, 0.9, 0.80, 250, 6
 #: Limits of proxies.
 PROXY_BASELINE, PROXY_FLOOR, PROXY_WINDOW, PROXY_LEAST, PROXY_STALE_DAYS = 0.75, 0.30, 180, 400, 14
 JUMP = 5.0
@@ -119,26 +120,126 @@ def settled(rows: DataFrame, today: Column) -> DataFrame:
     return rows.where(F.col("date") < today)
 
 
-def changed_rows(stored: DataFrame, again: DataFrame, keys: list[str]) -> DataFrame:
-    """keys, date, state (vanished, appeared, both) and both sides' close and volume."""
-    pick = lambda df, side: df.select(*keys, "date", F.col("close").alias(f"{side}_close"), F.col("volume").alias(f"{side}_volume"), F.lit(True).alias(f"in_{side}"))
-    both = pick(stored, "stored").join(pick(again, "again"), [*keys, "date"], "full_outer")
-    state = F.when(F.col("in_again").isNull(), "vanished").when(F.col("in_stored").isNull(), "appeared").otherwise("both")
-    return both.withColumn("state", state).drop("in_stored", "in_again")
+PRICES = ("open", "high", "low", "close")
 
 
-def self_consistency(stored: DataFrame, again: DataFrame, keys: list[str]) -> DataFrame:
-    """keys, n_vanished, n_appeared, n_price, n_volume, uniform: what a re-fetch changes.
+def self_consistency(stored: DataFrame, again: DataFrame, keys: list[str], most_rows: int | None = None, arrival: str | None = None) -> DataFrame:
+    """What a re-fetch changes in stored, settled bars, a row for each series of two or more of them.
 
-    uniform: all prices moved by one ratio, as after a corporate action.
+    keys, n_shared, n_repeated (rows of the re-fetch beyond one a date), n_vanished (stored
+    dates it lacks), n_appeared (dates inside the stored window that only it has),
+    worst_column and worst_drift (the price column that moved most against the re-fetch,
+    null if none moved), uniform (that column moved by one ratio over three or more dates),
+    n_volume (dates whose volume moved).
+
+    most_rows: how many rows a source serves a call; only a series' latest so many are
+    compared.  Of repeated dates the last by ``arrival`` counts.  One shuffle by series.
     """
-    rows = changed_rows(stored, again, keys)
-    price = relative_difference(F.col("again_close"), F.col("stored_close")) > PRICE_DRIFT
-    size = relative_difference(F.col("again_volume"), F.col("stored_volume")) > VOLUME_DRIFT
-    ratio = F.try_divide(F.col("again_close"), F.col("stored_close"))
-    return rows.groupBy(*keys).agg(
-        F.count_if(F.col("state") == "vanished").alias("n_vanished"), F.count_if(F.col("state") == "appeared").alias("n_appeared"),
-        F.count_if(price).alias("n_price"), F.count_if(size).alias("n_volume"), (F.stddev_samp(ratio) < 1e-6).alias("uniform"),
+    if most_rows is not None:
+        place = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("date")))
+        stored = stored.withColumn("__place", place).where(F.col("__place") <= most_rows).drop("__place")
+    columns = [*PRICES, "volume"]
+    order = F.col(arrival) if arrival else F.monotonically_increasing_id()
+    side = lambda df, fresh: df.select(*keys, "date", *(F.col(c).cast("double").alias(c) for c in columns), F.lit(fresh).alias("fresh"), (order if fresh else F.lit(0)).cast("bigint").alias("at"))
+    rows = side(stored, False).unionByName(side(again, True)).repartition(*keys)
+    old, new = ~F.col("fresh"), F.col("fresh")
+    last = lambda which: F.max_by(F.struct(*columns), F.when(which, F.struct(F.lit(1), "at")))
+    rows = rows.groupBy(*keys, "date").agg(F.count_if(old).alias("n_old"), F.count_if(new).alias("n_new"), last(old).alias("old"), last(new).alias("new"))
+    every = Window.partitionBy(*keys)
+    stored_date = F.when(F.col("n_old") > 0, F.col("date"))
+    rows = rows.withColumns({"lo": F.min(stored_date).over(every), "hi": F.max(stored_date).over(every), "both": (F.col("n_old") > 0) & (F.col("n_new") > 0)})
+    pair = lambda c: (F.when(F.col("both"), F.col(f"old.{c}")), F.when(F.col("both"), F.col(f"new.{c}")))
+    worst, spread = {}, {}
+    for c in PRICES:
+        before, after = pair(c)
+        moved = drift(before, after)
+        worst[c] = F.max(F.when(moved > PRICE_DRIFT, moved))
+        ratio = F.try_divide(before, after)
+        spread[c] = (F.count(ratio) > 2) & (F.count_if((after == 0) & (before != 0)) == 0) & (F.stddev_samp(ratio) < 1e-6)
+    bar = F.greatest(*(F.coalesce(F.col(f"w_{c}"), F.lit(-1.0)) for c in PRICES))
+    first = F.coalesce(*(F.when((F.col(f"w_{c}") == bar), F.struct(F.lit(c).alias("name"), F.col(f"w_{c}").alias("by"), F.col(f"u_{c}").alias("uniform"))) for c in PRICES))
+    counted = rows.groupBy(*keys).agg(
+        F.count_if(F.col("n_old") > 0).alias("n_stored"), F.count_if("both").alias("n_shared"), F.sum(F.greatest(F.col("n_new") - 1, F.lit(0))).alias("n_repeated"),
+        F.count_if((F.col("n_old") > 0) & (F.col("n_new") == 0)).alias("n_vanished"),
+        F.count_if((F.col("n_old") == 0) & F.col("date").between(F.col("lo"), F.col("hi"))).alias("n_appeared"),
+        *(worst[c].alias(f"w_{c}") for c in PRICES), *(spread[c].alias(f"u_{c}") for c in PRICES), F.count_if(drift(*pair("volume")) > VOLUME_DRIFT).alias("n_volume"),
+    ).where("n_stored >= 2").withColumn("worst", first)
+    return counted.select(
+        *keys, "n_shared", "n_repeated", "n_vanished", "n_appeared", F.col("worst.name").alias("worst_column"), F.col("worst.by").alias("worst_drift"),
+        F.coalesce("worst.uniform", F.lit(False)).alias("uniform"), "n_volume",
+    )
+
+
+def consistency_violations(rows: DataFrame, group: str, source: Column, series: Column) -> DataFrame:
+    """Violations of what self_consistency has found."""
+    moved = F.col("worst_column").isNotNull()
+    kind = F.when(F.col("uniform"), " by one ratio, as after a corporate action").otherwise(", history was revised")
+    shape = lambda cond, severity, text: violation(rows.where(cond), group, "self_consistency", severity, text, source, series)
+    return union_all(
+        [
+            shape("n_repeated > 0", "error", _n(F.col("n_repeated"), "repeated dates in the re-fetch")),
+            shape("n_vanished > 0", "error", _n(F.col("n_vanished"), "stored dates vanished")),
+            shape("n_appeared > 0", "warn", _n(F.col("n_appeared"), "dates appeared inside the stored window")),
+            shape(moved, F.when(F.col("uniform"), "warn").otherwise("error"), F.concat(F.lit("settled "), F.col("worst_column"), F.lit(" values changed"), kind)),
+            shape("n_volume > 0", "warn", _n(F.col("n_volume"), "settled volumes changed")),
+        ]
+    )
+
+
+def series_consistency(stored: DataFrame, again: DataFrame, keys: list[str], arrival: str | None = None) -> DataFrame:
+    """What a re-fetch changes in stored, settled observations (keys, metric, date, value), a row a series.
+
+    keys, n_repeated, n_vanished and n_appeared (dates of any metric, as for bars), lost and
+    gained (names of metrics), worst_metric, n_revised and largest (of the metric with the
+    largest absolute change beyond tolerance), n_more (other revised metrics), n_compared.
+    A lone null metric is the metric ``value``.
+    """
+    order = F.col(arrival) if arrival else F.monotonically_increasing_id()
+    side = lambda df, fresh: df.select(*keys, F.coalesce("metric", F.lit("value")).alias("metric"), "date", F.col("value").cast("double").alias("value"), F.lit(fresh).alias("fresh"), (order if fresh else F.lit(0)).cast("bigint").alias("at"))
+    rows = side(stored, False).unionByName(side(again, True)).repartition(*keys)
+    old, new = ~F.col("fresh"), F.col("fresh")
+    last = lambda which: F.max_by(F.struct("value"), F.when(which, F.struct(F.lit(1), "at")))["value"]
+    cells = rows.groupBy(*keys, "metric", "date").agg(F.count_if(old).alias("n_old"), F.count_if(new).alias("n_new"), last(old).alias("old"), last(new).alias("new"))
+    compared = F.col("old").isNotNull() & F.col("new").isNotNull()
+    revised = compared & ~is_close(F.col("old"), F.col("new"))
+    metrics = cells.groupBy(*keys, "metric").agg(
+        F.count_if(F.col("n_old") > 0).alias("k_old"), F.count_if(F.col("n_new") > 0).alias("k_new"), F.count_if(compared).alias("k"),
+        F.count_if(revised).alias("n_revised"), F.max(F.when(revised, F.abs(F.col("old") - F.col("new")))).alias("largest"),
+    )
+    worst = F.max_by(F.struct("metric", "n_revised", "largest"), F.when(F.col("n_revised") > 0, F.struct("largest", "metric")))
+    names = lambda cond: F.array_sort(F.collect_list(F.when(cond, F.col("metric"))))
+    by_series = metrics.groupBy(*keys).agg(
+        names((F.col("k_old") > 0) & (F.col("k_new") == 0)).alias("lost"), names((F.col("k_old") == 0) & (F.col("k_new") > 0)).alias("gained"), worst.alias("w"),
+        F.count_if(F.col("n_revised") > 0).alias("m"), F.sum("k").alias("n_compared"),
+    )
+    dates = cells.groupBy(*keys, "date").agg((F.max("n_old") > 0).alias("is_old"), (F.max("n_new") > 0).alias("is_new"), F.max("n_new").alias("n_new"))
+    every = Window.partitionBy(*keys)
+    stored_date = F.when(F.col("is_old"), F.col("date"))
+    dates = dates.withColumns({"lo": F.min(stored_date).over(every), "hi": F.max(stored_date).over(every)}).groupBy(*keys).agg(
+        F.count_if("is_old").alias("n_stored"), F.sum(F.greatest(F.col("n_new") - 1, F.lit(0))).alias("n_repeated"),
+        F.count_if(F.col("is_old") & ~F.col("is_new")).alias("n_vanished"), F.count_if(~F.col("is_old") & F.col("date").between(F.col("lo"), F.col("hi"))).alias("n_appeared"),
+    ).where("n_stored >= 2")
+    return dates.join(by_series, keys).select(
+        *keys, "n_repeated", "n_vanished", "n_appeared", "lost", "gained", F.col("w.metric").alias("worst_metric"), F.coalesce("w.n_revised", F.lit(0)).alias("n_revised"),
+        F.col("w.largest").alias("largest"), F.greatest(F.col("m") - 1, F.lit(0)).alias("n_more"), "n_compared",
+    )
+
+
+def series_consistency_violations(rows: DataFrame, source: Column, series: Column) -> DataFrame:
+    """Violations of what series_consistency has found; a revision warns, as agencies revise by design."""
+    shape = lambda cond, severity, text: violation(rows.where(cond), "series", "self_consistency", severity, text, source, series)
+    other = F.when(F.col("n_more") > 0, F.concat(F.lit(" and "), _n(F.col("n_more"), "more metrics"))).otherwise("")
+    quiet = "n_compared = 0 AND n_repeated = 0 AND n_vanished = 0 AND n_appeared = 0 AND size(lost) = 0 AND size(gained) = 0"
+    return union_all(
+        [
+            shape("n_repeated > 0", "error", _n(F.col("n_repeated"), "repeated dates in the re-fetch")),
+            shape("n_vanished > 0", "error", _n(F.col("n_vanished"), "stored dates vanished")),
+            shape("n_appeared > 0", "warn", _n(F.col("n_appeared"), "dates appeared inside the stored window")),
+            shape("size(lost) > 0", "error", F.concat(F.lit("no longer served: "), F.array_join("lost", ", "))),
+            shape("size(gained) > 0", "warn", F.concat(F.lit("served but not stored: "), F.array_join("gained", ", "))),
+            shape("n_revised > 0", "warn", F.concat(_n(F.col("n_revised"), "settled values of "), F.col("worst_metric"), other, F.lit(" revised"))),
+            shape(quiet, "warn", F.lit("no value could be compared")),
+        ]
     )
 
 
@@ -151,40 +252,122 @@ def series_revisions(stored: DataFrame, again: DataFrame, keys: list[str]) -> Da
     return rows.groupBy(*keys).agg(F.count_if(revised).alias("n_revised"), F.count_if(F.col("in_new").isNull()).alias("n_vanished")).where("n_revised + n_vanished > 0")
 
 
-def peer_statistics(bars: DataFrame, ours: str, peer: str, keys: list[str]) -> DataFrame:
-    """keys and everything that the decision between two sources needs, a row for each key."""
-    pairs = paired(bars, ours, peer, keys)
-    mine = bars.where(F.col("source") == ours).groupBy(*keys).agg(F.count("*").alias("n_ours"))
-    out = median_difference(pairs, keys).join(return_correlation(pairs, keys), keys, "left").join(ratio_trend(pairs, keys).drop("n"), keys, "left")
-    return mine.join(out, keys, "left").withColumn("coverage", F.coalesce(F.col("n_shared"), F.lit(0)) / F.col("n_ours"))
+def peer_statistics(bars: DataFrame, ours: str, peers: list[str], keys: list[str]) -> DataFrame:
+    """What the decision between our source and each peer needs, a row for each of our series and peer.
+
+    keys, peer, n_ours, n_any (all rows of the peer), n_theirs (those in our span of dates),
+    n_shared dates, n_compared (with a difference), median_rel_diff of |a - b| / |b|,
+    n_returns and ret_corr over shared dates, trend (Spearman's, of a / b with time).
+    Bars are scanned and shuffled once, by series.
+    """
+    known = bars.where(F.col("source").isin(ours, *peers)).select(*keys, "date", "source", F.col("close").cast("double").alias("close")).repartition(*keys)
+    close = lambda name: F.max(F.when(F.col("source") == name, F.struct("close")))
+    wide = known.groupBy(*keys, "date").agg(close(ours).alias("us"), F.array(*(F.struct(F.lit(p).alias("peer"), close(p).alias("them")) for p in peers)).alias("all"))
+    own_date, every = F.when(F.col("us").isNotNull(), F.col("date")), Window.partitionBy(*keys)
+    rows = wide.withColumns({"lo": F.min(own_date).over(every), "hi": F.max(own_date).over(every)}).where("lo IS NOT NULL").select(*keys, "date", "us", "lo", "hi", F.explode("all").alias("p"))
+    rows = rows.select(*keys, "date", F.col("us").isNotNull().alias("is_us"), F.col("p.peer").alias("peer"), F.col("p.them").isNotNull().alias("is_them"), F.col("date").between(F.col("lo"), F.col("hi")).alias("inside"), F.col("us.close").alias("a"), F.col("p.them.close").alias("b"))
+    shared = F.col("is_us") & F.col("is_them")
+    rows = rows.withColumn("shared", shared).withColumn("ratio", F.when(shared, F.try_divide(F.col("a"), F.col("b")))).withColumn("rated", F.col("ratio").isNotNull())
+    by = Window.partitionBy(*keys, "peer", "shared").orderBy("date")
+    change = lambda c: F.when(F.col("shared"), F.try_divide(F.col(c), F.lag(c).over(by)) - 1)
+    rows = rows.withColumns({"x": change("a"), "y": change("b")})
+    place = F.row_number().over(Window.partitionBy(*keys, "peer", "rated").orderBy("date")).cast("double")
+    rank = average_rank(Window.partitionBy(*keys, "peer", "rated").orderBy("ratio"), Window.partitionBy(*keys, "peer", "rated", "ratio"))
+    rows = rows.withColumns({"t": F.when(F.col("rated"), place), "r": F.when(F.col("rated"), rank)})
+    diff = F.when(F.col("shared"), drift(F.col("a"), F.col("b")))
+    both = F.col("x").isNotNull() & F.col("y").isNotNull()
+    return rows.groupBy(*keys, "peer").agg(
+        F.count_if("is_us").alias("n_ours"), F.count_if("is_them").alias("n_any"), F.count_if(F.col("is_them") & F.col("inside")).alias("n_theirs"), F.count_if("shared").alias("n_shared"),
+        F.count(diff).alias("n_compared"), F.median(diff).alias("median_rel_diff"), F.count_if(both).alias("n_returns"),
+        F.when(F.count_if(both) >= DATES_LEAST - 1, correlation(F.col("x"), F.col("y"))).alias("ret_corr"), F.when(F.count("t") >= 3, correlation(F.col("r"), F.col("t"))).alias("trend"),
+    )
 
 
-def cross_source(stats: DataFrame, keys: list[str]) -> DataFrame:
-    """keys, verdict for statistics of one peer: the order of the tests matters.
+def peer_outcome() -> Column:
+    """What one peer says, of a row of peer_statistics.
 
-    Thin coverage defers.  A large median difference with steady returns is a drift if the
-    ratio trends one way, inconclusive on few dates, else to be settled by a third source;
-    without steady returns it is an error.  A small difference with unlike returns warns.
+    Thin coverage is ``short``.  A large median difference between alike returns is a
+    ``drift`` if the ratio trends one way, ``inconclusive`` if it has a trend but few dates;
+    any other large difference is ``apart``.  A small one with unlike returns is
+    ``unlike_returns``.  ``unreachable``: nothing to compare; ``none``: not a peer.
     """
-    apart = F.col("median_rel_diff") > MEDIAN_DIFF
-    alike = F.col("ret_corr") >= RETURN_CORR
-    verdict = (
-        F.when(F.col("coverage") < COVERAGE, "deferred")
+    apart, alike = F.col("median_rel_diff") > MEDIAN_DIFF, F.col("ret_corr") >= RETURN_CORR
+    return (
+        F.when(F.col("n_any") == 0, "none")
+        .when(F.col("n_theirs") == 0, "unreachable")
+        .when(F.col("n_ours") / F.nullif(F.col("n_theirs"), F.lit(0)) < COVERAGE, "short")
+        .when((F.col("n_shared") == 0) | (F.col("n_compared") == 0), "unreachable")
         .when(apart & alike & (F.abs(F.col("trend")) >= ONE_WAY_TREND), "drift")
-        .when(apart & (F.col("n_shared") < SHARED_LEAST), "inconclusive")
-        .when(apart, "adjudicate")
-        .when((F.col("n_returns") >= RETURNS_LEAST) & (F.col("ret_corr") < RETURN_CORR), "unlike_returns")
+        .when(apart & alike & F.col("trend").isNotNull() & (F.col("n_shared") < SHARED_LEAST), "inconclusive")
+        .when(apart, "apart")
+        .when((F.col("n_shared") >= DATES_LEAST) & (F.col("ret_corr") < RETURN_CORR), "unlike_returns")
         .otherwise("agree")
     )
-    return stats.select(*keys, verdict.alias("verdict"))
+
+
+#: Severity of each verdict; agreement has none.
+VERDICTS = {
+    "agree": None, "no_peer": "warn", "drift": "warn", "inconclusive": "warn", "unlike_returns": "error", "outvoted": "error", "peer_outlier": "warn",
+    "unsettled": "error", "coverage_disputed": "warn", "dropping": "error", "short": "warn", "unreachable": "warn",
+}
+
+
+def cross_source(stats: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, verdict, severity, peer, others: what all peers together say, a row for each of our series.
+
+    Peers are asked in the order of their names, and the first that can be compared
+    decides.  If it is apart from us, the first other one that shares dates settles it: we
+    are ``outvoted`` if that is apart from us too, else the peer is the outlier; without
+    one it is ``unsettled``.  Peers that came before and have far more rows dispute an
+    agreement; if none could be compared, two of them convict us of dropping rows.
+    """
+    said = stats.withColumn("said", peer_outcome())
+    decides = F.col("said").isin("drift", "inconclusive", "apart", "unlike_returns", "agree")
+    names = lambda cond: F.array_sort(F.collect_list(F.when(cond, F.col("peer"))))
+    shares = F.when(F.col("n_shared") > 0, F.struct("peer", (F.col("median_rel_diff") > MEDIAN_DIFF).alias("apart")))
+    rows = said.groupBy(*keys).agg(
+        F.count_if(F.col("said") != "none").alias("n_peers"), F.min_by(F.struct("peer", "said"), F.when(decides, F.col("peer"))).alias("first"),
+        names(F.col("said") == "short").alias("short"), names(F.col("said") == "unreachable").alias("lost"), F.array_sort(F.collect_list(shares)).alias("shares"),
+    )
+    third = F.filter("shares", lambda s: s["peer"] != F.col("first.peer"))
+    before = F.filter("short", lambda p: p < F.col("first.peer"))
+    rows = rows.withColumns({"third": F.get(third, F.lit(0)), "before": before})
+    first = F.col("first.said")
+    verdict = (
+        F.when(F.col("n_peers") == 0, "no_peer")
+        .when((first == "apart") & F.col("third").isNull(), "unsettled")
+        .when((first == "apart") & F.col("third.apart"), "outvoted")
+        .when(first == "apart", "peer_outlier")
+        .when((first == "agree") & (F.size("before") > 0), "coverage_disputed")
+        .when(first.isNotNull(), first)
+        .when(F.size("short") > 1, "dropping")
+        .when(F.size("short") == 1, "short")
+        .otherwise("unreachable")
+    )
+    others = F.when(verdict.isin("outvoted", "peer_outlier"), F.array("third.peer")).when(verdict == "coverage_disputed", F.col("before")).when(verdict.isin("dropping", "short"), F.col("short")).when(verdict == "unreachable", F.col("lost"))
+    severity = F.try_element_at(F.create_map(*(F.lit(x) for kv in VERDICTS.items() if kv[1] for x in kv)), verdict)
+    return rows.select(*keys, verdict.alias("verdict"), severity.alias("severity"), F.col("first.peer").alias("peer"), F.coalesce(F.array_join(others, ", "), F.lit("")).alias("others"))
+
+
+def cross_source_violations(bars: DataFrame, ours: str, peers: list[str], keys: list[str], series: str = "symbol") -> DataFrame:
+    """Violations of our source's series against its peers; one that agrees has none."""
+    texts = {
+        "no_peer": F.lit("no other source has it"), "drift": F.concat(F.lit("levels apart from "), F.col("peer"), F.lit(", moves alike, the ratio drifts one way")),
+        "inconclusive": F.concat(F.lit("levels apart from "), F.col("peer"), F.lit(", moves alike, too few dates to tell a drift")),
+        "unlike_returns": F.concat(F.lit("levels match "), F.col("peer"), F.lit(", moves do not")), "outvoted": F.concat_ws(" ", F.lit("apart from"), "peer", F.lit("and from"), "others"),
+        "peer_outlier": F.concat_ws(" ", F.lit("apart from"), "peer", F.lit("but matches"), "others"), "unsettled": F.concat(F.lit("apart from "), F.col("peer"), F.lit(", no third source")),
+        "coverage_disputed": F.concat_ws(" ", F.lit("matches"), "peer", F.lit("but has far fewer rows than"), "others"), "dropping": F.concat(F.lit("far fewer rows than "), F.col("others")),
+        "short": F.concat(F.lit("far fewer rows than "), F.col("others")), "unreachable": F.concat(F.lit("nothing to compare with "), F.col("others")),
+    }
+    detail = F.coalesce(*(F.when(F.col("verdict") == k, t) for k, t in texts.items()))
+    rows = cross_source(peer_statistics(bars, ours, peers, keys), keys).where("severity IS NOT NULL")
+    return violation(rows, "bars", "cross_source", F.col("severity"), detail, F.lit(ours), F.col(series))
 
 
 def adjudicate(bars: DataFrame, ours: str, peer: str, third: str, keys: list[str]) -> DataFrame:
-    """keys, severity: error if a third source sides with the peer, warn if with us."""
-    near = lambda a, b, name: median_difference(paired(bars, a, b, keys), keys).select(*keys, (F.col("median_rel_diff") <= MEDIAN_DIFF).alias(name))
-    rows = near(ours, third, "with_us").join(near(peer, third, "with_peer"), keys)
-    severity = F.when(F.col("with_peer") & ~F.col("with_us"), "error").when(F.col("with_us") & ~F.col("with_peer"), "warn")
-    return rows.select(*keys, severity.alias("severity")).where("severity IS NOT NULL")
+    """keys, severity where we and a peer are apart: error if a third source is apart from us too, else warn."""
+    stats = peer_statistics(bars, ours, [third], keys).where("n_shared > 0")
+    return stats.select(*keys, F.when(F.col("median_rel_diff") > MEDIAN_DIFF, "error").otherwise("warn").alias("severity"))
 
 
 def proxies(pairs: DataFrame, keys: list[str], window: int = PROXY_WINDOW, least: int = PROXY_LEAST) -> DataFrame:
@@ -205,14 +388,42 @@ def proxies(pairs: DataFrame, keys: list[str], window: int = PROXY_WINDOW, least
     return out.select(*keys, "baseline", floor.alias("floor"), "current", state.alias("state"))
 
 
-def proxy_verdicts(states: DataFrame, key: str) -> DataFrame:
-    """key, verdict: broken only against every related instrument; unavailable without any."""
+def strongest_proxy(states: DataFrame, key: str, other: str) -> DataFrame:
+    """key, other, baseline of the related instrument with the highest baseline, the first name of equals."""
+    rows = states.where(F.col("state") != "unrelated")
+    return rows.groupBy(key).agg(F.max("baseline").alias("baseline"), F.min_by(other, F.struct(-F.col("baseline"), F.col(other))).alias(other)).select(key, other, "baseline")
+
+
+def proxy_verdicts(states: DataFrame, key: str, own: DataFrame | None = None, today: Column | None = None) -> DataFrame:
+    """key, verdict: holds if any related instrument does, else the state of the most related one.
+
+    ``proxy_unavailable`` without related instruments.  own: key, n_returns, newest of all
+    series under check; with it, a series of too few returns, or one whose newest date is
+    older than 14 days, is unavailable whatever its pairs say.
+    """
     related = F.col("state") != "unrelated"
-    rows = states.groupBy(key).agg(F.count_if(related).alias("n"), F.count_if(F.col("state") == "broken").alias("b"), F.count_if(F.col("state") == "frozen").alias("f"))
-    verdict = F.when(F.col("n") == 0, "proxy_unavailable").when(F.col("f") > 0, "frozen").when(F.col("b") == F.col("n"), "broken").otherwise("holds")
+    strength = F.col("baseline") if "baseline" in states.columns else F.lit(0.0)
+    rows = states.groupBy(key).agg(
+        F.count_if(related).alias("n"), F.count_if(F.col("state") == "holds").alias("h"), F.max_by("state", F.when(related, F.struct(strength, "state"))).alias("s")
+    )
+    if own is not None:
+        rows = own.select(key, "n_returns", "newest").join(rows, key, "left")
+    verdict = F.when(F.coalesce("n", F.lit(0)) == 0, "proxy_unavailable").when(F.col("h") > 0, "holds").otherwise(F.col("s"))
+    if own is not None:
+        stale = (F.datediff(today, "newest") > PROXY_STALE_DAYS) if today is not None else F.lit(False)
+        verdict = F.when((F.col("n_returns") < PROXY_LEAST) | stale, "proxy_unavailable").otherwise(verdict)
     return rows.select(key, verdict.alias("verdict"))
 
 
+def proxy_violations(verdicts: DataFrame, key: str, source: Column) -> DataFrame:
+    """Violations of proxy verdicts: a frozen feed is an error, a broken relation a warning, none at all its own warning."""
+    bad = verdicts.where("verdict IN ('frozen', 'broken')")
+    severity = F.when(F.col("verdict") == "frozen", "error").otherwise("warn")
+    text = F.when(F.col("verdict") == "frozen", "no variance against its most related instrument").otherwise("stopped following every related instrument")
+    none = verdicts.where("verdict = 'proxy_unavailable'")
+    return union_all([violation(bad, "bars", "proxy", severity, text, source, F.col(key)), violation(none, "bars", "proxy_unavailable", "warn", F.lit("no proxy verdict is possible"), source, F.col(key))])
+
+
 def verification_level(stored: DataFrame, related: DataFrame) -> DataFrame:
     """source, symbol, n_peers, level: corroborated by another source, by a proxy only, or by itself.
 

@@ -434,14 +434,14 @@ def sequence_gaps_ordering_only(spark, d):
 
 _GAPS = f"""WITH {st.QUOTES}, records AS (
     SELECT source, symbol, CASE WHEN update_id % 10 = 0 AND source <> 'view' THEN 'sequence_jump' ELSE 'reconnect' END AS reason, CASE WHEN update_id % 10 = 0 AND source <> 'view' THEN CAST(update_id % 7 AS VARCHAR) WHEN update_id % 3 = 0 THEN 'n/a' END AS missing_count
-    FROM quotes WHERE update_id % 5 = 0
+    FROM quotes
 ), sums AS (SELECT source, symbol, count(*) FILTER (WHERE reason = 'sequence_jump') AS n_jumps, count(*) FILTER (WHERE reason = 'reconnect') AS n_reconnects, CAST(coalesce(sum(TRY_CAST(missing_count AS BIGINT)), 0) AS BIGINT) AS n_missing FROM records GROUP BY 1, 2)"""
 
 
 def gap_records(spark, d) -> DataFrame:
     jump = (F.col("update_id") % 10 == 0) & (F.col("source") != "view")
     missing = F.when(jump, (F.col("update_id") % 7).cast("string")).when(F.col("update_id") % 3 == 0, "n/a")
-    return st.quotes(spark, d).where("update_id % 5 = 0").select("source", "symbol", F.when(jump, "sequence_jump").otherwise("reconnect").alias("reason"), missing.alias("missing_count"))
+    return st.quotes(spark, d).select("source", "symbol", F.when(jump, "sequence_jump").otherwise("reconnect").alias("reason"), missing.alias("missing_count"))
 
 
 @query("gap_summary", f"{_GAPS} SELECT source, symbol, n_jumps, n_reconnects, n_missing FROM sums")
