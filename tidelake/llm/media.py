@@ -111,7 +111,7 @@ def store(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "t
                         out.close()
                         out = None
                     if out is None:
-                        name = f"{uuid.uuid4().hex}.tar"
+                        name = f"{uuid.uuid4().hex[:16]}.tar"
                         out, there = fs.open_output_stream(f"{where}/{name}"), {}
                     if key not in there:
                         image = to_png(payload)
@@ -160,7 +160,7 @@ def _ranges(placed: DataFrame, path: str, names: list[str], kind: str, size: int
                     if stream is not None:
                         stream.close()
                     shard, stream = name, fs.open_input_file(f"{where}/{name}")
-                rows.append((digest, *of(stream.read_at(min(length, size or length), offset))))
+                rows.append((digest, *of(stream.read_at(min(length, size or length), offset), digest)))
             yield pd.DataFrame(rows, columns=["digest", *names])
         if stream is not None:
             stream.close()
@@ -170,20 +170,21 @@ def _ranges(placed: DataFrame, path: str, names: list[str], kind: str, size: int
 
 def with_metadata(placed: DataFrame, path: str) -> DataFrame:
     """digest, width, height, bits of objects, from their headers alone."""
-    return _ranges(placed, path, ["width", "height", "bits"], "digest binary, width int, height int, bits int", HEADER_BYTES, header)
+    return _ranges(placed, path, ["width", "height", "bits"], "digest binary, width int, height int, bits int", HEADER_BYTES, lambda data, _: header(data))
 
 
-def _described(data: bytes) -> tuple:
+def _described(data: bytes, digest: bytes) -> tuple:
+    if hashlib.sha256(data).digest() != digest:
+        raise ValueError(f"object {digest.hex()} is not what was stored")
     samples = from_png(data)
     payload = samples.tobytes()
-    return len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), len(data), hashlib.sha256(data).hexdigest(), feature_of(samples)
+    return len(payload), hashlib.sha256(payload).digest(), zlib.crc32(payload[-16:]), len(data), feature_of(samples)
 
 
 def with_features(placed: DataFrame, path: str) -> DataFrame:
-    """digest and the payload columns of objects, from their stored bytes."""
-    names = ["payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
-    kind = "digest binary, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
-    return _ranges(placed, path, names, kind, None, _described)
+    """digest and the payload columns of objects, from their stored bytes, which are held to the digest."""
+    names = ["payload_bytes", "payload_sha", "tail_crc32", "media_bytes", "feature"]
+    return _ranges(placed, path, names, "digest binary, payload_bytes long, payload_sha binary, tail_crc32 long, media_bytes long, feature string", None, _described)
 
 
 def media_columns(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> DataFrame:
@@ -202,4 +203,8 @@ def media_columns(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     known = placed.join(with_features(placed, path), "digest").join(with_metadata(placed, path), "digest")
     at = stored.select("digest", F.col("shard").alias("own_shard"), F.col("offset").alias("own_offset")).join(known, "digest")
     own = rows.select("doc_id", "n_bytes", F.col("shard").alias("own_shard"), F.col("offset").alias("own_offset"))
-    return own.join(at, ["own_shard", "own_offset"]).drop("own_shard", "own_offset", "digest").withColumn("folder", F.lit(path))
+    text = lambda c: F.lower(F.hex(c))
+    return own.join(at, ["own_shard", "own_offset"]).select(
+        "doc_id", "n_bytes", "payload_bytes", text("payload_sha").alias("payload_sha256"), "tail_crc32", "media_bytes", text("digest").alias("media_sha256"), "feature",
+        "width", "height", "bits", F.lit(path).alias("folder"), "shard", "offset", "length",
+    )
