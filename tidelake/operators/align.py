@@ -25,23 +25,41 @@ def mids_by_bucket(quotes: DataFrame, width_ms: int, keys: list[str]) -> DataFra
     return rows.groupBy(*keys, "source", "bucket").agg(last_of(F.col("mid"), F.col("received_at"), F.col("update_id")).alias("mid"))
 
 
+#: Buckets that one task fills at a time; a day of seconds.
+BLOCK = 86_400
+
+
 def forward_filled(wide: DataFrame, keys: list[str]) -> DataFrame:
     """keys, bucket, base_mid, quote_mid for every bucket in which both venues have been seen.
 
     wide: keys, bucket, base_mid, quote_mid with gaps.  The grid runs from the later of the
-    first values to the earlier of the last; a gap takes the value before it.
+    first values to the earlier of the last; a gap takes the value before it.  It is filled
+    in blocks of BLOCK buckets; what a block starts with comes from the blocks before it, a
+    table of one row a block.
     """
     seen = lambda c: F.when(F.col(c).isNotNull(), F.col("bucket"))
-    span = wide.groupBy(*keys).agg(
-        F.greatest(F.min(seen("base_mid")), F.min(seen("quote_mid"))).alias("lo"), F.least(F.max(seen("base_mid")), F.max(seen("quote_mid"))).alias("hi"),
-        F.count(seen("base_mid")).alias("n_base"), F.count(seen("quote_mid")).alias("n_quote"), F.min("bucket").alias("start"),
-    ).where("n_base > 0 AND n_quote > 0 AND lo <= hi")
-    grid = span.select(*keys, "lo", F.explode(F.sequence("start", "hi")).alias("bucket"))
-    past = Window.partitionBy(*keys).orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
-    filled = grid.join(wide, [*keys, "bucket"], "left").select(
-        *keys, "bucket", "lo", F.last("base_mid", ignorenulls=True).over(past).alias("base_mid"), F.last("quote_mid", ignorenulls=True).over(past).alias("quote_mid")
+    block = F.floor(F.col("bucket") / F.lit(BLOCK))
+    wide = wide.withColumn("block", block)
+    last = lambda c: F.max_by(c, seen(c)).alias(f"last_{c}")
+    tails = wide.groupBy(*keys, "block").agg(
+        last("base_mid"), last("quote_mid"), *(f(seen(c)).alias(f"{f.__name__}_{c}") for f in (F.min, F.max) for c in ("base_mid", "quote_mid")), F.min("bucket").alias("start")
     )
-    return filled.where("bucket >= lo").select(*keys, "bucket", "base_mid", "quote_mid")
+    span = tails.groupBy(*keys).agg(
+        F.greatest(*(F.min(f"min_{c}") for c in ("base_mid", "quote_mid"))).alias("lo"), F.least(*(F.max(f"max_{c}") for c in ("base_mid", "quote_mid"))).alias("hi"),
+        F.count("min_base_mid").alias("n_base"), F.count("min_quote_mid").alias("n_quote"), F.min("start").alias("start"),
+    ).where("n_base > 0 AND n_quote > 0 AND lo <= hi")
+    whole = lambda c: F.floor(F.col(c) / F.lit(BLOCK))
+    blocks = span.select(*keys, "lo", "hi", F.explode(F.sequence(whole("start"), whole("hi"))).alias("block"))
+    before = Window.partitionBy(*keys).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    carried = lambda c: F.last(f"last_{c}", ignorenulls=True).over(before).alias(f"before_{c}")
+    blocks = blocks.join(tails.select(*keys, "block", "last_base_mid", "last_quote_mid"), [*keys, "block"], "left")
+    blocks = blocks.select(*keys, "block", "lo", "hi", carried("base_mid"), carried("quote_mid")).where((F.col("block") + 1) * BLOCK > F.col("lo"))
+    steps = F.sequence(F.col("block") * BLOCK, F.least((F.col("block") + 1) * BLOCK - 1, F.col("hi")))
+    grid = blocks.withColumn("bucket", F.explode(steps))
+    past = Window.partitionBy(*keys, "block").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
+    filled = lambda c: F.coalesce(F.last(c, ignorenulls=True).over(past), F.col(f"before_{c}")).alias(c)
+    rows = grid.join(wide, [*keys, "block", "bucket"], "left").select(*keys, "bucket", "lo", filled("base_mid"), filled("quote_mid"))
+    return rows.where("bucket >= lo").select(*keys, "bucket", "base_mid", "quote_mid")
 
 
 def aligned_mids(quotes: DataFrame, base: str, quote: str, width_ms: int = 1000, keys: list[str] | None = None) -> DataFrame:
@@ -72,15 +90,18 @@ def basis_summary(rows: DataFrame, keys: list[str]) -> DataFrame:
 def lead_lag(aligned: DataFrame, keys: list[str], max_lag: int = 10) -> DataFrame:
     """keys, lag, corr, n: correlation of base's log return with quote's, lag buckets later.
 
-    Every row is sent to 2 * max_lag + 1 lags, a fixed factor, and met by an equi-join.
+    All lags come from one window over the grid and one aggregate; a lag over a hole of the
+    grid does not count.
     """
     by = Window.partitionBy(*keys).orderBy("bucket")
     ret = lambda c: F.when((F.col(c) > 0) & (F.lag(c).over(by) > 0), F.ln(F.col(c) / F.lag(c).over(by)))
+    lags = range(-max_lag, max_lag + 1)
     rets = aligned.select(*keys, "bucket", ret("base_mid").alias("x"), ret("quote_mid").alias("y"))
-    lags = F.explode(F.sequence(F.lit(-max_lag), F.lit(max_lag))).alias("lag")
-    left = rets.select(*keys, "bucket", "x", lags).select(*keys, (F.col("bucket") + F.col("lag")).alias("bucket"), "x", "lag")
-    both = left.join(rets.select(*keys, "bucket", "y"), [*keys, "bucket"])
-    return both.where("x IS NOT NULL AND y IS NOT NULL").groupBy(*keys, "lag").agg(correlation(F.col("x"), F.col("y")).alias("corr"), F.count("*").alias("n"))
+    met = {f"y_{k}": F.when(F.lead("bucket", k).over(by) == F.col("bucket") + k, F.lead("y", k).over(by)) for k in lags}
+    rows = rets.where("bucket IS NOT NULL").select(*keys, "x", *(v.alias(n) for n, v in met.items()))
+    both = lambda k: F.count_if(F.col("x").isNotNull() & F.col(f"y_{k}").isNotNull())
+    sums = rows.groupBy(*keys).agg(*(F.struct(F.lit(k).alias("lag"), correlation(F.col("x"), F.col(f"y_{k}")).alias("corr"), both(k).alias("n")).alias(f"l_{k}") for k in lags))
+    return sums.select(*keys, F.explode(F.array(*(F.col(f"l_{k}") for k in lags))).alias("l")).select(*keys, "l.lag", "l.corr", "l.n").where("n > 0")
 
 
 def peak_lag(lags: DataFrame, keys: list[str], width_ms: int) -> DataFrame:

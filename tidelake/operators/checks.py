@@ -39,7 +39,7 @@ def _n(count: Column, what: str) -> Column:
     return F.concat(count.cast("bigint").cast("string"), F.lit(" " + what))
 
 
-def freshness(rows: DataFrame, group: str, keys: list[str], now: Column, sla_seconds: int) -> DataFrame:
+def freshness(rows: DataFrame, group: str, keys: list[str], now: Column, sla_seconds: int | Column) -> DataFrame:
     """Series whose newest row is older than their own rhythm allows."""
     age = seconds_of(now) - seconds_of(F.col("newest"))
     late = freshness_threshold(rows, keys, sla_seconds).where(age > F.col("threshold"))

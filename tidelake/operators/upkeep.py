@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import json
 import uuid
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tidelake.schemas import GROUP_KEYS
 from tidelake.sources.lake import exists
 
 _DAY = 86_400
@@ -18,12 +23,14 @@ def last_write_wins(stored: DataFrame, fresh: DataFrame, keys: list[str], tie: l
     """Rows of both, one for each key: the fresh one where there are two.
 
     Columns are matched by name, missing ones null.  tie: columns that order rows of one
-    key within a side, the last one staying; without it equal keys of a side are arbitrary.
+    key within a side, the last one staying; without it the one that comes last in its side
+    stays, as in a file or a page of a source.
     """
-    both = stored.withColumn("__side", F.lit(0)).unionByName(fresh.withColumn("__side", F.lit(1)), allowMissingColumns=True)
-    order = [F.desc("__side"), *(F.col(c).desc_nulls_last() for c in tie or [])]
+    side = lambda df, n: df.withColumns({"__side": F.lit(n)} if tie else {"__side": F.lit(n), "__arrival": F.monotonically_increasing_id()})
+    both = side(stored, 0).unionByName(side(fresh, 1), allowMissingColumns=True)
+    order = [F.desc("__side"), *(F.col(c).desc_nulls_last() for c in tie or ["__arrival"])]
     place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return both.withColumn("__place", place).where("__place = 1").drop("__side", "__place")
+    return both.withColumn("__place", place).where("__place = 1").drop("__side", "__place", "__arrival")
 
 
 def drop_forming(bars: DataFrame, now: Column, interval: str) -> DataFrame:
@@ -56,32 +63,46 @@ def _fs(spark: SparkSession, path: str):
     return jvm, at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
 
 
+def _rename(fs, a, b) -> None:
+    """Moves a path; a file system that says it did not raises."""
+    if not fs.rename(a, b):
+        raise OSError(f"cannot rename {a.toString()} to {b.toString()}")
+
+
 def replace_path(df: DataFrame, path: str, partition_by: list[str] | None = None, files: int | None = None) -> None:
     """Writes df beside path and then takes path's place; df may read from path.
 
-    The old data is moved away before the new is moved in and deleted last; recover()
-    finishes or undoes a swap that was cut short.
+    The old data is moved away before the new is moved in, and deleted only once the new is
+    there.  A swap that was cut short before is finished or undone first; whoever reads the
+    path to make df calls recover() before reading.
     """
     spark = df.sparkSession
+    recover(spark, path)
     fresh, old = f"{path}.new-{uuid.uuid4().hex}", f"{path}.old"
     out = df.coalesce(files) if files else df
+    jvm, fs, at = _fs(spark, path)
+    new, away = jvm.org.apache.hadoop.fs.Path(fresh), jvm.org.apache.hadoop.fs.Path(old)
     try:
         (out.write.partitionBy(*partition_by) if partition_by else out.write).parquet(fresh)
     except Exception:
-        _, fs, at = _fs(spark, fresh)
-        fs.delete(at, True)
+        fs.delete(new, True)
         raise
-    jvm, fs, at = _fs(spark, path)
-    path_of = jvm.org.apache.hadoop.fs.Path
     if fs.exists(at):
-        fs.delete(path_of(old), True)
-        fs.rename(at, path_of(old))
-    fs.rename(path_of(fresh), at)
-    fs.delete(path_of(old), True)
+        _rename(fs, at, away)
+    try:
+        _rename(fs, new, at)
+    except Exception:
+        if fs.exists(away) and not fs.exists(at):
+            _rename(fs, away, at)
+        raise
+    fs.delete(away, True)
 
 
 def recover(spark: SparkSession, path: str) -> str:
-    """After a cut-short swap: restores the old data if the path is gone; drops leftovers."""
+    """After a cut-short swap: restores the old data if the path is gone; drops leftovers.
+
+    Returns clean, finished or restored.  The old data is deleted only where the new is in place.
+    """
     jvm, fs, at = _fs(spark, path)
     old = jvm.org.apache.hadoop.fs.Path(f"{path}.old")
     state = "clean"
@@ -90,44 +111,126 @@ def recover(spark: SparkSession, path: str) -> str:
             fs.delete(old, True)
             state = "finished"
         else:
-            fs.rename(old, at)
+            _rename(fs, old, at)
             state = "restored"
     for left in fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{path}.new-*")) or []:
         fs.delete(left.getPath(), True)
     return state
 
 
-def upsert(spark: SparkSession, fresh: DataFrame, path: str, keys: list[str], order: list[str]) -> None:
+def upsert(spark: SparkSession, fresh: DataFrame, path: str, keys: list[str], order: list[str], tie: list[str] | None = None) -> None:
     """Merges fresh rows into a Parquet path, last write winning, sorted within files."""
-    rows = last_write_wins(spark.read.parquet(path), fresh, keys) if exists(spark, path) else last_write_wins(fresh.limit(0), fresh, keys)
-    replace_path(rows.sortWithinPartitions(*order), path)
+    recover(spark, path)
+    stored = spark.read.parquet(path) if exists(spark, path) else fresh.limit(0)
+    replace_path(last_write_wins(stored, fresh, keys, tie).sortWithinPartitions(*order), path)
+
+
+_INTEGERS = {"tinyint": 1, "smallint": 2, "int": 4, "bigint": 8}
+#: Digits that each integer type may have.
+_DIGITS = {"tinyint": 3, "smallint": 5, "int": 10, "bigint": 19}
+
+
+def _decimal(kind: str) -> tuple[int, int] | None:
+    """Digits before and after the point of a decimal or integer type."""
+    if kind in _DIGITS:
+        return _DIGITS[kind], 0
+    if kind.startswith("decimal("):
+        digits, scale = (int(x) for x in kind[8:-1].split(","))
+        return digits - scale, scale
+    return None
+
+
+def wider(a: str, b: str) -> str:
+    """The type that holds all values of both without loss; types without one raise ValueError."""
+    if a == b or b == "void":
+        return a
+    if a == "void":
+        return b
+    if a in _INTEGERS and b in _INTEGERS:
+        return max(a, b, key=_INTEGERS.get)
+    for whole, real in ((a, b), (b, a)):
+        if real == "double" and (whole == "float" or _INTEGERS.get(whole, 8) < 8):
+            return "double"
+        if real == "float" and whole in ("tinyint", "smallint"):
+            return "float"
+        if real == "float" and whole == "int":
+            return "double"
+        if (whole, real) == ("date", "timestamp_ntz"):
+            return "timestamp_ntz"
+    left, right = _decimal(a), _decimal(b)
+    if left and right:
+        before, after = max(left[0], right[0]), max(left[1], right[1])
+        if before + after <= 38:
+            return f"decimal({before + after},{after})"
+    raise ValueError(f"no type holds all values of {a} and {b}")
+
+
+def _all_null(parts: list[DataFrame], column: str, kind: str) -> bool:
+    return all(p.where(F.col(f"`{column}`").isNotNull()).isEmpty() for p in parts if (column, kind) in p.dtypes)
 
 
 def compact(spark: SparkSession, path: str) -> int:
     """Merges a partition's part files to one; how many there were, 0 if fewer than two.
 
-    Files are read one by one and joined by name, so that a column that is all null, or
-    typed otherwise, in one of them is cast to the type it has in the others.
+    Columns are joined by name.  Where files differ in a column's type it takes the
+    narrowest one that holds all values, files in which it is all null having no say; if
+    there is none, nothing is touched and ValueError is raised.  Files of one schema are
+    read as one table.
     """
+    recover(spark, path)
     jvm, fs, at = _fs(spark, path)
     files = sorted(f.getPath().toString() for f in fs.listStatus(at) if f.getPath().getName().endswith(".parquet"))
     if len(files) < 2:
         return 0
-    parts = [spark.read.parquet(f) for f in files]
+    alike: dict[str, list[str]] = {}
+    for f in files:
+        alike.setdefault(spark.read.parquet(f).schema.json(), []).append(f)
+    parts = [spark.read.parquet(*some) for some in alike.values()]
     kinds: dict[str, list[str]] = {}
-    for p in parts:
-        for c, k in p.dtypes:
-            kinds.setdefault(c, []).append(k)
-    rank = {"void": 0, "int": 1, "bigint": 2, "double": 3}
-    wide = {c: max(ks, key=lambda k: rank.get(k, 9)) for c, ks in kinds.items()}
+    for c, k in dict.fromkeys(x for p in parts for x in p.dtypes):
+        kinds.setdefault(c, []).append(k)
+    wide = {}
+    for c, own in kinds.items():
+        said = own if len(own) == 1 else [k for k in own if not _all_null(parts, c, k)] or own[:1]
+        wide[c] = reduce(wider, said)
     whole = None
     for p in parts:
-        p = p.select(*((F.col(c) if c in p.columns else F.lit(None)).cast(k).alias(c) for c, k in wide.items()))
+        p = p.select(*((F.col(f"`{c}`") if c in p.columns else F.lit(None)).cast(k).alias(c) for c, k in wide.items()))
         whole = p if whole is None else whole.unionByName(p)
     replace_path(whole, path, files=1)
     return len(files)
 
 
+def partitions(spark: SparkSession, root: str) -> list[str]:
+    """Folders below a root that hold Parquet files, or did before a swap that was cut short."""
+    jvm, fs, at = _fs(spark, root)
+    found, listed = set(), fs.listFiles(at, True)
+    while listed.hasNext():
+        file = listed.next().getPath()
+        if file.getName().endswith(".parquet"):
+            found.add(file.getParent().toString().removesuffix(".old"))
+    return sorted(f for f in found if ".new-" not in f.rsplit("/", 1)[-1])
+
+
+def compact_settled(spark: SparkSession, root: str, today: str, parallel: int = 4) -> dict[str, int]:
+    """Compacts every partition folder below a root whose date= is before today; folder to files merged.
+
+    A folder that cannot be merged is left as it is and counts -1; swaps that were cut short are
+    finished or undone.  Folders are jobs of their own, ``parallel`` of them at a time.
+    """
+    folders = spark.createDataFrame([(f,) for f in partitions(spark, root)], "path string")
+    settled = [r["path"] for r in settled_partitions(folders, F.lit(today).cast("date")).collect()]
+
+    def one(folder: str) -> int:
+        try:
+            return compact(spark, folder)
+        except ValueError:
+            return -1
+
+    with ThreadPoolExecutor(parallel) as pool:
+        return {f: n for f, n in zip(settled, pool.map(one, settled)) if n}
+
+
 def settled_partitions(folders: DataFrame, today: Column) -> DataFrame:
     """Folders whose date= is before today. folders: path."""
     day = F.regexp_extract("path", "date=([0-9-]+)", 1).try_cast("date")
@@ -141,9 +244,23 @@ def publishable(rows: DataFrame, allowed: DataFrame, group: str | None = None) -
     return rows.join(pairs.distinct(), keys, "left_semi")
 
 
-def publish(rows: DataFrame, allowed: DataFrame, group: str, path: str) -> None:
-    """One consolidated file of what may be republished."""
-    replace_path(publishable(rows, allowed, group), path, files=1)
+#: Rows of a published file.
+FILE_ROWS = 5_000_000
+
+
+def publish(rows: DataFrame, allowed: DataFrame, group: str, path: str, order: list[str] | None = None, file_rows: int = FILE_ROWS) -> int:
+    """Writes what may be republished, in order, in files of at most about ``file_rows`` rows; the number of files.
+
+    A small group is one file.  order: columns that files are cut along, a group's keys for
+    instance; a frequent source is cut by the columns after it.
+    """
+    out = publishable(rows, allowed, group)
+    files = max(1, -(-out.count() // file_rows))
+    keys = [c for c in order or GROUP_KEYS.get(group, ["source"]) if c in out.columns]
+    if files > 1:
+        out = out.repartitionByRange(files, *keys).sortWithinPartitions(*keys)
+    replace_path(out, path, files=1 if files == 1 else None)
+    return files
 
 
 def unchanged(a: DataFrame, b: DataFrame) -> bool:
@@ -159,19 +276,33 @@ def dq_runs(violations: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def record_run(spark: SparkSession, fresh: DataFrame, path: str, keys: list[str]) -> None:
+def record_run(spark: SparkSession, fresh: DataFrame, path: str, keys: list[str], run: dict[str, str] | None = None) -> None:
     """Adds a run to a quality history; a run that is recorded again replaces itself.
 
-    Rows of before cadences were kept count as daily.
+    keys: the columns that tell a run.  run: their values; without it they are those that
+    fresh rows hold, so that a repeat without rows replaces nothing.  Rows of before
+    cadences were kept count as daily.
     """
+    recover(spark, path)
     if exists(spark, path):
         stored = spark.read.option("mergeSchema", "true").parquet(path)
         cadence = F.coalesce("cadence", F.lit("daily")) if "cadence" in stored.columns else F.lit("daily")
-        stored = stored.withColumn("cadence", cadence).join(fresh.select(*keys).distinct(), keys, "left_anti")
+        stored = stored.withColumn("cadence", cadence)
+        if run is None:
+            stored = stored.join(fresh.select(*keys).distinct(), keys, "left_anti")
+        else:
+            stored = stored.where(~reduce(Column.__and__, (F.col(c).eqNullSafe(F.lit(run[c])) for c in keys)))
         fresh = stored.unionByName(fresh, allowMissingColumns=True)
     replace_path(fresh, path)
 
 
+def history(spark: SparkSession, path: str, schema: T.StructType, most: int | None = None) -> DataFrame:
+    """A quality history, newest run first; empty before the first run.  most: how many rows."""
+    recover(spark, path)
+    rows = spark.read.option("mergeSchema", "true").parquet(path) if exists(spark, path) else spark.createDataFrame([], schema)
+    return rows.orderBy(F.desc("run_ts"), *(F.col(c).asc_nulls_first() for c in rows.columns if c != "run_ts")).limit(most or 2_000_000_000)
+
+
 def catalogue_counts(rows: DataFrame, allowed: DataFrame | None = None) -> DataFrame:
     """source, n_rows, newest, of published sources if an allowlist is given."""
     kept = rows if allowed is None else rows.join(allowed.select("source").distinct(), "source", "left_semi")
@@ -191,3 +322,22 @@ def quality_summary(bars: DataFrame, keys: list[str], today: Column) -> DataFram
     nulls = sum((F.col(f"null_{c}") for c in ("open", "high", "low", "close", "volume")), F.lit(0))
     clean = (nulls == 0) & (F.col("n_bad_prices") == 0) & (F.col("n_repeated") == 0) & (F.col("n_missing_days") == 0) & (F.col("days_stale") <= 3)
     return rows.withColumn("status", F.when(clean, "CLEAN").otherwise("CHECK"))
+
+
+def write_json(spark: SparkSession, rows: dict | list, path: str) -> None:
+    """Writes a small document, such as a catalogue of sources, to any file system: beside its path, then in its place."""
+    jvm, fs, at = _fs(spark, path)
+    part = jvm.org.apache.hadoop.fs.Path(f"{path}.tmp")
+    out = fs.create(part, True)
+    try:
+        out.write(bytearray(json.dumps(rows, indent=2, default=str).encode()))
+    finally:
+        out.close()
+    if fs.exists(at):
+        fs.delete(at, False)
+    _rename(fs, part, at)
+
+
+def write_csv(rows: DataFrame, path: str) -> None:
+    """Writes a report, such as the quality summary, as one CSV part with a header."""
+    rows.coalesce(1).write.mode("overwrite").option("header", True).csv(path)

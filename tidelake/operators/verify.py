@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidelake.functions.columns import average_rank, correlation, drift, is_close, to_double
 from tidelake.operators.checks import _n, union_all, violation
 from tidelake.operators.statistics import modal_gap, returns, rolling_correlation, split_recent
-from tidelake.schemas import REQUIRED
+from tidelake.schemas import REQUIRED, VIOLATION
 
 #: Limits of the decision between sources: rows against a peer's, median difference, correlation of
 #: returns, trend of a ratio; shared dates that tell a trend, and that tell unlike returns.

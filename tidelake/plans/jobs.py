@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelake.operators import checks, upkeep, verify
+from tidelake.operators import checks, statistics, upkeep, verify
 from tidelake.operators.align import mids
 from tidelake.plans import gold, silver
 from tidelake.registry import NO_NULLS, Registry
+from tidelake.schemas import DQ_RUNS, DQ_VIOLATIONS
 from tidelake.sources import lake
 
-BAR_KEYS, SERIES_KEYS, EVENT_KEYS = ["source", "symbol"], ["source", "series_id"], ["source", "calendar"]
+BAR_KEYS, SERIES_KEYS, EVENT_KEYS = ["source", "symbol", "interval"], ["source", "series_id"], ["source", "calendar"]
+SLA_SECONDS = 3 * 86_400
+RUN_KEYS = ["run_date", "cadence"]
 
 
 def build_marts(spark: SparkSession, base: str, registry: Registry | None = None, venues: tuple[str, str] = ("binance", "coinbase")) -> list[str]:
@@ -34,51 +39,211 @@ def build_marts(spark: SparkSession, base: str, registry: Registry | None = None
     return list(built)
 
 
-def run_checks(spark: SparkSession, base: str, now: Column, sla_seconds: int = 3 * 86_400) -> DataFrame:
-    """Violations of all stored groups at a time."""
+def sla_of(registry: Registry | None) -> Column:
+    """Seconds that each source's newest row may be old, by its name; SLA_SECONDS where it is not registered."""
+    known = {s.name: s.sla_seconds for s in registry.sources.values()} if registry else {}
+    table = F.create_map(*(F.lit(x) for kv in known.items() for x in kv)) if known else None
+    return F.lit(SLA_SECONDS) if table is None else F.coalesce(F.try_element_at(table, F.col("source")), F.lit(SLA_SECONDS))
+
+
+def _nulls(rows: DataFrame, group: str, keys: list[str], columns: dict[str, float], registry: Registry | None) -> list[DataFrame]:
+    """Null checks of all sources, each by its own tolerances: one pass for each different contract."""
+    own: dict[tuple, list[str]] = {}
+    for s in registry.sources.values() if registry else []:
+        if s.group == group and s.null_tolerance:
+            own.setdefault(tuple(sorted(s.null_tolerance.items())), []).append(s.name)
+    named = [n for names in own.values() for n in names]
+    found = [checks.nulls(rows.where(F.col("source").isin(names)), group, keys, dict(limits)) for limits, names in own.items()]
+    rest = rows.where(~F.col("source").isin(named)) if named else rows
+    return [*found, checks.nulls(rest, group, keys, columns)] if columns else found
+
+
+def drift(spark: SparkSession, base: str, registry: Registry) -> DataFrame:
+    """group, source, symbol of declared series that the lake does not hold."""
+    held = []
+    for group, read, name in (("bars", lake.read_bars, "symbol"), ("series", lake.read_series, "series_id"), ("events", lake.read_events, "series_id")):
+        if lake.exists(spark, lake.group_path(base, group)):
+            held.append(read(spark, base).select(F.lit(group).alias("group"), "source", F.col(name).alias("symbol")).distinct())
+    declared = registry.declared(spark)
+    for rows in held:
+        declared = declared.join(rows, ["group", "source", "symbol"], "left_anti")
+    return declared
+
+
+def tape_checks(spark: SparkSession, base: str, day: str, declared: DataFrame | None = None, venues: tuple[str, str] = ("binance", "coinbase")) -> list[DataFrame]:
+    """Checks of one settled day of the tape: absent streams, silent kinds, gaps, crossed books, lone venues.
+
+    Which streams there were is read from folder names.  declared: source, symbol, kind.
+    """
+    present = lake.tape_partitions(spark, base)
+    if present.isEmpty():
+        return []
+    today = present.where(F.col("date") == day)
+    found = [checks.activity(today), checks.venue_pair(today.where("kind = 'book_ticker'"), present, venues)]
+    if declared is not None:
+        found.append(checks.capture(declared, today, ["source", "symbol", "kind"]))
+    if lake.sources_of(spark, base, "gaps"):
+        found.append(checks.gaps(lake.read_kind(spark, base, "gaps").where(F.col("date") == day), ["source", "symbol"]))
+    if lake.sources_of(spark, base, "book_ticker"):
+        found.append(checks.crossed_book(lake.read_kind(spark, base, "book_ticker").where(F.col("date") == day)))
+    return found
+
+
+def run_checks(
+    spark: SparkSession, base: str, now: Column, registry: Registry | None = None, day: str | None = None, declared: DataFrame | None = None, disk_gb: tuple[float, float] | None = None
+) -> DataFrame:
+    """Violations of all stored groups, by each source's own age limit and null tolerance.
+
+    day: the settled day of the tape to check, yesterday by default.  declared: the streams
+    that should be captured.  disk_gb: the host's total and free space.
+    """
     found = []
+    sla = sla_of(registry)
     if lake.exists(spark, lake.group_path(base, "bars")):
         bars = lake.read_bars(spark, base)
-        found += [checks.freshness(bars, "bars", BAR_KEYS, now, sla_seconds), checks.nulls(bars, "bars", BAR_KEYS, NO_NULLS), verify.ohlc(bars, BAR_KEYS), verify.volume(bars, BAR_KEYS), verify.index(bars, "bars", [*BAR_KEYS, "interval"])]
+        found += [checks.freshness(bars, "bars", BAR_KEYS, now, sla), *_nulls(bars, "bars", BAR_KEYS, NO_NULLS, registry), verify.ohlc(bars, BAR_KEYS[:2]), verify.volume(bars, BAR_KEYS[:2]), verify.index(bars, "bars", ["source", "interval", "symbol"])]
     if lake.exists(spark, lake.group_path(base, "series")):
-        found.append(checks.freshness(lake.read_series(spark, base), "series", SERIES_KEYS, now, sla_seconds))
+        series = lake.read_series(spark, base)
+        found += [checks.freshness(series, "series", SERIES_KEYS, now, sla), *_nulls(series, "series", [*SERIES_KEYS, "metric"], {}, registry)]
     if lake.exists(spark, lake.group_path(base, "events")):
         events = lake.read_events(spark, base)
         found += [checks.bitemporal_order(events, EVENT_KEYS), checks.initial_print(events, EVENT_KEYS), checks.revision_seq(events, EVENT_KEYS)]
-    if lake.sources_of(spark, base, "book_ticker"):
-        found.append(checks.crossed_book(lake.read_kind(spark, base, "book_ticker")))
-    if lake.sources_of(spark, base, "gaps"):
-        found.append(checks.gaps(lake.read_kind(spark, base, "gaps"), ["source", "symbol"]))
+    if lake.exists(spark, lake.group_path(base, "microstructure")):
+        day = day or spark.range(1).select(F.date_format(F.date_sub(F.to_date(now), 1), "yyyy-MM-dd")).first()[0]
+        found += tape_checks(spark, base, day, declared)
+        files = spark.createDataFrame([(f,) for f in lake.files_of(spark, lake.group_path(base, "microstructure"))], "path string")
+        found.append(checks.small_files(files, F.to_date(now)))
+    if disk_gb:
+        found.append(checks.disk(spark, *disk_gb))
     return checks.union_all(found, spark)
 
 
-def nightly(spark: SparkSession, base: str, now: str, registry: Registry | None = None, cadence: str = "daily") -> DataFrame:
-    """Builds the marts, runs the checks and records them; the violations.
+def record(spark: SparkSession, base: str, violations: DataFrame, now: str, cadence: str) -> DataFrame:
+    """Puts a run's violations and its counts into the quality history; the violations as recorded.
 
-    A night that is run again replaces its record.
+    A run that is made again replaces itself, whatever it finds.
     """
-    build_marts(spark, base, registry)
     at = F.lit(now).cast("timestamp")
-    keyed = run_checks(spark, base, at).withColumns({"run_ts": at, "run_date": F.date_format(at, "yyyy-MM-dd"), "cadence": F.lit(cadence)})
+    run = {"run_date": spark.range(1).select(F.date_format(at, "yyyy-MM-dd")).first()[0], "cadence": cadence}
+    told = {"run_ts": at, **{k: F.lit(v) for k, v in run.items()}}
     quality = f"{base.rstrip('/')}/quality"
-    upkeep.record_run(spark, keyed, f"{quality}/dq_violations", ["run_date", "cadence"])
-    tonight = spark.read.parquet(f"{quality}/dq_violations").where((F.col("run_date") == F.date_format(at, "yyyy-MM-dd")) & (F.col("cadence") == cadence))
-    run = spark.range(1).select(at.alias("run_ts"), F.date_format(at, "yyyy-MM-dd").alias("run_date"), F.lit(cadence).alias("cadence"))
-    sums = upkeep.dq_runs(tonight, ["run_date", "cadence"])
-    run = run.join(sums, ["run_date", "cadence"], "left").fillna(0, ["n_violations", "n_error", "n_warn"]).fillna("", ["groups"])
-    upkeep.record_run(spark, run, f"{quality}/dq_runs", ["run_date", "cadence"])
+    upkeep.record_run(spark, violations.withColumns(told).select(*DQ_VIOLATIONS.fieldNames()), f"{quality}/dq_violations", RUN_KEYS, run)
+    tonight = spark.read.schema(DQ_VIOLATIONS).parquet(f"{quality}/dq_violations").where((F.col("run_date") == run["run_date"]) & (F.col("cadence") == cadence))
+    sums = upkeep.dq_runs(tonight, RUN_KEYS)
+    row = spark.range(1).select(*(v.alias(k) for k, v in told.items())).join(sums, RUN_KEYS, "left").fillna(0, ["n_violations", "n_error", "n_warn"]).fillna("", ["groups"])
+    upkeep.record_run(spark, row.select(*DQ_RUNS.fieldNames()), f"{quality}/dq_runs", RUN_KEYS, run)
     return tonight
 
 
-def weekly(stored: DataFrame, again: DataFrame, today: Column) -> DataFrame:
+def nightly(
+    spark: SparkSession, base: str, now: str, registry: Registry | None = None, cadence: str = "daily", update: Callable[[], DataFrame] | None = None, declared: DataFrame | None = None, disk_gb: tuple[float, float] | None = None
+) -> DataFrame:
+    """Updates what is stored, builds the marts, runs the checks and records them; the violations.
+
+    update: extends the stored series and returns what their frames violated on arrival
+    (sources.updates.update_all, with a fetch function).  A night that is run again
+    replaces its record.
+    """
+    arrived = [update()] if update else []
+    build_marts(spark, base, registry)
+    if lake.exists(spark, lake.group_path(base, "bars")):
+        today = F.lit(now).cast("date")
+        upkeep.write_csv(upkeep.quality_summary(lake.read_bars(spark, base), BAR_KEYS, today), f"{base.rstrip('/')}/quality/quality_summary.csv")
+    found = run_checks(spark, base, F.lit(now).cast("timestamp"), registry, declared=declared, disk_gb=disk_gb)
+    return record(spark, base, checks.union_all([*arrived, found]), now, cadence)
+
+
+def weekly(stored: DataFrame, again: DataFrame, today: Column, most_rows: int | None = None) -> DataFrame:
     """Violations of stored bars against a fresh fetch of them, settled days only."""
-    rows = verify.self_consistency(verify.settled(stored, today), verify.settled(again, today), BAR_KEYS)
-    n = lambda c: F.col(c).cast("string")
-    price = F.when(F.col("uniform"), "warn").otherwise("error")
-    shape = lambda cond, severity, text: checks.violation(rows.where(cond), "bars", "self_consistency", severity, text, F.col("source"), F.col("symbol"))
-    return checks.union_all(
-        [
-            shape("n_price > 0", price, F.concat(n("n_price"), F.lit(" closes moved"))), shape("n_vanished > 0", "error", F.concat(n("n_vanished"), F.lit(" dates vanished"))),
-            shape("n_appeared > 0", "warn", F.concat(n("n_appeared"), F.lit(" dates appeared"))), shape("n_volume > 0", "warn", F.concat(n("n_volume"), F.lit(" volumes moved"))),
-        ]
-    )
+    rows = verify.self_consistency(verify.settled(stored, today), verify.settled(again, today), ["source", "symbol"], most_rows)
+    return verify.consistency_violations(rows, "bars", F.col("source"), F.col("symbol"))
+
+
+def weekly_series(stored: DataFrame, again: DataFrame, today: Column) -> DataFrame:
+    """Violations of stored observations against a fresh fetch of them, settled days only."""
+    rows = verify.series_consistency(verify.settled(stored, today), verify.settled(again, today), SERIES_KEYS)
+    return verify.series_consistency_violations(rows, F.col("source"), F.col("series_id"))
+
+
+def weekly_proxies(bars: DataFrame, pairs: DataFrame, today: Column) -> DataFrame:
+    """Proxy violations of stored daily bars. pairs: symbol, other, the instruments to hold each series to.
+
+    A series is a source and symbol; it is held to each source's series of the other symbols.
+    """
+    series = F.concat_ws("/", "source", "symbol")
+    rets = statistics.returns(bars.where("close IS NOT NULL").select(series.alias("series"), "symbol", "date", "close"), ["series", "symbol"]).where("ret IS NOT NULL")
+    mine = rets.join(pairs.select("symbol", "other").distinct(), "symbol").select("series", "other", "date", F.col("ret").alias("x"))
+    theirs = rets.select(F.col("symbol").alias("other"), F.col("series").alias("proxy"), "date", F.col("ret").alias("y"))
+    states = verify.proxies(mine.join(theirs, ["other", "date"]).select("series", "proxy", "date", "x", "y"), ["series", "proxy"])
+    own = rets.groupBy("series").agg(F.count("*").alias("n_returns"), F.max("date").alias("newest"))
+    verdicts = verify.proxy_verdicts(states, "series", own, today)
+    return verify.proxy_violations(verdicts.withColumn("symbol", F.substring_index("series", "/", -1)), "symbol", F.substring_index("series", "/", 1))
+
+
+def weekly_run(
+    spark: SparkSession, base: str, now: str, refetch: Callable[[str, str], DataFrame], refetch_series: Callable[[str, str], DataFrame] | None = None, pairs: DataFrame | None = None, registry: Registry | None = None
+) -> dict:
+    """Verifies everything stored against its own sources and records it: checked, failures, violations.
+
+    refetch(source, symbol) and refetch_series(source, series_id) return bars and long
+    observations as they are stored.  A series whose re-fetch fails is a failure: it is
+    neither checked nor passed.  Proxy relations that are not available are recorded too.
+    """
+    today = F.lit(now).cast("date")
+    failures: list[dict[str, str]] = []
+    found: list[DataFrame] = []
+    checked = 0
+
+    def each(rows: DataFrame, keys: list[str], fetch: Callable[[str, str], DataFrame], judge: Callable[[DataFrame, DataFrame, str], DataFrame]) -> None:
+        nonlocal checked
+        for source, name in rows.select(*keys).distinct().orderBy(*keys).toLocalIterator():
+            own = rows.where((F.col(keys[0]) == source) & (F.col(keys[1]) == name))
+            try:
+                found.append(spark.createDataFrame(judge(own, fetch(source, name), source).collect(), verify.VIOLATION))  # a few rows of text
+                checked += 1
+            except Exception as error:  # noqa: BLE001  (whatever a source raises is recorded)
+                failures.append({"series": f"{source}/{name}", "error": type(error).__name__, "detail": str(error)[:500]})
+
+    if lake.exists(spark, lake.group_path(base, "bars")):
+        bars = lake.read_bars(spark, base).where("interval = '1d'")
+        cap = lambda source: registry.sources[("bars", source)].max_rows_per_call if registry and ("bars", source) in registry.sources else None
+        each(bars, ["source", "symbol"], refetch, lambda own, again, source: weekly(own, again, today, cap(source)))
+        if pairs is not None:
+            found.append(weekly_proxies(bars, pairs, today))
+    if refetch_series and lake.exists(spark, lake.group_path(base, "series")):
+        each(lake.read_series(spark, base), SERIES_KEYS, refetch_series, lambda own, again, _: weekly_series(own, again, today))
+    violations = record(spark, base, checks.union_all(found, spark), now, "weekly")
+    return {"checked": checked, "failed": len(failures), "failures": failures, "violations": violations}
+
+
+def expected_windows(spark: SparkSession, base: str, registry: Registry | None = None) -> DataFrame:
+    """group, source, newest, expected_hours of every source that is stored."""
+    found = []
+    for group, read, keys in (("bars", lake.read_bars, ["symbol", "interval"]), ("series", lake.read_series, ["series_id", "metric"])):
+        if lake.exists(spark, lake.group_path(base, group)):
+            rows = statistics.expected_windows(read(spark, base), ["source"], keys, sla_of(registry))
+            found.append(rows.select(F.lit(group).alias("group"), "*"))
+    if lake.exists(spark, lake.group_path(base, "events")):
+        events = lake.read_events(spark, base).withColumn("date", F.col("observed_ts"))
+        found.append(statistics.expected_windows(events, ["source"], ["calendar", "series_id"], sla_of(registry)).select(F.lit("events").alias("group"), "*"))
+    return checks.union_all(found) if found else spark.createDataFrame([], "group string, source string, newest timestamp, expected_hours double")
+
+
+def write_catalogue(spark: SparkSession, base: str, registry: Registry, now: str, path: str) -> dict:
+    """Writes the catalogue of registered sources as JSON: description, rows, newest date, window, health; returns it.
+
+    A row a source reaches the driver; the registry is a small table.
+    """
+    counts = []
+    for group, read, date in (("bars", lake.read_bars, "date"), ("series", lake.read_series, "date"), ("events", lake.read_events, "observed_ts")):
+        if lake.exists(spark, lake.group_path(base, group)):
+            rows = read(spark, base).withColumn("date", F.col(date).cast("timestamp"))
+            counts.append(upkeep.catalogue_counts(rows).select(F.lit(group).alias("group"), "source", "n_rows", F.col("newest")))
+    stored = checks.union_all(counts) if counts else spark.createDataFrame([], "group string, source string, n_rows bigint, newest timestamp")
+    windows = expected_windows(spark, base, registry).select("group", "source", "expected_hours")
+    dim = registry.frame(spark).withColumnRenamed("name", "source")
+    rows = dim.join(stored, ["group", "source"], "left").join(windows, ["group", "source"], "left")
+    graded = statistics.health(rows, F.lit(now).cast("timestamp")).orderBy("group", "source").collect()
+    made = {"generated_at": now, "sources": [r.asDict() for r in graded]}
+    upkeep.write_json(spark, made, path)
+    return made

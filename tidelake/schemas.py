@@ -25,13 +25,13 @@ EVENTS = _of(
 )
 #: Tape kinds; prices and sizes keep the exact digits received.
 TAPE = {
-    "trades": _of("symbol string, trade_id bigint, price string, quantity string, trade_time string, event_time string, buyer_is_maker boolean, received_at bigint"),
-    "book_ticker": _of("symbol string, bid_price string, bid_qty string, ask_price string, ask_qty string, update_id bigint, received_at bigint"),
+    "trades": _of("symbol string, trade_id bigint, price string, quantity string, trade_time string, event_time string, buyer_is_maker boolean, side string, sequence bigint, received_at bigint"),
+    "book_ticker": _of("symbol string, bid_price string, bid_qty string, ask_price string, ask_qty string, update_id bigint, price string, last_size string, trade_id bigint, side string, event_time string, received_at bigint"),
     "depth": _of(f"symbol string, first_update_id bigint, final_update_id bigint, bids {_LEVELS}, asks {_LEVELS}, changes {_LEVELS}, event_time string, received_at bigint"),
-    "snapshot": _of(f"symbol string, last_update_id bigint, bids {_LEVELS}, asks {_LEVELS}, received_at bigint"),
+    "snapshot": _of(f"symbol string, last_update_id bigint, bids {_LEVELS}, asks {_LEVELS}, snapshot_time string, received_at bigint"),
     "gaps": _of("stream_kind string, symbol string, reason string, last_seq bigint, next_seq bigint, missing_count bigint, gap_start_ms bigint, gap_end_ms bigint, duplicates bigint"),
     "session": _of("event string, at_ms bigint, message_count bigint, gap_count bigint"),
-    "heartbeat": _of("symbol string, sequence bigint, last_trade_id bigint, event_time string, received_at bigint"),
+    "heartbeat": _of("symbol string, sequence bigint, last_trade_id bigint, heartbeat_time string, received_at bigint"),
 }
 VIOLATION = _of("group string, source string, series_id string, metric string, check string, severity string, detail string")
 DQ_RUNS = _of("run_ts timestamp, run_date string, cadence string, n_violations bigint, n_error bigint, n_warn bigint, groups string")

@@ -7,13 +7,15 @@ Parquet, local or in an object store.  Partition values stay text.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelake.schemas import BARS, EVENTS, SERIES, TAPE
+from tidelake.schemas import BARS, DQ_RUNS, DQ_VIOLATIONS, EVENTS, SERIES, TAPE
 
+QUALITY = {"dq_runs": DQ_RUNS, "dq_violations": DQ_VIOLATIONS}
 GOLD = ("fct_bars_daily", "fct_series_features", "fct_events_revisions", "fct_cross_venue_basis", "dim_sources")
 
 
@@ -65,8 +67,34 @@ def read_series(spark: SparkSession, base: str) -> DataFrame:
     return spark.createDataFrame([], SERIES) if found is None else found
 
 
+def load_bars(spark: SparkSession, base: str, symbol: str, source: str, interval: str = "1d") -> DataFrame:
+    """One stored series of bars; FileNotFoundError if there is none."""
+    path = group_path(base, "bars", source=source, symbol=symbol, interval=interval)
+    if not exists(spark, path):
+        raise FileNotFoundError(path)
+    return read_bars(spark, base).where((F.col("source") == source) & (F.col("symbol") == symbol) & (F.col("interval") == interval))
+
+
+def load_series(spark: SparkSession, base: str, series_id: str, source: str, metric: str | None = None) -> DataFrame:
+    """One stored series, or one metric of it; FileNotFoundError if there is none."""
+    path = group_path(base, "series", source=source, series_id=series_id, **({"metric": metric} if metric else {}))
+    if not exists(spark, path):
+        raise FileNotFoundError(path)
+    rows = read_series(spark, base).where((F.col("source") == source) & (F.col("series_id") == series_id))
+    return rows.where(F.col("metric") == metric) if metric else rows
+
+
+def count_events(spark: SparkSession, base: str, source: str, calendar: str) -> int:
+    """Rows of a calendar, 0 where there is none."""
+    path = group_path(base, "events", source=source, calendar=calendar)
+    return spark.read.schema(EVENTS).parquet(path).count() if exists(spark, path) else 0
+
+
 def read_kind(spark: SparkSession, base: str, kind: str, source: str | None = None) -> DataFrame:
-    """A tape kind of one or all sources, joined by column name; lost columns are null."""
+    """A tape kind of one or all sources, joined by column name; lost columns are null.
+
+    A source's types are those of one of its files, so one footer is read for each source.
+    """
     root = group_path(base, "microstructure")
     keys = T.StructType([T.StructField(n, T.StringType()) for n in ("source", "date")])
     schema = T.StructType([*TAPE[kind].fields, *(f for f in keys if f.name not in TAPE[kind].fieldNames())])
@@ -74,69 +102,143 @@ def read_kind(spark: SparkSession, base: str, kind: str, source: str | None = No
     for path in sources_of(spark, base, kind) if source is None else [source]:
         at = group_path(base, "microstructure", source=path, kind=kind)
         if exists(spark, at):
-            part = _conform(_read(spark, root, at), schema)
+            own = {f.name: f for f in spark.read.option("basePath", root).parquet(at).schema}
+            part = _conform(_read(spark, root, at, T.StructType([own.get(f.name, f) for f in schema])), schema)
             found = part if found is None else found.unionByName(part, allowMissingColumns=True)
     return spark.createDataFrame([], schema) if found is None else found
 
 
+def _listed(spark: SparkSession, pattern: str) -> list[str]:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(at) or []
+    return [f.getPath().toString() for f in found]
+
+
 def sources_of(spark: SparkSession, base: str, kind: str) -> list[str]:
     """Names of the sources that hold a tape kind, from folder names alone."""
-    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(group_path(base, "microstructure", source=None, kind=kind))
-    found = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(at) or []
-    return sorted({f.getPath().getParent().getName().partition("=")[2] for f in found})
+    found = _listed(spark, group_path(base, "microstructure", source=None, kind=kind))
+    return sorted({f.rsplit("/", 2)[1].partition("=")[2] for f in found})
+
+
+def tape_partitions(spark: SparkSession, base: str) -> DataFrame:
+    """source, kind, symbol, date of all tape partitions, from folder names alone."""
+    found = _listed(spark, group_path(base, "microstructure", source=None, kind=None, symbol=None, date=None))
+    rows = [tuple(part.partition("=")[2] for part in f.rsplit("/", 4)[1:]) for f in found]
+    return spark.createDataFrame(rows, "source string, kind string, symbol string, date string")
+
 
+def files_of(spark: SparkSession, root: str) -> list[str]:
+    """Parquet files below a folder."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    listed, found = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(at, True), []
+    while listed.hasNext():
+        file = listed.next().getPath().toString()
+        if file.endswith(".parquet"):
+            found.append(file)
+    return found
 
-def register_views(spark: SparkSession, base: str) -> list[str]:
-    """Makes a temp view of every group, tape kind and mart that is there; their names."""
+
+def register_views(spark: SparkSession, base: str, only: set[str] | None = None) -> list[str]:
+    """Makes a temp view of every group, tape kind, mart and quality table that is there, or of those in ``only``; their names."""
     names = []
+
+    def view(name: str, is_there: Callable[[], bool], read: Callable[[], DataFrame]) -> None:
+        if (only is None or name in only) and is_there():
+            read().createOrReplaceTempView(name)
+            names.append(name)
+
     for group, read in (("bars", read_bars), ("series", read_series), ("events", read_events)):
-        if exists(spark, group_path(base, group)):
-            read(spark, base).createOrReplaceTempView(group)
-            names.append(group)
+        view(group, lambda g=group: exists(spark, group_path(base, g)), lambda r=read: r(spark, base))
     for kind in TAPE:
-        if sources_of(spark, base, kind):
-            read_kind(spark, base, kind).createOrReplaceTempView(kind)
-            names.append(kind)
+        view(kind, lambda k=kind: bool(sources_of(spark, base, k)), lambda k=kind: read_kind(spark, base, k))
     for mart in GOLD:
-        if exists(spark, gold_path(base, mart)):
-            spark.read.parquet(gold_path(base, mart)).createOrReplaceTempView(mart)
-            names.append(mart)
+        view(mart, lambda m=mart: exists(spark, gold_path(base, m)), lambda m=mart: spark.read.parquet(gold_path(base, m)))
+    for name, schema in QUALITY.items():
+        path = f"{base.rstrip('/')}/quality/{name}"
+        view(name, lambda p=path: exists(spark, p), lambda p=path, s=schema: spark.read.schema(s).parquet(p))
     return names
 
 
-_ARG = r"\s*((?:[^(),]|\([^()]*\))+?)\s*"
-#: Spellings of other SQL dialects that Spark has under another name.
-DIALECT = (
-    (rf"\barg_max\({_ARG},{_ARG}\)", r"max_by(\1, \2) FILTER (WHERE \1 IS NOT NULL)"),
-    (rf"\barg_min\({_ARG},{_ARG}\)", r"min_by(\1, \2) FILTER (WHERE \1 IS NOT NULL)"),
-    (rf"\bdate_diff\(\s*'day'\s*,{_ARG},{_ARG}\)", r"datediff(\2, \1)"),
-    (r"\bread_parquet\s*\(\s*'([^']+)'\s*\)", r"parquet.`\1`"),
-    (r"^\s*DESCRIBE\s+SELECT\b", "DESCRIBE QUERY SELECT"),
-    (r"//", " div "),
-)
-
-
-def translated(sql: str) -> str:
-    """sql with DIALECT's spellings put as Spark has them, outside quoted text; "names" in backticks."""
-    parts = re.split(r"('(?:[^']|'')*')", sql)
-    quoted = [p for p in parts[1::2]]
-    text = "".join(p if i % 2 == 0 else f"'\x00{i // 2}\x00'" for i, p in enumerate(parts))
-    for pattern, to in DIALECT:
-        if "'" in pattern:
+#: Text that is no code: quoted text, comments.
+_QUIET = re.compile(r"'(?:[^']|'')*'|--[^\n]*|/\*.*?\*/", re.DOTALL)
+
+
+def _calls(text: str, name: str, to: Callable[[list[str]], str | None]) -> str:
+    """text with each call of a function put as ``to`` says of its arguments; None leaves the call."""
+    out, at = "", 0
+    for m in re.finditer(rf"\b{name}\s*\(", text, re.IGNORECASE):
+        if m.start() < at:
             continue
-        text = re.sub(pattern, to, text, flags=re.IGNORECASE)
-    text = re.sub(r'"([^"]+)"', r"`\1`", text)
-    text = re.sub("'\x00(\\d+)\x00'", lambda m: quoted[int(m[1])], text)
-    for pattern, to in DIALECT:
-        if "'" in pattern:
-            text = re.sub(pattern, to, text, flags=re.IGNORECASE)
-    return text
+        depth, args, begin = 1, [], m.end()
+        for i in range(m.end(), len(text)):
+            depth += {"(": 1, ")": -1}.get(text[i], 0)
+            if depth == 0 or (depth == 1 and text[i] == ","):
+                args.append(_calls(text[begin:i], name, to).strip())
+                begin = i + 1
+            if depth == 0:
+                break
+        put = to(args) if depth == 0 else None
+        out += text[at : m.start()] + (f"{text[m.start() : m.end()]}{', '.join(args)})" if put is None else put)
+        at = begin
+        if depth:
+            return text
+    return out + text[at:]
+
+
+def _by(name: str) -> Callable[[list[str]], str | None]:
+    """arg_max or arg_min of two arguments: rows whose value is null don't count."""
+    return lambda a: f"{name}({a[0]}, CASE WHEN ({a[0]}) IS NOT NULL THEN {a[1]} END)" if len(a) == 2 else None
+
+
+def translated(sql: str, files: Callable[[str, list[str]], str] | None = None) -> str:
+    """sql with another dialect's spellings put as Spark has them, quoted text and comments left alone.
+
+    arg_max and arg_min, also with FILTER or OVER; date_diff of days; read_parquet; // ;
+    DESCRIBE SELECT; "names" in backticks.  files: the relation that stands for
+    read_parquet's path and options.
+    """
+    quiet: list[str] = []
+
+    def hide(m: re.Match) -> str:
+        quiet.append(m[0])
+        return f"\x00{len(quiet) - 1}\x00"
+
+    show = lambda text: re.sub("\x00(\\d+)\x00", lambda m: quiet[int(m[1])], text)
+    literal = lambda text: show(text)[1:-1].replace("''", "'") if re.fullmatch("\x00\\d+\x00", text) else None
+
+    def days(a: list[str]) -> str | None:
+        return f"datediff({a[2]}, {a[1]})" if len(a) == 3 and literal(a[0]) in ("day", "DAY") else None
+
+    def parquet(a: list[str]) -> str | None:
+        path = literal(a[0])
+        return None if path is None else (files or (lambda p, _: f"parquet.`{p}`"))(path, [show(x) for x in a[1:]])
+
+    text = _QUIET.sub(hide, sql)
+    for name, to in (("arg_max", _by("max_by")), ("arg_min", _by("min_by")), ("date_diff", days), ("read_parquet", parquet)):
+        text = _calls(text, name, to)
+    text = re.sub(r"^\s*DESCRIBE\s+SELECT\b", "DESCRIBE QUERY SELECT", text, flags=re.IGNORECASE)
+    text = text.replace("//", " div ")
+    return show(re.sub(r'"([^"]+)"', r"`\1`", text))
 
 
 def query(spark: SparkSession, sql: str, base: str) -> DataFrame:
-    """Runs SQL over the lake's views."""
-    register_views(spark, base)
-    return spark.sql(translated(sql))
+    """Runs SQL over the lake's views; only those that it names are made."""
+    known = {"bars", "series", "events", *TAPE, *GOLD, *QUALITY}
+    register_views(spark, base, {n for n in known if re.search(rf"\b{n}\b", sql)})
+
+    def files(path: str, options: list[str]) -> str:
+        if not options:
+            return f"parquet.`{path}`"
+        wanted = {k.strip().lower() for k, _, v in (o.partition("=") for o in options) if v.strip().lower() in ("true", "1")}
+        reader = spark.read.option("mergeSchema", "union_by_name" in wanted)
+        if "hive_partitioning" in wanted:  # columns of all key=value folders of the path
+            parts = path.split("/")
+            reader = reader.option("basePath", "/".join(parts[: next((i for i, p in enumerate(parts) if "=" in p or "*" in p), len(parts))]) or "/")
+        name = f"files_{abs(hash((path, *sorted(wanted)))):x}"
+        reader.parquet(path).createOrReplaceTempView(name)
+        return name
+
+    return spark.sql(translated(sql, files))
 
 
 def list_series(rows: DataFrame, keys: list[str]) -> DataFrame:

@@ -7,18 +7,22 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from tidelake.schemas import TAPE
+
 #: Kinds by the suffix of a combined stream's name, and by a message's own type.
 STREAM_KINDS = {"trade": "trades", "bookTicker": "book_ticker", "depth": "depth"}
-TYPE_KINDS = {"match": "trades", "ticker": "book_ticker", "l2update": "depth", "snapshot": "snapshot", "heartbeat": "heartbeat"}
+TYPE_KINDS = {"match": "trades", "last_match": "trades", "ticker": "book_ticker", "l2update": "depth", "snapshot": "snapshot", "heartbeat": "heartbeat"}
 _GAP = "source string, symbol string, kind string, last_seq bigint, next_seq bigint, missing_count bigint"
 
 
 def route(messages: DataFrame, by: str = "stream", strict: bool = True) -> DataFrame:
     """messages with kind. by: the field that tells it, ``stream`` (``btcusdt@trade``) or ``type``.
 
-    Unknown streams raise if strict; otherwise unknown messages are dropped.
+    Unknown streams raise if strict; otherwise unknown messages are dropped.  A message of
+    type ``error``, as of a refused subscription, raises always.
     """
     table = STREAM_KINDS if by == "stream" else TYPE_KINDS
     said = F.get_json_object("message", f"$.{by}")
@@ -26,34 +30,119 @@ def route(messages: DataFrame, by: str = "stream", strict: bool = True) -> DataF
     kind = F.try_element_at(F.create_map(*(F.lit(x) for kv in table.items() for x in kv)), name)
     if strict:
         kind = F.coalesce(kind, F.raise_error(F.concat(F.lit("unknown stream "), F.coalesce(said, F.lit("?")))))
+    if by == "type":
+        kind = F.when(said == "error", F.raise_error(F.concat(F.lit("feed error "), F.coalesce(F.get_json_object("message", "$.message"), F.lit("?"))))).otherwise(kind)
     return messages.withColumn("kind", kind).where("kind IS NOT NULL")
 
 
+#: Where each kind's columns are in a combined-stream message's data; paths with a dot start at the message.
+STREAM_FIELDS = {
+    "trades": {"symbol": "s", "trade_id": "t", "price": "p", "quantity": "q", "trade_time": "T", "event_time": "E", "buyer_is_maker": "m"},
+    "book_ticker": {"symbol": "s", "bid_price": "b", "bid_qty": "B", "ask_price": "a", "ask_qty": "A", "update_id": "u"},
+    "depth": {"symbol": "s", "first_update_id": "U", "final_update_id": "u", "event_time": "E", "bids": "b", "asks": "a"},
+}
+#: Where they are in messages that name their type, whose symbol is a product.
+TYPE_FIELDS = {
+    "trades": {"symbol": "product_id", "trade_id": "trade_id", "price": "price", "quantity": "size", "side": "side", "trade_time": "time", "sequence": "sequence"},
+    "book_ticker": {
+        "symbol": "product_id", "bid_price": "best_bid", "bid_qty": "best_bid_size", "ask_price": "best_ask", "ask_qty": "best_ask_size", "update_id": "sequence",
+        "price": "price", "last_size": "last_size", "trade_id": "trade_id", "side": "side", "event_time": "time",
+    },
+    "depth": {"symbol": "product_id", "changes": "changes", "event_time": "time"},
+    "snapshot": {"symbol": "product_id", "bids": "bids", "asks": "asks", "snapshot_time": "time"},
+    "heartbeat": {"symbol": "product_id", "last_trade_id": "last_trade_id", "sequence": "sequence", "heartbeat_time": "time"},
+}
+#: Ways to read a venue's messages: the field that routes them, and the fields of each kind.
+VENUES = {"stream": STREAM_FIELDS, "type": TYPE_FIELDS}
+
+
+def canonical_symbol(product: Column) -> Column:
+    """BTC-USD as BTCUSDT: what stands before the dash, against USDT."""
+    return F.concat(F.split_part(product, F.lit("-"), F.lit(1)), F.lit("USDT"))
+
+
+def decode(messages: DataFrame, kind: str, by: str = "stream") -> DataFrame:
+    """Rows of one kind of routed messages (message, kind, received_at), in the kind's columns that the venue has.
+
+    Prices and sizes stay the exact text received, book levels arrays of texts.  A message
+    without a field has null there.
+    """
+    fields = VENUES[by][kind]
+    kinds = {f.name: f.dataType for f in TAPE[kind]}
+    raw = {n: "string" if not isinstance(kinds[n], T.ArrayType) else "array<array<string>>" for n in fields}
+    body = F.get_json_object("message", "$.data") if by == "stream" else F.col("message")
+    # names may differ by case alone, so they are read from a map, not as a struct
+    cells = F.from_json(body, "map<string,string>")
+    rows = messages.where(F.col("kind") == kind).select(cells.alias("c"), "received_at")
+    cell = lambda n: F.try_element_at(F.col("c"), F.lit(fields[n]))
+    value = lambda n: F.from_json(cell(n), raw[n]) if raw[n] != "string" else cell(n).cast(kinds[n])
+    names = {n: canonical_symbol(cell(n)) if by == "type" and n == "symbol" else value(n) for n in fields}
+    return rows.select(*(v.alias(n) for n, v in names.items()), "received_at")
+
+
 def trades(messages: DataFrame) -> DataFrame:
     """Trade rows of combined-stream messages, prices as the exact text received."""
-    names = ("symbol", "trade_id", "price", "quantity", "trade_time", "event_time", "buyer_is_maker")
-    fields = F.json_tuple(F.get_json_object("message", "$.data"), "s", "t", "p", "q", "T", "E", "m").alias(*names)  # names differ by case alone
-    rows = messages.where("kind = 'trades'").select(fields, "received_at")
-    return rows.withColumns({c: F.col(c).cast("bigint") for c in ("trade_id", "trade_time", "event_time")} | {"buyer_is_maker": F.col("buyer_is_maker").cast("boolean")})
+    return decode(messages, "trades")
+
+
+def book_snapshot(bodies: DataFrame) -> DataFrame:
+    """Snapshot rows of fetched order books. bodies: symbol, body (lastUpdateId, bids, asks), received_at."""
+    cells = F.from_json("body", "lastUpdateId bigint, bids array<array<string>>, asks array<array<string>>")
+    return bodies.withColumn("c", cells).select("symbol", F.col("c.lastUpdateId").alias("last_update_id"), F.col("c.bids").alias("bids"), F.col("c.asks").alias("asks"), "received_at")
 
 
-def sequence_gaps(rows: DataFrame, keys: list[str], order: list[str], start: str = "start_seq", last: str = "end_seq") -> DataFrame:
-    """Jumps of contiguous streams, in the order of arrival.
+#: Width of the pieces, in units of the first order column, that one busy stream is cut to.
+CHUNK = 3_600_000
+
+
+def _chunk(order: str, width: int) -> Column:
+    """Which piece of a stream's order a row is in; nulls come first."""
+    return F.coalesce(F.floor(F.col(order) / F.lit(width)), F.lit(-(2**62)))
+
+
+def sequence_gaps(rows: DataFrame, keys: list[str], order: list[str], start: str = "start_seq", last: str = "end_seq", width: int = CHUNK) -> DataFrame:
+    """Jumps of contiguous streams, in the order of arrival; order starts with a number.
 
     The position is the last row's, even if it went back, so a replayed low id makes the
-    next normal one look like a jump.  Rows without an end are not checked.
+    next normal one look like a jump.  Rows without an end are not checked.  A stream is
+    read in pieces of ``width``; a piece's first row is held to the last row of the piece
+    before, which comes from a table of one row a piece.
     """
-    before = F.lag(last).over(Window.partitionBy(*keys).orderBy(*order))
-    checked = rows.where(F.col(last).isNotNull()).withColumn("last_seq", before)
-    jumps = checked.where(F.col(start) > F.col("last_seq") + 1)
+    checked = rows.where(F.col(last).isNotNull()).withColumn("__chunk", _chunk(order[0], width))
+    by = Window.partitionBy(*keys, "__chunk").orderBy(*order)
+    tails = checked.groupBy(*keys, "__chunk").agg(F.max_by(last, F.struct(*order)).alias("tail"))
+    tails = tails.select(*keys, "__chunk", F.lag("tail").over(Window.partitionBy(*keys).orderBy("__chunk")).alias("__before"))
+    checked = checked.withColumns({"__last": F.lag(last).over(by), "__place": F.row_number().over(by)})
+    jumps = _same(checked, tails, [*keys, "__chunk"]).withColumn("last_seq", F.when(F.col("__place") == 1, F.col("__before")).otherwise(F.col("__last")))
+    jumps = jumps.where(F.col(start) > F.col("last_seq") + 1)
     return jumps.select(*keys, "last_seq", F.col(start).alias("next_seq"), (F.col(start) - F.col("last_seq") - 1).cast("bigint").alias("missing_count"))
 
 
-def order_breaks(rows: DataFrame, keys: list[str], order: list[str], seq: str = "update_id") -> DataFrame:
-    """Rows of an ordering-only stream whose id is not above all before it; nothing is missing by name."""
-    top = F.max(seq).over(Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1))
-    late = rows.withColumn("last_seq", top).where(F.col(seq) <= F.col("last_seq"))
-    return late.select(*keys, "last_seq", F.col(seq).alias("next_seq"), F.lit(None).cast("bigint").alias("missing_count"))
+def order_breaks(rows: DataFrame, keys: list[str], order: list[str], seq: str = "update_id", width: int = CHUNK) -> DataFrame:
+    """Rows of an ordering-only stream whose id is not above all before it; nothing is missing by name.
+
+    Read in pieces as sequence_gaps does.
+    """
+    cut = rows.withColumn("__chunk", _chunk(order[0], width))
+    past = Window.partitionBy(*keys, "__chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    tops = cut.groupBy(*keys, "__chunk").agg(F.max(seq).alias("top"))
+    tops = tops.select(*keys, "__chunk", F.max("top").over(Window.partitionBy(*keys).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)).alias("__before"))
+    late = _same(cut.withColumn("__top", F.max(seq).over(past)), tops, [*keys, "__chunk"]).withColumn("last_seq", F.greatest("__top", "__before"))
+    return late.where(F.col(seq) <= F.col("last_seq")).select(*keys, "last_seq", F.col(seq).alias("next_seq"), F.lit(None).cast("bigint").alias("missing_count"))
+
+
+def _same(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """left with right's row of the same keys, nulls being equal."""
+    named = right.select(*(F.col(k).alias(f"__r_{k}") for k in keys), *(c for c in right.columns if c not in keys))
+    on = [F.col(k).eqNullSafe(F.col(f"__r_{k}")) for k in keys]
+    return left.join(named, on).drop(*(f"__r_{k}" for k in keys))
+
+
+def overlap_counts(rows: DataFrame, floors: DataFrame, keys: list[str], seq: str) -> DataFrame:
+    """keys, n_kept, n_duplicates: rows of a new connection that drop_overlap keeps, and that it drops."""
+    at = rows.join(floors, keys, "left")
+    fresh = F.when(F.col("floor").isNull() | (F.col(seq) > F.col("floor")), F.col(seq))
+    return at.groupBy(*keys).agg(F.countDistinct(fresh).alias("n_kept"), (F.count("*") - F.countDistinct(fresh)).alias("n_duplicates"))
 
 
 def drop_overlap(rows: DataFrame, floors: DataFrame, keys: list[str], seq: str) -> DataFrame:
