@@ -87,9 +87,14 @@ def revision_seq(events: DataFrame, keys: list[str]) -> DataFrame:
     return violation(bad, "events", "revision_seq", "error", _n(F.col("n"), "events with gaps in their revisions"), F.col(keys[0]), F.col(keys[-1]))
 
 
+def not_stored(declared: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:
+    """keys of declared series of which nothing is stored."""
+    return declared.select(*keys).distinct().join(stored.select(*keys).distinct(), keys, "left_anti")
+
+
 def capture(declared: DataFrame, present: DataFrame, keys: list[str]) -> DataFrame:
     """Declared streams that a day lacks."""
-    absent = declared.select(*keys).distinct().join(present.select(*keys).distinct(), keys, "left_anti")
+    absent = not_stored(declared, present, keys)
     return violation(absent, "microstructure", "capture", "error", F.lit("declared stream absent"), F.col("source"), F.col("symbol"), F.col("kind"))
 
 

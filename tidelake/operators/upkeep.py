@@ -44,6 +44,17 @@ def watermarks(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.groupBy(*keys).agg(F.max("date").alias("watermark"))
 
 
+def advance(stored: DataFrame, fetched: DataFrame, keys: list[str], today: Column, from_watermark: bool = True) -> DataFrame:
+    """Fetched rows that may extend stored series: settled ones from each series' watermark on.
+
+    from_watermark: the watermark's own row is fetched again, so that what was stored while
+    it formed is replaced; otherwise rows start after it.  Series that are not stored are
+    not extended: they are backfilled first.
+    """
+    rows = fetched.join(watermarks(stored, keys), keys).where(F.col("date") < today)
+    return rows.where(F.col("date") >= F.col("watermark") if from_watermark else F.col("date") > F.col("watermark")).drop("watermark")
+
+
 def schema_drift(stored: DataFrame, fresh: DataFrame) -> tuple[list[str], list[str]]:
     """Columns that fresh rows lose and gain."""
     return sorted({*stored.columns} - {*fresh.columns}), sorted({*fresh.columns} - {*stored.columns})
@@ -263,9 +274,15 @@ def publish(rows: DataFrame, allowed: DataFrame, group: str, path: str, order: l
     return files
 
 
+def differing(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Rows that one of two tables holds more often than the other, with side: first or second."""
+    one = a.exceptAll(b).withColumn("side", F.lit("first"))
+    return one.unionByName(b.exceptAll(a).withColumn("side", F.lit("second")))
+
+
 def unchanged(a: DataFrame, b: DataFrame) -> bool:
     """Whether two tables hold the same rows, as often."""
-    return a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+    return differing(a, b).isEmpty()
 
 
 def dq_runs(violations: DataFrame, keys: list[str]) -> DataFrame:
@@ -296,11 +313,17 @@ def record_run(spark: SparkSession, fresh: DataFrame, path: str, keys: list[str]
     replace_path(fresh, path)
 
 
+def newest_first(rows: DataFrame, most: int | None = None) -> DataFrame:
+    """Rows of a quality history, the newest run first and each run in a fixed order; at most ``most`` of them."""
+    out = rows.orderBy(F.desc("run_ts"), *(F.col(c).asc_nulls_first() for c in rows.columns if c != "run_ts"))
+    return out if most is None else out.limit(most)
+
+
 def history(spark: SparkSession, path: str, schema: T.StructType, most: int | None = None) -> DataFrame:
     """A quality history, newest run first; empty before the first run.  most: how many rows."""
     recover(spark, path)
     rows = spark.read.option("mergeSchema", "true").parquet(path) if exists(spark, path) else spark.createDataFrame([], schema)
-    return rows.orderBy(F.desc("run_ts"), *(F.col(c).asc_nulls_first() for c in rows.columns if c != "run_ts")).limit(most or 2_000_000_000)
+    return newest_first(rows, most)
 
 
 def catalogue_counts(rows: DataFrame, allowed: DataFrame | None = None) -> DataFrame:

@@ -19,15 +19,27 @@ JUMP = 5.0
 PRICE_DRIFT, VOLUME_DRIFT = 1e-6, 0.01
 
 
+#: Columns that tell a series or its rows apart and carry no observation.
+_LABELS = {"source", "symbol", "series_id", "metric", "interval", "date", "arrival"}
+
+
 def structure(frame: DataFrame, group: str) -> DataFrame:
-    """Unknown group, missing columns, no rows: what makes other checks pointless."""
+    """Unknown group, missing columns, dates that are none or have no zone, no rows: what makes other checks pointless.
+
+    A series needs one column at least that is not a label.
+    """
     spark = frame.sparkSession
     one = spark.range(1)
     if group not in REQUIRED:
         return violation(one, group, "group", "error", F.lit(f"unknown group {group}"))
     missing = [c for c in REQUIRED[group] if c not in frame.columns]
+    if group == "series" and not {*frame.columns} - _LABELS:
+        missing = ["value"]
     if missing or not frame.columns:
         return violation(one, group, "columns", "error", F.lit("missing " + ", ".join(missing)))
+    kind = dict(frame.dtypes).get("date")
+    if group != "events" and kind not in ("timestamp", "date"):
+        return violation(one, group, "index", "error", F.lit("dates have no time zone" if kind == "timestamp_ntz" else f"date is {kind or 'missing'}"))
     return violation(frame.agg(F.count("*").alias("n")).where("n = 0"), group, "empty", "error", F.lit("no rows"))
 
 
@@ -59,7 +71,7 @@ def outside(rows: DataFrame, keys: list[str], now: Column, start: Column, end: C
 
 
 def interval(rows: DataFrame, group: str, keys: list[str], expected_seconds: int) -> DataFrame:
-    """Series whose most frequent gap is not the expected one."""
+    """Series of three rows or more whose most frequent gap is not the expected one."""
     bad = modal_gap(rows, keys, 2).where(F.col("modal_gap") != expected_seconds)
     return violation(bad, group, "interval", "error", F.concat(F.lit("modal gap "), F.col("modal_gap").cast("string"), F.lit(" s")), F.col(keys[0]), F.col(keys[-1]))
 
@@ -104,17 +116,107 @@ def verify_bars(bars: DataFrame, keys: list[str], now: Column) -> DataFrame:
     first = structure(bars, "bars")
     if not first.isEmpty():
         return first
-    late = bars.groupBy(*keys).agg(F.count_if(F.col("date") > F.date_add(now, 2)).alias("n")).where("n > 0")
     return union_all(
         [
-            index(bars, "bars", keys), ohlc(bars, keys), volume(bars, keys),
-            violation(late, "bars", "future_dates", "error", _n(F.col("n"), "future dates"), F.col("source"), F.col("symbol")),
+            index(bars, "bars", keys), ohlc(bars, keys), volume(bars, keys), future(bars, "bars", keys, now),
             violation(implausible(bars, keys), "bars", "returns", "warn", _n(F.col("n"), "implausible changes"), F.col("source"), F.col("symbol")),
             violation(constant(bars, keys), "bars", "variance", "warn", F.lit("constant close"), F.col("source"), F.col("symbol")),
         ]
     )
 
 
+#: Seconds between rows of each interval that resolution is checked for.
+SPACING = {"1d": 86_400, "1h": 3600, "1m": 60}
+
+
+def out_of_range(rows: DataFrame, group: str, keys: list[str], start: Column | None, end: Column | None) -> DataFrame:
+    """Rows before the requested start, or after the requested end and a day."""
+    date, found = F.col("date"), []
+    for bad, what in (((date < start) if start is not None else None, "rows before the requested start"), ((date > F.date_add(end, 1)) if end is not None else None, "rows after the requested end")):
+        if bad is not None:
+            n = rows.groupBy(*keys).agg(F.count_if(bad).alias("n")).where("n > 0")
+            found.append(violation(n, group, "range", "error", _n(F.col("n"), what), F.col(keys[0]), F.col(keys[-1])))
+    return union_all(found, rows.sparkSession)
+
+
+def future(rows: DataFrame, group: str, keys: list[str], now: Column) -> DataFrame:
+    """Rows dated more than two days ahead."""
+    late = rows.groupBy(*keys).agg(F.count_if(F.col("date") > F.date_add(now, 2)).alias("n")).where("n > 0")
+    return violation(late, group, "future_dates", "error", _n(F.col("n"), "future dates"), F.col(keys[0]), F.col(keys[-1]))
+
+
+def not_numeric(rows: DataFrame, group: str, keys: list[str], columns: list[str]) -> DataFrame:
+    """Text values that are no numbers, in columns that are text."""
+    texts = [c for c in columns if dict(rows.dtypes).get(c) == "string"]
+    if not texts:
+        return rows.sparkSession.createDataFrame([], VIOLATION)
+    detail = F.concat(_n(F.col("n_bad"), "values of "), F.col("column"), F.lit(" are no numbers, such as "), F.col("sample"))
+    return violation(unparseable(rows, keys, texts), group, "numeric", "error", detail, F.col(keys[0]), F.col(keys[-1]))
+
+
+def missing_values(rows: DataFrame, group: str, keys: list[str], columns: list[str]) -> DataFrame:
+    """Nulls: any one of bars is an error; observations warn only where a series has no value at all."""
+    counts = rows.groupBy(*keys).agg(F.count("*").alias("n_rows"), *(F.count_if(to_double(F.col(c)).isNull() & (F.col(c).isNull() | (F.lit(group) == "bars"))).alias(c) for c in columns))
+    long = counts.unpivot([*keys, "n_rows"], columns, "column", "n")
+    metric = F.col("metric") if "metric" in keys else None
+    series = F.col([k for k in keys if k != "metric"][-1])
+    if group == "bars":
+        bad = long.where("n > 0")
+        return violation(bad, group, "nulls", "error", F.concat(_n(F.col("n"), "nulls in "), F.col("column")), F.col(keys[0]), series)
+    return violation(long.where("n = n_rows"), group, "nulls", "warn", F.concat(F.lit("all "), _n(F.col("n"), "values are null")), F.col(keys[0]), series, metric)
+
+
+def verify_series(rows: DataFrame, keys: list[str], now: Column) -> DataFrame:
+    """All checks of long observations (keys, metric, date, value); structural failures suppress the rest."""
+    first = structure(rows, "series")
+    if not first.isEmpty():
+        return first
+    by_metric = [*keys, "metric"] if "metric" in rows.columns else keys
+    repeated = duplicate_keys(rows, [*by_metric, "date"]).groupBy(*keys).agg(F.count("*").alias("k"))
+    index_ = violation(repeated, "series", "index", "error", _n(F.col("k"), "repeated dates"), F.col(keys[0]), F.col(keys[-1]))
+    return union_all([index_, future(rows, "series", keys, now), not_numeric(rows, "series", keys, ["value"]), missing_values(rows, "series", by_metric, ["value"])])
+
+
+def verify_events(rows: DataFrame, source: str = "source", series: str = "series_id") -> DataFrame:
+    """All checks of an events frame: order of times, repeated keys, revisions that are not 0, 1, 2, ..."""
+    first = structure(rows, "events")
+    if not first.isEmpty():
+        return first
+    keys = [source, series]
+    back = rows.groupBy(*keys).agg(F.count_if(F.col("observed_ts") < F.col("scheduled_ts")).alias("n")).where("n > 0")
+    twice = duplicate_keys(rows, [*keys, "event_id", "revision_seq"]).groupBy(*keys).agg(F.sum(F.col("n") - 1).alias("n"))
+    shape = rows.where("revision_seq IS NOT NULL").groupBy(*keys, "event_id").agg(F.min("revision_seq").alias("lo"), F.max("revision_seq").alias("hi"), F.count("*").alias("n"), F.countDistinct("revision_seq").alias("d"))
+    holes = shape.where("lo <> 0 OR hi <> n - 1 OR d <> n").groupBy(*keys).agg(F.count("*").alias("n"))
+    tell = lambda bad, check, what: violation(bad, "events", check, "error", _n(F.col("n"), what), F.col(source), F.col(series))
+    return union_all([tell(back, "bitemporal", "rows observed before scheduled"), tell(twice, "key", "repeated event_id and revision_seq"), tell(holes, "revision_seq", "events whose revisions are not contiguous")])
+
+
+def verify_frame(frame: DataFrame, group: str, now: Column, start: Column | None = None, end: Column | None = None, interval_name: str | None = None, arrival: str | None = None) -> DataFrame:
+    """All checks of a frame as it arrived: bars (source, symbol), long series (source, series_id), events.
+
+    start, end and interval_name are what was asked for; arrival orders rows as they came.
+    A frame that fails structurally is not checked further.
+    """
+    if group == "events":
+        return verify_events(frame)
+    keys = ["source", "symbol"] if group == "bars" else ["source", "series_id"]
+    first = structure(frame, group)
+    if not first.isEmpty():
+        return first
+    if group == "bars":
+        prices = [c for c in REQUIRED["bars"] if c in frame.columns]
+        numbers = frame.withColumns({c: to_double(F.col(c)) for c in prices if dict(frame.dtypes)[c] == "string"})
+        found = [verify_bars(numbers, keys, now), not_numeric(frame, group, keys, prices), missing_values(numbers, group, keys, prices)]
+    else:
+        found = [verify_series(frame, keys, now)]
+    found.append(out_of_range(frame, group, keys, start, end))
+    if interval_name in SPACING:
+        found.append(interval(frame, group, keys, SPACING[interval_name]))
+    if arrival:
+        found.append(unsorted(frame, group, keys, arrival))
+    return union_all(found)
+
+
 def settled(rows: DataFrame, today: Column) -> DataFrame:
     """Rows before today."""
     return rows.where(F.col("date") < today)
