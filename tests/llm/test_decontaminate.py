@@ -61,3 +61,28 @@ def test_rows_blocks_and_stage(spark):
     assert sorted(map(str, one.collect())) == sorted(map(str, many.collect()))
     assert d.contamination(docs, items.limit(0)).where("n_hit > 0").count() == 0
     assert d.contamination(docs.limit(0), items).count() == 0
+
+
+def test_long_texts_and_long_items_go_in_pieces(spark, monkeypatch):
+    monkeypatch.setattr(d, "PIECE_WORDS", 40)
+    rng = np.random.default_rng(9)
+    item = " ".join(f"w{i}" for i in rng.integers(0, 500, 300))
+    text = " ".join(f"w{i}" for i in rng.integers(0, 500, 3000)) + " " + " ".join(item.split()[100:160])
+    docs = spark.createDataFrame([(1, text, "x", 0), (2, "clean", "y", 1)], "doc_id long, text string, n_words string, row int")
+    bench = spark.createDataFrame([("a", item), ("b", "never seen words")], "item_id string, text string")
+    got = {r.doc_id: r for r in d.contamination(docs, bench).collect()}
+    n, hit, _ = brute(text, [("a", item)])
+    assert (got[1].n_words, got[1].n_hit, got[1].n_items) == (n, hit, 1) and hit >= 60
+    blocks = {r.doc_id: r for r in d.with_contamination(docs, bench, block_bytes=300).collect()}
+    assert blocks[1].contamination.n_hit == hit and blocks[2].contamination.n_hit == 0
+    assert {c for c in docs.columns} <= {*blocks[1].asDict()}
+
+
+def test_phrases_travel_packed():
+    import pickle
+
+    known = d.phrases_of([("a", "one two three"), ("b", "two three one"), ("c", "one two three")])
+    assert known.symbols[b"two"] == 3
+    back = pickle.loads(pickle.dumps(known))
+    assert "symbols" not in back.__dict__ and back.symbols == known.symbols
+    assert sorted(back.names[i] for i in back.items(3, np.array([0, 1]))) == ["a", "b", "c"]

@@ -235,3 +235,97 @@ def test_windows_keep_the_budget_and_the_system_turn():
         fresh += [t[1] for t in turns[repeated:]]
         assert [text[s["start"] : s["end"]] for s in loss] == [t[1] for t in turns[repeated:] if t[0] == "assistant"]
     assert fresh == ["S"] + [f"t{i}" for i in range(20)] and len(out) > 2 and any(r > 1 for _, _, r, _, _ in out)
+
+
+def test_a_payload_is_read_back_by_its_row(spark):
+    long = "lång text " * 200_000
+    docs = spark.createDataFrame([(1, "abc"), (2, "abc"), (3, long), (4, None)], "doc_id long, text string").repartition(4)
+    rows = {r.doc_id: r for r in media.media_columns(docs).collect()}
+    for d, text in ((1, "abc"), (3, long), (4, "")):
+        r = rows[d]
+        assert media.read_payload(r.folder, r.shard, r.offset, r.length) == media.payload_of(text)[0]
+        assert r.length == r.media_bytes
+    assert (rows[1].shard, rows[1].offset) == (rows[2].shard, rows[2].offset)
+
+
+def test_the_average_hash_sees_rows_and_columns():
+    dark, light = np.zeros((4, 192), np.uint8), np.full((4, 192), 200, np.uint8)
+    hash_of = lambda x: media.feature_of(x).rpartition("hash=")[2]
+    top, bottom = np.concatenate([light, dark]), np.concatenate([dark, light])
+    assert hash_of(top) == "ffffffff00000000" and hash_of(bottom) == "00000000ffffffff"
+    assert hash_of(np.concatenate([dark[:, :96], light[:, :96]], axis=1)) == "0f" * 8
+    rows = np.random.default_rng(1).integers(0, 256, (20_000, 192)).astype(np.uint8)
+    mean, var = (float(p.partition("=")[2]) for p in media.feature_of(rows).split(";")[:2])
+    assert abs(mean - rows.mean()) < 1e-3 and abs(var - rows.astype(float).var()) < 1e-2
+
+
+def test_spans_of_a_block_decode_from_checkpoints():
+    rng = np.random.default_rng(5)
+    ids = (rng.zipf(1.3, 3 * rans.INTERVAL + 777) % 5000).astype(np.uint32)
+    table = rans.Frequencies.of_counts(np.bincount(ids, minlength=5000))
+    block = rans.encode(ids, table)
+    for a, b in [(0, 1), (5, rans.INTERVAL), (rans.INTERVAL - 1, rans.INTERVAL + 1), (2 * rans.INTERVAL + 9, len(ids)), (7, len(ids)), (9, 9)]:
+        assert (rans.decode_span(block, table, a, b) == ids[a:b]).all()
+    bad = bytearray(block)
+    bad[-1] ^= 1
+    with pytest.raises((ValueError, IndexError)):
+        rans.decode_span(bytes(bad), table, 2 * rans.INTERVAL + 9, len(ids))  # its last word
+
+
+def test_units_of_a_segment_are_read_on_their_own():
+    rng = np.random.default_rng(6)
+    lengths = [*rng.integers(1, 900, 3000).tolist(), tokens.BLOCK + 5, 1, 1, 40_000]
+    ids = rng.integers(0, 300, sum(lengths)).astype(np.uint32)
+    data = b"before" + tokens.pack_segment(list(range(len(lengths))), lengths, ids, 300)
+    units = tokens.units_of(lengths, 200_000)
+    assert len(units) > 5 and units[0][0] == 0 and units[-1][1] == len(lengths) and all(x[1] == y[0] for x, y in zip(units, units[1:]))
+    ends = np.cumsum(lengths)
+    for first, last, n in units:
+        docs, own, pieces = tokens.read_unit(io.BytesIO(data), 6, first, last)
+        assert docs == list(range(first, last)) and own.tolist() == lengths[first:last] and n == sum(own)
+        assert (np.concatenate(list(pieces)) == ids[ends[first] - lengths[first] : ends[last - 1]]).all()
+
+
+def test_one_file_is_decoded_by_several_tasks(spark, monkeypatch):
+    monkeypatch.setattr(tokens, "UNIT", 2000)
+    monkeypatch.setattr(tokens, "MOST_OF_ID", 5)
+    rows = [(i // 40 if i < 80 else i, f"word{i % 17} more words " * (i % 30 + 1)) for i in range(300)] + [(0, "same")] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    path = scratch(spark, "tokens-test")
+    manifest = tokens.write_tokens(docs, path, queries.tokenizer_path(), 2)
+    units = manifest.collect()
+    assert len(units) > len({u.file for u in units}) and max(u.n_tokens for u in units) < 4000
+    read = tokens.read_tokens(manifest, path)
+    got = sorted(map(tuple, read.collect()), key=lambda r: r[1])
+    tok, start, expect = tokens.tokenizer(queries.tokenizer_path()), 0, []
+    for d, t in sorted(rows):
+        ids = tok.library.encode(t, add_special_tokens=False).ids + [2]
+        expect.append((d, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    assert got == expect
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        hot = tokens._in_order(docs.where("doc_id = 0")).groupBy(F.spark_partition_id().alias("task")).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(hot) > 1  # a frequent id is not one task's
+
+
+def test_ties_do_not_depend_on_the_order_of_rows(spark):
+    rows = [(None, f"w{i} x", "en", "src1", i, "row", 0.5) for i in range(6)] + [(1, "a " * 200_000, "de", "src2", 9, "row", 0.5)]
+    kind = "doc_id long, text string, lang string, source string, n_tokens int, row string, domain double"
+    seen = set()
+    for some in (rows, rows[::-1], rows[3:] + rows[:3]):
+        docs = spark.createDataFrame(some, kind)
+        mix = mixing.Mix(budget=14, max_epochs=1)
+        kept = mixing.mixed_documents(docs, mix, F.lit("d"))
+        assert kept.columns == docs.columns
+        seen.add(tuple(sorted(r.n_tokens for r in kept.collect())))
+    assert len(seen) == 1 and len(next(iter(seen))) == 3
+
+
+def test_shards_take_long_texts_and_clashing_columns(spark):
+    rows = [(i, "é" * (1_000_000 if i == 3 else i), 7, "x", 1) for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, shard int, place string, part int")
+    got = {r.doc_id: r for r in sharding.shuffled(docs).collect()}
+    assert len(got) == 30 and got[3].size == 2_000_008 and {r.shard for r in got.values()} == set(range(24))

@@ -119,3 +119,77 @@ def test_rules_as_columns_equal_rules_as_arrays(spark):
     got = [r[0] for r in frame.select(quality.score_column(F.struct("*"), rules, b)).collect()]
     expect = 1 / (1 + np.exp(-(b + sum(r.weight * r.holds(x) for r in rules))))
     assert np.allclose(got, expect) and ((expect > 0.5) == y).mean() > 0.97
+
+
+def plain_ftrl(rows, p, seed=7):
+    """FTRL-proximal coordinate by coordinate, as its update rule is written."""
+    z, n = {}, {}
+    rng = np.random.default_rng(seed)
+
+    def weight(i, l1):
+        zi, ni = z.get(i, 0.0), n.get(i, 0.0)
+        if abs(zi) <= l1:
+            return 0.0
+        return -(zi - (l1 if zi > 0 else -l1)) / ((p.beta + ni**0.5) / p.alpha + p.l2)
+
+    for _ in range(p.epochs):
+        for k in rng.permutation(len(rows)):
+            at, label = rows[k]
+            w = {i: weight(i, p.l1) for i in at} | {"bias": weight("bias", 0.0)}
+            score = 1 / (1 + np.exp(-sum(w.values())))
+            for i in w:
+                g = score - label
+                sigma = ((n.get(i, 0.0) + g * g) ** 0.5 - n.get(i, 0.0) ** 0.5) / p.alpha
+                z[i] = z.get(i, 0.0) + g - sigma * w[i]
+                n[i] = n.get(i, 0.0) + g * g
+    return {i: w for i in z if i != "bias" and (w := weight(i, p.l1))}, weight("bias", 0.0)
+
+
+def test_training_is_ftrl_coordinate_by_coordinate():
+    rng = np.random.default_rng(8)
+    rows = [(np.unique(np.append(rng.integers(2, 300, 12), i % 2)), int((i % 2) ^ (rng.random() < 0.1))) for i in range(150)]
+    p = toxicity.Ftrl(bits=9, l1=0.6, epochs=3)
+    at, w, bias = toxicity.train(rows, p)
+    expect, b = plain_ftrl([([int(i) for i in a], y) for a, y in rows], p)
+    assert dict(zip(at.tolist(), w)) == pytest.approx(expect, abs=1e-9) and bias == pytest.approx(b)
+    assert 0 < len(at) < 300
+
+
+def test_lasso_meets_its_conditions_and_a_plain_solver():
+    rng = np.random.default_rng(4)
+    a = (rng.random((400, 12)) < 0.4).astype(float)
+    y = (1 / (1 + np.exp(-(2 * a[:, 0] - 3 * a[:, 1] + 0.3))) > rng.random(400)).astype(float)
+    w, b = quality.lasso(a, y, 0.01, rounds=6000)
+    e = 1 / (1 + np.exp(-(a @ w + b))) - y
+    slope = a.T @ e / len(y)
+    assert abs(e.mean()) < 1e-6
+    assert all(abs(s + 0.01 * np.sign(v)) < 1e-5 if v else abs(s) <= 0.01 + 1e-6 for s, v in zip(slope, w))
+    pw, pb = np.zeros(12), 0.0
+    for _ in range(40_000):  # proximal gradient, no momentum
+        e = 1 / (1 + np.exp(-(a @ pw + pb))) - y
+        new = pw - 0.3 * (a.T @ e / len(y))
+        pw, pb = np.sign(new) * np.maximum(np.abs(new) - 0.3 * 0.01, 0), pb - 0.3 * e.mean()
+    assert np.allclose(w, pw, atol=1e-4) and abs(b - pb) < 1e-4
+
+
+def test_a_trees_first_cut_is_the_best_one():
+    rng = np.random.default_rng(2)
+    x = rng.random((200, 3))
+    y = (x[:, 1] > 0.63).astype(float)
+    cuts = [np.linspace(0.05, 0.95, 40)] * 3
+    g, h = 0.5 - y, np.full(200, 0.25)
+    found = []
+    quality._tree(x, g, h, 1, (), cuts, 5, np.arange(3), found, np.arange(200))
+    gain = {(i, c): sum(g[s].sum() ** 2 / (h[s].sum() + 1) for s in (x[:, i] > c, x[:, i] <= c)) for i in range(3) for c in cuts[i] if 5 <= (x[:, i] > c).sum() <= 195}
+    i, c = max(gain, key=gain.get)
+    assert {r.terms for r in found} == {((i, True, c),), ((i, False, c),)}
+
+
+def test_a_repeated_labelled_id_is_drawn_once(spark):
+    from tidelake.llm.labelled import sample
+
+    rows = [(1, "hot id", 0)] * 3000 + [(1, "hot id again", 0)] * 10 + [(i, f"text {i}", 1) for i in range(2, 12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, label int")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 12)], "doc_id long, toxic int")
+    got = sample(docs, labels, "toxic", F.lit(True), 5, "doc_id", "text").collect()
+    assert len(got) == 10 and len({r["__id"] for r in got}) == 10

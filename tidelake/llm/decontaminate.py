@@ -279,7 +279,11 @@ def is_contaminated(n_hit, n_words):
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated for every row of docs."""
+    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated for every row of docs.
+
+    Other columns are not read; nulls, repeats, long texts and empty tables are as
+    with_contamination says.
+    """
     found = with_contamination(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), benchmark)
     c = F.col("contamination")
     return found.select(

@@ -35,6 +35,7 @@ def sample(docs: DataFrame, labels: DataFrame, target: str, learn: Column, most:
     labels: id_col and target (0 or 1; null and other values are ignored; a repeated id
     counts once, with its largest label).  learn: a condition on the id column.  Only ids
     are ranked; the chosen ids (at most 2 * most) are broadcast to the scan of the texts.
+    Of several documents of one id one is drawn, by a hash of its text.
     """
     text_batches(docs.sparkSession)
     known = _known(labels, target, learn, id_col)
@@ -44,4 +45,8 @@ def sample(docs: DataFrame, labels: DataFrame, target: str, learn: Column, most:
         part = known.where(F.col("label") == label).orderBy(order, "__id").limit(most)
         chosen = part if chosen is None else chosen.unionByName(part)
     texts = docs.select(F.col(id_col).alias("__id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return texts.join(F.broadcast(chosen), "__id").select("__id", "text", "label")
+    drawn = texts.join(F.broadcast(chosen), "__id").select("__id", "text", "label")
+    if drawn.groupBy("__id").count().where("count > 1").isEmpty():  # texts are grouped only where ids repeat
+        return drawn
+    one = F.min_by("text", F.struct(F.xxhash64("text", F.lit(seed)), "text")).alias("text")
+    return drawn.groupBy("__id", "label").agg(one).select("__id", "text", "label")

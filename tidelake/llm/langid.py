@@ -104,7 +104,8 @@ def language_id(docs: DataFrame, folds: int = 3, held: int = 1, lang_col: str =
     """doc_id, held_out, lang_pred, score for every row of docs.
 
     Null texts and texts without letters are ``und`` with score 0, as are all texts where
-    no row with a language may be learned from.  Repeated rows are each returned.
+    no row with a language may be learned from.  Long texts are read whole.  Repeated rows
+    are each returned, other columns are not; an empty table gives no rows.
     """
     text_batches(docs.sparkSession)
     known = profiles(docs, lang_col, remainder(F.col(id_col), folds) != held, id_col, text_col, most, top)

@@ -174,8 +174,8 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, target: str = "qualit
 def quality(docs: DataFrame, labels: DataFrame, folds: int = 3, held: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, held_out, score, predicted for every row of docs.
 
-    Null and empty texts have zero statistics and score as the rules say for those.
-    Repeated rows are each scored, equal texts alike.  An empty table gives no rows; without
+    Null and empty texts have zero statistics and score as the rules say for those; long
+    texts are read whole and other columns of docs not at all.  Repeated rows are each scored, equal texts alike.  An empty table gives no rows; without
     labels of both classes the score is constant.
     """
     rules, intercept = fit(docs, labels, remainder(F.col(id_col), folds) != held, id_col=id_col, text_col=text_col)

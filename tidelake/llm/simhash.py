@@ -216,7 +216,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """doc_id, fingerprint, component_id for every row of docs.
 
     Rows with no words (null, empty or blank text) have fingerprint 0 and link like any
-    other.  Repeated rows are each returned.  A row with a null id takes part in links;
+    other; long texts are hashed whole, a block of shingles at a time.  Repeated rows are each returned.  A row with a null id takes part in links;
     ids of a component ignore nulls, and a component without any id has a null one.  An
     empty table gives an empty result.  Columns other than the id and text are not read.
     """

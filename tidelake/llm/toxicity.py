@@ -135,8 +135,8 @@ def scorer(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float], bits: i
 def toxicity(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, held_out, score, predicted for every row of docs.
 
-    Null and empty texts have no features and score as the bias does.  Repeated rows are
-    each scored, equal texts alike.  A null id belongs to the fold of the empty text.  An
+    Null and empty texts have no features and score as the bias does; long texts are read
+    whole.  Repeated rows are each scored, equal texts alike; other columns of docs are not read.  A null id belongs to the fold of the empty text.  An
     empty table gives no rows; without labels of both classes the score is constant.
     """
     model = fit(docs, labels, remainder(F.col(id_col), folds) != held, id_col=id_col, text_col=text_col)
