@@ -138,3 +138,245 @@ def test_weekly_names_what_moved(spark, base):
         ("BTCUSDT", "error", "settled close values changed, history was revised"), ("BTCUSDT", "error", "1 stored dates vanished"),
         ("ETHUSDT", "warn", "settled close values changed by one ratio, as after a corporate action"), ("ETHUSDT", "error", "1 stored dates vanished"),
     }
+
+
+def test_a_cut_at_any_step_of_a_swap_loses_nothing(spark, tmp_path):
+    import os
+
+    rows = lambda n: spark.createDataFrame([(i, float(i)) for i in n], "id long, v double").coalesce(1)
+    steps = {
+        "written": lambda p: rows([9]).write.parquet(p + ".new-x"),
+        "moved away": lambda p: (rows([9]).write.parquet(p + ".new-x"), os.rename(p, p + ".old")),
+        "moved in": lambda p: (os.rename(p, p + ".old"), rows(range(5)).write.parquet(p)),
+    }
+    for name, cut in steps.items():
+        path = str(tmp_path / name.replace(" ", "_"))
+        rows(range(5)).write.parquet(path)
+        cut(path)
+        upkeep.upsert(spark, rows([4, 5]), path, ["id"], ["id"])
+        assert sorted(r.id for r in spark.read.parquet(path).collect()) == [0, 1, 2, 3, 4, 5], name
+        assert not [f for f in os.listdir(tmp_path) if ".new-" in f or f.endswith(".old")]
+    quality = str(tmp_path / "dq")
+    spark.createDataFrame([("2024-01-01", "daily", 5)], "run_date string, cadence string, n_error long").write.parquet(quality)
+    os.rename(quality, quality + ".old")
+    upkeep.record_run(spark, spark.createDataFrame([("2024-01-02", "daily", 1)], "run_date string, cadence string, n_error long"), quality, ["run_date", "cadence"], {"run_date": "2024-01-02", "cadence": "daily"})
+    assert spark.read.parquet(quality).count() == 2
+
+
+def test_a_rename_that_fails_is_an_error(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "x")
+    spark.range(3).write.parquet(path)
+    real, seen = upkeep._rename, []
+
+    def broken(fs, a, b):
+        seen.append(1)
+        if len(seen) == 2:
+            raise OSError("no")
+        real(fs, a, b)
+
+    monkeypatch.setattr(upkeep, "_rename", broken)
+    with pytest.raises(OSError):
+        upkeep.replace_path(spark.range(9), path)
+    assert spark.read.parquet(path).count() == 3
+
+
+def test_the_last_of_equal_keys_in_a_batch_stays(spark, tmp_path):
+    path = str(tmp_path / "t")
+    upkeep.upsert(spark, spark.createDataFrame([(1, "first"), (2, "x"), (1, "last")], "id int, v string").coalesce(1), path, ["id"], ["id"])
+    assert dict(spark.read.parquet(path).collect()) == {1: "last", 2: "x"}
+
+
+def test_compaction_loses_no_digits(spark, tmp_path):
+    def merged(name, *parts):
+        path = str(tmp_path / name)
+        for value, kind in parts:
+            spark.createDataFrame([(value,)], f"v {kind}").coalesce(1).write.mode("append").parquet(path)
+        upkeep.compact(spark, path)
+        return {r.v for r in spark.read.parquet(path).collect()}, spark.read.parquet(path).dtypes[0][1]
+
+    assert merged("a", (0.5, "float"), (123456789.123, "double")) == ({0.5, 123456789.123}, "double")
+    assert merged("b", (7, "smallint"), (2**40 + 1, "bigint")) == ({7, 2**40 + 1}, "bigint")
+    assert merged("c", (7, "int"), (0.1, "double")) == ({7.0, 0.1}, "double")
+    with pytest.raises(ValueError, match="no type"):
+        merged("d", (2**60 + 1, "bigint"), (0.1, "double"))
+    assert {r.v for f in (tmp_path / "d").glob("*.parquet") for r in spark.read.parquet(str(f)).collect()} == {2**60 + 1, 0.1}
+    assert upkeep.wider("decimal(10,2)", "bigint") == "decimal(21,2)" and upkeep.wider("float", "int") == "double"
+    with pytest.raises(ValueError):
+        upkeep.wider("string", "int")
+
+
+def test_settled_partitions_are_compacted_and_recovered(spark, tmp_path):
+    import os
+
+    for d in ("2024-01-01", "2024-01-02", "2024-01-05"):
+        for i in range(3):
+            spark.createDataFrame([(i,)], "v int").coalesce(1).write.mode("append").parquet(str(tmp_path / f"kind=trades/date={d}"))
+    cut = str(tmp_path / "kind=trades/date=2024-01-02")
+    os.rename(cut, cut + ".old")
+    done = upkeep.compact_settled(spark, str(tmp_path), "2024-01-05")
+    assert {k.rpartition("=")[2]: n for k, n in done.items()} == {"2024-01-01": 3, "2024-01-02": 3}
+    assert spark.read.parquet(cut).count() == 3 and upkeep.compact_settled(spark, str(tmp_path), "2024-01-05") == {}
+
+
+def test_a_repeat_without_violations_clears_the_run(spark, base):
+    from tidelake.plans import jobs
+
+    found = spark.createDataFrame([("bars", "s", "X", None, "nulls", "error", "1 null")], "group string, source string, series_id string, metric string, check string, severity string, detail string")
+    assert jobs.record(spark, base, found, "2024-03-01 00:00:00", "daily").count() == 1
+    assert jobs.record(spark, base, found, "2024-03-01 00:00:00", "weekly").count() == 1
+    assert jobs.record(spark, base, found.limit(0), "2024-03-01 05:00:00", "daily").count() == 0
+    runs = {r.cadence: r.n_violations for r in lake.query(spark, "SELECT cadence, n_violations FROM dq_runs ORDER BY run_ts DESC LIMIT 200", base).collect()}
+    assert runs == {"daily": 0, "weekly": 1}
+    assert lake.query(spark, "SELECT * FROM dq_violations", base).count() == 1
+    from tidelake.schemas import DQ_RUNS
+
+    assert [r.cadence for r in upkeep.history(spark, f"{base}/quality/dq_runs", DQ_RUNS).collect()] == ["daily", "weekly"]
+    assert upkeep.history(spark, f"{base}/quality/none", DQ_RUNS).count() == 0
+
+
+def test_published_files_are_bounded(spark, tmp_path):
+    rows = spark.range(1000).select(F.lit("a").alias("source"), F.col("id").alias("date"))
+    allowed = spark.createDataFrame([("bars", "a")], "group string, source string")
+    assert upkeep.publish(rows, allowed, "bars", str(tmp_path / "out"), file_rows=300) == 4
+    files = [spark.read.parquet(str(f)).count() for f in (tmp_path / "out").glob("*.parquet")]
+    assert sum(files) == 1000 and max(files) < 600
+    assert upkeep.publish(rows, allowed, "bars", str(tmp_path / "out")) == 1
+
+
+MIDS = """
+    SELECT source,
+           received_at // 1000 AS bucket, -- arg_max(a, b) // not code
+           arg_max(
+               (TRY_CAST(bid_price AS DOUBLE) + TRY_CAST(ask_price AS DOUBLE)) / 2,
+               received_at
+           ) AS mid
+    FROM book_ticker
+    WHERE symbol = 'X' AND date = DATE '2024-01-01' AND source IN ('binance', 'coinbase')
+    GROUP BY source, bucket
+    ORDER BY bucket
+"""
+
+
+def test_sql_of_nested_calls_windows_and_filters(spark, base):
+    rows = lake.query(spark, MIDS, base).collect()
+    assert len(rows) == 120 and rows[0].bucket == 1704067200 and {round(r.mid, 4) for r in rows} == {100.1, 100.03}
+    over = lake.query(spark, "SELECT symbol, arg_max(close, date) OVER (PARTITION BY symbol) AS last, /* // */ close FROM bars", base).collect()
+    assert len(over) == 20 and {r.last for r in over} == {20.5}
+    kept = lake.query(spark, "SELECT arg_max(close, date) FILTER (WHERE close < 15) AS c, arg_min(nullif(close, 11.5), date) AS d FROM bars", base).first()
+    assert (kept.c, kept.d) == (14.5, 12.5)
+    glob = f"{base}/bronze/group=bars/source=*/symbol=*/interval=*/*.parquet"
+    n = lake.query(spark, f"SELECT symbol, count(*) AS n FROM read_parquet('{glob}', hive_partitioning = true, union_by_name = true) GROUP BY symbol", base).collect()
+    assert {(r.symbol, r.n) for r in n} == {("BTCUSDT", 10), ("ETHUSDT", 10)}
+    assert lake.query(spark, f"SELECT count(*) AS n FROM read_parquet('{glob}')", base).first().n == 20
+
+
+def test_only_named_views_are_made(spark, base):
+    for v in ("bars", "series", "events", "book_ticker"):
+        spark.catalog.dropTempView(v)
+    lake.query(spark, "SELECT count(*) FROM series", base)
+    assert spark.catalog.tableExists("series") and not spark.catalog.tableExists("bars")
+    with pytest.raises(FileNotFoundError):
+        lake.load_bars(spark, base, "NONE", "binance")
+    assert lake.load_bars(spark, base, "BTCUSDT", "binance").count() == 10 and lake.load_series(spark, base, "BTC", "fut", "funding_rate").count() == 3
+    assert lake.count_events(spark, base, "fredcal", "us_macro") == 2 and lake.count_events(spark, base, "fredcal", "none") == 0
+
+
+def test_updates_start_at_the_watermark_and_heal_it(spark, base):
+    from tidelake.registry import Registry, Source
+    from tidelake.sources import updates
+    from tidelake.sources.rest import NoNewData
+
+    asked = []
+
+    def fetch(source, name, start, end):
+        asked.append((source, name, start))
+        if name == "ETHUSDT":
+            raise NoNewData(name)
+        if source == "fut":
+            raise RuntimeError("down")
+        if source == "fred":
+            return spark.createDataFrame([(datetime(2024, 1, 4), 4.0), (datetime(2024, 1, 5), None)], "date timestamp, value double")
+        if source == "fredcal":
+            return spark.createDataFrame([("CPI:2024-01-01", "CPI", datetime(2024, 1, 2), datetime(2024, 1, 9), 2.6, None, None, 2)], "event_id string, series_id string, scheduled_ts timestamp, observed_ts timestamp, actual double, forecast double, previous double, revision_seq int")
+        return spark.createDataFrame([(datetime(2024, 1, d), 1.0, 2.0, 0.5, 1.5, 9.0) for d in (10, 11, 12)], BARS)
+
+    registry = Registry([Source("fredcal", "events", {"CPI": "CPI"})])
+    done = updates.update_all(spark, base, registry, fetch, "2024-01-12")
+    assert (done["updated"], [f["series"] for f in done["failures"]]) == (4, ["fut/BTC"])
+    rows = {r.date.day: r.close for r in lake.load_bars(spark, base, "BTCUSDT", "binance").collect()}
+    assert len(rows) == 11 and rows[10] == rows[11] == 1.5 and rows[9] == 19.5  # the 12th still forms
+    assert ("binance", "BTCUSDT", "2024-01-10") in asked and ("fred", "UNRATE", "2024-01-04") in asked
+    assert lake.load_series(spark, base, "UNRATE", "fred").count() == 5 and lake.count_events(spark, base, "fredcal", "us_macro") == 3
+    with pytest.raises(FileNotFoundError):
+        updates.update_bars(spark, base, "binance", "NEW", "1d", fetch, "2024-01-12")
+    assert updates.update_bars(spark, base, "binance", "BTCUSDT", "1d", fetch, "2024-01-11").count() == 0
+
+
+def test_backfill_migration_and_the_facade(spark, base, tmp_path):
+    from tidelake.registry import Registry, Source
+    from tidelake.sources import updates
+
+    registry = Registry([Source("binance", "bars", {"SOLUSDT": "SOL", "BAD": "BAD"}, "1d"), Source("cot", "series", {"GOLD": "088691"})])
+
+    def fetch(source, name, start, end):
+        if name == "BAD":
+            raise RuntimeError("delisted")
+        if source == "cot":
+            return spark.createDataFrame([(datetime(2024, 1, 2), 1.0, 2.0)], "date timestamp, longs double, shorts double")
+        return spark.createDataFrame([(datetime(2024, 1, d), 1.0, 2.0, 0.5, 1.5, 9.0) for d in (1, 2)], BARS)
+
+    done = updates.backfill(spark, base, registry, fetch, "bars", "binance", today="2024-01-02")
+    assert done["saved"] == ["SOLUSDT"] and done["failures"][0]["series"] == "binance/BAD"
+    assert lake.load_bars(spark, base, "SOLUSDT", "binance").count() == 1
+    assert updates.backfill(spark, base, registry, fetch, "series", "cot")["saved"] == ["GOLD"]
+    assert {r.metric for r in lake.load_series(spark, base, "GOLD", "cot").collect()} == {"longs", "shorts"}
+    for bad in (("bars", "nobody", "X"), ("bars", "binance", "DOGE")):
+        with pytest.raises(ValueError):
+            updates.load(registry, fetch, *bad)
+    old = str(tmp_path / "old")
+    spark.createDataFrame([(datetime(2024, 1, d), 1.0, 2.0, 0.5, 1.5, 9.0) for d in (1, 2, 3)], BARS).write.parquet(old)
+    assert updates.migrate_bars(spark, old, base, "kraken", "XBT") == 3 and lake.load_bars(spark, base, "XBT", "kraken").count() == 3
+
+
+def test_a_week_counts_what_could_not_be_checked(spark, base):
+    from tidelake.plans import jobs
+
+    def refetch(source, symbol):
+        if symbol == "ETHUSDT":
+            raise RuntimeError("down")
+        return lake.load_bars(spark, base, symbol, source).where(F.dayofmonth("date") != 3)
+
+    def refetch_series(source, series_id):
+        return lake.load_series(spark, base, series_id, source).withColumn("value", F.col("value") + (F.dayofmonth("date") == 2).cast("int"))
+
+    pairs = spark.createDataFrame([("BTCUSDT", "ETHUSDT")], "symbol string, other string")
+    done = jobs.weekly_run(spark, base, "2024-02-01 00:00:00", refetch, refetch_series, pairs)
+    assert (done["checked"], done["failed"], done["failures"][0]["series"]) == (3, 1, "binance/ETHUSDT")
+    found = {(r.group, r.series_id, r.check, r.severity) for r in done["violations"].collect()}
+    assert ("bars", "BTCUSDT", "self_consistency", "error") in found and ("series", "UNRATE", "self_consistency", "warn") in found
+    assert ("bars", "BTCUSDT", "proxy_unavailable", "warn") in found
+    assert lake.query(spark, "SELECT n_violations FROM dq_runs WHERE cadence = 'weekly'", base).first()[0] == len(found)
+
+
+def test_the_tape_of_one_day_is_checked(spark, base):
+    from tidelake.plans import jobs
+
+    declared = spark.createDataFrame([("binance", "X", "book_ticker"), ("binance", "X", "depth")], "source string, symbol string, kind string")
+    now = F.lit("2024-01-02 01:00:00").cast("timestamp")
+    found = {(r.source, r.series_id, r.check) for r in jobs.run_checks(spark, base, now, declared=declared, disk_gb=(100.0, 1.0)).where("group IN ('microstructure', 'host')").collect()}
+    assert found == {("binance", "X", "capture"), ("binance", "X", "activity"), ("coinbase", "X", "activity"), (None, None, "disk")}
+
+
+def test_the_catalogue_is_written_with_health(spark, base):
+    import json
+
+    from tidelake.plans import jobs
+    from tidelake.registry import Registry, Source
+
+    registry = Registry([Source("binance", "bars", {"BTCUSDT": "BTCUSDT"}, "1d"), Source("ghost", "series", {"U": "U"})])
+    path = f"{base}/catalogue.json"
+    jobs.write_catalogue(spark, base, registry, "2024-01-11 00:00:00", path)
+    with open(path) as f:
+        rows = {r["source"]: r for r in json.load(f)["sources"]}
+    assert rows["binance"]["n_rows"] == 20 and rows["binance"]["health"] == "ok" and rows["ghost"]["health"] == "unknown"
+    assert {(r["group"], r["symbol"]) for r in jobs.drift(spark, base, registry).collect()} == {("series", "U")}

@@ -217,3 +217,65 @@ def test_a_trial_passes_fails_and_skips(spark):
     assert (got["determinism"], got["completeness"], got["peer_completeness"]) == ("failed", "failed", "failed")
     assert run(good.drop("close"), good) == {"contract": "failed"}
     assert contracts.negative(good, "low").count() == 0
+
+
+def test_streams_in_pieces_are_streams_whole(spark):
+    rng = np.random.default_rng(11)
+    ids = np.cumsum(rng.choice([1, 1, 1, 4, -3], 400)) + 1000
+    at = np.cumsum(rng.integers(0, 40, 400)) + rng.choice([0, 5000], 400).cumsum()
+    rows = [(s, int(i), int(i), int(t), n) for s in ("A", "B") for n, (i, t) in enumerate(zip(ids, at))] + [("A", None, None, 5, 900), ("C", 1, 2, None, 1)]
+    frame = spark.createDataFrame(rows, "symbol string, start_seq long, end_seq long, received_at long, arrival long")
+    for f, seq in ((tape.sequence_gaps, {}), (tape.order_breaks, {"seq": "end_seq"})):
+        src = frame if f is tape.sequence_gaps else frame.where("end_seq IS NOT NULL")
+        whole, pieces = (sorted(map(str, f(src, ["symbol"], ["received_at", "arrival"], width=w, **seq).collect())) for w in (1 << 40, 700))
+        assert whole == pieces and len(whole) > 50
+    plan = tape.sequence_gaps(frame, ["symbol"], ["received_at", "arrival"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "__chunk" in plan.split("windowspecdefinition(")[1].split(")")[0]
+
+
+def test_grids_in_blocks_are_grids_whole(spark, monkeypatch):
+    from tidelake.operators import align
+
+    rng = np.random.default_rng(12)
+    rows = [("X", int(b), float(b) if rng.random() < 0.5 else None, float(-b) if rng.random() < 0.5 else None) for b in sorted(rng.choice(3000, 120, replace=False))]
+    rows += [("Y", 5, 1.0, None), ("Z", 1, 1.0, None), ("Z", 2000, None, 2.0), ("Z", 2001, 3.0, None)]
+    wide = spark.createDataFrame(rows, "symbol string, bucket long, base_mid double, quote_mid double")
+    whole = sorted(map(tuple, align.forward_filled(wide, ["symbol"]).collect()))
+    monkeypatch.setattr(align, "BLOCK", 64)
+    assert sorted(map(tuple, align.forward_filled(wide, ["symbol"]).collect())) == whole
+    x = [r for r in rows if r[0] == "X"]
+    lo = max(next(r[1] for r in x if r[2] is not None), next(r[1] for r in x if r[3] is not None))
+    hi = min(max(r[1] for r in x if r[2] is not None), max(r[1] for r in x if r[3] is not None))
+    last = lambda b, c: [r[c] for r in x if r[1] <= b and r[c] is not None][-1]
+    assert [r for r in whole if r[0] == "X"] == [("X", b, last(b, 2), last(b, 3)) for b in range(lo, hi + 1)]
+    assert [r for r in whole if r[0] == "Z"] == [("Z", 2000, 1.0, 2.0)]
+
+
+def test_lags_skip_holes_of_the_grid(spark):
+    from tidelake.operators import align
+
+    rng = np.random.default_rng(13)
+    price = 100 * np.exp(np.cumsum(rng.normal(0, 0.01, 200)))
+    rows = [("X", int(b), float(price[b]), float(price[b - 2])) for b in range(2, 200)]
+    got = {r.lag: r for r in align.lead_lag(spark.createDataFrame(rows, "symbol string, bucket long, base_mid double, quote_mid double"), ["symbol"], 3).collect()}
+    assert got[2].corr == pytest.approx(1.0) and got[2].n == 195 and abs(got[0].corr) < 0.4
+    holes = [r for r in rows if r[1] % 10]
+    n = {r.lag: r.n for r in align.lead_lag(spark.createDataFrame(holes, "symbol string, bucket long, base_mid double, quote_mid double"), ["symbol"], 1).collect()}
+    assert n[1] < n[0]
+
+
+def test_messages_of_both_venues_decode(spark):
+    raw = [
+        ('{"type":"match","product_id":"BTC-USD","trade_id":7,"price":"1.10","size":"2","side":"buy","time":"t","sequence":9}', 5),
+        ('{"type":"snapshot","product_id":"BTC-USD","bids":[["1.0","2"]],"asks":[]}', 5),
+        ('{"type":"l2update","product_id":"BTC-USD","changes":[["buy","1.0","0"]],"time":"t"}', 5),
+        ('{"type":"subscriptions"}', 5),
+    ]
+    routed = tape.route(spark.createDataFrame(raw, "message string, received_at long"), "type", strict=False)
+    t = tape.decode(routed, "trades", "type").first()
+    assert (t.symbol, t.trade_id, t.price, t.quantity, t.sequence) == ("BTCUSDT", 7, "1.10", "2", 9)
+    s = tape.decode(routed, "snapshot", "type").first()
+    assert (s.bids, s.asks, s.snapshot_time) == ([["1.0", "2"]], [], None)
+    assert tape.decode(routed, "depth", "type").first().changes == [["buy", "1.0", "0"]]
+    with pytest.raises(Exception, match="feed error"):
+        tape.route(spark.createDataFrame([('{"type":"error","message":"no"}', 1)], "message string, received_at long"), "type", strict=False).collect()

@@ -354,13 +354,19 @@ def series_revisions(stored: DataFrame, again: DataFrame, keys: list[str]) -> Da
     return rows.groupBy(*keys).agg(F.count_if(revised).alias("n_revised"), F.count_if(F.col("in_new").isNull()).alias("n_vanished")).where("n_revised + n_vanished > 0")
 
 
+def _twelve_digits(x: Column) -> Column:
+    """x to twelve significant digits, so that rounding noise of a division makes no ranks."""
+    scale = F.pow(F.lit(10.0), 12 - F.ceil(F.log10(F.abs(x))))
+    return F.when(x == 0, x).otherwise(F.rint(x * scale) / scale)
+
+
 def peer_statistics(bars: DataFrame, ours: str, peers: list[str], keys: list[str]) -> DataFrame:
     """What the decision between our source and each peer needs, a row for each of our series and peer.
 
     keys, peer, n_ours, n_any (all rows of the peer), n_theirs (those in our span of dates),
     n_shared dates, n_compared (with a difference), median_rel_diff of |a - b| / |b|,
-    n_returns and ret_corr over shared dates, trend (Spearman's, of a / b with time).
-    Bars are scanned and shuffled once, by series.
+    n_returns and ret_corr over shared dates, trend (Spearman's, of a / b with time; a ratio
+    that is constant to twelve digits, as of a scaled copy, has none).  Bars are scanned and shuffled once, by series.
     """
     known = bars.where(F.col("source").isin(ours, *peers)).select(*keys, "date", "source", F.col("close").cast("double").alias("close")).repartition(*keys)
     close = lambda name: F.max(F.when(F.col("source") == name, F.struct("close")))
@@ -369,7 +375,7 @@ def peer_statistics(bars: DataFrame, ours: str, peers: list[str], keys: list[str
     rows = wide.withColumns({"lo": F.min(own_date).over(every), "hi": F.max(own_date).over(every)}).where("lo IS NOT NULL").select(*keys, "date", "us", "lo", "hi", F.explode("all").alias("p"))
     rows = rows.select(*keys, "date", F.col("us").isNotNull().alias("is_us"), F.col("p.peer").alias("peer"), F.col("p.them").isNotNull().alias("is_them"), F.col("date").between(F.col("lo"), F.col("hi")).alias("inside"), F.col("us.close").alias("a"), F.col("p.them.close").alias("b"))
     shared = F.col("is_us") & F.col("is_them")
-    rows = rows.withColumn("shared", shared).withColumn("ratio", F.when(shared, F.try_divide(F.col("a"), F.col("b")))).withColumn("rated", F.col("ratio").isNotNull())
+    rows = rows.withColumn("shared", shared).withColumn("ratio", F.when(shared, _twelve_digits(F.try_divide(F.col("a"), F.col("b"))))).withColumn("rated", F.col("ratio").isNotNull())
     by = Window.partitionBy(*keys, "peer", "shared").orderBy("date")
     change = lambda c: F.when(F.col("shared"), F.try_divide(F.col(c), F.lag(c).over(by)) - 1)
     rows = rows.withColumns({"x": change("a"), "y": change("b")})
