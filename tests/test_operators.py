@@ -279,3 +279,47 @@ def test_messages_of_both_venues_decode(spark):
     assert tape.decode(routed, "depth", "type").first().changes == [["buy", "1.0", "0"]]
     with pytest.raises(Exception, match="feed error"):
         tape.route(spark.createDataFrame([('{"type":"error","message":"no"}', 1)], "message string, received_at long"), "type", strict=False).collect()
+
+
+def test_a_paged_source_is_a_data_source(spark):
+    def fetch(symbol, cursor):
+        return rest.Page([[symbol, cursor]], cursor + 1 if cursor < 2 else None) if symbol != "NONE" else rest.Page([])
+
+    spark.dataSource.register(rest.paged_source("pages_of_a_vendor", lambda symbol: 0, fetch))
+    rows = spark.read.format("pages_of_a_vendor").option("symbols", "A,B").load()
+    assert rows.rdd.getNumPartitions() == 2
+    assert sorted((r.symbol, r.page, r.body) for r in rows.collect()) == [(s, k, f'[["{s}", {k}]]') for s in "AB" for k in range(3)]
+    with pytest.raises(Exception, match="NONE"):
+        spark.read.format("pages_of_a_vendor").option("symbols", "NONE").load().collect()
+
+
+def test_forward_reading_probes_before_data_and_ends_after():
+    listed, asked = {250: [250, 260], 261: [270]}, []
+
+    def fetch(at):
+        asked.append(at)
+        return next((rows for t, rows in listed.items() if at == t), [250, 260] if at == 200 else [])
+
+    assert list(rest.forward(0, 1000, fetch, lambda t: t, probe_ms=100)) == [[250, 260], [270]]
+    assert asked == [0, 100, 200, 261, 271]
+    assert list(rest.forward(0, 300, lambda at: [], lambda t: t, probe_ms=100)) == []
+
+
+def test_a_capture_marks_its_session_and_writes_all(spark, tmp_path):
+    kind = "source string, kind string, symbol string, received_at long"
+    src = str(tmp_path / "in")
+    spark.createDataFrame([("v", "trades", "X", 1704067200000 + i) for i in range(5)], kind).write.parquet(src)
+    stream = spark.readStream.schema(kind).parquet(src)
+    run = tape.Capture(stream, str(tmp_path / "out"), str(tmp_path / "cp"), str(tmp_path / "sessions"), 1, "1 second")
+    assert run.stop(9) == 5 and spark.read.parquet(str(tmp_path / "out")).count() == 5
+    assert sorted((r.event, r.at_ms, r.message_count) for r in spark.read.parquet(str(tmp_path / "sessions")).collect()) == [("start", 1, 0), ("stop", 9, 5)]
+
+
+def test_a_trial_without_a_peer_is_held_to_a_calendar(spark):
+    from tidelake.operators import contracts
+
+    lit = lambda t: F.lit(t).cast("date")
+    week = statistics.weekdays(spark, "2024-01-01", "2024-01-31")
+    rows = [("new", "X", d, 10.0, 15.0, 9.0, 10.0 + i % 5, 5.0) for i, d in enumerate(days(30)) if d.weekday() < 5]
+    run = lambda some: {r.stage: r.outcome for r in contracts.trial(spark, bars(spark, some), bars(spark, some), lit("2024-01-01"), lit("2024-01-31"), lit("2024-02-01"), calendar=week).collect()}
+    assert run(rows)["calendar_completeness"] == "passed" and run([r for i, r in enumerate(rows) if i % 4 != 2])["calendar_completeness"] == "failed"

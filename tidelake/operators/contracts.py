@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidelake.operators.statistics import implied_missing, missing_against_peer
+from tidelake.operators.statistics import calendar_gaps, implied_missing, missing_against_peer
 from tidelake.operators.upkeep import unchanged
 from tidelake.operators.verify import cross_source, outside, peer_statistics, structure, verify_bars
 
@@ -36,10 +36,12 @@ def backward_revisions(events: DataFrame) -> DataFrame:
     return events.withColumn("before", before).where(F.col("observed_ts") < F.col("before")).select("event_id", "revision_seq")
 
 
-def trial(spark: SparkSession, first: DataFrame, again: DataFrame, start: Column, end: Column, now: Column, stored: DataFrame | None = None, peer: str | None = None) -> DataFrame:
+def trial(spark: SparkSession, first: DataFrame, again: DataFrame, start: Column, end: Column, now: Column, stored: DataFrame | None = None, peer: str | None = None, calendar: DataFrame | None = None) -> DataFrame:
     """stage, outcome (passed, failed, skipped), detail of two pulls of one source's bars.
 
-    A stage that cannot be run is skipped, which is not a pass.  Only counts reach the driver.
+    A stage that cannot be run is skipped, which is not a pass.  calendar: expected days
+    (column day), for sources without a peer; holidays make it the looser one.  Only counts
+    reach the driver.
     """
     keys = ["source", "symbol"]
     rows: list[tuple[str, str, str]] = []
@@ -55,6 +57,11 @@ def trial(spark: SparkSession, first: DataFrame, again: DataFrame, start: Column
         stage("range", outside(first, keys, now, start, end).count(), "series out of range")
         thin = implied_missing(first, keys).where(F.col("n_missing") > SERIES_MISSING * (F.col("n_rows") + F.col("n_missing")))
         stage("completeness", thin.count(), "series with holes")
+        if calendar is not None:
+            lacks = calendar_gaps(first, keys, calendar).groupBy(*keys).agg(F.count("*").alias("n_missing"))
+            days = first.groupBy(*keys).agg(F.countDistinct(F.to_date("date")).alias("n"))
+            thin = days.join(lacks, keys).where(F.col("n_missing") > CALENDAR_MISSING * (F.col("n") + F.col("n_missing")))
+            stage("calendar_completeness", thin.count(), "series that lack the calendar's days")
         if stored is not None and peer is not None:
             both = stored.unionByName(first)
             ours = first.first()["source"]

@@ -213,6 +213,29 @@ def write_tape(rows: DataFrame, path: str, checkpoint: str, every: str = "30 sec
     return writer.partitionBy("source", "kind", "symbol", "date").trigger(processingTime=every).start()
 
 
+class Capture:
+    """A running tape with its session's start and stop rows.
+
+    stop() writes what has arrived, ends the query and adds the stop row with the number of
+    rows of the session; what is not written by then is read again from the checkpoint.
+    """
+
+    def __init__(self, rows: DataFrame, path: str, checkpoint: str, sessions: str, at_ms: int, every: str = "30 seconds") -> None:
+        self.spark, self.sessions = rows.sparkSession, sessions
+        self._mark("start", at_ms, 0)
+        self.query = write_tape(rows, path, checkpoint, every)
+
+    def _mark(self, event: str, at_ms: int, messages: int) -> None:
+        session_marker(self.spark, event, at_ms, messages).coalesce(1).write.mode("append").parquet(self.sessions)
+
+    def stop(self, at_ms: int) -> int:
+        self.query.processAllAvailable()
+        messages = sum(p["numInputRows"] for p in self.query.recentProgress)
+        self.query.stop()
+        self._mark("stop", at_ms, messages)
+        return messages
+
+
 def session_marker(spark, event: str, at_ms: int, messages: int = 0, gaps: int = 0) -> DataFrame:
     """A start or stop row of a capture session."""
     return spark.createDataFrame([("_all", event, at_ms, messages, gaps)], "symbol string, event string, at_ms bigint, message_count bigint, gap_count bigint")
