@@ -40,12 +40,12 @@ def upsert_repeated_keys(spark, d):
     return upkeep.last_write_wins(rows, twice.withColumn("open", F.col("open") + F.col("version")), [*BAR_KEYS, "date"], ["version"])
 
 
-_PULLS = f"WITH {st.BARS}, a AS (SELECT * FROM bars WHERE source = 'A'), b AS (SELECT source, symbol, date, open, high, low, CASE WHEN day(date) = 11 THEN close + 1 ELSE close END AS close, volume FROM a UNION ALL SELECT * FROM a WHERE day(date) = 12)"
+_PULLS = f"WITH {st.BARS}, a AS (SELECT * FROM bars), b AS (SELECT source, symbol, date, open, high, low, CASE WHEN day(date) = 11 THEN close + 1 ELSE close END AS close, volume FROM a UNION ALL SELECT * FROM a WHERE day(date) = 12)"
 
 
 @query("pulls_differ", f"{_PULLS} SELECT 'first' AS side, * FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b) UNION ALL SELECT 'second', * FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a)")
 def pulls_differ(spark, d):
-    a = st.bars(spark, d).where("source = 'A'")
+    a = st.bars(spark, d)
     b = a.withColumn("close", F.when(F.day("date") == 11, F.col("close") + 1).otherwise(F.col("close"))).unionByName(a.where(F.day("date") == 12))
     return upkeep.differing(a, b)
 
@@ -78,28 +78,32 @@ def _ms(date: str = "date") -> Column:
     return F.unix_millis(F.col(date).cast("timestamp"))
 
 
-_A_BARS = f"WITH {st.BARS} SELECT symbol, date, open, high, low, close, volume FROM bars WHERE source = 'A'"
+_NAMED_BARS = f"WITH {st.BARS} SELECT source || '/' || symbol AS symbol, date, open, high, low, close, volume FROM bars"
 
 
-@query("parse_klines", _A_BARS)
+def named_bars(spark, d) -> DataFrame:
+    return st.bars(spark, d).withColumn("symbol", F.concat_ws("/", "source", "symbol"))
+
+
+@query("parse_klines", _NAMED_BARS)
 def parse_klines(spark, d):
     record = F.array(_ms().cast("string"), *(F.col(c).cast("string") for c in ("open", "high", "low", "close", "volume")))
-    return payloads.positional_klines(_bodies(st.bars(spark, d).where("source = 'A'"), [F.col("symbol")], record)).withColumn("date", F.col("date").cast("date"))
+    return payloads.positional_klines(_bodies(named_bars(spark, d), [F.col("symbol")], record)).withColumn("date", F.col("date").cast("date"))
 
 
-@query("parse_unified", _A_BARS)
+@query("parse_unified", _NAMED_BARS)
 def parse_unified(spark, d):
     stale = F.array(_ms().cast("string"), *(F.lit("0") for _ in range(5)))
     record = F.array(_ms().cast("string"), *(F.col(c).cast("string") for c in ("open", "high", "low", "close", "volume")))
-    rows = st.bars(spark, d).where("source = 'A'").groupBy("symbol", F.year("date").alias("y")).agg(F.to_json(F.concat(F.collect_list(stale), F.collect_list(record))).alias("body"))
+    rows = named_bars(spark, d).groupBy("symbol", F.year("date").alias("y")).agg(F.to_json(F.concat(F.collect_list(stale), F.collect_list(record))).alias("body"))
     return payloads.unified_ohlcv(rows.select("symbol", F.replace("body", F.lit('"'), F.lit("")).alias("body"))).withColumn("date", F.col("date").cast("date"))
 
 
-@query("parse_pair_ohlc", _A_BARS)
+@query("parse_pair_ohlc", _NAMED_BARS)
 def parse_pair_ohlc(spark, d):
     record = F.array(F.unix_timestamp(F.col("date").cast("timestamp")).cast("string"), *(F.col(c).cast("string") for c in ("open", "high", "low", "close")), F.lit("0"), F.col("volume").cast("string"))
     wrap = lambda c: F.concat(F.lit('{"error":[],"result":{"last":17,"PAIR":'), F.to_json(c), F.lit("}}"))
-    return payloads.pair_ohlc(_bodies(st.bars(spark, d).where("source = 'A'"), [F.col("symbol")], record, wrap)).withColumn("date", F.col("date").cast("date"))
+    return payloads.pair_ohlc(_bodies(named_bars(spark, d), [F.col("symbol")], record, wrap)).withColumn("date", F.col("date").cast("date"))
 
 
 _COUNTS = "n AS (SELECT o_orderpriority AS series_id, CAST(o_orderdate AS DATE) AS date, count(*) AS n, sum(o_custkey) AS k FROM orders GROUP BY 1, 2)"

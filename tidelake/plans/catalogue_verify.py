@@ -135,10 +135,10 @@ def ratio_trend_spearman(spark, d):
     return rounded(statistics.ratio_trend(pairs(spark, d), ["symbol"]), "trend")
 
 
-# Three venues made of one flag's dates, so that every verdict between sources occurs.
+# Three venues made of the bars' dates, so that every verdict between sources occurs.
 
 _VENUES = f"""WITH {st.BARS}, base AS (
-    SELECT symbol, date, 1000 + (dayofyear(date) * 37 % 101) / 10.0 + CAST(symbol AS INTEGER) AS v, 1000 + (dayofyear(date) * 53 % 97) / 10.0 AS w, CAST(date_diff('day', DATE '1995-01-01', date) AS INTEGER) AS n FROM bars WHERE source = 'A'
+    SELECT symbol, date, 1000 + (dayofyear(date) * 37 % 101) / 10.0 + CAST(symbol AS INTEGER) AS v, 1000 + (dayofyear(date) * 53 % 97) / 10.0 AS w, CAST(date_diff('day', DATE '1995-01-01', date) AS INTEGER) AS n FROM (SELECT DISTINCT symbol, date FROM bars)
 ), venues AS (
     SELECT 'us' AS source, symbol, date, CAST(v AS DOUBLE) AS close FROM base WHERE NOT (symbol IN ('1', '8') AND n % 3 <> 0) AND NOT (symbol = '5' AND n > 250)
     UNION ALL SELECT 'p1', symbol, CASE WHEN symbol = '7' THEN date + 4000 ELSE date END, CAST(CASE WHEN symbol IN ('2', '6') THEN v * 100 WHEN symbol = '3' THEN v * (1 + n / 2000.0) WHEN symbol = '4' THEN w WHEN symbol = '5' THEN v * (1.2 + (n % 2) * 0.0006) ELSE v END AS DOUBLE)
@@ -149,7 +149,7 @@ _VENUES = f"""WITH {st.BARS}, base AS (
 
 def venues(spark, d) -> DataFrame:
     yearday, n, symbol = F.dayofyear("date"), F.datediff("date", day("1995-01-01")), F.col("symbol")
-    base = st.bars(spark, d).where("source = 'A'").select("symbol", "date", n.alias("n"), (1000 + (yearday * 37 % 101) / 10.0 + symbol.cast("int")).alias("v"), (1000 + (yearday * 53 % 97) / 10.0).alias("w"))
+    base = st.bars(spark, d).select("symbol", "date").distinct().select("symbol", "date", n.alias("n"), (1000 + (yearday * 37 % 101) / 10.0 + symbol.cast("int")).alias("v"), (1000 + (yearday * 53 % 97) / 10.0).alias("w"))
     n, v, thin, short = F.col("n"), F.col("v"), F.col("n") % 3 != 0, (symbol == "5") & (F.col("n") > 250)
     p1 = F.when(symbol.isin("2", "6"), v * 100).when(symbol == "3", v * (1 + n / 2000.0)).when(symbol == "4", F.col("w")).when(symbol == "5", v * (1.2 + (n % 2) * 0.0006)).otherwise(v)
     p2 = F.when(symbol.isin("0", "2"), v * 100).otherwise(v)
