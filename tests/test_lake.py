@@ -244,22 +244,18 @@ def test_published_files_are_bounded(spark, tmp_path):
 
 
 MIDS = """
-    SELECT source,
-           received_at // 1000 AS bucket, -- arg_max(a, b) // not code
-           arg_max(
-               (TRY_CAST(bid_price AS DOUBLE) + TRY_CAST(ask_price AS DOUBLE)) / 2,
-               received_at
-           ) AS mid
-    FROM book_ticker
-    WHERE symbol = 'X' AND date = DATE '2024-01-01' AND source IN ('binance', 'coinbase')
-    GROUP BY source, bucket
-    ORDER BY bucket
+SELECT source, received_at // 1000 AS second, -- arg_max(a, b) // not code
+    arg_max(
+        (TRY_CAST(bid_price AS DOUBLE) + TRY_CAST(ask_price AS DOUBLE)) / 2, received_at
+    ) AS mid
+FROM book_ticker WHERE date = DATE '2024-01-01' AND source IN ('binance', 'coinbase')
+GROUP BY source, second ORDER BY second, source
 """
 
 
 def test_sql_of_nested_calls_windows_and_filters(spark, base):
     rows = lake.query(spark, MIDS, base).collect()
-    assert len(rows) == 120 and rows[0].bucket == 1704067200 and {round(r.mid, 4) for r in rows} == {100.1, 100.03}
+    assert len(rows) == 120 and rows[0].second == 1704067200 and {round(r.mid, 4) for r in rows} == {100.1, 100.03}
     over = lake.query(spark, "SELECT symbol, arg_max(close, date) OVER (PARTITION BY symbol) AS last, /* // */ close FROM bars", base).collect()
     assert len(over) == 20 and {r.last for r in over} == {20.5}
     kept = lake.query(spark, "SELECT arg_max(close, date) FILTER (WHERE close < 15) AS c, arg_min(nullif(close, 11.5), date) AS d FROM bars", base).first()

@@ -103,7 +103,7 @@ def expected_windows(rows: DataFrame, by: list[str], keys: list[str], sla_second
     return best.select(*by, F.col("b.newest").alias("newest"), F.round(F.col("b.threshold") / 3600, 1).alias("expected_hours"))
 
 
-#: Hours between updates by group, where a source's own window is not known.
+#: Hours between updates by group, where a source's own window is not known. Fixed values.
 CADENCE_HOURS = {"bars": 24, "series": 72, "events": 168}
 
 

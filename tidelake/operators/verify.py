@@ -10,7 +10,7 @@ from tidelake.operators.checks import _n, union_all, violation
 from tidelake.operators.statistics import modal_gap, returns, rolling_correlation, split_recent
 from tidelake.schemas import REQUIRED, VIOLATION
 
-#: Limits of the decision between sources: rows against a peer's, median difference, correlation of
+#: Fixed values. Limits of the decision between sources: rows against a peer's, median difference, correlation of
 #: returns, trend of a ratio; shared dates that tell a trend, and that tell unlike returns.
 COVERAGE, MEDIAN_DIFF, RETURN_CORR, ONE_WAY_TREND, SHARED_LEAST, DATES_LEAST = 0.7, 0.05, 0.9, 0.80, 250, 6
 #: Limits of proxies.

@@ -54,7 +54,7 @@ def _nulls(rows: DataFrame, group: str, keys: list[str], columns: dict[str, floa
             own.setdefault(tuple(sorted(s.null_tolerance.items())), []).append(s.name)
     named = [n for names in own.values() for n in names]
     found = [checks.nulls(rows.where(F.col("source").isin(names)), group, keys, dict(limits)) for limits, names in own.items()]
-    rest = rows.where(~F.col("source").isin(named)) if named else rows
+    rest = rows.where(~F.coalesce(F.col("source").isin(named), F.lit(False))) if named else rows
     return [*found, checks.nulls(rest, group, keys, columns)] if columns else found
 
 

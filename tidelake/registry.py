@@ -1,4 +1,4 @@
-"""The source registry: configuration, quality contract and catalogue in one row a source."""
+"""Sources that a lake is fed from: their symbols, age limits, null tolerances, and what may be republished."""
 
 from __future__ import annotations
 

@@ -35,13 +35,13 @@ def route(messages: DataFrame, by: str = "stream", strict: bool = True) -> DataF
     return messages.withColumn("kind", kind).where("kind IS NOT NULL")
 
 
-#: Where each kind's columns are in a combined-stream message's data; paths with a dot start at the message.
+#: Where each kind's columns are in a combined-stream message's data. The venue's format.
 STREAM_FIELDS = {
     "trades": {"symbol": "s", "trade_id": "t", "price": "p", "quantity": "q", "trade_time": "T", "event_time": "E", "buyer_is_maker": "m"},
     "book_ticker": {"symbol": "s", "bid_price": "b", "bid_qty": "B", "ask_price": "a", "ask_qty": "A", "update_id": "u"},
     "depth": {"symbol": "s", "first_update_id": "U", "final_update_id": "u", "event_time": "E", "bids": "b", "asks": "a"},
 }
-#: Where they are in messages that name their type, whose symbol is a product.
+#: Where they are in messages that name their type, whose symbol is a product. The venue's format.
 TYPE_FIELDS = {
     "trades": {"symbol": "product_id", "trade_id": "trade_id", "price": "price", "quantity": "size", "side": "side", "trade_time": "time", "sequence": "sequence"},
     "book_ticker": {
@@ -71,8 +71,7 @@ def decode(messages: DataFrame, kind: str, by: str = "stream") -> DataFrame:
     kinds = {f.name: f.dataType for f in TAPE[kind]}
     raw = {n: "string" if not isinstance(kinds[n], T.ArrayType) else "array<array<string>>" for n in fields}
     body = F.get_json_object("message", "$.data") if by == "stream" else F.col("message")
-    # names may differ by case alone, so they are read from a map, not as a struct
-    cells = F.from_json(body, "map<string,string>")
+    cells = F.from_json(body, "map<string,string>")  # names may differ by case alone, which a struct's cannot
     rows = messages.where(F.col("kind") == kind).select(cells.alias("c"), "received_at")
     cell = lambda n: F.try_element_at(F.col("c"), F.lit(fields[n]))
     value = lambda n: F.from_json(cell(n), raw[n]) if raw[n] != "string" else cell(n).cast(kinds[n])
