@@ -68,7 +68,7 @@ def test_marts_over_the_lake(spark, base):
     first = bars.where("symbol = 'BTCUSDT'").orderBy("date").first()
     assert first.ret_simple is None and first.true_range == 2.0 and first.atr_14 == 2.0
     event = gold.events_revisions(silver.events(lake.read_events(spark, base))).first()
-    assert (event.initial_actual, event.latest_actual, event.n_revisions, event.days_to_latest) == (2.1, 2.4, 1, 3)
+    assert (event.source, event.calendar, event.initial_value, event.latest_value, event.n_revisions, event.days_to_latest) == ("fredcal", "us_macro", 2.1, 2.4, 1, 3)
     upkeep.replace_path(bars, lake.gold_path(base, "fct_bars_daily"))
     assert lake.query(spark, "SELECT count(*) AS n FROM fct_bars_daily", base).first().n == 20
 
@@ -376,3 +376,21 @@ def test_the_catalogue_is_written_with_health(spark, base):
         rows = {r["source"]: r for r in json.load(f)["sources"]}
     assert rows["binance"]["n_rows"] == 20 and rows["binance"]["health"] == "ok" and rows["ghost"]["health"] == "unknown"
     assert {(r["group"], r["symbol"]) for r in jobs.drift(spark, base, registry).collect()} == {("series", "U")}
+
+
+def test_a_published_lake_holds_what_may_leave(spark, base, tmp_path):
+    from tidelake.plans import jobs
+    from tidelake.registry import Registry, Source
+
+    registry = Registry([
+        Source("binance", "bars", {"BTCUSDT": "BTCUSDT"}, "1d", redistributable=True), Source("fred", "series", {"UNRATE": "UNRATE"}),
+        Source("fut", "bars", {"BTC": "BTC"}, redistributable=True), Source("fredcal", "events", {"CPI": "CPI"}, redistributable=True),
+    ])
+    jobs.nightly(spark, base, "2024-03-01 00:00:00", registry)
+    out = str(tmp_path / "public")
+    done = jobs.publish_lake(spark, base, out, registry)
+    assert set(done) == {"bars", "series", "events", "fct_bars_daily", "fct_series_features", "fct_events_revisions", "dim_sources", "dq_runs", "dq_violations"}
+    sources = lambda path: {r.source for r in spark.read.parquet(f"{out}/{path}").select("source").distinct().collect()}
+    assert sources("bronze/group=bars") == {"binance"} and sources("bronze/group=events") == {"fredcal"}
+    assert sources("bronze/group=series") == set()  # fut may leave as bars, not as series
+    assert sources("gold/fct_bars_daily") == {"binance"} and sources("gold/fct_series_features") == set() and sources("gold/fct_events_revisions") == {"fredcal"}

@@ -137,18 +137,18 @@ def series_metric_unpivot(spark, d):
 # Events
 
 _REVISIONS = f"""WITH {st.PRINTS}, r AS (
-    SELECT event_id, series_id, min(scheduled_ts) AS scheduled_ts, min(observed_ts) AS first_observed_ts, max(observed_ts) AS latest_observed_ts, arg_min(actual, revision_seq) AS initial_actual,
-           arg_max(actual, revision_seq) AS latest_actual, CAST(max(revision_seq) AS BIGINT) AS n_revisions FROM prints GROUP BY event_id, series_id
-) SELECT *, round(latest_actual - initial_actual, 6) AS total_revision, round((latest_actual - initial_actual) / nullif(abs(initial_actual), 0), 6) AS total_revision_pct,
-         CAST(date_diff('day', first_observed_ts, latest_observed_ts) AS BIGINT) AS days_to_latest FROM r"""
+    SELECT source, calendar, series_id, event_id, CAST(split_part(event_id, ':', 2) AS DATE) AS reference_date, min(scheduled_ts) AS scheduled_ts, arg_min(actual, revision_seq) AS initial_value, arg_max(actual, revision_seq) AS latest_value,
+           min(observed_ts) AS initial_observed_ts, max(observed_ts) AS latest_observed_ts, CAST(max(revision_seq) AS BIGINT) AS n_revisions FROM prints GROUP BY ALL
+) SELECT *, round(latest_value - initial_value, 6) AS total_revision, round((latest_value - initial_value) / nullif(initial_value, 0), 6) AS revision_pct,
+         CAST(date_diff('day', initial_observed_ts, latest_observed_ts) AS BIGINT) AS days_to_latest FROM r"""
 
 
 @query("events_revisions", _REVISIONS)
 def events_revisions(spark, d):
-    return rounded(gold.events_revisions(st.prints(spark, d)), "total_revision", "total_revision_pct")
+    return rounded(gold.events_revisions(silver.events(st.prints(spark, d))), "total_revision", "revision_pct")
 
 
-@query("events_silver", f"WITH {st.PRINTS} SELECT event_id, series_id, CAST(split_part(event_id, ':', 2) AS DATE) AS reference_date, scheduled_ts, observed_ts, actual, revision_seq FROM prints")
+@query("events_silver", f"WITH {st.PRINTS} SELECT source, calendar, event_id, series_id, CAST(split_part(event_id, ':', 2) AS DATE) AS reference_date, scheduled_ts, observed_ts, actual, revision_seq FROM prints")
 def events_silver(spark, d):
     return silver.events(st.prints(spark, d))
 

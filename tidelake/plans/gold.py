@@ -43,18 +43,18 @@ def series_features(series: DataFrame) -> DataFrame:
 
 
 def events_revisions(events: DataFrame) -> DataFrame:
-    """One row for each event: first and latest print, how often and how far it was revised."""
+    """One row for each event: first and latest value, when they were observed, how often and how far it was revised."""
     seq = F.col("revision_seq")
-    rows = events.groupBy("event_id", "series_id").agg(
-        F.min("scheduled_ts").alias("scheduled_ts"), F.min("observed_ts").alias("first_observed_ts"), F.max("observed_ts").alias("latest_observed_ts"),
-        first_of(F.col("actual"), seq).alias("initial_actual"), last_of(F.col("actual"), seq).alias("latest_actual"), F.max("revision_seq").cast("bigint").alias("n_revisions"),
+    rows = events.groupBy("source", "calendar", "series_id", "event_id", "reference_date").agg(
+        F.min("scheduled_ts").alias("scheduled_ts"), first_of(F.col("actual"), seq).alias("initial_value"), last_of(F.col("actual"), seq).alias("latest_value"),
+        F.min("observed_ts").alias("initial_observed_ts"), F.max("observed_ts").alias("latest_observed_ts"), F.max("revision_seq").cast("bigint").alias("n_revisions"),
     )
-    moved = F.col("latest_actual") - F.col("initial_actual")
+    moved = F.col("latest_value") - F.col("initial_value")
     return rows.withColumns(
         {
             "total_revision": moved,
-            "total_revision_pct": F.try_divide(moved, F.nullif(F.abs(F.col("initial_actual")), F.lit(0.0))),
-            "days_to_latest": F.datediff("latest_observed_ts", "first_observed_ts").cast("bigint"),
+            "revision_pct": F.try_divide(moved, F.nullif(F.col("initial_value"), F.lit(0.0))),
+            "days_to_latest": F.datediff("latest_observed_ts", "initial_observed_ts").cast("bigint"),
         }
     )
 

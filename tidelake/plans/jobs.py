@@ -247,3 +247,28 @@ def write_catalogue(spark: SparkSession, base: str, registry: Registry, now: str
     made = {"generated_at": now, "sources": [r.asDict() for r in graded]}
     upkeep.write_json(spark, made, path)
     return made
+
+
+#: The group whose allowlist a mart's rows follow.
+MART_GROUPS = {"fct_bars_daily": "bars", "fct_series_features": "series", "fct_events_revisions": "events"}
+
+
+def publish_lake(spark: SparkSession, base: str, out: str, registry: Registry) -> dict[str, int]:
+    """Writes a public copy of the lake: groups and marts of allowed sources, the dimension, the quality history; files of each.
+
+    Rows leave only if their source is on the allowlist of their own group.
+    """
+    allowed, done = registry.allowed(spark), {}
+    for group, read in (("bars", lake.read_bars), ("series", lake.read_series), ("events", lake.read_events)):
+        if lake.exists(spark, lake.group_path(base, group)):
+            done[group] = upkeep.publish(read(spark, base), allowed, group, lake.group_path(out, group))
+    for mart, group in MART_GROUPS.items():
+        if lake.exists(spark, lake.gold_path(base, mart)):
+            done[mart] = upkeep.publish(spark.read.parquet(lake.gold_path(base, mart)), allowed, group, lake.gold_path(out, mart))
+    whole = {"dim_sources": lake.gold_path(base, "dim_sources"), **{t: f"{base.rstrip('/')}/quality/{t}" for t in lake.QUALITY}}
+    for name, path in whole.items():
+        if lake.exists(spark, path):
+            rows = spark.read.option("mergeSchema", "true").parquet(path)
+            upkeep.replace_path(rows, f"{out.rstrip('/')}/{path.removeprefix(base.rstrip('/')).strip('/')}", files=1)
+            done[name] = 1
+    return done

@@ -27,7 +27,7 @@ def events(raw: DataFrame, tolerant: bool = False) -> DataFrame:
     part = F.split_part("event_id", F.lit(":"), F.lit(2))
     numbers = [F.col(c).cast("double").alias(c) for c in ("actual", "forecast", "previous") if c in raw.columns]
     return raw.select(
-        "event_id", "series_id", (part.try_cast("date") if tolerant else part.cast("date")).alias("reference_date"),
+        "source", "calendar", "event_id", "series_id", (part.try_cast("date") if tolerant else part.cast("date")).alias("reference_date"),
         F.col("scheduled_ts").cast("timestamp_ntz").alias("scheduled_ts"), F.col("observed_ts").cast("timestamp_ntz").alias("observed_ts"),
         *numbers, F.col("revision_seq").cast("int").alias("revision_seq"),
     )
