@@ -158,7 +158,7 @@ def links(fps: DataFrame, distance: int = 3, bucket_limit: int = 8192) -> DataFr
     if distance != 3:
         raise ValueError("the index is laid out for a distance of 3")
     spread = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # fingerprints are small, their 24 entries are not
-    entries = fps.repartition(spread, "fp").select("fp", F.explode(F.array(*_keys(F.col("fp")))).alias("key"))
+    entries = fps.repartition(spread, F.xxhash64("fp")).select("fp", F.explode(F.array(*_keys(F.col("fp")))).alias("key"))
     sizes = entries.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     shared = entries.join(sizes, "key")
     found = _links_of_buckets(shared.where(F.col("n") <= bucket_limit), distance)
