@@ -37,29 +37,25 @@ def forward_filled(wide: DataFrame, keys: list[str]) -> DataFrame:
     in blocks of BLOCK buckets; what a block starts with comes from the blocks before it, a
     table of one row a block.
     """
+    mids_ = ("base_mid", "quote_mid")
     seen = lambda c: F.when(F.col(c).isNotNull(), F.col("bucket"))
-    block = F.floor(F.col("bucket") / F.lit(BLOCK))
-    wide = wide.withColumn("block", block)
-    last = lambda c: F.max_by(c, seen(c)).alias(f"last_{c}")
-    tails = wide.groupBy(*keys, "block").agg(
-        last("base_mid"), last("quote_mid"), *(f(seen(c)).alias(f"{f.__name__}_{c}") for f in (F.min, F.max) for c in ("base_mid", "quote_mid")), F.min("bucket").alias("start")
-    )
-    span = tails.groupBy(*keys).agg(
-        F.greatest(*(F.min(f"min_{c}") for c in ("base_mid", "quote_mid"))).alias("lo"), F.least(*(F.max(f"max_{c}") for c in ("base_mid", "quote_mid"))).alias("hi"),
-        F.count("min_base_mid").alias("n_base"), F.count("min_quote_mid").alias("n_quote"), F.min("start").alias("start"),
-    ).where("n_base > 0 AND n_quote > 0 AND lo <= hi")
-    whole = lambda c: F.floor(F.col(c) / F.lit(BLOCK))
-    blocks = span.select(*keys, "lo", "hi", F.explode(F.sequence(whole("start"), whole("hi"))).alias("block"))
-    before = Window.partitionBy(*keys).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    carried = lambda c: F.last(f"last_{c}", ignorenulls=True).over(before).alias(f"before_{c}")
-    blocks = blocks.join(tails.select(*keys, "block", "last_base_mid", "last_quote_mid"), [*keys, "block"], "left")
-    blocks = blocks.select(*keys, "block", "lo", "hi", carried("base_mid"), carried("quote_mid")).where((F.col("block") + 1) * BLOCK > F.col("lo"))
-    steps = F.sequence(F.col("block") * BLOCK, F.least((F.col("block") + 1) * BLOCK - 1, F.col("hi")))
-    grid = blocks.withColumn("bucket", F.explode(steps))
+    wide = wide.withColumn("block", F.floor(F.col("bucket") / F.lit(BLOCK)))
+    tails = wide.groupBy(*keys, "block").agg(*(F.max_by(c, seen(c)).alias(f"last_{c}") for c in mids_), *(f(seen(c)).alias(f"{f.__name__}_{c}") for f in (F.min, F.max) for c in mids_))
+    every = Window.partitionBy(*keys)
+    by = every.orderBy("block")
+    until = lambda c, end: F.last(f"last_{c}", ignorenulls=True).over(by.rowsBetween(Window.unboundedPreceding, end))
+    lo, hi = (g(*(f(f"{f.__name__}_{c}").over(every) for c in mids_)) for g, f in ((F.greatest, F.min), (F.least, F.max)))
+    start = F.least(*(F.min(f"min_{c}").over(every) for c in mids_))
+    both = (F.count("min_base_mid").over(every) > 0) & (F.count("min_quote_mid").over(every) > 0)
+    tails = tails.withColumns({"lo": F.when(both, lo), "hi": hi, "start": start, "next": F.lead("block").over(by), **{f"before_{c}": until(c, -1) for c in mids_}, **{f"upto_{c}": until(c, 0) for c in mids_}}).where("lo <= hi")
+    blocks = tails.withColumn("at", F.explode(F.sequence("block", F.greatest(F.col("block"), F.coalesce(F.col("next") - 1, F.col("block"))))))  # those without rows too
+    carried = lambda c: F.when(F.col("at") == F.col("block"), F.col(f"before_{c}")).otherwise(F.col(f"upto_{c}")).alias(f"carried_{c}")
+    blocks = blocks.select(*keys, F.col("at").alias("block"), "lo", "hi", "start", *map(carried, mids_)).where((F.col("block") * BLOCK <= F.col("hi")) & ((F.col("block") + 1) * BLOCK > F.col("lo")))
+    grid = blocks.withColumn("bucket", F.explode(F.sequence(F.greatest(F.col("block") * BLOCK, "start"), F.least((F.col("block") + 1) * BLOCK - 1, F.col("hi")))))
     past = Window.partitionBy(*keys, "block").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
-    filled = lambda c: F.coalesce(F.last(c, ignorenulls=True).over(past), F.col(f"before_{c}")).alias(c)
-    rows = grid.join(wide, [*keys, "block", "bucket"], "left").select(*keys, "bucket", "lo", filled("base_mid"), filled("quote_mid"))
-    return rows.where("bucket >= lo").select(*keys, "bucket", "base_mid", "quote_mid")
+    filled = lambda c: F.coalesce(F.last(c, ignorenulls=True).over(past), F.col(f"carried_{c}")).alias(c)
+    rows = grid.join(wide, [*keys, "block", "bucket"], "left").select(*keys, "bucket", "lo", *map(filled, mids_))
+    return rows.where("bucket >= lo").select(*keys, "bucket", *mids_)
 
 
 def aligned_mids(quotes: DataFrame, base: str, quote: str, width_ms: int = 1000, keys: list[str] | None = None) -> DataFrame:
