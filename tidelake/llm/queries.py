@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelake.llm import decontaminate
+from tidelake.llm import decontaminate, exact
 from tidelake.llm.chat import chat_digests
 from tidelake.llm.langid import language_id
 from tidelake.llm.media import media_columns
@@ -88,6 +88,12 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shuffled(_read(spark, sf_dir, "documents"))
 
 
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of equal texts among all documents; unique texts are hashed as well, for the digest column."""
+    rows = exact.exact_groups(_read(spark, sf_dir, "documents"), every_digest=True)
+    return rows.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_simhash": op1_simhash,
@@ -100,8 +106,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_language_id": op8_language_id,
         "op9_token_ids": op9_token_ids,
         "op10_sharding": op10_sharding,
+        "op13_exact_dedup": op13_exact_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_mixing": mixture_sql(), "op6_decontamination": decontaminate.SQL}
+    return {"op4_mixing": mixture_sql(), "op6_decontamination": decontaminate.SQL, "op13_exact_dedup": exact.SQL}
