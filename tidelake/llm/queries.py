@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelake.llm import decontaminate, exact
+from tidelake.llm.alignment import alignment
 from tidelake.llm.chat import chat_digests
 from tidelake.llm.langid import language_id
 from tidelake.llm.media import media_columns
@@ -23,11 +24,11 @@ from tidelake.llm.toxicity import toxicity
 END_ID = 2
 
 
-def tokenizer_path() -> str:
-    """The byte-level BPE file of the installed public tokenizers."""
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    """A file of the installed public tokenizers; the byte-level BPE if none is named."""
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -88,6 +89,11 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shuffled(_read(spark, sf_dir, "documents"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents' ids by two tokenizers in minimal groups, and how often their links are made in the corpus."""
+    return alignment(_read(spark, sf_dir, "documents"), tokenizer_path(), tokenizer_path("piece_bpe_32k.model"))
+
+
 def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of equal texts among all documents; unique texts are hashed as well, for the digest column."""
     rows = exact.exact_groups(_read(spark, sf_dir, "documents"), every_digest=True)
@@ -106,6 +112,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_language_id": op8_language_id,
         "op9_token_ids": op9_token_ids,
         "op10_sharding": op10_sharding,
+        "op11_alignment": op11_alignment,
         "op13_exact_dedup": op13_exact_dedup,
     }
 

@@ -50,14 +50,16 @@ class Tokenizer:
 
     A byte-level BPE without normalizer cuts a text before a space between two words, so
     the pieces between such spaces can be encoded once and remembered.  Other tokenizers,
-    and texts with other white space beside a space, are encoded whole.
+    and texts with other white space beside a space, are encoded whole.  With plain,
+    special tokens' strings are ordinary text.
     """
 
-    def __init__(self, path: str, memo: int = MEMO) -> None:
+    def __init__(self, path: str, memo: int = MEMO, plain: bool = False) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer as Library
 
         self.library, self.most = Library.from_file(path), memo
+        self.library.encode_special_tokens = plain
         made = json.loads(self.library.to_str())
         split = made.get("pre_tokenizer") or {}
         self.byte_level = split.get("type") == "ByteLevel" and not split.get("add_prefix_space") and split.get("use_regex", True) and not made.get("normalizer") and not made.get("post_processor")
@@ -87,6 +89,13 @@ class Tokenizer:
             self.known.update(zip(words, [data[i:j] for i, j in zip(cut, cut[1:])]))
         self.known.update(zip(odd, self._whole([" " + w for w in odd])))
 
+    def words(self, words: list[str]) -> list[bytes]:
+        """The ids of each of some different words after a space, not remembered; they have no white space at their ends."""
+        held, self.known = self.known, {}
+        self._learn(words)
+        found, self.known = [self.known[w] for w in words], held
+        return found
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, little-endian."""
         if not self.byte_level:
