@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelake.llm import decontaminate, exact
+from tidelake.llm import decontaminate, exact, trie
 from tidelake.llm.alignment import alignment
 from tidelake.llm.chat import chat_digests
 from tidelake.llm.langid import language_id
@@ -94,6 +94,11 @@ def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment(_read(spark, sf_dir, "documents"), tokenizer_path(), tokenizer_path("piece_bpe_32k.model"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the prefix trie of all conversations."""
+    return trie.prefix_trie(_read(spark, sf_dir, "conversations"))
+
+
 def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of equal texts among all documents; unique texts are hashed as well, for the digest column."""
     rows = exact.exact_groups(_read(spark, sf_dir, "documents"), every_digest=True)
@@ -113,9 +118,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_token_ids": op9_token_ids,
         "op10_sharding": op10_sharding,
         "op11_alignment": op11_alignment,
+        "op12_prefix_trie": op12_prefix_trie,
         "op13_exact_dedup": op13_exact_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_mixing": mixture_sql(), "op6_decontamination": decontaminate.SQL, "op13_exact_dedup": exact.SQL}
+    return {"op4_mixing": mixture_sql(), "op6_decontamination": decontaminate.SQL, "op12_prefix_trie": trie.SQL, "op13_exact_dedup": exact.SQL}
