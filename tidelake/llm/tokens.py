@@ -35,8 +35,6 @@ UNIT = 1 << 21
 FILE_BYTES = 256 << 20
 #: Most tasks that units are dealt to.
 MOST_TASKS = 20_000
-#: Rows of one id that may meet in a task; where an id has more, texts part them too.
-MOST_OF_ID, PREFIX = 50_000, 64
 MEMO = 1_200_000
 BATCH_BYTES = 4 << 20
 #: Words encoded in one call of the library.
@@ -224,17 +222,20 @@ def _slices(rows: list[tuple], size: int) -> Iterator[list[tuple]]:
 
 
 def _in_order(docs: DataFrame) -> DataFrame:
-    """doc_id, text range-partitioned by id and sorted; rows of a frequent id are parted by their texts."""
-    most = docs.groupBy("doc_id").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
-    keys = [F.col("doc_id")] if most <= MOST_OF_ID else [F.col("doc_id"), F.substring("text", 1, PREFIX)]
-    return docs.repartitionByRange(*keys).sortWithinPartitions("doc_id", "text")
+    """doc_id, text range-partitioned by id and sorted.
+
+    Rows of an id are in the order of a hash of their texts, and equal ones of their places
+    in docs, along which ranges are cut too: no id and no group of equal rows is one task's.
+    """
+    keyed = docs.withColumns({"hash": F.xxhash64("text"), "row": F.monotonically_increasing_id()})
+    return keyed.repartitionByRange("doc_id", "hash", "row").sortWithinPartitions("doc_id", "hash", "row").drop("hash", "row")
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Writes the files below path and returns their manifest: part, unit, file, offset, first, last, n_tokens.
 
-    Ids must be integers; nulls come first.  Rows with equal ids are in the order of their
-    texts; equal rows are written as often as they are there, by one task.  Null texts are
+    Ids must be integers; nulls come first.  Rows with equal ids are in the order of a hash
+    of their texts; equal rows are written as often as they are there.  Null texts are
     empty.  A very long text is tokenized whole.  Parts, and units of a part, follow the
     order of ids.  An empty table gives no files.
     """
