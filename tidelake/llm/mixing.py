@@ -6,9 +6,13 @@ gives the shortage to its siblings first, and only what a whole subtree cannot u
 to its parent's siblings.  Each leaf's documents are read in epochs, each in a seeded
 order of its own: whole epochs, then the longest prefix of the next that fits.
 
-All of it is DataFrame code.  Order keys are hexadecimal digests, so a prefix of the
-digest cuts a leaf's order into consecutive buckets: token sums of buckets are placed
-first, and running sums over rows stay within a bucket, however large the leaf.
+All of it is DataFrame code.  As the last epoch is a prefix of a leaf's order, a leaf needs
+one boundary: the first row that does not fit.  It is searched in three steps.  Order keys
+are hexadecimal digests, so a prefix of the digest cuts the order into buckets, whose token
+sums say in which bucket the budget ends.  That bucket's rows are range-cut along the whole
+order, so that rows of one id, and equal rows, fall into several ranges, and sums of ranges
+say in which range.  Only that range's rows are summed one by one.  Every row is then held
+to its leaf's boundary where it is: no row is moved to be chosen.
 """
 
 from __future__ import annotations
@@ -25,7 +29,7 @@ LEVELS = ("domain", "lang", "source")
 #: Hexadecimal digits of the order key that make a bucket.
 BUCKET_DIGITS = 3
 MOST_WEIGHT = 10_000
-#: Leaves whose plans (five short columns) are broadcast; and the parts a leaf is cut to beyond.
+#: Leaves whose plans (a few short columns) are broadcast; and the parts a leaf is cut to beyond.
 MOST_BROADCAST, SALTS = 50_000, 64
 
 
@@ -99,16 +103,16 @@ def leaf_budgets(leaves: DataFrame, mix: Mix) -> DataFrame:
     return nodes.select(*LEVELS, "tokens", F.col("budget").alias("got"))
 
 
-def _with_plan(rows: DataFrame, plan: DataFrame) -> DataFrame:
+def _with_plan(rows: DataFrame, plan: DataFrame, how: str = "inner") -> DataFrame:
     """rows with their leaf's plan, without moving a leaf's rows to one task.
 
     The plan has a row for each leaf.  Up to MOST_BROADCAST of them are broadcast; more are
     joined on the leaf and a salt.
     """
     if plan.count() <= MOST_BROADCAST:
-        return rows.join(F.broadcast(plan), list(LEVELS))
+        return rows.join(F.broadcast(plan), list(LEVELS), how)
     salted = plan.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return rows.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")).join(salted, [*LEVELS, "salt"]).drop("salt")
+    return rows.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")).join(salted, [*LEVELS, "salt"], how).drop("salt")
 
 
 def row_hash(docs: DataFrame) -> Column:
@@ -116,6 +120,47 @@ def row_hash(docs: DataFrame) -> Column:
     return F.xxhash64(*(F.col(f"`{f.name}`") for f in docs.schema if "map<" not in f.dataType.simpleString()))
 
 
+_ORDER = ("key", "n_tokens", "tie", "row")
+
+
+def _first_over(sums: DataFrame, by: list[str], piece: str) -> DataFrame:
+    """The piece of each leaf in which its tokens pass what is left, and the tokens ahead of it.
+
+    sums: by, piece, tokens, rest: a row for each piece.
+    """
+    order = Window.partitionBy(*by).orderBy(piece)
+    reached = F.sum("tokens").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    over = sums.withColumn("reached", reached).where("reached > rest")
+    first = over.groupBy(*by).agg(F.min(F.struct(piece, (F.col("reached") - F.col("tokens")).alias("ahead"))).alias("f"))
+    return first.select(*by, F.col(f"f.{piece}").alias(piece), F.col("f.ahead").alias("ahead"))
+
+
+def boundaries(narrow: DataFrame, plan: DataFrame, seed: int) -> DataFrame:
+    """LEVELS and the order (key, n_tokens, tie, row) of the first row of each leaf that its last epoch has no room for.
+
+    narrow: id, LEVELS, n_tokens, tie, row.  plan: LEVELS, whole, rest; leaves without a rest
+    have no boundary.
+    """
+    leaf = list(LEVELS)
+    rows = _keyed(_with_plan(narrow, plan.where("rest > 0").select(*LEVELS, "whole", "rest")), seed).withColumn("bucket", F.substring("key", 1, BUCKET_DIGITS))
+    buckets = rows.groupBy(*leaf, "bucket").agg(F.sum("n_tokens").alias("tokens"), F.any_value("rest").alias("rest"))
+    inside = table(_first_over(buckets, leaf, "bucket"), "mix-buckets")
+    near = _with_plan(rows.select(*leaf, "bucket", "rest", *_ORDER, "id"), inside.withColumnRenamed("bucket", "at")).where(F.col("bucket") == F.col("at"))
+    near = near.select(*leaf, "id", *_ORDER, (F.col("rest") - F.col("ahead")).alias("rest")).repartitionByRange(*leaf, *_ORDER)
+    near = table(near.withColumn("piece", F.spark_partition_id()), "mix-near")
+    pieces = near.groupBy(*leaf, "piece").agg(F.sum("n_tokens").alias("tokens"), F.any_value("rest").alias("rest"))
+    inside = table(_first_over(pieces, leaf, "piece"), "mix-pieces").withColumnRenamed("piece", "at")
+    last = _with_plan(near, inside).where(F.col("piece") == F.col("at"))
+    within = Window.partitionBy(*leaf).orderBy(*_ORDER).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    over = last.withColumn("reached", F.col("ahead") + F.sum("n_tokens").over(within)).where("reached > rest")
+    return over.groupBy(*leaf).agg(F.min(F.struct(*_ORDER)).alias("b")).select(*leaf, "b")
+
+
+def _keyed(rows: DataFrame, seed: int) -> DataFrame:
+    """rows with key, their place in the order of their leaf's last epoch; they have whole and id."""
+    return rows.withColumn("key", F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("whole").cast("string"), F.col("id")).cast("binary")))
+
+
 def mix_rows(docs: DataFrame, mix: Mix, id_col: Column, domain: Column, lang: Column, source: Column, tokens: Column, payload: list[Column], wide: bool = False) -> DataFrame:
     """payload, domain, lang, source, n_tokens, epoch, leaf_budget of every chosen row.
 
@@ -127,31 +172,47 @@ def mix_rows(docs: DataFrame, mix: Mix, id_col: Column, domain: Column, lang: Co
     gives no rows.
 
     Tokens are counted once, into a narrow table with the payload; wide payloads stay out
-    of it and are read with a second count.
+    of it and are read with a second count.  Of equal rows that a boundary falls between,
+    as many as fit are taken.
     """
     name = lambda c: F.coalesce(c.cast("string"), F.lit(""))
-    kept = [F.coalesce(id_col.cast("string"), F.lit("")).alias("id"), name(domain).alias("domain"), name(lang).alias("lang"), name(source).alias("source"), tokens.alias("n_tokens")]
-    whole = [*kept, row_hash(docs).alias("tie"), F.struct(*payload).alias("row")]
-    narrow = table(docs.select(*(kept if wide else whole)), "mix-tokens")
+    kept = [F.coalesce(id_col.cast("string"), F.lit("")).alias("id"), name(domain).alias("domain"), name(lang).alias("lang"), name(source).alias("source"), tokens.alias("n_tokens"), row_hash(docs).alias("tie")]
+    own, row = F.struct(*payload).alias("payload"), F.monotonically_increasing_id().alias("row")
+    narrow = table(docs.select(*kept, *([] if wide else [own]), row), "mix-tokens")
     leaves = narrow.groupBy(*LEVELS).agg(F.sum("n_tokens").alias("tokens"))
     plan = table(leaf_budgets(leaves, mix).where("got > 0").select(
         *LEVELS, F.expr("got div tokens").alias("whole"), F.expr("got % tokens").alias("rest"), F.col("got").alias("leaf_budget"),
     ), "leaf-plan")
-
-    def keyed(rows: DataFrame) -> DataFrame:
-        key = F.md5(F.concat_ws(":", F.lit(str(mix.seed)), F.col("whole").cast("string"), F.col("id")).cast("binary"))
-        return _with_plan(rows, plan).withColumn("key", key).withColumn("bucket", F.substring("key", 1, BUCKET_DIGITS))
-
-    buckets = keyed(narrow).groupBy(*LEVELS, "bucket").agg(F.sum("n_tokens").alias("tokens"))
-    ahead = Window.partitionBy(*LEVELS).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    buckets = buckets.select(*LEVELS, "bucket", F.coalesce(F.sum("tokens").over(ahead), F.lit(0)).alias("ahead"))
-    within = Window.partitionBy(*LEVELS, "bucket").orderBy("key", "n_tokens", "tie").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = keyed(docs.select(*whole) if wide else narrow).withColumn("reached", F.sum("n_tokens").over(within)).join(buckets, [*LEVELS, "bucket"])
-    part = (F.col("rest") > 0) & (F.col("ahead") + F.col("reached") <= F.col("rest"))
-    last = F.when(part, F.col("whole")).otherwise(F.col("whole") - 1)
-    rows = rows.withColumn("last", last).where("last >= 0")
-    epochs = F.explode(F.sequence(F.lit(0), F.col("last").cast("int")))
-    return rows.select("row.*", *LEVELS, "n_tokens", epochs.alias("epoch"), "leaf_budget")
+    ends = table(boundaries(narrow, plan, mix.seed), "mix-boundaries")
+    plan = plan.join(ends, list(LEVELS), "left")
+    place = lambda cols, of="": F.struct(*(F.col(f"{of}{c}") for c in cols))
+
+    def chosen(rows: DataFrame, fits: Column) -> DataFrame:
+        last = F.when((F.col("rest") > 0) & fits, F.col("whole")).otherwise(F.col("whole") - 1)
+        rows = rows.withColumn("last", last).where("last >= 0")
+        return rows.select("payload.*", *LEVELS, "n_tokens", F.explode(F.sequence(F.lit(0), F.col("last").cast("int"))).alias("epoch"), "leaf_budget")
+
+    if not wide:
+        return chosen(_keyed(_with_plan(narrow, plan), mix.seed), F.coalesce(place(_ORDER) < F.col("b"), F.lit(True)))
+    same = _ORDER[:-1]  # what a second reading of docs can tell of a row
+    at_end = _keyed(_with_plan(narrow, plan), mix.seed).where(place(same) == place(same, "b."))
+    split = at_end.groupBy(*LEVELS).agg(F.count("*").alias("n"), F.count_if(F.col("row") < F.col("b.row")).alias("fit")).where("fit > 0")
+    split = table(split, "mix-split")
+    rows = _keyed(_with_plan(docs.select(*kept, own), plan), mix.seed)
+    clear = F.coalesce(place(same) < place(same, "b."), F.lit(True))
+    if split.isEmpty():
+        return chosen(rows, clear)
+    cut = _with_plan(rows.where(place(same) == place(same, "b.")), split)  # equal rows of a leaf, of which the first few fit
+    cut = table(cut.withColumns({"row": F.monotonically_increasing_id(), "part": F.spark_partition_id()}), "mix-equal")
+    parts = cut.groupBy(*LEVELS, "part").count()
+    ahead = Window.partitionBy(*LEVELS).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select(*LEVELS, "part", F.coalesce(F.sum("count").over(ahead), F.lit(0)).alias("before"))
+    number = F.row_number().over(Window.partitionBy(*LEVELS, "part").orderBy("row"))
+    fits = cut.select(*LEVELS, "part", "row", "fit").withColumn("number", number).join(parts, [*LEVELS, "part"])
+    fits = fits.where(F.col("before") + F.col("number") <= F.col("fit")).select("row", F.lit(True).alias("fits"))
+    rest = _with_plan(rows, split.select(*LEVELS, "fit"), "left")
+    rest = rest.where(F.col("fit").isNull() | (place(same) != place(same, "b.")))
+    return chosen(rest, clear).unionByName(chosen(cut.join(fits, "row", "left"), F.coalesce("fits", F.lit(False))))
 
 
 def mixture(docs: DataFrame, mix: Mix, domain: Column, id_col: str = "doc_id") -> DataFrame:
