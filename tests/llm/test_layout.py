@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidelake.llm import chat, media, mixing, queries, rans, sharding, tokens
-from tidelake.llm.shared import open_fs, scratch
+from tidelake.llm.shared import open_fs, scratch, table
 
 LEAVES = "domain string, lang string, source string, tokens long"
 
@@ -113,6 +113,47 @@ def test_shuffle_is_uniform(spark):
     assert abs(((seen - expect) ** 2 / expect).sum() / (300 * 23) - 1) < 0.1
 
 
+def test_equal_rows_are_shuffled_like_any_other(spark):
+    """Among 4,000 rows, 1,000 equal ones go to shards and slots uniformly, and a second run deals them alike."""
+    docs = spark.range(4000).select(F.when(F.col("id") % 4 == 0, -1).otherwise(F.col("id")).alias("doc_id"), F.lit("x").alias("text")).repartition(5)
+    docs = table(docs, "equal-rows-test")
+    got = sharding.shuffled(docs, rows_per_partition=100).collect()
+    assert sorted(map(str, got)) == sorted(map(str, sharding.shuffled(docs, rows_per_partition=100).collect()))
+    assert sorted((r.shard, r.slot) for r in got) == [(s, i) for s, n in enumerate(sharding.shard_sizes(4000, 24)) for i in range(n)]
+    equal = [r for r in got if r.doc_id == -1]
+    by_shard = np.bincount([r.shard for r in equal], minlength=24)
+    assert ((by_shard - 1000 / 24) ** 2 / (1000 / 24)).sum() < 50  # 23 degrees of freedom: 0.999 is at 49.7
+    by_slot = np.bincount([r.slot * 8 // 167 for r in equal], minlength=8)
+    assert ((by_slot - 125) ** 2 / 125).sum() < 25  # 7 degrees: 0.999 is at 24.3
+    rank = lambda n: F.pmod(F.xxhash64(F.lit(1), F.col("row")), F.lit(n))
+    parts = docs.withColumn("row", F.monotonically_increasing_id()).where("doc_id = -1").groupBy(rank(40)).count()
+    assert parts.count() > 30 and parts.agg(F.max("count")).first()[0] < 60  # no window holds a group of equal rows
+
+
+def test_one_hot_id_is_cut_along_its_own_order(spark, monkeypatch):
+    rows = [(None, "w " * (i % 9 + 1) + f"x{i}", "en", "src1") for i in range(3000)] + [(5, "w w w", "en", "src2")] * 400
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    mix = mixing.Mix(budget=9000 + 301, max_epochs=1, weights={"source": {"src1": 100, "src2": 1}})
+    seen = []
+    monkeypatch.setattr(mixing, "table", lambda df, name: seen.append((name, table(df, name))) or seen[-1][1])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        narrow = mixing.mixture(docs, mix, F.lit("d")).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    near = next(df for name, df in seen if name == "mix-near")
+    assert near.where("source = 'src1'").select("piece").distinct().count() > 2  # one id is in several ranges
+    wide = mixing.mixed_documents(docs, mix, F.lit("d"))
+    assert Counter((r.doc_id, r.source, r.n_tokens) for r in narrow) == Counter((r.doc_id, r.source, len(r.text.split())) for r in wide.collect())
+    assert any(name == "mix-equal" for name, _ in seen)
+    for source in ("src1", "src2"):
+        own = [r for r in narrow if r.source == source]
+        left = own[0].leaf_budget - sum(r.n_tokens for r in own)
+        assert 0 <= left < 10 and (source == "src1" or left == own[0].leaf_budget % 3)
+    tokens_in_order = sorted(r.n_tokens for r in narrow if r.source == "src1")  # an id's rows go by tokens first
+    assert tokens_in_order == sorted(len(t.split()) for _, t, _, s in rows if s == "src1")[: len(tokens_in_order)]
+
+
 def test_rans_round_trip_checkpoints_and_checksum():
     rng = np.random.default_rng(0)
     for n in (0, 1, rans.LANES, rans.LANES + 1, 3 * rans.LANES * rans.EVERY + 5):
@@ -288,7 +329,6 @@ def test_units_of_a_segment_are_read_on_their_own():
 
 def test_one_file_is_decoded_by_several_tasks(spark, monkeypatch):
     monkeypatch.setattr(tokens, "UNIT", 2000)
-    monkeypatch.setattr(tokens, "MOST_OF_ID", 5)
     rows = [(i // 40 if i < 80 else i, f"word{i % 17} more words " * (i % 30 + 1)) for i in range(300)] + [(0, "same")] * 3
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     path = scratch(spark, "tokens-test")
@@ -298,17 +338,20 @@ def test_one_file_is_decoded_by_several_tasks(spark, monkeypatch):
     read = tokens.read_tokens(manifest, path)
     got = sorted(map(tuple, read.collect()), key=lambda r: r[1])
     tok, start, expect = tokens.tokenizer(queries.tokenizer_path()), 0, []
-    for d, t in sorted(rows):
+    hashed = {r.t: r.h for r in spark.createDataFrame([(t,) for _, t in rows], "t string").select("t", F.xxhash64("t").alias("h")).collect()}
+    for d, t in sorted(rows, key=lambda r: (r[0], hashed[r[1]])):
         ids = tok.library.encode(t, add_special_tokens=False).ids + [2]
         expect.append((d, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
         start += len(ids)
     assert got == expect
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        hot = tokens._in_order(docs.where("doc_id = 0")).groupBy(F.spark_partition_id().alias("task")).count().collect()
+        tasks = lambda some: tokens._in_order(some).groupBy(F.spark_partition_id().alias("task")).count().collect()
+        hot, equal = tasks(docs.where("doc_id = 0")), tasks(spark.range(2000).select(F.lit(7).cast("long").alias("doc_id"), F.lit("a common start " * 9).alias("text")))
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert len(hot) > 1  # a frequent id is not one task's
+    assert len(equal) > 2 and max(r["count"] for r in equal) < 1000  # nor are equal rows
 
 
 def test_ties_do_not_depend_on_the_order_of_rows(spark):

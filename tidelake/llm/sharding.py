@@ -84,18 +84,21 @@ def shuffled(docs: DataFrame, shards: int = SHARDS, seed: int = 5, id_col: str =
     """doc_id, size, text_crc32, law, shard, slot, grown_shard for every row of docs.
 
     The law is ``rows``.  Size is the text's UTF-8 bytes (null: none) plus 8, however long
-    it is.  Repeated rows and null ids are placed like any other; other columns of docs are
-    not read; an empty table gives no rows.  The matrix takes the driver about 3 ms a
+    it is.  Rows are numbered once, in a written table, and every draw hashes that number:
+    repeated rows and null ids are spread like any other, and a lost task repeats its
+    draws.  The number follows the order of docs' files, so the same files give the same
+    shards.  Other columns of docs are not read; an empty table gives no rows.  The matrix takes the driver about 3 ms a
     logical partition, and at most MOST_PARTITIONS rows of ``shards`` numbers are broadcast.
     """
     spark = docs.sparkSession
     text = F.col(text_col)
     rows = docs.select(
         F.col(id_col).alias("doc_id"), (F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 8).alias("size"),
-        F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"),
+        F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"), F.monotonically_increasing_id().alias("row"),
     )
-    h = lambda k: F.xxhash64(F.lit(seed * 4 + k), F.col("doc_id"), F.col("text_crc32"), F.col("size"))
-    partitions = min(MOST_PARTITIONS, max(8, -(-docs.count() // rows_per_partition)))
+    rows = table(rows, "numbered-rows")
+    h = lambda k: F.xxhash64(F.lit(seed * 4 + k), F.col("row"))
+    partitions = min(MOST_PARTITIONS, max(8, -(-rows.count() // rows_per_partition)))
     rows = rows.withColumn("part", F.pmod(h(0), F.lit(partitions)).cast("int"))
     counts = {r["part"]: r["count"] for r in rows.groupBy("part").count().collect()}
     total = sum(counts.values())
@@ -106,13 +109,13 @@ def shuffled(docs: DataFrame, shards: int = SHARDS, seed: int = 5, id_col: str =
         run = 0
         ends.append((p, [run := run + k for k in sent]))
     dealt = spark.createDataFrame(ends, "part int, ends array<bigint>")  # a row for each logical partition
-    place = (F.row_number().over(Window.partitionBy("part").orderBy(h(1), "doc_id", "text_crc32", "size")) - 1).alias("place")
+    place = (F.row_number().over(Window.partitionBy("part").orderBy(h(1), "row")) - 1).alias("place")
     rows = rows.select("*", place).join(F.broadcast(dealt), "part")
     shard = F.size(F.filter("ends", lambda end: end <= F.col("place")))
     buckets = max(1, -(-total // (shards * rows_per_partition)))
-    sent = table(rows.select("doc_id", "size", "text_crc32", shard.alias("shard"), F.pmod(h(2), F.lit(buckets)).alias("bucket")), "shards")
+    sent = table(rows.select("doc_id", "size", "text_crc32", "row", shard.alias("shard"), F.pmod(h(2), F.lit(buckets)).alias("bucket")), "shards")
     ahead = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     before = sent.groupBy("shard", "bucket").count().select("shard", "bucket", F.coalesce(F.sum("count").over(ahead), F.lit(0)).alias("before"))
-    within = F.row_number().over(Window.partitionBy("shard", "bucket").orderBy(h(3), "doc_id", "text_crc32", "size")) - 1
+    within = F.row_number().over(Window.partitionBy("shard", "bucket").orderBy(h(3), "row")) - 1
     out = sent.withColumn("within", within).join(before, ["shard", "bucket"])
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", (F.col("before") + F.col("within")).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
