@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelake.llm.shared import table
+from tidelake.llm.shared import table, unused
 
 #: Characters of the prefix that is hashed.
 PREFIX = 64
@@ -106,13 +106,14 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     Rows to drop are known by id and digest; of rows that agree in both, any one stays.
     Texts are shuffled only for such repeated rows.
     """
+    own, gone_id, gone_digest = unused(docs, "own_digest"), unused(docs, "gone_id"), unused(docs, "gone_digest")
     groups = table(exact_groups(docs, id_col, text_col).where("group_size > 1").select("doc_id", "keep_id", "kept", "digest"), "exact-judged")
-    gone = groups.where(~F.col("doc_id").eqNullSafe(F.col("keep_id"))).select(F.col("doc_id").alias("__gone_id"), F.col("digest").alias("__gone_digest")).distinct()
-    hashed = docs.withColumn("__digest", F.sha2(normalised(F.col(text_col)), 256))
-    left = hashed.join(gone, F.col(id_col).eqNullSafe(F.col("__gone_id")) & (F.col("__digest") == F.col("__gone_digest")), "left_anti")
+    gone = groups.where(~F.col("doc_id").eqNullSafe(F.col("keep_id"))).select(F.col("doc_id").alias(gone_id), F.col("digest").alias(gone_digest)).distinct()
+    hashed = docs.withColumn(own, F.sha2(normalised(F.col(text_col)), 256))
+    left = hashed.join(gone, F.col(id_col).eqNullSafe(F.col(gone_id)) & (F.col(own) == F.col(gone_digest)), "left_anti")
     if not groups.where(~F.col("kept") & F.col("doc_id").eqNullSafe(F.col("keep_id"))).isEmpty():
-        left = left.dropDuplicates([id_col, "__digest"])
-    return left.drop("__digest")
+        left = left.dropDuplicates([id_col, own])
+    return left.drop(own)
 
 
 #: DuckDB SQL for the digest query's rows.

@@ -63,6 +63,14 @@ def scratch_space(spark: SparkSession) -> Iterator[None]:
             drop_path(spark, path)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that df does not have yet, made of name."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def table(df: DataFrame, name: str) -> DataFrame:
     """Writes df to the shared folder and reads it back: lineage ends here."""
     path = scratch(df.sparkSession, name)

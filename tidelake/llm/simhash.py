@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelake.llm.shared import drop_path, give_back, scratch, table, text_batches
+from tidelake.llm.shared import drop_path, give_back, scratch, table, text_batches, unused
 
 SEGMENTS = 8
 CHAIN = 5
@@ -238,9 +238,10 @@ def one_of_each(docs: DataFrame, groups: DataFrame, id_col: str, text_col: str)
     """One row of docs for each root of groups (doc_id, text_hash, root, component_id), as keep_one says."""
     named = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     rows = table(named.select("doc_id", "text_hash", "root"), "kept-rows")
-    kept = rows.groupBy("root").agg(F.min(F.struct("text_hash", "doc_id")).alias("k")).select(F.col("k.doc_id").alias("__id"), F.col("k.text_hash").alias("__hash"))
-    hashed = docs.withColumn("__text", F.xxhash64(text_col))
-    found = hashed.join(kept, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__hash")), "left_semi")
+    own, kept_id, kept_hash = unused(docs, "own_hash"), unused(docs, "kept_id"), unused(docs, "kept_hash")
+    kept = rows.groupBy("root").agg(F.min(F.struct("text_hash", "doc_id")).alias("k")).select(F.col("k.doc_id").alias(kept_id), F.col("k.text_hash").alias(kept_hash))
+    hashed = docs.withColumn(own, F.xxhash64(text_col))
+    found = hashed.join(kept, F.col(id_col).eqNullSafe(F.col(kept_id)) & (F.col(own) == F.col(kept_hash)), "left_semi")
     if not rows.groupBy("doc_id", "text_hash").count().where("count > 1").isEmpty():  # texts are shuffled again only for repeated rows
-        found = found.dropDuplicates([id_col, "__text"])
-    return found.drop("__text")
+        found = found.dropDuplicates([id_col, own])
+    return found.drop(own)
