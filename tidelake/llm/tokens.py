@@ -29,14 +29,14 @@ from tidelake.llm import rans
 from tidelake.llm.shared import CACHES, give_back, make_dir, open_fs, product, table, text_batches
 
 #: Ids, and documents, of a segment; ids of a block and of a unit of reading; bytes of a file.
-SEGMENT, SEGMENT_DOCS = 1 << 23, 1 << 18
+SEGMENT, SEGMENT_DOCS = 1 << 22, 1 << 17
 BLOCK = 1 << 20
 UNIT = 1 << 21
 FILE_BYTES = 256 << 20
 #: Most tasks that units are dealt to.
 MOST_TASKS = 20_000
 MEMO = 1_200_000
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 #: Words encoded in one call of the library.
 TOGETHER = 200
 _HEAD = struct.Struct("<4sQQQQQQ")
