@@ -179,23 +179,20 @@ class Aligner:
                 groups, numbers = zip(*map(known.__getitem__, cut[i]))
                 yield ";".join(groups), np.frombuffer(b"".join(numbers), np.int64)
 
-    def forget(self) -> None:
-        """Empties the memo."""
-        self.known, self.before = {}, {}
-        self.a.forget()
-
 
 _loaded: dict[tuple[str, str], Aligner] = {}
 
 
 def aligner(a_path: str, b_path: str) -> Aligner:
-    """One aligner for each worker process and pair of files; other operators' tasks empty its memo."""
+    """One aligner for each worker process and pair of files; other operators' tasks drop it."""
     if (a_path, b_path) not in _loaded:
         _loaded[a_path, b_path] = Aligner(a_path, b_path)
-        CACHES.append(_loaded[a_path, b_path].forget)
     return _loaded[a_path, b_path]
 
 
+CACHES.append(_loaded.clear)
+
+
 def _slices(texts: list[str]) -> Iterator[list[str]]:
     start = held = 0
     for i, t in enumerate(texts):

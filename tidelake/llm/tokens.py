@@ -134,22 +134,20 @@ class Tokenizer:
             out.append(b"".join(ids))
         return out
 
-    def forget(self) -> None:
-        """Empties the memo."""
-        self.known, self.before = {}, {}
-
 
 _loaded: dict[str, Tokenizer] = {}
 
 
 def tokenizer(path: str) -> Tokenizer:
-    """One tokenizer for each worker process and file; other operators' tasks empty its memo."""
+    """One tokenizer for each worker process and file; other operators' tasks drop it."""
     if path not in _loaded:
         _loaded[path] = Tokenizer(path)
-        CACHES.append(_loaded[path].forget)
     return _loaded[path]
 
 
+CACHES.append(_loaded.clear)
+
+
 def pack_segment(doc_ids: list[int | None], lengths: list[int], ids: np.ndarray, size: int) -> bytes:
     """A segment: head; packed ids, null flags and lengths; frequency table; block sizes; blocks."""
     freq = rans.Frequencies.of_counts(np.bincount(ids, minlength=size))
