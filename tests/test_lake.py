@@ -120,7 +120,7 @@ def test_a_night_and_its_repeat(spark, base):
 
     registry = Registry([Source("binance", "bars", {"BTCUSDT": "BTCUSDT"}, "1d", redistributable=True)])
     for _ in range(2):
-        found = jobs.nightly(spark, base, "2024-03-01 00:00:00", registry)
+        found = jobs.nightly(spark, base, "2024-03-01 00:00:00", registry)["violations"]
         assert {(r.group, r.check) for r in found.collect()} == {("bars", "freshness"), ("series", "freshness")}
     runs = spark.read.parquet(f"{base}/quality/dq_runs").collect()
     assert len(runs) == 1 and (runs[0].n_violations, runs[0].n_warn, runs[0].groups) == (4, 4, "bars,series")
@@ -277,40 +277,141 @@ def test_only_named_views_are_made(spark, base):
     assert lake.count_events(spark, base, "fredcal", "us_macro") == 2 and lake.count_events(spark, base, "fredcal", "none") == 0
 
 
-def test_updates_start_at_the_watermark_and_heal_it(spark, base):
+def names_of():
+    """Sources whose own names are not the canonical ones."""
     from tidelake.registry import Registry, Source
+
+    return Registry([
+        Source("binance", "bars", {"BTCUSDT": "XBT", "ETHUSDT": "XETH"}, "1d", redistributable=True), Source("fred", "series", {"UNRATE": "LNS14"}),
+        Source("fut", "series", {"BTC": "BTC-PERP"}), Source("fredcal", "events", {"CPI": "CPIAUCSL", "PPI": "PPIACO"}),
+    ])
+
+
+def feeds():
+    """Functions that tasks run: workers cannot import this module, so they travel with their task."""
+
+    def bars_of(*days, close=1.5):
+        import pandas as pd
+
+        return pd.DataFrame([(datetime(2024, 1, d), 1.0, 2.0, 0.5, close, 9.0) for d in days], columns=["date", "open", "high", "low", "close", "volume"])
+
+    def task_fetch(source, name, start, end):
+        """A feed by native names: two sources with news, one without, one that is down, one with a damaged frame."""
+        import pandas as pd
+
+        from tidelake.sources.rest import NoNewData
+
+        if name == "XETH":
+            raise NoNewData(name)
+        if source == "fut":
+            raise RuntimeError("down")
+        if name == "LNS14":
+            assert start == "2024-01-04", start
+            return pd.DataFrame({"date": [datetime(2024, 1, 4), datetime(2024, 1, 5), datetime(2024, 1, 5)], "value": [4.0, None, 6.0]})
+        if name == "CPIAUCSL":
+            return [{"event_id": "CPI:2024-01-01", "series_id": "CPI", "scheduled_ts": datetime(2024, 1, 2), "observed_ts": datetime(2024, 1, 1), "actual": 2.6, "forecast": None, "previous": None, "revision_seq": 2}]
+        if name == "PPIACO":
+            raise NoNewData(name)
+        assert (name, start) == ("XBT", "2024-01-10"), (name, start)
+        return bars_of(9, 10, 11, 11, 12).assign(volume=["9", "9", "no", "7", "9"])
+
+    return bars_of, task_fetch
+
+
+bars_of, task_fetch = feeds()
+
+
+def test_everything_is_updated_in_one_plan_by_native_names(spark, base):
+    from tidelake.sources import fleet
+
+    done = fleet.update_all(spark, base, names_of(), task_fetch, "2024-01-12", parallel=2)
+    assert (done["updated"], done["failed"]) == (4, 1)
+    assert [tuple(r) for r in done["failures"].collect()] == [("series", "fut/BTC", "RuntimeError", "down")]
+    rows = {r.date.day: (r.close, r.volume) for r in lake.load_bars(spark, base, "BTCUSDT", "binance").collect()}
+    assert len(rows) == 11 and rows[10] == (1.5, 9.0) and rows[11] == (1.5, 7.0) and rows[8] == (18.5, 5.0)  # the last of the 11th stays, the 12th still forms
+    assert {r.date.day: r.value for r in lake.load_series(spark, base, "UNRATE", "fred").collect()} == {1: 1.0, 2: 2.0, 3: 3.0, 4: 4.0, 5: 6.0}
+    assert lake.load_series(spark, base, "BTC", "fut", "funding_rate").count() == 3 and lake.count_events(spark, base, "fredcal", "us_macro") == 3
+    found = {(r.group, r.series_id, r.check) for r in done["violations"].collect()}
+    assert {("bars", "BTCUSDT", "range"), ("bars", "BTCUSDT", "numeric"), ("bars", "BTCUSDT", "index"), ("series", "UNRATE", "index"), ("events", "CPI", "bitemporal")} <= found
+
+
+def test_an_unregistered_series_and_a_frame_without_columns(spark, base):
+    from tidelake.registry import Registry, Source
+    from tidelake.sources import fleet
+
+    registry = Registry([Source("binance", "bars", {"BTCUSDT": "XBT"}, "1d")])
+    done = fleet.update_all(spark, base, registry, lambda *_: bars_of(10, 11).drop(columns=["volume"]), "2024-01-12", parallel=2)
+    assert {r.series: r.error for r in done["failures"].collect()} == {"binance/ETHUSDT/1d": "ValueError", "fred/UNRATE": "ValueError", "fut/BTC": "ValueError"}
+    assert {(r.series_id, r.check, r.detail) for r in done["violations"].collect()} == {("BTCUSDT", "columns", "missing volume")}
+    assert lake.load_bars(spark, base, "BTCUSDT", "binance").where("volume IS NULL").count() == 2  # stored whatever the judgement
+
+
+def test_jobs_do_not_grow_with_series(spark, tmp_path):
+    from tidelake.registry import Registry, Source
+    from tidelake.sources import fleet
+
+    jobs = {}
+    for n in (5, 200):
+        base = str(tmp_path / f"lake{n}")
+        rows = spark.range(n).select(F.lit("v").alias("source"), F.concat(F.lit("S"), F.col("id")).alias("symbol"), F.lit("1d").alias("interval"), F.lit(datetime(2024, 1, 3)).alias("date"), *(F.lit(1.0).alias(c) for c in ("open", "high", "low", "close", "volume")))
+        rows.write.partitionBy("source", "symbol", "interval").parquet(lake.group_path(base, "bars"))
+        registry = Registry([Source("v", "bars", {f"S{i}": f"native-{i}" for i in range(n)}, "1d")])
+        spark.sparkContext.setJobGroup(f"fleet-{n}", "count jobs")
+        done = fleet.update_all(spark, base, registry, lambda source, name, *_: bars_of(3, 4, close=float(name.split("-")[1])), "2024-01-10", parallel=2)
+        assert done["updated"] == n and done["failed"] == 0
+        jobs[n] = len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"fleet-{n}"))
+        spark.sparkContext.setJobGroup("other", "")
+        assert lake.read_bars(spark, base).where("day(date) = 4 AND close = CAST(substr(symbol, 2) AS DOUBLE)").count() == n
+    assert abs(jobs[200] - jobs[5]) <= 6, jobs
+
+
+def test_a_commit_cut_short_is_applied(spark, base, monkeypatch):
+    from tidelake.sources import fleet
+
+    fresh = spark.createDataFrame([(datetime(2024, 1, 9), 7.0, "binance", "BTCUSDT", "1d", 0)], "date timestamp, close double, source string, symbol string, interval string, arrival long")
+    put = fleet._apply
+
+    def cut(*args):
+        raise RuntimeError("cut")
+
+    monkeypatch.setattr(fleet, "_apply", cut)
+    with pytest.raises(RuntimeError, match="cut"):
+        fleet.merge(spark, base, "bars", fresh, lambda: lake.read_bars(spark, base), ["date"])
+    assert lake.load_bars(spark, base, "BTCUSDT", "binance").where("close = 7.0").count() == 0
+    monkeypatch.setattr(fleet, "_apply", put)
+    assert fleet.recover(spark, base) == ["bars"] and fleet.recover(spark, base) == []
+    assert lake.load_bars(spark, base, "BTCUSDT", "binance").where("close = 7.0").count() == 1 and lake.read_bars(spark, base).count() == 20
+
+
+def test_one_series_is_updated_by_its_native_name(spark, base):
     from tidelake.sources import updates
-    from tidelake.sources.rest import NoNewData
 
     asked = []
 
     def fetch(source, name, start, end):
         asked.append((source, name, start))
-        if name == "ETHUSDT":
-            raise NoNewData(name)
-        if source == "fut":
-            raise RuntimeError("down")
         if source == "fred":
-            return spark.createDataFrame([(datetime(2024, 1, 4), 4.0), (datetime(2024, 1, 5), None)], "date timestamp, value double")
-        if source == "fredcal":
-            return spark.createDataFrame([("CPI:2024-01-01", "CPI", datetime(2024, 1, 2), datetime(2024, 1, 9), 2.6, None, None, 2)], "event_id string, series_id string, scheduled_ts timestamp, observed_ts timestamp, actual double, forecast double, previous double, revision_seq int")
+            return spark.createDataFrame([(datetime(2024, 1, 4), 4.0)], "date timestamp, value double")
         return spark.createDataFrame([(datetime(2024, 1, d), 1.0, 2.0, 0.5, 1.5, 9.0) for d in (10, 11, 12)], BARS)
 
-    registry = Registry([Source("fredcal", "events", {"CPI": "CPI"})])
-    done = updates.update_all(spark, base, registry, fetch, "2024-01-12")
-    assert (done["updated"], [f["series"] for f in done["failures"]]) == (4, ["fut/BTC"])
+    registry = names_of()
+    assert {r.check for r in updates.update_bars(spark, base, registry, "binance", "BTCUSDT", "1d", fetch, "2024-01-12").collect()} == {"variance"}
+    assert updates.update_series(spark, base, registry, "fred", "UNRATE", fetch, "2024-01-12").count() == 0
+    assert asked == [("binance", "XBT", "2024-01-10"), ("fred", "LNS14", "2024-01-04")]
     rows = {r.date.day: r.close for r in lake.load_bars(spark, base, "BTCUSDT", "binance").collect()}
-    assert len(rows) == 11 and rows[10] == rows[11] == 1.5 and rows[9] == 19.5  # the 12th still forms
-    assert ("binance", "BTCUSDT", "2024-01-10") in asked and ("fred", "UNRATE", "2024-01-04") in asked
-    assert lake.load_series(spark, base, "UNRATE", "fred").count() == 5 and lake.count_events(spark, base, "fredcal", "us_macro") == 3
+    assert len(rows) == 11 and rows[10] == rows[11] == 1.5 and rows[9] == 19.5
     with pytest.raises(FileNotFoundError):
-        updates.update_bars(spark, base, "binance", "NEW", "1d", fetch, "2024-01-12")
-    assert updates.update_bars(spark, base, "binance", "BTCUSDT", "1d", fetch, "2024-01-11").count() == 0
+        updates.update_bars(spark, base, registry, "binance", "NEW", "1d", fetch, "2024-01-12")
+    with pytest.raises(ValueError):
+        updates.load(registry, fetch, "bars", "binance", "DOGE")
+    assert updates.update_bars(spark, base, registry, "binance", "BTCUSDT", "1d", fetch, "2024-01-11").count() == 0
 
 
-def test_backfill_migration_and_the_facade(spark, base, tmp_path):
+def test_backfill_and_migration(spark, base, tmp_path):
+    import pandas as pd
+
     from tidelake.registry import Registry, Source
-    from tidelake.sources import updates
+    from tidelake.sources import fleet, updates
 
     registry = Registry([Source("binance", "bars", {"SOLUSDT": "SOL", "BAD": "BAD"}, "1d"), Source("cot", "series", {"GOLD": "088691"})])
 
@@ -318,36 +419,55 @@ def test_backfill_migration_and_the_facade(spark, base, tmp_path):
         if name == "BAD":
             raise RuntimeError("delisted")
         if source == "cot":
-            return spark.createDataFrame([(datetime(2024, 1, 2), 1.0, 2.0)], "date timestamp, longs double, shorts double")
-        return spark.createDataFrame([(datetime(2024, 1, d), 1.0, 2.0, 0.5, 1.5, 9.0) for d in (1, 2)], BARS)
+            return pd.DataFrame({"date": [datetime(2024, 1, 2)], "longs": [1.0], "shorts": [2.0]})
+        return bars_of(1, 2)
 
-    done = updates.backfill(spark, base, registry, fetch, "bars", "binance", today="2024-01-02")
-    assert done["saved"] == ["SOLUSDT"] and done["failures"][0]["series"] == "binance/BAD"
+    done = fleet.backfill(spark, base, registry, fetch, "bars", "binance", today="2024-01-02", parallel=2)
+    assert done["saved"] == 1 and [r.series for r in done["failures"].collect()] == ["binance/BAD/1d"]
     assert lake.load_bars(spark, base, "SOLUSDT", "binance").count() == 1
-    assert updates.backfill(spark, base, registry, fetch, "series", "cot")["saved"] == ["GOLD"]
+    assert fleet.backfill(spark, base, registry, fetch, "series", "cot", parallel=2)["saved"] == 1
     assert {r.metric for r in lake.load_series(spark, base, "GOLD", "cot").collect()} == {"longs", "shorts"}
-    for bad in (("bars", "nobody", "X"), ("bars", "binance", "DOGE")):
-        with pytest.raises(ValueError):
-            updates.load(registry, fetch, *bad)
+    with pytest.raises(ValueError):
+        fleet.backfill(spark, base, registry, fetch, "bars", "nobody")
     old = str(tmp_path / "old")
     spark.createDataFrame([(datetime(2024, 1, d), 1.0, 2.0, 0.5, 1.5, 9.0) for d in (1, 2, 3)], BARS).write.parquet(old)
     assert updates.migrate_bars(spark, old, base, "kraken", "XBT") == 3 and lake.load_bars(spark, base, "XBT", "kraken").count() == 3
 
 
+def test_a_night_with_updates_records_failures_and_drift(spark, base):
+    from tidelake.plans import jobs
+    from tidelake.sources import fleet
+
+    registry = names_of()
+    for _ in range(2):  # a repeat replaces its record
+        done = jobs.nightly(spark, base, "2024-01-12 00:00:00", registry, update=lambda: fleet.update_all(spark, base, registry, lambda s, n, a, b: bars_of(11) if n == "XBT" else task_fetch(s, n, "2024-01-04", b), "2024-01-12", parallel=2))
+        assert done["failed"] == 1 and [(r.series, r.error) for r in done["failures"].collect()] == [("fut/BTC", "RuntimeError")]
+        assert [(r.group, r.source, r.symbol) for r in done["drift"].collect()] == [("events", "fredcal", "PPI")]
+        assert ("events", "CPI", "bitemporal") in {(r.group, r.series_id, r.check) for r in done["violations"].collect()}
+    runs = lake.query(spark, "SELECT n_updated, n_failed FROM dq_runs", base).collect()
+    assert [tuple(r) for r in runs] == [(done["updated"], 1)]
+    assert lake.query(spark, "SELECT count(*) FROM dq_failures", base).first()[0] == 1 and lake.query(spark, "SELECT symbol FROM dq_drift", base).first()[0] == "PPI"
+    assert not lake.exists(spark, f"{base}/staging/*")
+
+
 def test_a_week_counts_what_could_not_be_checked(spark, base):
     from tidelake.plans import jobs
 
-    def refetch(source, symbol):
-        if symbol == "ETHUSDT":
-            raise RuntimeError("down")
-        return lake.load_bars(spark, base, symbol, source).where(F.dayofmonth("date") != 3)
+    own = {k: lake.load_bars(spark, base, k, "binance").select("date", "open", "high", "low", "close", "volume").toPandas() for k in ("BTCUSDT",)}
+    fred, fut = (lake.load_series(spark, base, *k).select("date", "value").toPandas() for k in (("UNRATE", "fred"), ("BTC", "fut")))
 
-    def refetch_series(source, series_id):
-        return lake.load_series(spark, base, series_id, source).withColumn("value", F.col("value") + (F.dayofmonth("date") == 2).cast("int"))
+    def refetch(source, name, start, end):
+        if name == "XETH":
+            raise RuntimeError("down")
+        if name == "XBT":
+            return own["BTCUSDT"][own["BTCUSDT"]["date"].dt.day != 3]
+        if name == "LNS14":
+            return fred.assign(value=fred["value"] + (fred["date"].dt.day == 2))
+        return fut.rename(columns={"value": "funding_rate"}).assign(other=None)[["date", "funding_rate"]]
 
     pairs = spark.createDataFrame([("BTCUSDT", "ETHUSDT")], "symbol string, other string")
-    done = jobs.weekly_run(spark, base, "2024-02-01 00:00:00", refetch, refetch_series, pairs)
-    assert (done["checked"], done["failed"], done["failures"][0]["series"]) == (3, 1, "binance/ETHUSDT")
+    done = jobs.weekly_run(spark, base, "2024-02-01 00:00:00", refetch, names_of(), pairs=pairs, parallel=2)
+    assert (done["checked"], done["failed"], done["failures"].first().series) == (3, 1, "binance/ETHUSDT/1d")
     found = {(r.group, r.series_id, r.check, r.severity) for r in done["violations"].collect()}
     assert ("bars", "BTCUSDT", "self_consistency", "error") in found and ("series", "UNRATE", "self_consistency", "warn") in found
     assert ("bars", "BTCUSDT", "proxy_unavailable", "warn") in found

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidelake.schemas import GROUP_KEYS
+from tidelake.sources import files
 from tidelake.sources.lake import exists
 
 _DAY = 86_400
@@ -23,14 +25,19 @@ def last_write_wins(stored: DataFrame, fresh: DataFrame, keys: list[str], tie: l
     """Rows of both, one for each key: the fresh one where there are two.
 
     Columns are matched by name, missing ones null.  tie: columns that order rows of one
-    key within a side, the last one staying; without it the one that comes last in its side
-    stays, as in a file or a page of a source.
+    key within a side, the last one staying, such as a source's page and place in it.
+    Without it rows of a key that repeats within a side are ordered by their own values:
+    another row than the last to arrive may stay, but always the same.
     """
-    side = lambda df, n: df.withColumns({"__side": F.lit(n)} if tie else {"__side": F.lit(n), "__arrival": F.monotonically_increasing_id()})
-    both = side(stored, 0).unionByName(side(fresh, 1), allowMissingColumns=True)
-    order = [F.desc("__side"), *(F.col(c).desc_nulls_last() for c in tie or ["__arrival"])]
+    both = stored.withColumn("__side", F.lit(0)).unionByName(fresh.withColumn("__side", F.lit(1)), allowMissingColumns=True)
+    order = [F.desc("__side"), *(F.col(c).desc_nulls_last() for c in tie or value_order(both, [*keys, "__side"]))]
     place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return both.withColumn("__place", place).where("__place = 1").drop("__side", "__place", "__arrival")
+    return both.withColumn("__place", place).where("__place = 1").drop("__side", "__place")
+
+
+def value_order(rows: DataFrame, but: list[str]) -> list[str]:
+    """Columns that order rows by what is in them, whatever partitions they are in."""
+    return sorted(f.name for f in rows.schema if f.name not in but and "map<" not in f.dataType.simpleString())
 
 
 def drop_forming(bars: DataFrame, now: Column, interval: str) -> DataFrame:
@@ -212,25 +219,36 @@ def compact(spark: SparkSession, path: str) -> int:
     return len(files)
 
 
-def partitions(spark: SparkSession, root: str) -> list[str]:
-    """Folders below a root that hold Parquet files, or did before a swap that was cut short."""
-    jvm, fs, at = _fs(spark, root)
-    found, listed = set(), fs.listFiles(at, True)
-    while listed.hasNext():
-        file = listed.next().getPath()
-        if file.getName().endswith(".parquet"):
-            found.add(file.getParent().toString().removesuffix(".old"))
-    return sorted(f for f in found if ".new-" not in f.rsplit("/", 1)[-1])
+def partitions(spark: SparkSession, root: str, since: str | None = None, today: str | None = None, least: int = 1) -> list[str]:
+    """Folders below a root that hold ``least`` Parquet files or more, or did before a swap that was cut short.
+
+    since, today: only folders whose date= is in since .. today (open); without them all
+    folders.  Folder names are read here, files are listed folder by folder in tasks.
+    """
+    folders = [f for f in files.folders(spark, root) if _in_days(f, since, today)]
+    rows = files.listing(spark, folders).where("name LIKE '%.parquet'")
+    real = F.regexp_replace("folder", "[.]old$", "")
+    counts = rows.withColumns({"cut": F.col("folder") != real, "folder": real}).where(~F.col("folder").rlike("[.]new-[0-9a-f]+$"))
+    counts = counts.groupBy("folder").agg(F.count("*").alias("n"), F.max("cut").alias("cut")).where((F.col("n") >= least) | F.col("cut"))
+    return sorted(r["folder"] for r in counts.collect())  # the folders to work on
 
 
-def compact_settled(spark: SparkSession, root: str, today: str, parallel: int = 4) -> dict[str, int]:
+def _in_days(folder: str, since: str | None, today: str | None) -> bool:
+    day = re.search("date=([0-9-]+)", folder)
+    if since is None and today is None:
+        return True
+    return bool(day) and (since is None or day[1] >= since) and (today is None or day[1] < today)
+
+
+def compact_settled(spark: SparkSession, root: str, today: str, parallel: int = 4, since: str | None = None) -> dict[str, int]:
     """Compacts every partition folder below a root whose date= is before today; folder to files merged.
 
-    A folder that cannot be merged is left as it is and counts -1; swaps that were cut short are
-    finished or undone.  Folders are jobs of their own, ``parallel`` of them at a time.
+    since: the first day to look at; a nightly run names the day of its last one, so that
+    what is compacted is not listed again.  A folder that cannot be merged is left as it is
+    and counts -1; swaps that were cut short are finished or undone.  Folders are jobs of
+    their own, ``parallel`` of them at a time.
     """
-    folders = spark.createDataFrame([(f,) for f in partitions(spark, root)], "path string")
-    settled = [r["path"] for r in settled_partitions(folders, F.lit(today).cast("date")).collect()]
+    settled = partitions(spark, root, since, today, 2)
 
     def one(folder: str) -> int:
         try:
@@ -348,7 +366,7 @@ def quality_summary(bars: DataFrame, keys: list[str], today: Column) -> DataFram
 
 
 def write_json(spark: SparkSession, rows: dict | list, path: str) -> None:
-    """Writes a small document, such as a catalogue of sources, to any file system: beside its path, then in its place."""
+    """Writes a small document, such as a catalogue of sources, to any file system: beside its path, then over it in one step."""
     jvm, fs, at = _fs(spark, path)
     part = jvm.org.apache.hadoop.fs.Path(f"{path}.tmp")
     out = fs.create(part, True)
@@ -356,9 +374,11 @@ def write_json(spark: SparkSession, rows: dict | list, path: str) -> None:
         out.write(bytearray(json.dumps(rows, indent=2, default=str).encode()))
     finally:
         out.close()
-    if fs.exists(at):
-        fs.delete(at, False)
-    _rename(fs, part, at)
+    rename = jvm.org.apache.hadoop.fs.Options.Rename
+    over = spark.sparkContext._gateway.new_array(rename, 1)
+    over[0] = rename.OVERWRITE
+    at = fs.makeQualified(at)
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(at.toUri(), spark.sparkContext._jsc.hadoopConfiguration()).rename(fs.makeQualified(part), at, over)
 
 
 def write_csv(rows: DataFrame, path: str) -> None:

@@ -235,17 +235,18 @@ def self_consistency(stored: DataFrame, again: DataFrame, keys: list[str], most_
     n_volume (dates whose volume moved).
 
     most_rows: how many rows a source serves a call; only a series' latest so many are
-    compared.  Of repeated dates the last by ``arrival`` counts.  One shuffle by series.
+    compared.  Of repeated dates the last by ``arrival`` counts; without it the one of the
+    largest prices does, wherever it lies.  One shuffle by series.
     """
     if most_rows is not None:
         place = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("date")))
         stored = stored.withColumn("__place", place).where(F.col("__place") <= most_rows).drop("__place")
     columns = [*PRICES, "volume"]
-    order = F.col(arrival) if arrival else F.monotonically_increasing_id()
+    order = F.col(arrival) if arrival else F.lit(0)
     side = lambda df, fresh: df.select(*keys, "date", *(F.col(c).cast("double").alias(c) for c in columns), F.lit(fresh).alias("fresh"), (order if fresh else F.lit(0)).cast("bigint").alias("at"))
     rows = side(stored, False).unionByName(side(again, True)).repartition(*keys)
     old, new = ~F.col("fresh"), F.col("fresh")
-    last = lambda which: F.max_by(F.struct(*columns), F.when(which, F.struct(F.lit(1), "at")))
+    last = lambda which: F.max_by(F.struct(*columns), F.when(which, F.struct(F.lit(1), "at", *columns)))
     rows = rows.groupBy(*keys, "date").agg(F.count_if(old).alias("n_old"), F.count_if(new).alias("n_new"), last(old).alias("old"), last(new).alias("new"))
     every = Window.partitionBy(*keys)
     stored_date = F.when(F.col("n_old") > 0, F.col("date"))
@@ -294,13 +295,14 @@ def series_consistency(stored: DataFrame, again: DataFrame, keys: list[str], arr
     keys, n_repeated, n_vanished and n_appeared (dates of any metric, as for bars), lost and
     gained (names of metrics), worst_metric, n_revised and largest (of the metric with the
     largest absolute change beyond tolerance), n_more (other revised metrics), n_compared.
-    A lone null metric is the metric ``value``.
+    A lone null metric is the metric ``value``.  Of repeated dates the last by ``arrival``
+    counts; without it the largest value does.
     """
-    order = F.col(arrival) if arrival else F.monotonically_increasing_id()
+    order = F.col(arrival) if arrival else F.lit(0)
     side = lambda df, fresh: df.select(*keys, F.coalesce("metric", F.lit("value")).alias("metric"), "date", F.col("value").cast("double").alias("value"), F.lit(fresh).alias("fresh"), (order if fresh else F.lit(0)).cast("bigint").alias("at"))
     rows = side(stored, False).unionByName(side(again, True)).repartition(*keys)
     old, new = ~F.col("fresh"), F.col("fresh")
-    last = lambda which: F.max_by(F.struct("value"), F.when(which, F.struct(F.lit(1), "at")))["value"]
+    last = lambda which: F.max_by(F.struct("value"), F.when(which, F.struct(F.lit(1), "at", "value")))["value"]
     cells = rows.groupBy(*keys, "metric", "date").agg(F.count_if(old).alias("n_old"), F.count_if(new).alias("n_new"), last(old).alias("old"), last(new).alias("new"))
     compared = F.col("old").isNotNull() & F.col("new").isNotNull()
     revised = compared & ~is_close(F.col("old"), F.col("new"))
@@ -538,11 +540,10 @@ def verification_level(stored: DataFrame, related: DataFrame) -> DataFrame:
     stored: source, symbol pairs; related: symbols that have a proxy.
     """
     own = stored.select("source", "symbol").distinct()
-    other = own.select(F.col("source").alias("peer"), "symbol")
-    peers = own.join(other, "symbol").where("source <> peer").groupBy("source", "symbol").agg(F.count("*").alias("n_peers"))
+    peers = own.groupBy("symbol").agg((F.count("source") - 1).alias("n_peers"))  # a row for each symbol
     linked = related.select("symbol").distinct().withColumn("has_proxy", F.lit(True))
-    rows = own.join(peers, ["source", "symbol"], "left").join(linked, "symbol", "left")
-    n = F.coalesce("n_peers", F.lit(0)).cast("bigint")
+    rows = own.join(peers, "symbol", "left").join(linked, "symbol", "left")
+    n = F.greatest(F.coalesce("n_peers", F.lit(0)), F.lit(0)).cast("bigint")
     level = F.when(n > 0, "corroborated").when(F.col("has_proxy"), "proxy_only").otherwise("self_only")
     return rows.select("source", "symbol", n.alias("n_peers"), level.alias("level"))
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,8 +13,8 @@ from tidelake.operators import checks, statistics, upkeep, verify
 from tidelake.operators.align import mids
 from tidelake.plans import gold, silver
 from tidelake.registry import NO_NULLS, Registry
-from tidelake.schemas import DQ_RUNS, DQ_VIOLATIONS
-from tidelake.sources import lake
+from tidelake.schemas import DQ_DRIFT, DQ_FAILURES, DQ_RUNS, DQ_VIOLATIONS, VIOLATION
+from tidelake.sources import files, fleet, lake
 
 BAR_KEYS, SERIES_KEYS, EVENT_KEYS = ["source", "symbol", "interval"], ["source", "series_id"], ["source", "calendar"]
 SLA_SECONDS = 3 * 86_400
@@ -111,46 +113,63 @@ def run_checks(
     if lake.exists(spark, lake.group_path(base, "microstructure")):
         day = day or spark.range(1).select(F.date_format(F.date_sub(F.to_date(now), 1), "yyyy-MM-dd")).first()[0]
         found += tape_checks(spark, base, day, declared)
-        files = spark.createDataFrame([(f,) for f in lake.files_of(spark, lake.group_path(base, "microstructure"))], "path string")
-        found.append(checks.small_files(files, F.to_date(now)))
+        days = lake.folders_of(spark, lake.group_path(base, "microstructure", source=None, kind=None, symbol=None, date=None))
+        listed = files.listing(spark, days).where("name LIKE '%.parquet'").select(F.concat_ws("/", "folder", "name").alias("path"))
+        found.append(checks.small_files(listed, F.to_date(now)))
     if disk_gb:
         found.append(checks.disk(spark, *disk_gb))
     return checks.union_all(found, spark)
 
 
-def record(spark: SparkSession, base: str, violations: DataFrame, now: str, cadence: str) -> DataFrame:
-    """Puts a run's violations and its counts into the quality history; the violations as recorded.
+def record(spark: SparkSession, base: str, violations: DataFrame, now: str, cadence: str, updated: int = 0, failures: DataFrame | None = None, lacking: DataFrame | None = None) -> DataFrame:
+    """Puts a run's violations, failures, drift and counts into the quality history; the violations as recorded.
 
-    A run that is made again replaces itself, whatever it finds.
+    failures: group, series, error, detail of what could not be fetched.  lacking: group,
+    source, symbol of registered series that are not stored.  A run that is made again
+    replaces itself, whatever it finds.
     """
     at = F.lit(now).cast("timestamp")
     run = {"run_date": spark.range(1).select(F.date_format(at, "yyyy-MM-dd")).first()[0], "cadence": cadence}
     told = {"run_ts": at, **{k: F.lit(v) for k, v in run.items()}}
     quality = f"{base.rstrip('/')}/quality"
-    upkeep.record_run(spark, violations.withColumns(told).select(*DQ_VIOLATIONS.fieldNames()), f"{quality}/dq_violations", RUN_KEYS, run)
-    tonight = spark.read.schema(DQ_VIOLATIONS).parquet(f"{quality}/dq_violations").where((F.col("run_date") == run["run_date"]) & (F.col("cadence") == cadence))
+    for name, schema, rows in (("dq_violations", DQ_VIOLATIONS, violations), ("dq_failures", DQ_FAILURES, failures), ("dq_drift", DQ_DRIFT, lacking)):
+        if rows is not None:
+            upkeep.record_run(spark, rows.withColumns(told).select(*schema.fieldNames()), f"{quality}/{name}", RUN_KEYS, run)
+    own = (F.col("run_date") == run["run_date"]) & (F.col("cadence") == cadence)
+    tonight = spark.read.schema(DQ_VIOLATIONS).parquet(f"{quality}/dq_violations").where(own)
+    failed = spark.read.schema(DQ_FAILURES).parquet(f"{quality}/dq_failures").where(own).count() if failures is not None else 0
     sums = upkeep.dq_runs(tonight, RUN_KEYS)
     row = spark.range(1).select(*(v.alias(k) for k, v in told.items())).join(sums, RUN_KEYS, "left").fillna(0, ["n_violations", "n_error", "n_warn"]).fillna("", ["groups"])
+    row = row.withColumns({"n_updated": F.lit(updated).cast("bigint"), "n_failed": F.lit(failed).cast("bigint")})
     upkeep.record_run(spark, row.select(*DQ_RUNS.fieldNames()), f"{quality}/dq_runs", RUN_KEYS, run)
     return tonight
 
 
 def nightly(
-    spark: SparkSession, base: str, now: str, registry: Registry | None = None, cadence: str = "daily", update: Callable[[], DataFrame] | None = None, declared: DataFrame | None = None, disk_gb: tuple[float, float] | None = None
-) -> DataFrame:
-    """Updates what is stored, builds the marts, runs the checks and records them; the violations.
+    spark: SparkSession, base: str, now: str, registry: Registry | None = None, cadence: str = "daily", update: Callable[[], dict] | None = None, declared: DataFrame | None = None, disk_gb: tuple[float, float] | None = None
+) -> dict:
+    """Updates what is stored, builds the marts, runs the checks and records them: updated, failed, failures, violations, drift.
 
-    update: extends the stored series and returns what their frames violated on arrival
-    (sources.updates.update_all, with a fetch function).  A night that is run again
-    replaces its record.
+    update: extends the stored series, as ``fleet.update_all`` with a registry and a fetch
+    function does; what its frames violated on arrival comes before what the checks find.
+    failures, violations and drift are as recorded.  A night that is run again replaces its
+    record.
     """
-    arrived = [update()] if update else []
+    came = update() if update else None
     build_marts(spark, base, registry)
     if lake.exists(spark, lake.group_path(base, "bars")):
         today = F.lit(now).cast("date")
         upkeep.write_csv(upkeep.quality_summary(lake.read_bars(spark, base), BAR_KEYS, today), f"{base.rstrip('/')}/quality/quality_summary.csv")
     found = run_checks(spark, base, F.lit(now).cast("timestamp"), registry, declared=declared, disk_gb=disk_gb)
-    return record(spark, base, checks.union_all([*arrived, found]), now, cadence)
+    lacking = drift(spark, base, registry) if registry else None
+    arrived = [came["violations"]] if came else []
+    violations = record(spark, base, checks.union_all([*arrived, found]), now, cadence, came["updated"] if came else 0, came["failures"] if came else None, lacking)
+    fleet.recover(spark, base)  # the fetched frames have done their work
+    of = lambda name, schema: spark.read.schema(schema).parquet(f"{base.rstrip('/')}/quality/{name}").where((F.col("run_date") == F.date_format(F.lit(now).cast("timestamp"), "yyyy-MM-dd")) & (F.col("cadence") == cadence))
+    return {
+        "updated": came["updated"] if came else 0, "failed": came["failed"] if came else 0, "violations": violations,
+        "failures": of("dq_failures", DQ_FAILURES) if came else spark.createDataFrame([], DQ_FAILURES), "drift": of("dq_drift", DQ_DRIFT) if registry else spark.createDataFrame([], DQ_DRIFT),
+    }
 
 
 def weekly(stored: DataFrame, again: DataFrame, today: Column, most_rows: int | None = None) -> DataFrame:
@@ -159,9 +178,9 @@ def weekly(stored: DataFrame, again: DataFrame, today: Column, most_rows: int |
     return verify.consistency_violations(rows, "bars", F.col("source"), F.col("symbol"))
 
 
-def weekly_series(stored: DataFrame, again: DataFrame, today: Column) -> DataFrame:
+def weekly_series(stored: DataFrame, again: DataFrame, today: Column, arrival: str | None = None) -> DataFrame:
     """Violations of stored observations against a fresh fetch of them, settled days only."""
-    rows = verify.series_consistency(verify.settled(stored, today), verify.settled(again, today), SERIES_KEYS)
+    rows = verify.series_consistency(verify.settled(stored, today), verify.settled(again, today), SERIES_KEYS, arrival)
     return verify.series_consistency_violations(rows, F.col("source"), F.col("series_id"))
 
 
@@ -181,39 +200,52 @@ def weekly_proxies(bars: DataFrame, pairs: DataFrame, today: Column) -> DataFram
 
 
 def weekly_run(
-    spark: SparkSession, base: str, now: str, refetch: Callable[[str, str], DataFrame], refetch_series: Callable[[str, str], DataFrame] | None = None, pairs: DataFrame | None = None, registry: Registry | None = None
+    spark: SparkSession, base: str, now: str, refetch: fleet.TaskFetch, registry: Registry, series: bool = True, pairs: DataFrame | None = None, parallel: int | None = None
 ) -> dict:
-    """Verifies everything stored against its own sources and records it: checked, failures, violations.
+    """Verifies everything stored against its own sources and records it: checked, failed, failures, violations.
 
-    refetch(source, symbol) and refetch_series(source, series_id) return bars and long
-    observations as they are stored.  A series whose re-fetch fails is a failure: it is
-    neither checked nor passed.  Proxy relations that are not available are recorded too.
+    refetch(source, native, start, end) runs in tasks and returns a series' whole history,
+    as ``fleet`` says.  All series are fetched, compared and judged in one plan.  A series
+    whose re-fetch fails, brings nothing or is not registered is a failure: it is neither
+    checked nor passed.  Proxy relations that are not available are recorded too.
     """
     today = F.lit(now).cast("date")
-    failures: list[dict[str, str]] = []
-    found: list[DataFrame] = []
-    checked = 0
-
-    def each(rows: DataFrame, keys: list[str], fetch: Callable[[str, str], DataFrame], judge: Callable[[DataFrame, DataFrame, str], DataFrame]) -> None:
-        nonlocal checked
-        for source, name in rows.select(*keys).distinct().orderBy(*keys).toLocalIterator():
-            own = rows.where((F.col(keys[0]) == source) & (F.col(keys[1]) == name))
-            try:
-                found.append(spark.createDataFrame(judge(own, fetch(source, name), source).collect(), verify.VIOLATION))  # a few rows of text
-                checked += 1
-            except Exception as error:  # noqa: BLE001  (whatever a source raises is recorded)
-                failures.append({"series": f"{source}/{name}", "error": type(error).__name__, "detail": str(error)[:500]})
-
-    if lake.exists(spark, lake.group_path(base, "bars")):
-        bars = lake.read_bars(spark, base).where("interval = '1d'")
-        cap = lambda source: registry.sources[("bars", source)].max_rows_per_call if registry and ("bars", source) in registry.sources else None
-        each(bars, ["source", "symbol"], refetch, lambda own, again, source: weekly(own, again, today, cap(source)))
-        if pairs is not None:
-            found.append(weekly_proxies(bars, pairs, today))
-    if refetch_series and lake.exists(spark, lake.group_path(base, "series")):
-        each(lake.read_series(spark, base), SERIES_KEYS, refetch_series, lambda own, again, _: weekly_series(own, again, today))
-    violations = record(spark, base, checks.union_all(found, spark), now, "weekly")
-    return {"checked": checked, "failed": len(failures), "failures": failures, "violations": violations}
+    fleet.recover(spark, base)
+    asks, found = [], []
+    natives = fleet.native_names(spark, registry)
+    start = F.lit(None).cast("string")
+    daily = lake.read_bars(spark, base).where("interval = '1d'") if lake.exists(spark, lake.group_path(base, "bars")) else None
+    held = lake.read_series(spark, base) if series and lake.exists(spark, lake.group_path(base, "series")) else None
+    for group, rows, name in (("bars", daily, "symbol"), ("series", held, "series_id")):
+        if rows is not None:
+            own = rows.select("source", F.col(name).alias("name")).distinct()
+            own = own.join(natives.where(F.col("group") == group).select("source", "name", "native"), ["source", "name"], "left")
+            asks.append(own.select(F.lit(group).alias("group"), "source", "name", F.lit("1d" if group == "bars" else "").alias("part"), "native", start.alias("start")))
+    violations, failures, checked = spark.createDataFrame([], VIOLATION), spark.createDataFrame([], fleet.FAILURE), 0
+    if asks:
+        got = fleet.fetched(reduce(DataFrame.unionByName, asks), refetch, f"{base.rstrip('/')}/staging/weekly-{uuid.uuid4().hex}", parallel)
+        ok = got.where("status = 'ok'").select("group", "source", "name")
+        if daily is not None:
+            again = fleet.bars_of(got).withColumns({c: F.col(c).cast("double") for c in fleet.PRICES})
+            caps = {s.name: s.max_rows_per_call for s in registry.sources.values() if s.group == "bars"}
+            stored = daily.join(ok.where("group = 'bars'").select("source", F.col("name").alias("symbol")), ["source", "symbol"], "left_semi")
+            for cap in sorted(set(caps.values()), key=str):  # as many plans as sources have different limits
+                of = lambda rows, names=[n for n, c in caps.items() if c == cap]: rows.where(F.col("source").isin(names))
+                rows = verify.self_consistency(verify.settled(of(stored), today), verify.settled(of(again), today), ["source", "symbol"], cap, "arrival")
+                found.append(verify.consistency_violations(rows, "bars", F.col("source"), F.col("symbol")))
+        if held is not None:
+            again = fleet.series_of(got).withColumn("value", F.col("value").cast("double"))
+            stored = held.join(ok.where("group = 'series'").select("source", F.col("name").alias("series_id")), SERIES_KEYS, "left_semi")
+            found.append(weekly_series(stored, again, today, "arrival"))
+        nothing = got.where("status = 'empty'").select("group", F.concat_ws("/", "source", "name").alias("series"), F.lit("NoNewData").alias("error"), F.lit("no rows").alias("detail"))
+        failures = fleet.failures_of(got).unionByName(nothing)
+        checked = ok.count()
+    if pairs is not None and daily is not None:
+        found.append(weekly_proxies(daily, pairs, today))
+    violations = record(spark, base, checks.union_all([violations, *found], spark), now, "weekly", checked, failures)
+    kept = spark.read.schema(DQ_FAILURES).parquet(f"{base.rstrip('/')}/quality/dq_failures").where((F.col("cadence") == "weekly") & (F.col("run_date") == F.date_format(F.lit(now).cast("timestamp"), "yyyy-MM-dd")))
+    fleet.recover(spark, base)
+    return {"checked": checked, "failed": kept.count(), "failures": kept, "violations": violations}
 
 
 def expected_windows(spark: SparkSession, base: str, registry: Registry | None = None) -> DataFrame:

@@ -34,7 +34,10 @@ TAPE = {
     "heartbeat": _of("symbol string, sequence bigint, last_trade_id bigint, heartbeat_time string, received_at bigint"),
 }
 VIOLATION = _of("group string, source string, series_id string, metric string, check string, severity string, detail string")
-DQ_RUNS = _of("run_ts timestamp, run_date string, cadence string, n_violations bigint, n_error bigint, n_warn bigint, groups string")
+DQ_RUNS = _of("run_ts timestamp, run_date string, cadence string, n_violations bigint, n_error bigint, n_warn bigint, groups string, n_updated bigint, n_failed bigint")
+#: What a run could not fetch, and registered series that it found the lake not to hold.
+DQ_FAILURES = _of("run_ts timestamp, run_date string, cadence string, group string, series string, error string, detail string")
+DQ_DRIFT = _of("run_ts timestamp, run_date string, cadence string, group string, source string, symbol string")
 DQ_VIOLATIONS = _of("run_ts timestamp, run_date string, cadence string, group string, source string, series_id string, metric string, check string, severity string, detail string")
 
 #: Keys under which a bronze row is unique within its file.

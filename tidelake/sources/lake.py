@@ -13,9 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelake.schemas import BARS, DQ_RUNS, DQ_VIOLATIONS, EVENTS, SERIES, TAPE
+from tidelake.schemas import BARS, DQ_DRIFT, DQ_FAILURES, DQ_RUNS, DQ_VIOLATIONS, EVENTS, SERIES, TAPE
 
-QUALITY = {"dq_runs": DQ_RUNS, "dq_violations": DQ_VIOLATIONS}
+QUALITY = {"dq_runs": DQ_RUNS, "dq_violations": DQ_VIOLATIONS, "dq_failures": DQ_FAILURES, "dq_drift": DQ_DRIFT}
 GOLD = ("fct_bars_daily", "fct_series_features", "fct_events_revisions", "fct_cross_venue_basis", "dim_sources")
 
 
@@ -108,7 +108,8 @@ def read_kind(spark: SparkSession, base: str, kind: str, source: str | None = No
     return spark.createDataFrame([], schema) if found is None else found
 
 
-def _listed(spark: SparkSession, pattern: str) -> list[str]:
+def folders_of(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that a glob names; with one for each key of a partition, a name a folder and none a file."""
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
     found = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(at) or []
     return [f.getPath().toString() for f in found]
@@ -116,28 +117,17 @@ def _listed(spark: SparkSession, pattern: str) -> list[str]:
 
 def sources_of(spark: SparkSession, base: str, kind: str) -> list[str]:
     """Names of the sources that hold a tape kind, from folder names alone."""
-    found = _listed(spark, group_path(base, "microstructure", source=None, kind=kind))
+    found = folders_of(spark, group_path(base, "microstructure", source=None, kind=kind))
     return sorted({f.rsplit("/", 2)[1].partition("=")[2] for f in found})
 
 
 def tape_partitions(spark: SparkSession, base: str) -> DataFrame:
     """source, kind, symbol, date of all tape partitions, from folder names alone."""
-    found = _listed(spark, group_path(base, "microstructure", source=None, kind=None, symbol=None, date=None))
+    found = folders_of(spark, group_path(base, "microstructure", source=None, kind=None, symbol=None, date=None))
     rows = [tuple(part.partition("=")[2] for part in f.rsplit("/", 4)[1:]) for f in found]
     return spark.createDataFrame(rows, "source string, kind string, symbol string, date string")
 
 
-def files_of(spark: SparkSession, root: str) -> list[str]:
-    """Parquet files below a folder."""
-    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
-    listed, found = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(at, True), []
-    while listed.hasNext():
-        file = listed.next().getPath().toString()
-        if file.endswith(".parquet"):
-            found.append(file)
-    return found
-
-
 def register_views(spark: SparkSession, base: str, only: set[str] | None = None) -> list[str]:
     """Makes a temp view of every group, tape kind, mart and quality table that is there, or of those in ``only``; their names."""
     names = []

@@ -1,14 +1,15 @@
-"""Extending stored series from their sources: updates, first loads, backfill, migration.
+"""Extending one stored series from its source: updates, first loads, migration.
 
-Fetching is given by the caller, as nothing here opens a connection: ``fetch(source, name,
-start, end)`` returns a frame as stored rows are (bars: date and prices; series: date and
+All series at once are ``fleet``'s.  Fetching is given by the caller, as nothing here opens a
+connection: ``fetch(source, native, start, end)`` gets a series by the source's own name and
+returns a frame as stored rows are (bars: date and prices; series: date and
 a column a metric; events: the events' columns) and raises NoNewData where there is none.
 A frame is judged as it arrives and stored whatever the judgement.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,7 +63,7 @@ def save_events(spark: SparkSession, base: str, source: str, calendar: str, rows
     return lake.count_events(spark, base, source, calendar)
 
 
-def update_bars(spark: SparkSession, base: str, source: str, symbol: str, interval: str, fetch: Fetch, today: str) -> DataFrame:
+def update_bars(spark: SparkSession, base: str, registry: Registry, source: str, symbol: str, interval: str, fetch: Fetch, today: str) -> DataFrame:
     """Extends a stored series of bars; the violations of the frame that came.
 
     It is fetched from the watermark itself, and bars of today, which still form, are not
@@ -75,7 +76,7 @@ def update_bars(spark: SparkSession, base: str, source: str, symbol: str, interv
     if day >= today:
         return _none(spark)
     try:
-        fresh = fetch(source, symbol, day, None).where(F.col("date") < now).persist()
+        fresh = load(registry, fetch, "bars", source, symbol, day).where(F.col("date") < now).persist()
     except NoNewData:
         return _none(spark)
     try:
@@ -89,14 +90,14 @@ def update_bars(spark: SparkSession, base: str, source: str, symbol: str, interv
         fresh.unpersist()
 
 
-def update_series(spark: SparkSession, base: str, source: str, series_id: str, fetch: Fetch, today: str) -> DataFrame:
+def update_series(spark: SparkSession, base: str, registry: Registry, source: str, series_id: str, fetch: Fetch, today: str) -> DataFrame:
     """Extends a stored series, all its metrics, from the day after its watermark; the violations of the frame."""
     watermark = _newest(spark, lake.group_path(base, "series", source=source, series_id=series_id))
     if watermark is None:
         raise FileNotFoundError(f"{source}/{series_id} is not stored; backfill it first")
     after = spark.range(1).select(F.date_format(F.date_add(F.lit(watermark), 1), "yyyy-MM-dd")).first()[0]
     try:
-        wide = fetch(source, series_id, after, None).persist()
+        wide = load(registry, fetch, "series", source, series_id, after).persist()
     except NoNewData:
         return _none(spark)
     try:
@@ -108,9 +109,9 @@ def update_series(spark: SparkSession, base: str, source: str, series_id: str, f
         wide.unpersist()
 
 
-def update_events(spark: SparkSession, base: str, source: str, calendar: str, series_id: str, fetch: Fetch, start: str, today: str) -> DataFrame:
+def update_events(spark: SparkSession, base: str, registry: Registry, source: str, calendar: str, series_id: str, fetch: Fetch, start: str, today: str) -> DataFrame:
     """Fetches a series' whole release history again, as revisions are rows of old periods; the violations of the frame."""
-    rows = fetch(source, series_id, start, None).persist()
+    rows = load(registry, fetch, "events", source, series_id, start).persist()
     try:
         found = _told(spark, verify.verify_frame(rows.withColumn("source", F.lit(source)), "events", F.lit(today).cast("date")))
         save_events(spark, base, source, calendar, rows)
@@ -119,57 +120,6 @@ def update_events(spark: SparkSession, base: str, source: str, calendar: str, se
         rows.unpersist()
 
 
-def update_all(spark: SparkSession, base: str, registry: Registry, fetch: Fetch, today: str, events_start: str = "1990-01-01") -> dict:
-    """Updates everything stored: updated, failures and violations. A series that fails stops no other."""
-    updated, failures, found = 0, [], _none(spark)
-
-    def one(name: str, run: Callable[[], DataFrame]) -> None:
-        nonlocal updated, found
-        try:
-            found = found.unionByName(run())
-            updated += 1
-        except NoNewData:
-            return
-        except Exception as error:  # noqa: BLE001  (whatever a source raises is recorded)
-            failures.append({"series": name, "error": type(error).__name__, "detail": str(error)[:500]})
-
-    if lake.exists(spark, lake.group_path(base, "bars")):
-        for r in lake.list_series(lake.read_bars(spark, base), ["source", "symbol", "interval"]).collect():
-            one(f"{r.source}/{r.symbol}/{r.interval}", lambda r=r: update_bars(spark, base, r.source, r.symbol, r.interval, fetch, today))
-    if lake.exists(spark, lake.group_path(base, "series")):
-        for r in lake.list_series(lake.read_series(spark, base), ["source", "series_id"]).collect():
-            one(f"{r.source}/{r.series_id}", lambda r=r: update_series(spark, base, r.source, r.series_id, fetch, today))
-    if lake.exists(spark, lake.group_path(base, "events")):
-        for r in lake.list_series(lake.read_events(spark, base), ["source", "calendar"]).collect():
-            known = registry.sources.get(("events", r.source))
-            for series_id in sorted(known.symbols) if known else []:
-                one(f"{r.source}/{series_id}", lambda r=r, s=series_id: update_events(spark, base, r.source, r.calendar, s, fetch, events_start, today))
-    return {"updated": updated, "failures": failures, "violations": found}
-
-
-def backfill(spark: SparkSession, base: str, registry: Registry, fetch: Fetch, group: str, source: str, names: Iterable[str] | None = None, start: str | None = None, end: str | None = None, calendar: str = "default", today: str | None = None) -> dict:
-    """Loads whole histories of a source's names, all registered ones by default: saved, failures.
-
-    Bars of today, where it is given, are not stored.  A name that fails stops no other.
-    """
-    spec = registry.get(group, source)
-    saved, failures = [], []
-    for name in sorted(spec.symbols) if names is None else names:
-        try:
-            rows = load(registry, fetch, group, source, name, start, end)
-            if group == "bars":
-                kept = rows.where(F.col("date") < F.lit(today).cast("date")) if today else rows
-                save_bars(spark, base, source, name, spec.interval or "1d", kept)
-            elif group == "series":
-                save_series(spark, base, source, name, rows)
-            else:
-                save_events(spark, base, source, calendar, rows)
-            saved.append(name)
-        except Exception as error:  # noqa: BLE001  (whatever a source raises is recorded)
-            failures.append({"series": f"{source}/{name}", "error": type(error).__name__, "detail": str(error)[:500]})
-    return {"saved": saved, "failures": failures}
-
-
 def migrate_bars(spark: SparkSession, old: str, base: str, source: str, symbol: str, interval: str = "1d") -> int:
     """Copies bars of an older layout into the lake and reads them back; how many rows. What differs raises."""
     path = lake.group_path(base, "bars", source=source, symbol=symbol, interval=interval)
