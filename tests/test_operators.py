@@ -103,27 +103,6 @@ def test_last_write_wins_twice_is_once(spark):
     assert upkeep.schema_drift(a, b) == ([], ["w"])
 
 
-def test_stream_and_batch_trackers_agree(spark, tmp_path):
-    rng = np.random.default_rng(5)
-    ids = np.cumsum(rng.choice([1, 1, 1, 3, -2], 120)) + 100
-    rows = [("v", "X", "trades", int(i), int(i), 1000 + n, n) for n, i in enumerate(ids)] + [("v", "Y", "trades", 5, None, 1, 500)]
-    schema = "source string, symbol string, kind string, start_seq long, end_seq long, received_at long, arrival long"
-    frame = spark.createDataFrame(rows, schema)
-    keys = ["source", "symbol", "kind"]
-    expect = {True: tape.sequence_gaps(frame, keys, ["received_at", "arrival"]), False: tape.order_breaks(frame.where("end_seq IS NOT NULL"), keys, ["received_at", "arrival"], "end_seq")}
-    path = str(tmp_path / "in")
-    for part in range(3):
-        frame.where(F.col("arrival").between(part * 40, part * 40 + 39)).coalesce(1).write.mode("append").parquet(path)
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    for contiguous, batch in expect.items():
-        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
-        name = f"gaps_{contiguous}".lower()
-        q = tape.stream_gaps(stream, contiguous).writeStream.format("memory").queryName(name).option("checkpointLocation", str(tmp_path / name)).trigger(availableNow=True).start()
-        assert q.awaitTermination(120)
-        got = sorted((tuple(r) for r in spark.table(name).collect()), key=repr)
-        assert got == sorted((tuple(r) for r in batch.select(*keys, "last_seq", "next_seq", "missing_count").collect()), key=repr) and got
-
-
 def test_unknown_streams_raise_and_unknown_types_go(spark):
     m = spark.createDataFrame([('{"stream":"btcusdt@trade","data":{"s":"BTCUSDT","t":7,"p":"1.10","q":"2","T":1,"E":2,"m":true}}', 9), ('{"stream":"x@kline"}', 9)], "message string, received_at long")
     with pytest.raises(Exception, match="unknown stream"):
@@ -305,16 +284,6 @@ def test_forward_reading_probes_before_data_and_ends_after():
     assert list(rest.forward(0, 300, lambda at: [], lambda t: t, probe_ms=100)) == []
 
 
-def test_a_capture_marks_its_session_and_writes_all(spark, tmp_path):
-    kind = "source string, kind string, symbol string, received_at long"
-    src = str(tmp_path / "in")
-    spark.createDataFrame([("v", "trades", "X", 1704067200000 + i) for i in range(5)], kind).write.parquet(src)
-    stream = spark.readStream.schema(kind).parquet(src)
-    run = tape.Capture(stream, str(tmp_path / "out"), str(tmp_path / "cp"), str(tmp_path / "sessions"), 1, "1 second")
-    assert run.stop(9) == 5 and spark.read.parquet(str(tmp_path / "out")).count() == 5
-    assert sorted((r.event, r.at_ms, r.message_count) for r in spark.read.parquet(str(tmp_path / "sessions")).collect()) == [("start", 1, 0), ("stop", 9, 5)]
-
-
 def test_a_trial_without_a_peer_is_held_to_a_calendar(spark):
     from tidelake.operators import contracts
 

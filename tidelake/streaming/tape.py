@@ -1,21 +1,16 @@
-"""The tape: messages to rows, sequence gaps, overlaps, windows; batch and streaming."""
+"""The tape: messages to rows, sequence gaps, anchored depth, overlaps, windows, the sink."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tidelake.schemas import TAPE
 
 #: Kinds by the suffix of a combined stream's name, and by a message's own type.
 STREAM_KINDS = {"trade": "trades", "bookTicker": "book_ticker", "depth": "depth"}
 TYPE_KINDS = {"match": "trades", "last_match": "trades", "ticker": "book_ticker", "l2update": "depth", "snapshot": "snapshot", "heartbeat": "heartbeat"}
-_GAP = "source string, symbol string, kind string, last_seq bigint, next_seq bigint, missing_count bigint"
 
 
 def route(messages: DataFrame, by: str = "stream", strict: bool = True) -> DataFrame:
@@ -130,6 +125,51 @@ def order_breaks(rows: DataFrame, keys: list[str], order: list[str], seq: str =
     return late.where(F.col(seq) <= F.col("last_seq")).select(*keys, "last_seq", F.col(seq).alias("next_seq"), F.lit(None).cast("bigint").alias("missing_count"))
 
 
+def anchored_depth(deltas: DataFrame, snapshots: DataFrame, keys: list[str], width: int = CHUNK) -> DataFrame:
+    """Order-book changes held to the snapshots that anchor them.
+
+    deltas: keys, received_at, first_update_id, final_update_id.  snapshots: keys,
+    received_at, last_update_id.  Each change gets the last snapshot at or before it:
+    anchor_at, anchor_id.  state is unanchored (no snapshot yet), stale (the snapshot holds
+    it already), anchor (the first after a snapshot), ok, or gap; missing_count is how many
+    updates lack before an anchor or ok row.  Other columns are not returned; of snapshots
+    at one time the newest counts.
+
+    A stream is read in pieces of ``width``: the snapshot and the last change that a piece
+    starts with come from a table of one row a piece.
+    """
+    when = "received_at"
+    one = snapshots.groupBy(*keys, when).agg(F.max("last_update_id").alias("last_update_id"))
+    none = F.lit(None).cast("bigint")
+    rows = deltas.select(*keys, when, "first_update_id", "final_update_id", none.alias("last_update_id"), F.lit(1).alias("turn"))
+    rows = rows.unionByName(one.select(*keys, when, none.alias("first_update_id"), none.alias("final_update_id"), "last_update_id", F.lit(0).alias("turn")))
+    rows = rows.withColumn("__chunk", _chunk(when, width))
+    order = [F.col(c).asc_nulls_first() for c in (when, "turn", "final_update_id", "first_update_id")]
+    snapshot = F.when(F.col("turn") == 0, F.struct(F.col(when).alias("at"), F.col("last_update_id").alias("id")))
+    pieces = rows.groupBy(*keys, "__chunk").agg(F.max(snapshot).alias("s"))
+    back = Window.partitionBy(*keys).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
+    pieces = pieces.select(*keys, "__chunk", F.last("s", ignorenulls=True).over(back).alias("__before"))
+    by = Window.partitionBy(*keys, "__chunk").orderBy(*order)
+    rows = rows.withColumn("a", F.last(snapshot, ignorenulls=True).over(by.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    rows = _same(rows.where("turn = 1"), pieces, [*keys, "__chunk"]).withColumn("a", F.coalesce("a", "__before")).drop("__before")
+    fresh = F.col("a").isNotNull() & ~(F.col("final_update_id") <= F.col("a.id"))
+    last = F.struct("a", F.col("final_update_id").alias("final"))
+    tails = rows.where(fresh).groupBy(*keys, "__chunk").agg(F.max_by(last, F.struct(when, "final_update_id", "first_update_id")).alias("t"))
+    tails = rows.select(*keys, "__chunk").distinct().join(tails, [*keys, "__chunk"], "left")
+    tails = tails.select(*keys, "__chunk", F.last("t", ignorenulls=True).over(back).alias("__tail"))
+    # of one snapshot in one piece, the last change before that is not stale
+    run = Window.partitionBy(*keys, "__chunk", "a").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("past", F.last(F.when(fresh, F.col("final_update_id")), ignorenulls=True).over(run))
+    rows = _same(rows, tails, [*keys, "__chunk"])
+    past = F.coalesce("past", F.when(F.col("__tail.a") == F.col("a"), F.col("__tail.final")))
+    rows = rows.withColumn("past", past)
+    lacks = F.greatest(F.col("first_update_id") - F.coalesce("past", "a.id") - 1, F.lit(0).cast("bigint"))
+    state = F.when(F.col("a").isNull(), "unanchored").when(~fresh, "stale").when(lacks > 0, "gap").when(F.col("past").isNull(), "anchor").otherwise("ok")
+    return rows.select(
+        *keys, when, "first_update_id", "final_update_id", F.col("a.at").alias("anchor_at"), F.col("a.id").alias("anchor_id"), state.alias("state"), F.when(fresh, lacks).alias("missing_count")
+    )
+
+
 def _same(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     """left with right's row of the same keys, nulls being equal."""
     named = right.select(*(F.col(k).alias(f"__r_{k}") for k in keys), *(c for c in right.columns if c not in keys))
@@ -159,46 +199,6 @@ def tumbling(rows: DataFrame, keys: list[str], ms: Column, width_ms: int) -> Dat
     return rows.groupBy(*keys, bucket.alias("bucket")).agg(F.count("*").alias("n"))
 
 
-class SequenceTracker(StatefulProcessor):
-    """Streaming form of sequence_gaps (contiguous) and order_breaks: one position a stream."""
-
-    def __init__(self, contiguous: bool = True) -> None:
-        self.contiguous = contiguous
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.position = handle.getValueState("position", "seq bigint")
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        at = self.position.get()[0] if self.position.exists() else None
-        found = []
-        frames = list(rows)
-        whole = pd.concat(frames).sort_values(["received_at", "arrival"], kind="stable")  # a micro-batch of one stream
-        for start, end in zip(whole["start_seq"], whole["end_seq"]):
-            if pd.isna(end):
-                continue
-            start, end = int(start), int(end)
-            if at is not None and self.contiguous and start > at + 1:
-                found.append((*key, at, start, start - at - 1))
-            if at is not None and not self.contiguous and end <= at:
-                found.append((*key, at, end, None))
-            at = end if self.contiguous or at is None else max(at, end)
-        if at is not None:
-            self.position.update((at,))
-        out = pd.DataFrame(found, columns=["source", "symbol", "kind", "last_seq", "next_seq", "missing_count"])
-        yield out.astype({"last_seq": "Int64", "next_seq": "Int64", "missing_count": "Int64"})
-
-    def close(self) -> None:
-        pass
-
-
-def stream_gaps(rows: DataFrame, contiguous: bool = True) -> DataFrame:
-    """Gap records of a stream of rows: source, symbol, kind, start_seq, end_seq, received_at, arrival.
-
-    Needs the RocksDB state store.  Ids that come late count as replays, as in batch.
-    """
-    return rows.groupBy("source", "symbol", "kind").transformWithStateInPandas(SequenceTracker(contiguous), _GAP, "append", "none")
-
-
 def stream_dedup(rows: DataFrame, seq: str, delay: str = "10 minutes") -> DataFrame:
     """A stream without the rows that overlapping connections deliver twice."""
     timed = rows.withColumn("received_ts", F.timestamp_millis("received_at")).withWatermark("received_ts", delay)
@@ -212,29 +212,6 @@ def write_tape(rows: DataFrame, path: str, checkpoint: str, every: str = "30 sec
     return writer.partitionBy("source", "kind", "symbol", "date").trigger(processingTime=every).start()
 
 
-class Capture:
-    """A running tape with its session's start and stop rows.
-
-    stop() writes what has arrived, ends the query and adds the stop row with the number of
-    rows of the session; what is not written by then is read again from the checkpoint.
-    """
-
-    def __init__(self, rows: DataFrame, path: str, checkpoint: str, sessions: str, at_ms: int, every: str = "30 seconds") -> None:
-        self.spark, self.sessions = rows.sparkSession, sessions
-        self._mark("start", at_ms, 0)
-        self.query = write_tape(rows, path, checkpoint, every)
-
-    def _mark(self, event: str, at_ms: int, messages: int) -> None:
-        session_marker(self.spark, event, at_ms, messages).coalesce(1).write.mode("append").parquet(self.sessions)
-
-    def stop(self, at_ms: int) -> int:
-        self.query.processAllAvailable()
-        messages = sum(p["numInputRows"] for p in self.query.recentProgress)
-        self.query.stop()
-        self._mark("stop", at_ms, messages)
-        return messages
-
-
 def session_marker(spark, event: str, at_ms: int, messages: int = 0, gaps: int = 0) -> DataFrame:
     """A start or stop row of a capture session."""
     return spark.createDataFrame([("_all", event, at_ms, messages, gaps)], "symbol string, event string, at_ms bigint, message_count bigint, gap_count bigint")
