@@ -83,18 +83,29 @@ def basis_summary(rows: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def lead_lag(aligned: DataFrame, keys: list[str], max_lag: int = 10) -> DataFrame:
+def lead_lag(aligned: DataFrame, keys: list[str], max_lag: int = 10, block: int = BLOCK) -> DataFrame:
     """keys, lag, corr, n: correlation of base's log return with quote's, lag buckets later.
 
-    All lags come from one window over the grid and one aggregate; a lag over a hole of the
-    grid does not count.
+    All lags come from one window and one aggregate; a lag over a hole of the grid does not
+    count.  The grid is read in blocks of ``block`` buckets (more than max_lag): the mids
+    that a block's first return starts from come from a table of one row a block, and rows
+    within max_lag of a block's edge are there in the next block too, to be looked at from it.
     """
-    by = Window.partitionBy(*keys).orderBy("bucket")
-    ret = lambda c: F.when((F.col(c) > 0) & (F.lag(c).over(by) > 0), F.ln(F.col(c) / F.lag(c).over(by)))
+    rows = aligned.where("bucket IS NOT NULL").select(*keys, "bucket", "base_mid", "quote_mid", F.floor(F.col("bucket") / F.lit(block)).alias("block"))
+    by = Window.partitionBy(*keys, "block").orderBy("bucket")
+    tails = rows.groupBy(*keys, "block").agg(F.max_by(F.struct("base_mid", "quote_mid"), "bucket").alias("tail"))
+    tails = tails.select(*(F.col(k).alias(f"of_{k}") for k in keys), F.col("block").alias("of_block"), F.lag("tail").over(Window.partitionBy(*keys).orderBy("block")).alias("before"))
+    first = F.row_number().over(by) == 1
+    rows = rows.withColumns({"first": first, "base_past": F.lag("base_mid").over(by), "quote_past": F.lag("quote_mid").over(by)})
+    rows = rows.join(tails, [F.col(k).eqNullSafe(F.col(f"of_{k}")) for k in keys] + [F.col("block") == F.col("of_block")])
+    past = lambda c: F.when(F.col("first"), F.col(f"before.{c}_mid")).otherwise(F.col(f"{c}_past"))
+    ret = lambda c: F.when((F.col(f"{c}_mid") > 0) & (past(c) > 0), F.ln(F.col(f"{c}_mid") / past(c)))
+    near = F.array_distinct(F.transform(F.array(*(F.col("bucket") + F.lit(k) for k in (-max_lag, 0, max_lag))), lambda b: F.floor(b / F.lit(block))))
+    rets = rows.select(*keys, "bucket", "block", ret("base").alias("x"), ret("quote").alias("y"), F.explode(near).alias("at"))
     lags = range(-max_lag, max_lag + 1)
-    rets = aligned.select(*keys, "bucket", ret("base_mid").alias("x"), ret("quote_mid").alias("y"))
+    by = Window.partitionBy(*keys, "at").orderBy("bucket")
     met = {f"y_{k}": F.when(F.lead("bucket", k).over(by) == F.col("bucket") + k, F.lead("y", k).over(by)) for k in lags}
-    rows = rets.where("bucket IS NOT NULL").select(*keys, "x", *(v.alias(n) for n, v in met.items()))
+    rows = rets.select(*keys, "x", "block", "at", *(v.alias(n) for n, v in met.items())).where(F.col("block") == F.col("at"))
     both = lambda k: F.count_if(F.col("x").isNotNull() & F.col(f"y_{k}").isNotNull())
     sums = rows.groupBy(*keys).agg(*(F.struct(F.lit(k).alias("lag"), correlation(F.col("x"), F.col(f"y_{k}")).alias("corr"), both(k).alias("n")).alias(f"l_{k}") for k in lags))
     return sums.select(*keys, F.explode(F.array(*(F.col(f"l_{k}") for k in lags))).alias("l")).select(*keys, "l.lag", "l.corr", "l.n").where("n > 0")

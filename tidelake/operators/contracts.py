@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import random
+from collections.abc import Callable
+from datetime import date, timedelta
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -36,12 +41,39 @@ def backward_revisions(events: DataFrame) -> DataFrame:
     return events.withColumn("before", before).where(F.col("observed_ts") < F.col("before")).select("event_id", "revision_seq")
 
 
-def trial(spark: SparkSession, first: DataFrame, again: DataFrame, start: Column, end: Column, now: Column, stored: DataFrame | None = None, peer: str | None = None, calendar: DataFrame | None = None) -> DataFrame:
+def cuts(start: str, end: str, pieces: int = 4, seed: int = 0) -> list[tuple[str, str]]:
+    """The days from start to end in consecutive ranges that begin at seeded days."""
+    first, last = date.fromisoformat(start), date.fromisoformat(end)
+    inner = sorted(random.Random(f"{seed}:{start}:{end}").sample(range(1, (last - first).days + 1), min(pieces - 1, (last - first).days)))
+    begins = [first, *(first + timedelta(n) for n in inner)]
+    return [(a.isoformat(), (b - timedelta(1)).isoformat()) for a, b in zip(begins, [*begins[1:], last + timedelta(1)])]
+
+
+def pagination(whole: DataFrame, pull: Callable[[str, str], DataFrame], start: str, end: str, pieces: int = 4, seed: int = 0) -> DataFrame:
+    """date, side, n, boundary: rows in which a range fetched in pieces differs from it fetched whole.
+
+    whole: the frame of start .. end.  pull(start, end) fetches a piece.  side is missing
+    (the whole alone has the row, n times more often) or extra; boundary is the first day
+    of the piece at whose edge the row lies, the nearer of two.  A source that pages
+    correctly gives no rows.
+    """
+    spans = cuts(start, end, pieces, seed)
+    union = reduce(DataFrame.unionByName, [pull(a, b).select(*whole.columns) for a, b in spans])
+    side = lambda rows, n: rows.withColumn("n", F.lit(n))
+    counts = side(whole, 1).unionByName(side(union, -1)).groupBy(*whole.columns).agg(F.sum("n").alias("n")).where("n <> 0")
+    edges = F.array(*(F.lit(a).cast("date") for a, _ in spans[1:] or spans))
+    day = F.to_date("date")
+    near = F.array_min(F.transform(edges, lambda e: F.struct(F.abs(F.datediff(day, e)).alias("d"), e.alias("e"))))["e"]
+    return counts.select("date", F.when(F.col("n") > 0, "missing").otherwise("extra").alias("side"), F.abs("n").alias("n"), near.alias("boundary"))
+
+
+def trial(spark: SparkSession, first: DataFrame, again: DataFrame, start: Column, end: Column, now: Column, stored: DataFrame | None = None, peer: str | None = None, calendar: DataFrame | None = None, pull: Callable[[str, str], DataFrame] | None = None) -> DataFrame:
     """stage, outcome (passed, failed, skipped), detail of two pulls of one source's bars.
 
     A stage that cannot be run is skipped, which is not a pass.  calendar: expected days
-    (column day), for sources without a peer; holidays make it the looser one.  Only counts
-    reach the driver.
+    (column day), for sources without a peer; holidays make it the looser one.  pull(start,
+    end) fetches a part of the range, for the pagination stage.  Only counts, and a faulty
+    piece's first day, reach the driver.
     """
     keys = ["source", "symbol"]
     rows: list[tuple[str, str, str]] = []
@@ -55,6 +87,12 @@ def trial(spark: SparkSession, first: DataFrame, again: DataFrame, start: Column
         stage("frame", verify_bars(first, keys, now).where("severity = 'error'").count(), "violations")
         stage("determinism", int(not unchanged(first, again)), "differing pulls")
         stage("range", outside(first, keys, now, start, end).count(), "series out of range")
+        if pull is None:
+            stage("pagination", None, "")
+        else:
+            ends = first.select(start.cast("string"), end.cast("string")).first()
+            wrong = pagination(first, pull, *ends).groupBy("boundary").agg(F.sum("n").alias("n")).orderBy("boundary").collect()  # at most one row a piece
+            stage("pagination", sum(r["n"] for r in wrong), "rows differ around " + ", ".join(str(r["boundary"]) for r in wrong))
         thin = implied_missing(first, keys).where(F.col("n_missing") > SERIES_MISSING * (F.col("n_rows") + F.col("n_missing")))
         stage("completeness", thin.count(), "series with holes")
         if calendar is not None:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidelake.operators import checks, statistics, upkeep, verify
 from tidelake.operators.align import mids
-from tidelake.plans import gold, silver
+from tidelake.plans import gold, marts, silver
 from tidelake.registry import NO_NULLS, Registry
 from tidelake.schemas import DQ_DRIFT, DQ_FAILURES, DQ_RUNS, DQ_VIOLATIONS, VIOLATION
 from tidelake.sources import files, fleet, lake
@@ -21,16 +21,35 @@ SLA_SECONDS = 3 * 86_400
 RUN_KEYS = ["run_date", "cadence"]
 
 
-def build_marts(spark: SparkSession, base: str, registry: Registry | None = None, venues: tuple[str, str] = ("binance", "coinbase")) -> list[str]:
-    """Writes every mart whose groups are there; their names."""
+def build_marts(spark: SparkSession, base: str, registry: Registry | None = None, venues: tuple[str, str] = ("binance", "coinbase"), changed: dict[str, DataFrame] | None = None) -> list[str]:
+    """Brings every mart whose groups are there up to date; their names.
+
+    changed: by group, what an update has changed (bars, series: source, since; events:
+    source, reference_date).  Stored marts of these groups are rewritten where that matters;
+    without it, and where a mart is not stored by source and month yet, it is built whole.
+    """
     built: dict[str, DataFrame] = {}
+    done: list[str] = []
+
+    def mart(name: str, group: str, whole: Callable[[], DataFrame], part: Callable[[DataFrame], DataFrame], date: str = "date") -> None:
+        path = lake.gold_path(base, name)
+        if changed is not None and lake.exists(spark, f"{path}/source=*/month=*"):
+            if group in changed:
+                marts.write_increment(part(changed[group]), path, date)
+        else:
+            marts.write_whole(whole(), path, date)
+        done.append(name)
+
     if lake.exists(spark, lake.group_path(base, "bars")):
-        built["fct_bars_daily"] = gold.bars_daily(silver.bars(lake.read_bars(spark, base)).where("interval = '1d'"))
+        bars = silver.bars(lake.read_bars(spark, base)).where("interval = '1d'")
+        mart("fct_bars_daily", "bars", lambda: gold.bars_daily(bars), lambda c: marts.increment(marts.BARS, bars, c))
     if lake.exists(spark, lake.group_path(base, "series")):
         rows = lake.read_series(spark, base)
-        built["fct_series_features"] = gold.series_features(silver.series(rows, rows.limit(0)))
+        series = silver.series(rows, rows.limit(0))
+        mart("fct_series_features", "series", lambda: gold.series_features(series), lambda c: marts.increment(marts.SERIES, series, c))
     if lake.exists(spark, lake.group_path(base, "events")):
-        built["fct_events_revisions"] = gold.events_revisions(silver.events(lake.read_events(spark, base)))
+        events = silver.events(lake.read_events(spark, base))
+        mart("fct_events_revisions", "events", lambda: gold.events_revisions(events), lambda c: marts.events_increment(events, c), "reference_date")
     if {*venues} <= {*lake.sources_of(spark, base, "book_ticker")}:
         ticks = lake.read_kind(spark, base, "book_ticker")
         built["fct_cross_venue_basis"] = gold.cross_venue_basis(mids(ticks), *venues)
@@ -38,7 +57,7 @@ def build_marts(spark: SparkSession, base: str, registry: Registry | None = None
         built["dim_sources"] = gold.dim_sources(registry.frame(spark))
     for name, rows in built.items():
         upkeep.replace_path(rows, lake.gold_path(base, name))
-    return list(built)
+    return [*done, *built]
 
 
 def sla_of(registry: Registry | None) -> Column:
@@ -156,7 +175,7 @@ def nightly(
     record.
     """
     came = update() if update else None
-    build_marts(spark, base, registry)
+    build_marts(spark, base, registry, changed=came.get("changed") if came else None)
     if lake.exists(spark, lake.group_path(base, "bars")):
         today = F.lit(now).cast("date")
         upkeep.write_csv(upkeep.quality_summary(lake.read_bars(spark, base), BAR_KEYS, today), f"{base.rstrip('/')}/quality/quality_summary.csv")
@@ -296,7 +315,7 @@ def publish_lake(spark: SparkSession, base: str, out: str, registry: Registry) -
             done[group] = upkeep.publish(read(spark, base), allowed, group, lake.group_path(out, group))
     for mart, group in MART_GROUPS.items():
         if lake.exists(spark, lake.gold_path(base, mart)):
-            done[mart] = upkeep.publish(spark.read.parquet(lake.gold_path(base, mart)), allowed, group, lake.gold_path(out, mart))
+            done[mart] = upkeep.publish(lake.read_mart(spark, base, mart), allowed, group, lake.gold_path(out, mart))
     whole = {"dim_sources": lake.gold_path(base, "dim_sources"), **{t: f"{base.rstrip('/')}/quality/{t}" for t in lake.QUALITY}}
     for name, path in whole.items():
         if lake.exists(spark, path):

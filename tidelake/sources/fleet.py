@@ -262,8 +262,15 @@ def store(spark: SparkSession, base: str, got: DataFrame, today: Column | None =
     merge(spark, base, "events", events_of(got).drop("missing"), lambda: lake.read_events(spark, base), ["event_id", "revision_seq"])
 
 
+def changed_by(got: DataFrame) -> dict[str, DataFrame]:
+    """What fetched rows have changed, by group: source and since (a day) of series, source and reference_date of events."""
+    since = lambda group: got.where((F.col("group") == group) & F.col("status").isNull()).groupBy("source").agg(F.min(F.col("date").cast("date")).alias("since"))
+    day = F.split_part("event_id", F.lit(":"), F.lit(2)).try_cast("date")
+    return {"bars": since("bars"), "series": since("series"), "events": events_of(got).select("source", day.alias("reference_date")).distinct()}
+
+
 def update_all(spark: SparkSession, base: str, registry: Registry, fetch: TaskFetch, today: str, events_start: str = "1990-01-01", parallel: int | None = None) -> dict:
-    """Updates everything stored: updated, failed, and tables of failures (FAILURE) and violations (VIOLATION).
+    """Updates everything stored: updated, failed, and tables of failures (FAILURE), violations (VIOLATION) and what changed.
 
     A series without news counts as updated, a calendar's does not.  Tables lie in the
     lake's staging folder until the next update.
@@ -276,7 +283,7 @@ def update_all(spark: SparkSession, base: str, registry: Registry, fetch: TaskFe
     violations.write.parquet(f"{at}/violations")
     store(spark, base, got, now)
     counts = got.where("status IS NOT NULL").agg(F.count_if(F.expr("status = 'ok' OR (status = 'empty' AND group <> 'events')")).alias("ok"), F.count_if(F.col("status") == "failed").alias("failed")).first()
-    return {"updated": counts["ok"], "failed": counts["failed"], "failures": failures_of(got), "violations": spark.read.schema(VIOLATION).parquet(f"{at}/violations")}
+    return {"updated": counts["ok"], "failed": counts["failed"], "failures": failures_of(got), "violations": spark.read.schema(VIOLATION).parquet(f"{at}/violations"), "changed": changed_by(got)}
 
 
 def backfill(spark: SparkSession, base: str, registry: Registry, fetch: TaskFetch, group: str, source: str, names: Iterable[str] | None = None, start: str | None = None, calendar: str = "default", today: str | None = None, parallel: int | None = None) -> dict:

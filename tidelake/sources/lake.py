@@ -36,6 +36,12 @@ def gold_path(base: str, mart: str) -> str:
     return f"{base.rstrip('/')}/gold/{mart}"
 
 
+def read_mart(spark: SparkSession, base: str, mart: str) -> DataFrame:
+    """A stored mart, its source as text and without the month that it is stored by."""
+    rows = spark.read.parquet(gold_path(base, mart))
+    return rows.withColumn("source", F.col("source").cast("string")).drop("month") if "month" in rows.columns else rows
+
+
 def _read(spark: SparkSession, root: str, path: str, schema: T.StructType | None = None) -> DataFrame:
     reader = spark.read.option("basePath", root)
     return (reader.schema(schema) if schema else reader.option("mergeSchema", "true")).parquet(path)
@@ -142,7 +148,7 @@ def register_views(spark: SparkSession, base: str, only: set[str] | None = None)
     for kind in TAPE:
         view(kind, lambda k=kind: bool(sources_of(spark, base, k)), lambda k=kind: read_kind(spark, base, k))
     for mart in GOLD:
-        view(mart, lambda m=mart: exists(spark, gold_path(base, m)), lambda m=mart: spark.read.parquet(gold_path(base, m)))
+        view(mart, lambda m=mart: exists(spark, gold_path(base, m)), lambda m=mart: read_mart(spark, base, m))
     for name, schema in QUALITY.items():
         path = f"{base.rstrip('/')}/quality/{name}"
         view(name, lambda p=path: exists(spark, p), lambda p=path, s=schema: spark.read.schema(s).parquet(p))
