@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import SparkSession
 
+#: Temporary folders of local sessions that name no shared one, by application.
+_LOCAL: dict[str, str] = {}
+
 #: Partition values such as interval=1d must stay text, and timestamps must not move.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -28,3 +34,16 @@ def s3_settings(endpoint: str, key: str, secret: str) -> dict[str, str]:
         "spark.hadoop.fs.s3a.secret.key": secret,
         "spark.hadoop.fs.s3a.path.style.access": "true",
     }
+
+
+def work_path(spark: SparkSession, name: str) -> str:
+    """A fresh path in the folder that the cluster shares, ``spark.checkpoint.dir``; only a local session may go without one."""
+    context = spark.sparkContext
+    found = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not found:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        if context.applicationId not in _LOCAL:
+            _LOCAL[context.applicationId] = "file://" + tempfile.mkdtemp(prefix="tidelake-")
+        found = _LOCAL[context.applicationId]
+    return f"{found.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -206,36 +206,41 @@ class Handover(StatefulProcessor):
         waiting = [tuple(r) for r in self.waiting.get()] if self.waiting.exists() else []
         for pdf in rows:  # in the order that they came, an Arrow batch at a time
             out: list[tuple] = []
-            for row in zip(pdf["connection"].tolist(), pdf["seq"].tolist(), pdf["received_at"].tolist(), pdf["event"].tolist()):
-                row = (int(row[0]), None if row[1] is None or row[1] != row[1] else int(row[1]), int(row[2]), row[3])
-                if s[0] is not None and row[0] > s[0] and not s[2]:
+            for connection, seq, at, event in zip(pdf["connection"].tolist(), pdf["seq"].tolist(), pdf["received_at"].tolist(), pdf["event"].tolist()):
+                row = (int(connection), None if seq is None or seq != seq else int(seq), int(at), event)
+                if s[0] is None or row[0] > s[0]:
                     waiting.append(row)
-                    continue
-                self._take(key, s, row, out)
-                while s[2] and waiting:
-                    after = min(r[0] for r in waiting)
-                    ready, waiting = [r for r in waiting if r[0] == after], [r for r in waiting if r[0] != after]
-                    for r in ready:
-                        self._take(key, s, r, out)
+                else:
+                    self._take(key, s, row, out)
             yield _handed(out)
+        out = []
+        while waiting and (s[0] is None or s[2]):  # the open connection's rows of this micro-batch are done
+            after = min(r[0] for r in waiting)
+            ready, waiting = [r for r in waiting if r[0] == after], [r for r in waiting if r[0] != after]
+            self._open(key, s, after, ready[0][2], out)
+            for row in ready:
+                self._take(key, s, row, out)
+        yield _handed(out)
         self.state.update(tuple(s))
         if waiting:
             self.waiting.put(waiting)
         elif self.waiting.exists():
             self.waiting.clear()
 
+    def _open(self, key, s: list, connection: int, at: int, out: list[tuple]) -> None:
+        """Goes on to a connection; its predecessor, if any, is closed, and its last id is the floor."""
+        if s[0] is not None and s[3] is not None:
+            out.append((*key, s[0], None, s[5], "handover", s[4], s[3]))
+        s[:] = [connection, s[1], False, None if s[0] is None else s[1], 0, at]
+
     def _take(self, key, s: list, row: tuple, out: list[tuple]) -> None:
         connection, seq, at, event = row
-        if s[0] is None:
-            s[0] = connection
-        elif connection > s[0]:  # the predecessor is closed: its last id is the floor
-            if s[3] is not None:
-                out.append((*key, s[0], None, s[5], "handover", s[4], s[3]))
-            s[:] = [connection, s[1], False, s[1], 0, at]
-        elif connection < s[0]:
-            return  # closed before
         if event == "closed":
-            s[2] = True
+            s[2] = s[2] or connection == s[0]
+            return
+        if connection < s[0]:  # later than its own end: a duplicate, or a row that nobody else has brought
+            if seq is None or s[1] is None or seq > s[1]:
+                out.append((*key, connection, seq, at, "message", None, None))
             return
         if seq is not None and s[3] is not None:
             if seq <= s[3]:
@@ -261,8 +266,9 @@ def handed_over(rows: DataFrame) -> DataFrame:
 
     rows: source, symbol, kind, connection (counting up), seq, received_at, event (message,
     or closed once a connection is drained).  Rows without an id pass, and an overlap goes
-    on.  Needs the RocksDB state store.  Rows are taken in the order in which a
-    micro-batch holds them.
+    on.  Needs the RocksDB state store.  Of a micro-batch the open connection's rows are
+    taken as they come, and those of later ones after them; a stream's first micro-batch is
+    held until its first connection is known.
     """
     return rows.groupBy("source", "symbol", "kind").transformWithStateInPandas(Handover(), _HANDED, "append", "none")
 
@@ -349,12 +355,25 @@ def is_gap(kind: str = "kind", reason: str = "reason") -> Column:
     return (F.col(kind) == "gaps") & (F.coalesce(F.col(reason), F.lit("")) != "handover")
 
 
-def drained(spark: SparkSession, stream: DataFrame, path: str, checkpoint: str, mode: str = "append", until: Callable[[], bool] | None = None) -> DataFrame:
-    """Runs a stream until all that is there is written to path, and reads that back."""
-    schema = stream.schema
-    query = stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode(mode).start()
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_STORE = "spark.sql.streaming.stateStore.providerClass"
+
+
+def drained(stream: DataFrame, path: str, now: bool = True) -> DataFrame:
+    """Runs a stream below path until all that is there is written, with the state store that states need, and reads it back.
+
+    now: the source can end by itself, as files can; others are stopped once they are quiet.
+    """
+    spark = stream.sparkSession
+    before = spark.conf.get(_STORE, None)
+    spark.conf.set(_STORE, ROCKS)
     try:
-        query.processAllAvailable()
+        writer = stream.writeStream.format("parquet").option("path", f"{path}/out").option("checkpointLocation", f"{path}/checkpoint")
+        query = (writer.trigger(availableNow=True) if now else writer).start()
+        try:
+            query.awaitTermination() if now else query.processAllAvailable()
+        finally:
+            query.stop()
     finally:
-        query.stop()
-    return spark.read.schema(schema).parquet(path)
+        spark.conf.set(_STORE, before) if before else spark.conf.unset(_STORE)
+    return spark.read.schema(stream.schema).parquet(f"{path}/out")
