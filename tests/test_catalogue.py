@@ -5,7 +5,7 @@ import math
 import duckdb
 import pytest
 
-from tidelake.plans import catalogue, catalogue_lake, catalogue_updates, catalogue_verify  # noqa: F401
+from tidelake.plans import catalogue, catalogue_lake, catalogue_streams, catalogue_updates, catalogue_verify  # noqa: F401
 from tidelake.plans import standins
 
 TABLES = "region nation customer supplier part orders lineitem events".split()

@@ -188,7 +188,7 @@ def test_a_trial_passes_fails_and_skips(spark):
     lit = lambda t: F.lit(t).cast("date")
     run = lambda a, b, **k: {r.stage: r.outcome for r in contracts.trial(spark, a, b, lit("2024-01-01"), lit("2024-01-31"), lit("2024-02-01"), **k).collect()}
     good = bars(spark, rows)
-    assert run(good, good) == dict.fromkeys(("contract", "frame", "determinism", "range", "completeness"), "passed") | dict.fromkeys(("peer_completeness", "cross_source"), "skipped")
+    assert run(good, good) == dict.fromkeys(("contract", "frame", "determinism", "range", "completeness"), "passed") | dict.fromkeys(("pagination", "peer_completeness", "cross_source"), "skipped")
     peer = good.withColumn("source", F.lit("old"))
     assert set(run(good, good, stored=peer, peer="old").values()) == {"passed"}
     thin = bars(spark, [r for i, r in enumerate(rows) if i % 6 != 5])
