@@ -188,11 +188,11 @@ def _judged(text: str, sent, shard_words: int):
 
 
 def _blocks(benchmark: DataFrame, item_col: str, text_col: str, block_bytes: int) -> Iterator[list[tuple[str, str]]]:
-    """Items of at most ``block_bytes`` of text at a time, or one piece of an item.
+    """Items of at most ``block_bytes`` of text at a time, or one piece of an item; rows that repeat count once.
 
     Items reach the driver partition by partition, and a partition has about a block.
     """
-    rows = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("item"), F.col(text_col).alias("text")).where("text IS NOT NULL")
+    rows = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("item"), F.col(text_col).alias("text")).where("text IS NOT NULL").distinct()
     total = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     if total > block_bytes:
         rows = rows.repartition(-(-total // block_bytes), F.xxhash64("item", "text"))

@@ -51,8 +51,9 @@ def top_grams(text: str | None, top: int = TOP) -> np.ndarray:
 
 
 def profiles(docs: DataFrame, lang_col: str, learn: Column, id_col: str, text_col: str, most: int = 3000, top: int = TOP, seed: int = 23) -> dict[str, list[int]]:
-    """Profiles of all languages, from about ``most`` documents of each, chosen by hash.
+    """Profiles of all languages, from about ``most`` documents of each, chosen by a hash of id and text.
 
+    Many documents of one id are drawn like any others; rows that repeat are drawn together.
     The result holds at most ``top`` codes a language.
     """
     known = docs.where(learn & F.col(lang_col).isNotNull())
@@ -61,7 +62,7 @@ def profiles(docs: DataFrame, lang_col: str, learn: Column, id_col: str, text_co
     if not share:
         return {}
     of_lang = F.element_at(F.create_map(*(F.lit(x) for r in share for x in (r["__lang"], r["__share"]))), F.col(lang_col))
-    spread = F.pmod(F.xxhash64(F.col(id_col), F.lit(seed)), F.lit(1 << 20)) / F.lit(float(1 << 20))
+    spread = F.pmod(F.xxhash64(F.col(id_col), F.col(text_col), F.lit(seed)), F.lit(1 << 20)) / F.lit(float(1 << 20))
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
