@@ -266,6 +266,26 @@ def test_sql_of_nested_calls_windows_and_filters(spark, base):
     assert lake.query(spark, f"SELECT count(*) AS n FROM read_parquet('{glob}')", base).first().n == 20
 
 
+def test_sql_of_lists_names_units_and_filtered_windows(spark, base):
+    one = lambda s: lake.query(spark, s, base).collect()
+    glob = lambda s: f"{base}/bronze/group=bars/source=binance/symbol={s}/interval=1d/*.parquet"
+    rows = one(f"SELECT symbol, count(*) AS n FROM read_parquet(['{glob('BTCUSDT')}', '{glob('ETHUSDT')}'], hive_partitioning = true, union_by_name = true) GROUP BY ALL ORDER BY 1")
+    assert [tuple(r) for r in rows] == [("BTCUSDT", 10), ("ETHUSDT", 10)]
+    flat, deep = f"{base}/bronze/group=series/source=*/series_id=*/*.parquet", f"{base}/bronze/group=series/source=*/series_id=*/metric=*/*.parquet"
+    both = lake.query(spark, f"SELECT * FROM read_parquet('{flat}', hive_partitioning=true) UNION ALL BY NAME SELECT * FROM read_parquet('{deep}', hive_partitioning=true)", base)
+    assert {(r.series_id, r.metric) for r in both.collect()} == {("UNRATE", None), ("BTC", "funding_rate")} and both.count() == 6
+    assert lake._by_name("SELECT 'UNION ALL BY NAME' UNION  all by name SELECT 2") == ["SELECT 'UNION ALL BY NAME' ", " SELECT 2"]
+    over = one("SELECT symbol, date, count(*) FILTER (WHERE close > 15) OVER (PARTITION BY symbol) AS n, sum(close) FILTER (WHERE close > (10 + 5)) OVER (PARTITION BY symbol ORDER BY date) AS s, arg_max(close, date) FILTER (WHERE close < 15) OVER (PARTITION BY symbol) AS l FROM bars ORDER BY symbol, date")
+    assert over[0].n == 6 and over[0].s is None and over[9].s == sum(15.5 + i for i in range(6)) and over[3].l == 14.5
+    spans = one("SELECT date_diff('hour', TIMESTAMP '2024-01-01 10:59:00', TIMESTAMP '2024-01-01 12:01:00') AS h, date_diff('month', DATE '2024-01-31', DATE '2024-03-01') AS m, date_diff('year', DATE '2023-12-31', DATE '2024-01-01') AS y, date_diff('day', DATE '2024-01-01', DATE '2024-02-01') AS d, date_diff('week', DATE '2024-01-07', DATE '2024-01-08') AS w")
+    assert tuple(spans[0]) == (2, 2, 1, 31, 1)
+    left = lake.query(spark, "SELECT * EXCLUDE (open, high), quantile_cont(close, 0.25) OVER (PARTITION BY symbol) AS q FROM bars", base)
+    assert {"open", "high"}.isdisjoint(left.columns) and left.first().q == 13.75
+    assert "volume" not in lake.query(spark, "SELECT * EXCLUDE volume FROM bars", base).columns
+    odd = lake.query(spark, """SELECT close AS "it's", 'a "b" // c' AS t, symbol AS "q""x" FROM bars""", base)
+    assert odd.columns == ["it's", "t", 'q"x'] and odd.first()[1] == 'a "b" // c'
+
+
 def test_only_named_views_are_made(spark, base):
     for v in ("bars", "series", "events", "book_ticker"):
         spark.catalog.dropTempView(v)

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -155,8 +156,30 @@ def register_views(spark: SparkSession, base: str, only: set[str] | None = None)
     return names
 
 
-#: Text that is no code: quoted text, comments.
-_QUIET = re.compile(r"'(?:[^']|'')*'|--[^\n]*|/\*.*?\*/", re.DOTALL)
+#: Text that is no code: quoted text, quoted names, comments.
+_QUIET = re.compile(r"'(?:[^']|'')*'|\"(?:[^\"]|\"\")*\"|--[^\n]*|/\*.*?\*/", re.DOTALL)
+_DEPTH = {"(": 1, "[": 1, ")": -1, "]": -1}
+
+
+def _close(text: str, at: int) -> int:
+    """Where the bracket closes that was opened before ``at``; -1 if it does not."""
+    depth = 1
+    for i in range(at, len(text)):
+        depth += _DEPTH.get(text[i], 0)
+        if depth == 0:
+            return i
+    return -1
+
+
+def _split(text: str, mark: str = ",") -> list[str]:
+    """Parts of text between marks that are in no bracket."""
+    parts, depth, begin = [], 0, 0
+    for i, c in enumerate(text):
+        depth += _DEPTH.get(c, 0)
+        if depth == 0 and text.startswith(mark, i):
+            parts.append(text[begin:i])
+            begin = i + len(mark)
+    return [*parts, text[begin:]]
 
 
 def _calls(text: str, name: str, to: Callable[[list[str]], str | None]) -> str:
@@ -165,19 +188,13 @@ def _calls(text: str, name: str, to: Callable[[list[str]], str | None]) -> str:
     for m in re.finditer(rf"\b{name}\s*\(", text, re.IGNORECASE):
         if m.start() < at:
             continue
-        depth, args, begin = 1, [], m.end()
-        for i in range(m.end(), len(text)):
-            depth += {"(": 1, ")": -1}.get(text[i], 0)
-            if depth == 0 or (depth == 1 and text[i] == ","):
-                args.append(_calls(text[begin:i], name, to).strip())
-                begin = i + 1
-            if depth == 0:
-                break
-        put = to(args) if depth == 0 else None
-        out += text[at : m.start()] + (f"{text[m.start() : m.end()]}{', '.join(args)})" if put is None else put)
-        at = begin
-        if depth:
+        end = _close(text, m.end())
+        if end < 0:
             return text
+        args = [_calls(a, name, to).strip() for a in _split(text[m.end() : end])]
+        put = to(args)
+        out += text[at : m.start()] + (f"{text[m.start() : m.end()]}{', '.join(args)})" if put is None else put)
+        at = end + 1
     return out + text[at:]
 
 
@@ -186,55 +203,106 @@ def _by(name: str) -> Callable[[list[str]], str | None]:
     return lambda a: f"{name}({a[0]}, CASE WHEN ({a[0]}) IS NOT NULL THEN {a[1]} END)" if len(a) == 2 else None
 
 
-def translated(sql: str, files: Callable[[str, list[str]], str] | None = None) -> str:
+def _filtered_windows(text: str) -> str:
+    """Aggregates with both FILTER and OVER, which windows do not take, with their condition inside."""
+    at = 0
+    while m := re.compile(r"\)\s*FILTER\s*\(\s*WHERE\b", re.IGNORECASE).search(text, at):
+        at = m.end()
+        end, depth, begin = _close(text, m.end()), 1, m.start()
+        if end < 0 or not re.match(r"\s*OVER\b", text[end + 1 :], re.IGNORECASE):
+            continue
+        while depth:
+            begin -= 1
+            depth -= _DEPTH.get(text[begin], 0)
+        args, name = [a.strip() for a in _split(text[begin + 1 : m.start()])], re.search(r"(\w+)\s*$", text[:begin])[1].lower()
+        which = len(args) - 1 if name in ("max_by", "min_by") else 0
+        value = "1" if args[which] == "*" else args[which]
+        args[which] = f"CASE WHEN {text[m.end() : end].strip()} THEN {value} END"
+        put = f"({', '.join(args)})"
+        text = text[:begin] + put + text[end + 1 :]
+        at = begin + len(put)
+    return text
+
+
+def translated(sql: str, files: Callable[[list[str], list[str]], str] | None = None) -> str:
     """sql with another dialect's spellings put as Spark has them, quoted text and comments left alone.
 
-    arg_max and arg_min, also with FILTER or OVER; date_diff of days; read_parquet; // ;
-    DESCRIBE SELECT; "names" in backticks.  files: the relation that stands for
-    read_parquet's path and options.
+    arg_max and arg_min, aggregates with FILTER and OVER, date_diff of any unit,
+    quantile_cont, * EXCLUDE, read_parquet, // , DESCRIBE SELECT, "names" in backticks.
+    files: the relation that stands for read_parquet's paths and options.
     """
     quiet: list[str] = []
 
     def hide(m: re.Match) -> str:
-        quiet.append(m[0])
+        inner = m[0][1:-1]
+        quiet.append("`" + inner.replace('""', '"').replace("`", "``") + "`" if m[0][0] == '"' else m[0])
         return f"\x00{len(quiet) - 1}\x00"
 
     show = lambda text: re.sub("\x00(\\d+)\x00", lambda m: quiet[int(m[1])], text)
-    literal = lambda text: show(text)[1:-1].replace("''", "'") if re.fullmatch("\x00\\d+\x00", text) else None
 
-    def days(a: list[str]) -> str | None:
-        return f"datediff({a[2]}, {a[1]})" if len(a) == 3 and literal(a[0]) in ("day", "DAY") else None
+    def literal(text: str) -> str | None:
+        shown = show(text.strip())
+        return shown[1:-1].replace("''", "'") if re.fullmatch("\x00\\d+\x00", text.strip()) and shown[0] == "'" else None
+
+    def apart(a: list[str]) -> str | None:
+        """Boundaries of a unit between two times."""
+        unit = (literal(a[0]) or "").upper()
+        if len(a) != 3 or not unit.isalpha():
+            return None
+        return f"datediff({a[2]}, {a[1]})" if unit == "DAY" else f"timestampdiff({unit}, date_trunc('{unit}', {a[1]}), date_trunc('{unit}', {a[2]}))"
 
     def parquet(a: list[str]) -> str | None:
-        path = literal(a[0])
-        return None if path is None else (files or (lambda p, _: f"parquet.`{p}`"))(path, [show(x) for x in a[1:]])
+        several = a[0].startswith("[") and a[0].endswith("]")
+        paths = [literal(x) for x in (_split(a[0][1:-1]) if several else a[:1])]
+        if None in paths:
+            return None
+        return (files or (lambda p, _: f"parquet.`{p[0]}`"))(paths, [show(x) for x in a[1:]])
 
     text = _QUIET.sub(hide, sql)
-    for name, to in (("arg_max", _by("max_by")), ("arg_min", _by("min_by")), ("date_diff", days), ("read_parquet", parquet)):
+    quantile = lambda a: f"percentile({a[0]}, {a[1]})" if len(a) == 2 else None
+    for name, to in (("arg_max", _by("max_by")), ("arg_min", _by("min_by")), ("date_diff", apart), ("quantile_cont", quantile), ("read_parquet", parquet)):
         text = _calls(text, name, to)
+    text = _filtered_windows(text)
+    text = re.sub(r"\*\s*EXCLUDE\s*\(", "* EXCEPT (", text, flags=re.IGNORECASE)
+    text = re.sub("\\*\\s*EXCLUDE\\s+(\\w+|\x00\\d+\x00)", r"* EXCEPT (\1)", text, flags=re.IGNORECASE)
     text = re.sub(r"^\s*DESCRIBE\s+SELECT\b", "DESCRIBE QUERY SELECT", text, flags=re.IGNORECASE)
-    text = text.replace("//", " div ")
-    return show(re.sub(r'"([^"]+)"', r"`\1`", text))
+    return show(text.replace("//", " div "))
+
+
+def _by_name(sql: str) -> list[str]:
+    """The queries between which SQL says UNION ALL BY NAME outside of brackets and quotes."""
+    quiet: list[str] = []
+    text = _QUIET.sub(lambda m: quiet.append(m[0]) or f"\x00{len(quiet) - 1}\x00", sql)
+    parts = _split(re.sub(r"\bUNION\s+ALL\s+BY\s+NAME\b", "\x01", text, flags=re.IGNORECASE), "\x01")
+    return [re.sub("\x00(\\d+)\x00", lambda m: quiet[int(m[1])], p) for p in parts]
 
 
 def query(spark: SparkSession, sql: str, base: str) -> DataFrame:
-    """Runs SQL over the lake's views; only those that it names are made."""
+    """Runs SQL over the lake's views; only those that it names are made.
+
+    UNION ALL BY NAME may stand between whole queries.
+    """
     known = {"bars", "series", "events", *TAPE, *GOLD, *QUALITY}
     register_views(spark, base, {n for n in known if re.search(rf"\b{n}\b", sql)})
 
-    def files(path: str, options: list[str]) -> str:
-        if not options:
-            return f"parquet.`{path}`"
+    def files(paths: list[str], options: list[str]) -> str:
+        if not options and len(paths) == 1:
+            return f"parquet.`{paths[0]}`"
         wanted = {k.strip().lower() for k, _, v in (o.partition("=") for o in options) if v.strip().lower() in ("true", "1")}
         reader = spark.read.option("mergeSchema", "union_by_name" in wanted)
-        if "hive_partitioning" in wanted:  # columns of all key=value folders of the path
-            parts = path.split("/")
-            reader = reader.option("basePath", "/".join(parts[: next((i for i, p in enumerate(parts) if "=" in p or "*" in p), len(parts))]) or "/")
-        name = f"files_{abs(hash((path, *sorted(wanted)))):x}"
-        reader.parquet(path).createOrReplaceTempView(name)
+        if "hive_partitioning" in wanted:  # columns of all key=value folders of the paths
+            whole = [p.split("/") for p in paths]
+            plain = [p[: next((i for i, x in enumerate(p) if "=" in x or "*" in x), len(p))] for p in whole]
+            root = plain[0]
+            for p in plain[1:]:
+                root = root[: next((i for i, (x, y) in enumerate(zip(root, p)) if x != y), min(len(root), len(p)))]
+            reader = reader.option("basePath", "/".join(root) or "/")
+        name = f"files_{abs(hash((*paths, *sorted(wanted)))):x}"
+        reader.parquet(*paths).createOrReplaceTempView(name)
         return name
 
-    return spark.sql(translated(sql, files))
+    parts = [spark.sql(translated(p, files)) for p in _by_name(sql)]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def list_series(rows: DataFrame, keys: list[str]) -> DataFrame:
