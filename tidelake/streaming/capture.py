@@ -21,6 +21,7 @@ from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPart
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.listener import StreamingQueryListener
 
+from tidelake.session import work_path
 from tidelake.sources import files
 from tidelake.streaming.tape import session_marker, write_tape
 
@@ -117,14 +118,23 @@ def feed(name: str, oldest: Callable[[], dict], latest: Callable[[], dict], read
 def land(messages: DataFrame, path: str, segment: int = 10_000, order: list[str] | None = None, start: dict[str, int] | None = None) -> int:
     """Writes messages (stream, message, received_at) as segments of a landed feed; how many segments.
 
-    A stream's messages are numbered in ``order`` from its start.  A segment is written
-    beside its name and then renamed, so a reader never sees half of one.
+    A stream's messages are numbered in ``order`` from its start, in ranges along that order
+    whose counts are placed first, so a busy stream is no task's alone.  A segment is
+    written beside its name and then renamed, so a reader never sees half of one.
     """
     spark = messages.sparkSession
-    by = F.row_number().over(Window.partitionBy("stream").orderBy(*(order or ["received_at"])))
-    known = F.create_map(*(F.lit(x) for kv in (start or {}).items() for x in kv)) if start else None
+    order = order or ["received_at"]
+    ranged = messages.repartitionByRange("stream", *order).withColumn("piece", F.spark_partition_id())
+    at = work_path(spark, "landing")  # ranges are drawn once
+    ranged.write.parquet(at)
+    ranged = spark.read.schema(ranged.schema).parquet(at)
+    ahead = Window.partitionBy("stream").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
+    before = ranged.groupBy("stream", "piece").count().select("stream", "piece", F.coalesce(F.sum("count").over(ahead), F.lit(0)).alias("before"))
+    known = F.create_map(*(F.lit(x) for kv in start.items() for x in kv)) if start else None
     first = F.coalesce(F.try_element_at(known, F.col("stream")), F.lit(0)) if known is not None else F.lit(0)
-    rows = messages.select("stream", "message", "received_at", (by - 1 + first).cast("long").alias("offset"))
+    place = F.row_number().over(Window.partitionBy("stream", "piece").orderBy(*order)) - 1
+    rows = ranged.withColumn("place", place).join(before, ["stream", "piece"])
+    rows = rows.select("stream", "message", "received_at", (F.col("before") + F.col("place") + first).cast("long").alias("offset"))
     rows = rows.withColumn("segment", F.floor(F.col("offset") / segment))
 
     def write(pdf: pd.DataFrame) -> pd.DataFrame:
