@@ -307,7 +307,8 @@ MART_GROUPS = {"fct_bars_daily": "bars", "fct_series_features": "series", "fct_e
 def publish_lake(spark: SparkSession, base: str, out: str, registry: Registry) -> dict[str, int]:
     """Writes a public copy of the lake: groups and marts of allowed sources, the dimension, the quality history; files of each.
 
-    Rows leave only if their source is on the allowlist of their own group.
+    Rows leave only if their source is on the allowlist of their own group.  Failures and
+    drift, which name what sources call their series, stay.
     """
     allowed, done = registry.allowed(spark), {}
     for group, read in (("bars", lake.read_bars), ("series", lake.read_series), ("events", lake.read_events)):
@@ -316,7 +317,7 @@ def publish_lake(spark: SparkSession, base: str, out: str, registry: Registry) -
     for mart, group in MART_GROUPS.items():
         if lake.exists(spark, lake.gold_path(base, mart)):
             done[mart] = upkeep.publish(lake.read_mart(spark, base, mart), allowed, group, lake.gold_path(out, mart))
-    whole = {"dim_sources": lake.gold_path(base, "dim_sources"), **{t: f"{base.rstrip('/')}/quality/{t}" for t in lake.QUALITY}}
+    whole = {"dim_sources": lake.gold_path(base, "dim_sources"), **{t: f"{base.rstrip('/')}/quality/{t}" for t in ("dq_runs", "dq_violations")}}
     for name, path in whole.items():
         if lake.exists(spark, path):
             rows = spark.read.option("mergeSchema", "true").parquet(path)
