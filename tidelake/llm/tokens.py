@@ -22,6 +22,8 @@ from itertools import pairwise
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,7 +38,7 @@ FILE_BYTES = 256 << 20
 #: Most tasks that units are dealt to.
 MOST_TASKS = 20_000
 MEMO = 1_200_000
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 6 << 20
 #: Words encoded in one call of the library.
 TOGETHER = 200
 _HEAD = struct.Struct("<4sQQQQQQ")
@@ -47,7 +49,8 @@ class Tokenizer:
     """Ids of whole texts by the tokenizers library, with a bounded memo of words.
 
     A byte-level BPE without normalizer cuts a text before a space between two words, so
-    the pieces between such spaces can be encoded once and remembered.  Other tokenizers,
+    the pieces between such spaces can be encoded once and remembered; a batch of texts is
+    cut, and its different pieces found, by Arrow.  Other tokenizers,
     and texts with other white space beside a space, are encoded whole.  With plain,
     special tokens' strings are ordinary text.
     """
@@ -100,39 +103,45 @@ class Tokenizer:
             return self._whole(texts)
         if len(self.known) > self.most // 2:  # words that the next generation doesn't meet go
             self.before, self.known = self.known, {}
-        get = self.known.get
-        cuts: list[tuple[list[str], list, list[int]]] = []
-        missing: set[str] = set()
-        for t in texts:
-            words = t.split(" ")
-            ids = list(map(get, words))
-            ids[0] = b""
-            gaps = [i for i, x in enumerate(ids) if x is None]
-            missing.update([words[i] for i in gaps])
-            cuts.append((words, ids, gaps))
-        # a piece that is empty or has white space at an end is never remembered, so its text is seen here
-        odd = {w for w in missing if not w or w.strip() != w}
-        fresh = []
-        for w in missing:
-            if w in self.before:
-                self.known[w] = self.before[w]
-            elif w not in odd:
-                fresh.append(w)
-        self._learn(fresh)
-        whole = {i for i, (words, _, gaps) in enumerate(cuts) if odd and any(words[g] in odd for g in gaps)}
-        rest = iter(self._whole([texts[i] for i in sorted(whole)]))
-        heads = list({c[0][0] for i, c in enumerate(cuts) if i not in whole})
-        first = dict(zip(heads, self._whole(heads)))
-        out = []
-        for i, (words, ids, gaps) in enumerate(cuts):
-            if i in whole:
-                out.append(next(rest))
-                continue
-            for g in gaps:
-                ids[g] = self.known[words[g]]
-            ids[0] = first[words[0]]
-            out.append(b"".join(ids))
-        return out
+        # each different piece of the texts is looked up once; its ids are then gathered for all places
+        pieces = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        first = np.asarray(pieces.offsets)
+        pieces = pieces.flatten().dictionary_encode()
+        code, words = np.asarray(pieces.indices).astype(np.int64), pieces.dictionary.to_pylist()
+        # a piece that is empty or has white space at an end is never remembered, so its text is encoded whole
+        odd = [i for i, w in enumerate(words) if not w or w.strip() != w]
+        ids = self._remembered(words, set(odd))
+        alone = np.zeros(len(words), bool)
+        alone[odd] = True
+        at = code[first[:-1]]  # what no space stands before
+        heads = np.unique(at)
+        whole = np.unique(np.searchsorted(first, np.flatnonzero(alone[code]), "right") - 1) if odd else np.zeros(0, np.int64)
+        table = [*ids, b"", *self._whole([words[i] for i in heads.tolist()]), *self._whole([texts[i] for i in whole.tolist()])]
+        empty = len(words)
+        code[first[:-1]] = empty + 1 + np.searchsorted(heads, at)
+        for k, i in enumerate(whole.tolist()):
+            code[first[i] : first[i + 1]] = empty
+            code[first[i]] = empty + 1 + len(heads) + k
+        size = np.fromiter(map(len, table), np.int32, len(table)) // self.kind.itemsize
+        start, n = (np.cumsum(size, dtype=np.int32) - size)[code], size[code]
+        ends = np.zeros(len(n) + 1, np.int64)
+        np.cumsum(n, out=ends[1:])
+        place = np.repeat(start - ends[:-1].astype(np.int32), n)
+        place += np.arange(len(place), dtype=np.int32)
+        every = np.frombuffer(b"".join(table), self.kind)[place]
+        cut = ends[first].tolist()
+        return [every[a:b].tobytes() for a, b in pairwise(cut)]
+
+    def _remembered(self, words: list[str], odd: set[int]) -> list[bytes]:
+        """The ids of different words after a space, learned if they are not known; of odd places none."""
+        known, before = self.known, self.before
+        ids = list(map(known.get, words))
+        gaps = [i for i, x in enumerate(ids) if x is None and i not in odd]
+        known.update({words[i]: before[words[i]] for i in gaps if words[i] in before})
+        self._learn([words[i] for i in gaps if words[i] not in before])
+        for i in gaps:
+            ids[i] = known[words[i]]
+        return [x or b"" for x in ids]
 
 
 _loaded: dict[str, Tokenizer] = {}
