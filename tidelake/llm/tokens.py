@@ -107,7 +107,8 @@ class Tokenizer:
         pieces = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
         first = np.asarray(pieces.offsets)
         pieces = pieces.flatten().dictionary_encode()
-        code, words = np.asarray(pieces.indices).astype(np.int64), pieces.dictionary.to_pylist()
+        code, words = np.array(pieces.indices, np.int32), pieces.dictionary.to_pylist()
+        del pieces
         # a piece that is empty or has white space at an end is never remembered, so its text is encoded whole
         odd = [i for i, w in enumerate(words) if not w or w.strip() != w]
         ids = self._remembered(words, set(odd))
@@ -124,9 +125,9 @@ class Tokenizer:
             code[first[i]] = empty + 1 + len(heads) + k
         size = np.fromiter(map(len, table), np.int32, len(table)) // self.kind.itemsize
         start, n = (np.cumsum(size, dtype=np.int32) - size)[code], size[code]
-        ends = np.zeros(len(n) + 1, np.int64)
+        ends = np.zeros(len(n) + 1, np.int32)
         np.cumsum(n, out=ends[1:])
-        place = np.repeat(start - ends[:-1].astype(np.int32), n)
+        place = np.repeat(start - ends[:-1], n)
         place += np.arange(len(place), dtype=np.int32)
         every = np.frombuffer(b"".join(table), self.kind)[place]
         cut = ends[first].tolist()
