@@ -81,7 +81,7 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token-id files of all documents, read back."""
-    return tokenized(_read(spark, sf_dir, "documents"), tokenizer_path(), END_ID)
+    return tokenized(_read(spark, sf_dir, "documents"), tokenizer_path(), END_ID, slice_bytes=6 << 20)
 
 
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

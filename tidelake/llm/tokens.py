@@ -38,7 +38,7 @@ FILE_BYTES = 256 << 20
 #: Most tasks that units are dealt to.
 MOST_TASKS = 20_000
 MEMO = 1_200_000
-BATCH_BYTES = 6 << 20
+BATCH_BYTES = 2 << 20
 #: Words encoded in one call of the library.
 TOGETHER = 200
 _HEAD = struct.Struct("<4sQQQQQQ")
@@ -239,7 +239,7 @@ def _in_order(docs: DataFrame) -> DataFrame:
     return keyed.repartitionByRange("doc_id", "hash", "row").sortWithinPartitions("doc_id", "hash", "row").drop("hash", "row")
 
 
-def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", slice_bytes: int = BATCH_BYTES) -> DataFrame:
     """Writes the files below path and returns their manifest: part, unit, file, offset, first, last, n_tokens.
 
     Ids must be integers; nulls come first.  Rows with equal ids are in the order of a hash
@@ -279,7 +279,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, i
         try:
             for pdf in batches:
                 rows = [(None if d is None else int(d), t) for d, t in zip(pdf["doc_id"], pdf["text"])]
-                for some in _slices(rows, BATCH_BYTES):
+                for some in _slices(rows, slice_bytes):
                     for (d, _), ids in zip(some, tok.encode([t for _, t in some])):
                         ids += end
                         doc_ids.append(d)
@@ -352,12 +352,14 @@ def read_tokens(manifest: DataFrame, path: str) -> DataFrame:
     return placed.repartition(tasks, "part", "unit").mapInPandas(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
-def tokenized(docs: DataFrame, tokenizer_path: str, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> DataFrame:
+def tokenized(docs: DataFrame, tokenizer_path: str, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, slice_bytes: int = BATCH_BYTES) -> DataFrame:
     """Token files of all docs below path, and what is read back from them: doc_id, start, n_tokens, ids_crc32.
 
     path: the files' folder, which stays; a fresh one in the shared folder if not given.
+    slice_bytes: characters of text that are cut and looked up at once; more take less time
+    and more memory of a worker.
     Nulls, repeated rows and long texts are as write_tokens says; other columns of docs are
     not returned.  An empty table gives no files and no rows.
     """
     path = path or product(docs.sparkSession, "token-files")
-    return read_tokens(write_tokens(docs, path, tokenizer_path, end_id, id_col, text_col), path)
+    return read_tokens(write_tokens(docs, path, tokenizer_path, end_id, id_col, text_col, slice_bytes), path)
