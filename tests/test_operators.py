@@ -293,3 +293,10 @@ def test_a_trial_without_a_peer_is_held_to_a_calendar(spark):
     rows = [("new", "X", d, 10.0, 15.0, 9.0, 10.0 + i % 5, 5.0) for i, d in enumerate(days(30)) if d.weekday() < 5]
     run = lambda some: {r.stage: r.outcome for r in contracts.trial(spark, bars(spark, some), bars(spark, some), lit("2024-01-01"), lit("2024-01-31"), lit("2024-02-01"), calendar=week).collect()}
     assert run(rows)["calendar_completeness"] == "passed" and run([r for i, r in enumerate(rows) if i % 4 != 2])["calendar_completeness"] == "failed"
+
+
+def test_a_constant_series_stays_one_when_parts_of_it_are_added_up(spark):
+    kind = "source string, symbol string, close double"
+    part = lambda source, *closes: spark.createDataFrame([(source, "X", c) for c in closes], kind).coalesce(1)
+    rows = part("a", *[1.5] * 47).unionByName(part("a", *[1.5] * 94)).unionByName(part("b", 1.0, 1.0 + 2**-52)).unionByName(part("c", 2.0))
+    assert [tuple(r) for r in verify.constant(rows, ["source", "symbol"]).collect()] == [("a", "X", 141)]

@@ -108,7 +108,7 @@ def implausible(bars: DataFrame, keys: list[str], limit: float = JUMP) -> DataFr
 
 def constant(rows: DataFrame, keys: list[str], value: str = "close") -> DataFrame:
     """keys, n of series of two or more rows whose values are all the same."""
-    return rows.groupBy(*keys).agg(F.count(value).alias("n"), F.stddev_samp(value).alias("s")).where("n >= 2 AND s = 0").select(*keys, "n")
+    return rows.groupBy(*keys).agg(F.count(value).alias("n"), F.min(value).alias("least"), F.max(value).alias("most")).where("n >= 2 AND least = most").select(*keys, "n")
 
 
 def verify_bars(bars: DataFrame, keys: list[str], now: Column) -> DataFrame:
