@@ -135,6 +135,20 @@ def test_handover_equals_the_batch_form(rocks, tmp_path):
     assert got == {r.symbol: (r.n_kept, r.n_duplicates) for r in tape.overlap_counts(frame(new), floors, KEYS, "seq").collect()}
 
 
+@pytest.mark.parametrize("cut", [400, 150])
+def test_a_handover_takes_a_micro_batch_in_any_order(rocks, tmp_path, cut):
+    old = [("v", "A", "trades", 0, i, 1000 + i, "message") for i in range(100)] + [("v", "A", "trades", 0, None, 1100, "closed")]
+    new = [("v", "A", "trades", 1, i, 2000 + i, "message") for i in range(50, 200)]
+    late = [("v", "A", "trades", 0, i, 3000 + i, "message") for i in (40, 199, 250)]  # after the close: two were brought by somebody
+    rng = np.random.default_rng(4)
+    first, second = old + new[:49], new[49:] + late
+    rows = [r for part in (first, second) for r in (part[i] for i in rng.permutation(len(part)))] if cut == 150 else [(old + new)[i] for i in rng.permutation(251)] + late
+    finished(capture.handed_over(stream_of(rocks, tmp_path, rows, HANDED, lambda rows: [rows[: min(cut, 251)], rows[min(cut, 251) :]])), tmp_path)
+    got = rocks.read.parquet(str(tmp_path / "out")).collect()
+    assert sorted(r.seq for r in got if r.event == "message") == [*range(200), 250]
+    assert [(r.connection, r.received_at, r.floor, r.duplicates) for r in got if r.event == "handover"] == [(1, 2050, 99, 50)]
+
+
 END = ("v", "END", "trades", 0, 0, 10**9, 10**6)
 
 
