@@ -41,3 +41,18 @@ def test_bars_read_four_columns_and_shuffle_once_for_all_windows(spark, sf_dir):
     assert "l_comment" not in scan and "l_discount" not in scan
     physical = plan.split("== Physical Plan ==")[1]
     assert physical.count("hashpartitioning(source") <= 2
+
+
+def test_quotes_have_the_milliseconds_of_the_sql(spark, tmp_path):
+    ends = ["2024-01-01 00:59:59.9994", "2024-01-01 00:59:59.9995", "2024-01-01 00:59:59.9999", "2024-01-01 01:00:00", "1969-12-31 22:59:59.9995", "1969-12-31 22:59:59.999501"]
+    con = duckdb.connect()
+    con.execute(f"COPY (SELECT i AS event_id, CAST(t AS TIMESTAMP) AS ts, 0::BIGINT AS user_id, 'view' AS event_type, 1.0::DOUBLE AS value, '' AS props FROM (SELECT unnest({ends}) AS t, unnest(range({len(ends)})) AS i)) TO '{tmp_path}/events.parquet'")
+    con.execute(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet'")
+    got = standins.quotes(spark, str(tmp_path)).select("update_id", "received_at")
+    assert canon(map(tuple, got.collect())) == canon(con.execute(f"WITH {standins.QUOTES} SELECT update_id, received_at FROM quotes").fetchall())
+    (tmp_path / "later").mkdir()
+    con.execute(f"COPY (SELECT * FROM events WHERE ts > '2000-01-01') TO '{tmp_path}/later/events.parquet'")
+    con.execute(f"CREATE OR REPLACE VIEW events AS SELECT * FROM '{tmp_path}/later/events.parquet'")
+    for name in ("tumbling_counts", "decode_book"):
+        df = catalogue.QUERIES[name](spark, f"{tmp_path}/later")
+        assert canon(map(tuple, df.collect())) == canon(con.execute(f"SELECT {', '.join(df.columns)} FROM ({catalogue.SQL[name]})").fetchall())

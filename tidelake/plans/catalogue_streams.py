@@ -100,7 +100,7 @@ chained AS (SELECT *, lag(final_update_id) OVER (PARTITION BY source, symbol, an
 )
 def anchored_depth(spark, d):
     u = F.col("update_id")
-    rows = st.quotes(spark, d)
+    rows = st.quotes(spark, d, nearest=False)
     deltas = rows.select("source", "symbol", "received_at", u.alias("first_update_id"), (u + u % 5).alias("final_update_id"))
     snapshots = rows.where(u % 50 == 7).select("source", "symbol", "received_at", (u + u % 7 - 3).alias("last_update_id"))
     return tape.anchored_depth(deltas, snapshots, ["source", "symbol"])

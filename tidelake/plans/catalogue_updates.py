@@ -152,7 +152,7 @@ def _message(*fields: tuple[str, Column]) -> Column:
 
 def _ticks(spark, d) -> DataFrame:
     u = F.col("update_id")
-    return st.quotes(spark, d).select("symbol", "received_at", u.alias("u"), F.concat((u % 1000).cast("string"), F.lit(".50")).alias("price"), F.concat((u % 7).cast("string"), F.lit(".0")).alias("size"))
+    return st.quotes(spark, d, nearest=False).select("symbol", "received_at", u.alias("u"), F.concat((u % 1000).cast("string"), F.lit(".50")).alias("price"), F.concat((u % 7).cast("string"), F.lit(".0")).alias("size"))
 
 
 _TICK = "WITH t AS (SELECT 'S' || CAST(user_id % 3 AS VARCHAR) AS symbol, epoch_us(ts) // 1000 AS received_at, event_id AS u, CAST(event_id % 1000 AS VARCHAR) || '.50' AS price, CAST(event_id % 7 AS VARCHAR) || '.0' AS size FROM events)"

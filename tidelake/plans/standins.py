@@ -83,8 +83,10 @@ PRINTS = """prints AS (
 )"""
 
 
-def quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ms = F.unix_millis(F.col("ts").cast("timestamp"))
+def quotes(spark: SparkSession, sf_dir: str, nearest: bool = True) -> DataFrame:
+    """nearest: received_at is the nearest millisecond, halves away from zero, as DuckDB's epoch_ms gives it; else the last one begun."""
+    at = F.col("ts").cast("timestamp")
+    ms = F.unix_millis(F.timestamp_micros(F.round(F.unix_micros(at), -3)) if nearest else at)
     return read(spark, sf_dir, "events").select(
         F.col("event_type").alias("source"), F.concat(F.lit("S"), (F.col("user_id") % 3).cast("string")).alias("symbol"), ms.alias("received_at"), F.col("event_id").alias("update_id"), F.col("value").alias("mid"), F.to_date("ts").alias("date"), "props"
     )
