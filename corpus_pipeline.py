@@ -27,7 +27,10 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one of the smallest id, of each component of texts whose 5-word shingles agree to 0.8 or more."""
+    """One document, the one of the smallest id, of each component of texts whose 5-word shingles agree to 0.8 or more.
+
+    Candidates are the components of the SimHash operator and, as far as 0.8 is beyond its 64 bits, MinHash bands.
+    """
     return similar.keep_one(docs)
 
 

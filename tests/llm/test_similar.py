@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tidelake.llm import similar
@@ -57,6 +58,18 @@ def test_the_stage_drops_copies_of_similarity_080(spark):
     assert sorted(r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()) == brute_kept(found)
 
 
+def test_fingerprints_alone_give_candidates_that_are_held_to_the_similarity(spark):
+    base = [f"w{i * 7919}" for i in range(500)]
+    half = [f"v{i * 104729}" for i in range(500)]
+    found = [" ".join(base), " ".join([*base[:-1], "other"]), " ".join(base[1:]), " ".join(half), "one two", "one  two"]
+    docs = spark.createDataFrame(list(enumerate(found)), "doc_id long, text string")
+    prints = similar.with_bands(docs, "doc_id", "text", 5).withColumn("bands", F.array().cast("array<long>"))
+    nodes = [similar._node(similar.shingles_of(t)) for t in found]
+    made = similar.links(docs, prints, "doc_id", "text", 5, 80, 1 << 19).collect()
+    assert len(made) == 2 and {n for r in made for n in r} == set(nodes[:3])
+    assert similar.links(docs, prints, "doc_id", "text", 5, 100, 1 << 19).count() == 0
+
+
 def test_nulls_ties_and_empty(spark):
     rows = [(3, "a b c d e f", 1), (3, "a b c d e f", 2), (5, "A b c d e f", 3), (None, "  ", 4), (None, "q r s t u v w x", 5), (8, "", 6)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, node int")

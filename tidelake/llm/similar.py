@@ -1,10 +1,13 @@
-"""Near-duplicates by exact similarity of word shingles, with MinHash candidates.
+"""Near-duplicates by SimHash and, where 64 bits do not reach, MinHash; both held to the exact similarity.
 
 Two texts are near copies if the Jaccard similarity of their sets of word shingles is at
-least ``percent`` of a hundred.  Texts of one set are folded first.  Candidates share a
-band: 25 bands of 5 minima each, so a pair of similarity 0.8 is a candidate with
-probability 1 - (1 - 0.8 ** 5) ** 25 = 0.99995, and a more similar one more surely.  All
-pairs of a band's texts are then held to the exact similarity, so no false link is made.
+least ``percent`` of a hundred.  Texts of one set are folded first.  Candidates are in one
+component of the SimHash operator (``simhash``: fingerprints of the same shingles, the
+pigeonring index, components), or share a band of minima: texts of similarity 0.8 differ in
+about 10 of 64 bits, which no exact index of fingerprints finds.  25 bands of 5 minima each
+make a pair of similarity 0.8 a candidate with probability 1 - (1 - 0.8 ** 5) ** 25 =
+0.99995, and a more similar one more surely.  A component and a band are buckets alike: all
+pairs of a bucket's texts are held to the exact similarity, so no false link is made.
 
 A bucket is compared whole, as a breadth-first search that emits one link a member.  One
 of more than two blocks' shingles is cut into blocks ``ROUNDS`` times, by other hashes each
@@ -12,7 +15,7 @@ time, and compared block by block: near copies come together through the texts t
 meet in one round or another.  Only where a bucket then still holds several components are
 all but its largest held to all its texts, in blocks, so no link between different
 components is lost.  Rows grow with a bucket's texts, and with its square only for texts
-that share a band without being near copies.
+that share a bucket without being near copies.
 """
 
 from __future__ import annotations
@@ -25,7 +28,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelake.llm.shared import give_back, table, text_batches
-from tidelake.llm.simhash import components, one_of_each
+from tidelake.llm.simhash import components, fingerprint_of, one_of_each
+from tidelake.llm.simhash import links as fingerprint_links
 
 BANDS, ROWS = 25, 5
 #: Times that a crowded bucket is cut into blocks.
@@ -67,14 +71,15 @@ def _node(hashes: np.ndarray) -> int:
 
 
 def with_bands(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """doc_id, text_hash, and of the text's set: node (its hash), size and band keys."""
+    """doc_id, text_hash, the text's fingerprint, and of its set: node (its hash), size and band keys."""
     text_batches(docs.sparkSession)
 
-    @F.pandas_udf("node long, size long, bands array<long>")
+    @F.pandas_udf("fp long, node long, size long, bands array<long>")
     def sketch(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
             sets = [shingles_of(t, shingle) for t in texts]
-            yield pd.DataFrame({"node": [_node(s) for s in sets], "size": [len(s) for s in sets], "bands": [_signed(bands_of(s)) for s in sets]})
+            fps = np.fromiter((fingerprint_of(t, shingle) for t in texts), np.uint64, len(texts))
+            yield pd.DataFrame({"fp": _signed(fps), "node": [_node(s) for s in sets], "size": [len(s) for s in sets], "bands": [_signed(bands_of(s)) for s in sets]})
         give_back()
 
     return docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), sketch(F.col(text_col)).alias("s")).select("doc_id", "text_hash", "s.*")
@@ -107,13 +112,20 @@ def set_links(nodes: np.ndarray, sets: list[np.ndarray], percent: int) -> list[t
     return links
 
 
+def buckets(prints: DataFrame) -> DataFrame:
+    """node, size, key: the sets of each SimHash component and of each band of minima."""
+    roots = components(table(fingerprint_links(prints.select("fp").distinct()), "fingerprint-links"))
+    near = prints.join(roots, prints.fp == roots.node, "left").select(prints.node, "size", F.xxhash64(F.lit("fp"), F.coalesce("root", "fp")).alias("key"))
+    return near.distinct().unionByName(prints.groupBy("node").agg(F.any_value("size").alias("size"), F.any_value("bands").alias("bands")).select("node", "size", F.explode("bands").alias("key")))
+
+
 def links(docs: DataFrame, prints: DataFrame, id_col: str, text_col: str, shingle: int, percent: int, block: int) -> DataFrame:
     """(a, b) links whose components are those of all candidates within ``percent``.
 
-    prints: with_bands of docs.  Shingles are taken only of one text for each set that shares a band.
+    prints: with_bands of docs.  Shingles are taken only of one text for each set that shares a bucket.
     """
-    sets = prints.groupBy("node").agg(F.min(F.struct("doc_id", "text_hash")).alias("of"), F.any_value("size").alias("size"), F.any_value("bands").alias("bands"))
-    entries = sets.select("node", "size", F.explode("bands").alias("key"))
+    sets = prints.groupBy("node").agg(F.min(F.struct("doc_id", "text_hash")).alias("of"))
+    entries = buckets(prints)
     members = [F.bit_xor(F.xxhash64("node", F.lit(seed))).alias(f"m{seed}") for seed in (0, 1)]
     sizes = entries.groupBy("key").agg(F.count("*").alias("n"), F.sum("size").alias("total"), *members).where("n > 1")
     sizes = sizes.groupBy("n", "total", "m0", "m1").agg(F.min("key").alias("key"))  # buckets of the same sets are compared once
