@@ -4,6 +4,7 @@ import math
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from tidelake.plans import catalogue, catalogue_lake, catalogue_streams, catalogue_updates, catalogue_verify  # noqa: F401
 from tidelake.plans import standins
@@ -56,3 +57,14 @@ def test_quotes_have_the_milliseconds_of_the_sql(spark, tmp_path):
     for name in ("tumbling_counts", "decode_book"):
         df = catalogue.QUERIES[name](spark, f"{tmp_path}/later")
         assert canon(map(tuple, df.collect())) == canon(con.execute(f"SELECT {', '.join(df.columns)} FROM ({catalogue.SQL[name]})").fetchall())
+
+
+def test_prints_are_dealt_to_tasks_by_their_number(spark, sf_dir, monkeypatch):
+    wide = standins.prints(spark, sf_dir).count()
+    monkeypatch.setattr(standins, "TASK_ROWS", 250)
+    rows = standins.prints(spark, sf_dir).groupBy(F.spark_partition_id().alias("task"), "series_id").agg(F.count("*").alias("n"), F.max("revision_seq").alias("last")).collect()
+    tasks = {}
+    for r in rows:
+        tasks[r.task] = tasks.get(r.task, 0) + r.n
+    assert sum(tasks.values()) == wide and all(r.n == r.last + 1 for r in rows)
+    assert len(tasks) >= 25 and max(tasks.values()) < 600

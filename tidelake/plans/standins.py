@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 HOUR_MS = 3_600_000
+#: Rows of both tables that a task of a large join takes, so that its sorts do not grow with the tables.
+TASK_ROWS = 400_000
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,8 +68,10 @@ SERIES = f"""{OBS}, {FLAT}, series AS (
 
 def prints(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders, items = read(spark, sf_dir, "orders"), read(spark, sf_dir, "lineitem")
+    tasks = max(spark.sparkContext.defaultParallelism, -(-(orders.count() + items.count()) // TASK_ROWS))  # counts of files' footers
+    orders, items = orders.repartition(tasks, "o_orderkey"), items.repartition(tasks, "l_orderkey")
     rows = items.join(orders, items.l_orderkey == orders.o_orderkey)
-    by = Window.partitionBy("o_orderkey").orderBy("l_shipdate", "l_linenumber", "l_partkey", "l_extendedprice", "l_suppkey", "l_quantity")
+    by = Window.partitionBy("l_orderkey").orderBy("l_shipdate", "l_linenumber", "l_partkey", "l_extendedprice", "l_suppkey", "l_quantity")
     day = F.date_format("o_orderdate", "yyyy-MM-dd")
     return rows.select(
         F.concat_ws(":", F.col("o_orderkey").cast("string"), day).alias("event_id"), F.col("o_orderkey").cast("string").alias("series_id"), F.col("o_orderpriority").alias("calendar"),
