@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 HOUR_MS = 3_600_000
-#: Rows of both tables that a task of a large join takes, so that its sorts do not grow with the tables.
+#: About as many rows of both tables as a task of a large join takes, so that its sorts do not grow with the tables.
 TASK_ROWS = 400_000
 
 
